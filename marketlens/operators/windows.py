@@ -8,19 +8,28 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def with_share_of_group(df: DataFrame, value: str, keys: Sequence[str], out: str) -> DataFrame:
+def with_share_of_group(df: DataFrame, value: str, keys: Sequence[str], out: str,
+                        keys_nullable: bool | None = None) -> DataFrame:
     """``value / nullif(sum(value) over (partition by keys), 0)`` as a new column.
 
     Computed as a pre-aggregated group total joined back on the keys rather
     than a window: the total is combined map-side, and adaptive skew handling
     can split a hot key's rows across tasks (a window would have to hold the
-    whole group in one task). The join is on non-null keys only; rows with a
-    NULL key form one group, as in the window form, via null-safe equality.
+    whole group in one task). With non-null keys (``keys_nullable=False``,
+    e.g. after a staging key filter) the join is a plain equi-join, so its
+    hash partitioning on the keys is reused by later joins on the same keys;
+    otherwise NULL keys form one group via null-safe equality, as in the
+    window form.
     """
     keys = list(keys)
+    if keys_nullable is None:
+        keys_nullable = any(df.schema[k].nullable for k in keys)
     totals = df.groupBy(*keys).agg(F.sum(value).alias("_group_total"))
-    cond = [df[k].eqNullSafe(totals[k]) for k in keys]
-    j = df.join(totals, cond, "left").select(df["*"], totals["_group_total"])
+    if keys_nullable:
+        cond = [df[k].eqNullSafe(totals[k]) for k in keys]
+        j = df.join(totals, cond, "left").select(df["*"], totals["_group_total"])
+    else:
+        j = df.join(totals, keys, "left")
     share = F.col(value) / F.nullif(F.col("_group_total"), F.lit(0))
     return j.withColumn(out, share).drop("_group_total")
 

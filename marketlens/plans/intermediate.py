@@ -40,7 +40,10 @@ def int_order_items_enriched(items: DataFrame, products: DataFrame) -> DataFrame
     j = items.join(p, "product_id", "left").select(
         "item_id", "order_id", "product_id", "quantity", "unit_price", "amount", "_loaded_at",
         "product_name", "category")
-    return with_share_of_group(j, "amount", ["order_id"], "revenue_contribution")
+    # staging guarantees non-null order ids, so the share join is a plain equi-join
+    return with_share_of_group(j, "amount", ["order_id"], "revenue_contribution", keys_nullable=False).select(
+        "item_id", "order_id", "product_id", "quantity", "unit_price", "amount", "_loaded_at",
+        "product_name", "category", "revenue_contribution")
 
 
 def orders_daily_agg(orders_enriched: DataFrame) -> DataFrame:

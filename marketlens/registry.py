@@ -259,7 +259,7 @@ def q_latest_by_key(spark, sf_dir):
 def q_revenue_contribution(spark, sf_dir):
     """Each line's share of its order's amount."""
     i = _models(spark, sf_dir).stg_order_items.select("item_id", "order_id", "amount")
-    return with_share_of_group(i, "amount", ["order_id"], "revenue_contribution")
+    return with_share_of_group(i, "amount", ["order_id"], "revenue_contribution", keys_nullable=False)
 
 
 @query("rolling_7row_avg")

@@ -163,3 +163,45 @@ def load_audit(landed: DataFrame, loaded: DataFrame, run_id: str, entity: str) -
 
 __all__ = ["LANDING", "LOAD_AUDIT", "read_landing", "with_audit", "typed_load", "seed_regions", "write_hour",
            "load_audit", "normalise_timestamps", "path_complete", "mark_complete", "with_partition_columns", "read_seed_csv"]
+
+
+def read_foreign_hour(spark: SparkSession, base: str, entity: str, date: str, hour: str,
+                      regions: list[str] | None = None) -> DataFrame:
+    """Read one landing hour written by a foreign writer (e.g. pandas/pyarrow) into the declared schema.
+
+    Such files may carry nanosecond timestamps (read as bigint, then ns -> us)
+    or a column that is NULL in every row of a file and was therefore written
+    with a placeholder type. Each region's file of the hour (at most one per
+    region) is read with its own inferred schema, conformed to the declared
+    types and the parts are concatenated by name.
+    """
+    from marketlens.constants import REGIONS as ALL_REGIONS
+
+    spark.conf.set("spark.sql.legacy.parquet.nanosAsLong", "true")
+    declared = LANDING[entity]
+    root = entity_path(base, entity)
+    parts = []
+    for r in regions or ALL_REGIONS:
+        path = f"{root}/region={r}/date={date}/hour={hour}"
+        p, fs = _fs_path(spark, path)
+        if not fs.exists(p):
+            continue  # missing region file is tolerated
+        df = spark.read.parquet(path)
+        have = dict(df.dtypes)
+        cols = []
+        for f in declared.fields:
+            if f.name == "region":
+                cols.append(F.lit(r).alias("region"))
+            elif f.name not in have:
+                cols.append(F.lit(None).cast(f.dataType).alias(f.name))
+            elif f.dataType.simpleString() == "timestamp_ntz" and have[f.name] == "bigint":
+                cols.append(F.timestamp_micros(F.floor(F.col(f.name) / 1000)).cast("timestamp_ntz").alias(f.name))
+            else:
+                cols.append(F.col(f.name).cast(f.dataType).alias(f.name))
+        parts.append(df.select(*cols, F.lit(date).alias("date"), F.lit(hour).alias("hour")))
+    if not parts:
+        return spark.createDataFrame([], landing_with_partitions(entity))
+    out = parts[0]
+    for p_ in parts[1:]:
+        out = out.unionByName(p_)
+    return out
