@@ -91,4 +91,11 @@ class Models:
     # reporting
     @cached_property
     def rpt_daily_kpis(self) -> DataFrame:
+        """Single pass over the orders (same rows as the regional-daily x order-fact join form)."""
+        return reporting.rpt_daily_kpis_single_pass(self.int_orders_enriched, self.stg_marketing_events,
+                                                    self.regions)
+
+    @cached_property
+    def rpt_daily_kpis_two_pass(self) -> DataFrame:
+        """The source model's shape: regional daily joined with an aggregate of the order fact."""
         return reporting.rpt_daily_kpis(self.int_regional_daily, self.fact_orders)
