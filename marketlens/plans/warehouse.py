@@ -99,3 +99,31 @@ class Models:
     def rpt_daily_kpis_two_pass(self) -> DataFrame:
         """The source model's shape: regional daily joined with an aggregate of the order fact."""
         return reporting.rpt_daily_kpis(self.int_regional_daily, self.fact_orders)
+
+
+MART_TABLES = ("dim_customers", "dim_products", "fact_orders", "fact_order_items", "rpt_daily_kpis")
+
+
+def materialise(models: Models, base: str, tables=MART_TABLES) -> dict[str, DataFrame]:
+    """Rebuild the mart and reporting tables as Parquet under ``base`` (full overwrite).
+
+    ``int_orders_enriched`` feeds both the order fact and the KPI table, so it
+    is written once and read back by both; the write also cuts the lineage,
+    so a lost executor recomputes from the written table rather than from the
+    raw scans. ``base`` must be a shared folder (e.g. under
+    ``spark.checkpoint.dir``), never a machine-local path on a cluster.
+    Returns DataFrames over the written tables.
+    """
+    spark = models.raw.orders.sparkSession
+    base = base.rstrip("/")
+    shared = f"{base}/_intermediate/int_orders_enriched"
+    models.int_orders_enriched.write.mode("overwrite").parquet(shared)
+    enriched = spark.read.parquet(shared)
+    m = Models(models.raw, models.regions)
+    m.__dict__["int_orders_enriched"] = enriched  # reuse the written table downstream
+    out = {}
+    for name in tables:
+        path = f"{base}/{name}"
+        getattr(m, name).write.mode("overwrite").parquet(path)
+        out[name] = spark.read.parquet(path)
+    return out

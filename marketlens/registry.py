@@ -465,6 +465,14 @@ def q_volume_anomaly(spark, sf_dir):
     return volume.volume_anomaly(volume.hourly_actuals(o), _calendar(o))
 
 
+@query("materialised_kpis")
+def q_materialised(spark, sf_dir):
+    """Marts and KPI table rebuilt as tables in the shared folder, read back."""
+    from marketlens.plans.warehouse import materialise
+    tables = materialise(_models(spark, sf_dir), unique_path(spark, "marts"))
+    return tables["rpt_daily_kpis"]
+
+
 # ---------------------------------------------------------------- streaming
 @query("streaming_ingest")
 def q_streaming(spark, sf_dir):

@@ -495,6 +495,7 @@ def build() -> dict[str, str]:
               "int_orders_enriched", "int_order_items_enriched", "int_regional_daily", "dim_customers",
               "dim_products", "fact_orders", "fact_order_items", "rpt_daily_kpis"]:
         s[m] = q(SPEC[m], f"SELECT * FROM {m}")
+    s["materialised_kpis"] = s["rpt_daily_kpis"]
     s["orders_daily_agg"] = q("region, order_date, total_orders:i, gross_revenue:f, avg_order_value:f, "
                               "returned_orders:i, unique_customers:i", "SELECT * FROM orders_agg")
     s["marketing_daily_agg"] = q("region, event_date, impressions:i, clicks:i, purchases:i", "SELECT * FROM marketing_agg")
