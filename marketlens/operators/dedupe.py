@@ -31,18 +31,46 @@ def latest_by_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str] =
 
 
 def deterministic_sample(df: DataFrame, key: str, rate: float, seed: int,
-                         group_by: Sequence[str] = ()) -> DataFrame:
+                         group_by: Sequence[str] = (), rows_per_piece: int = 1_000_000) -> DataFrame:
     """Fixed-size seeded sample: k = max(1, round_half_even(n * rate)) rows per group, 0 if empty.
 
-    Rows are ranked by md5(key || seed), which does not depend on partitioning
-    or task retries (unlike ``sample()``). Groups are landing batches (one
-    region-hour), whose size is bounded by the hourly order volume.
+    Rows are ranked by md5(key || seed) (then key), which does not depend on
+    partitioning or task retries, unlike ``sample()``. The rank is exact but
+    never needs a whole group in one task:
+
+    1. group sizes n (and k) come from a grouped count, combined map-side;
+    2. each group is cut into ceil(n / rows_per_piece) hash ranges ("pieces");
+       the range index is monotone in the hash, so pieces are ordered;
+    3. rows are ranked inside their piece (a window over at most about
+       ``rows_per_piece`` rows), and each piece's offset is the running count
+       of the earlier pieces of its group (a window over piece counts);
+    4. global rank = offset + local rank; keep rank <= k.
+
+    A group holding a third of all rows is therefore spread over many tasks.
     """
+    out_cols = df.columns
     g = list(group_by)
-    w_all = Window.partitionBy(*g) if g else Window.partitionBy(F.lit(0))
+    if not g:  # one group: a constant key keeps the same plan shape (no cross join)
+        df, g = df.withColumn("_all", F.lit(0)), ["_all"]
     h = F.md5(F.concat(F.col(key).cast("string"), F.lit(str(seed))))
-    ranked = df.withColumn("_h", h).withColumn("_n", F.count(F.lit(1)).over(w_all))
-    w = (Window.partitionBy(*g) if g else Window.partitionBy(F.lit(0))).orderBy("_h", key)
-    k = F.greatest(F.lit(1), F.bround(F.col("_n") * F.lit(rate), 0).cast("bigint"))
-    return (ranked.withColumn("_rn", F.row_number().over(w))
-            .filter(F.col("_rn") <= k).drop("_h", "_n", "_rn"))
+    x = df.withColumn("_h", h)
+    sizes = x.groupBy(*g).agg(F.count(F.lit(1)).alias("_n"))
+    sizes = sizes.select(
+        *g,
+        F.greatest(F.lit(1), F.bround(F.col("_n") * F.lit(rate), 0).cast("bigint")).alias("_k"),
+        F.greatest(F.lit(1), F.ceil(F.col("_n") / F.lit(rows_per_piece))).cast("bigint").alias("_np"))
+    cond = [x[c].eqNullSafe(sizes[c]) for c in g]
+    x = x.join(sizes, cond).select(x["*"], sizes["_k"], sizes["_np"])
+    # hash prefix (48 bits) scaled to [0, _np): monotone in the hash order
+    u = F.conv(F.substring("_h", 1, 12), 16, 10).cast("double") / float(2 ** 48)
+    x = x.withColumn("_piece", F.floor(u * F.col("_np")).cast("bigint"))
+    tie = F.xxhash64(*[F.col(c) for c in out_cols])
+    local = Window.partitionBy(*g, "_piece").orderBy("_h", key, tie)
+    x = x.withColumn("_local", F.row_number().over(local))
+    pieces = x.groupBy(*g, "_piece").agg(F.count(F.lit(1)).alias("_c"))
+    before = Window.partitionBy(*g).orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
+    pieces = pieces.select(*g, "_piece", F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_before"))
+    pcond = [x[c].eqNullSafe(pieces[c]) for c in g] + [x["_piece"] == pieces["_piece"]]
+    ranked = x.join(pieces, pcond).select(x["*"], pieces["_before"])
+    return (ranked.filter(F.col("_before") + F.col("_local") <= F.col("_k"))
+            .select(*out_cols))

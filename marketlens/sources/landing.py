@@ -110,15 +110,21 @@ def with_partition_columns(df: DataFrame, ts_col: str = "created_at") -> DataFra
     return df.withColumn("date", F.date_format(ts_col, "yyyy-MM-dd")).withColumn("hour", F.date_format(ts_col, "HH"))
 
 
-def write_hour(df: DataFrame, path: str, partitions=PARTITION_COLUMNS, max_records_per_file: int = 1_000_000) -> None:
-    """Idempotent partitioned write: reruns replace only the partitions they produce.
+def cluster_for_write(df: DataFrame, partitions=PARTITION_COLUMNS) -> DataFrame:
+    """Cluster rows by output partition without letting one partition become one task.
 
-    Rows are clustered by the partition columns first so each task writes one
-    file per hour partition instead of one per (task x partition).
+    Range partitioning on (partition columns, row hash) keeps each output
+    partition's rows in few tasks (few files) while a partition holding a
+    large share of the rows is split across several tasks by the hash.
     """
+    return df.repartitionByRange(*partitions, F.xxhash64(*[F.col(c) for c in df.columns]))
+
+
+def write_hour(df: DataFrame, path: str, partitions=PARTITION_COLUMNS, max_records_per_file: int = 1_000_000) -> None:
+    """Idempotent partitioned write: reruns replace only the partitions they produce."""
     spark = df.sparkSession
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    (df.repartition(*partitions)
+    (cluster_for_write(df, partitions)
      .write.mode("overwrite")
      .option("maxRecordsPerFile", max_records_per_file)
      .partitionBy(*partitions)

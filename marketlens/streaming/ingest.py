@@ -16,7 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StringType, StructField, StructType, TimestampNTZType
 
 from marketlens.schemas import landing_with_partitions
-from marketlens.sources.landing import PARTITION_DIR, entity_path
+from marketlens.sources.landing import PARTITION_DIR, cluster_for_write, entity_path
 
 
 def stream_landing(spark: SparkSession, base: str, entity: str, sink: str, checkpoint: str,
@@ -30,9 +30,10 @@ def stream_landing(spark: SparkSession, base: str, entity: str, sink: str, check
                      F.regexp_extract(F.col("_metadata.file_path"), PARTITION_DIR, 1).alias("_source_file"),
                      F.current_timestamp().cast("timestamp_ntz").alias("_loaded_at"))
     # The raw table is partitioned by landing date (hourly partitions would
-    # multiply small files); each micro-batch is clustered by that column so
-    # a batch writes one file per date partition rather than one per task.
-    w = (out.repartition("date").writeStream.format("parquet").option("checkpointLocation", checkpoint)
+    # multiply small files). Each micro-batch is range-clustered on (date, row
+    # hash): few files per date, and a date holding most of a backlog is still
+    # written by several tasks.
+    w = (cluster_for_write(out, ("date",)).writeStream.format("parquet").option("checkpointLocation", checkpoint)
          .partitionBy("date").outputMode("append"))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
     return w.start(sink)

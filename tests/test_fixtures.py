@@ -210,3 +210,17 @@ def test_deterministic_sample_size_and_stability(spark):
     assert sizes == {"b1": 2, "b2": 2}  # round-half-even(2.5) = 2; max(1, round(1.5)) = 2
     s2 = deterministic_sample(df.repartition(7), "order_id", 0.02, 42, ["batch"])
     assert sorted(r.order_id for r in s1.collect()) == sorted(r.order_id for r in s2.collect())
+
+
+def test_deterministic_sample_split_groups_equal_single_piece(spark, smoke_dir):
+    """Cutting groups into many hash pieces gives exactly the same sample as one piece per group."""
+    from marketlens.plans.warehouse import Models
+    o = Models.from_test_tables(spark, smoke_dir).stg_orders
+    whole = deterministic_sample(o, "order_id", 0.02, 42, ["region"], rows_per_piece=10**9)
+    split = deterministic_sample(o, "order_id", 0.02, 42, ["region"], rows_per_piece=7)
+    a = sorted(r.order_id for r in whole.collect())
+    assert a == sorted(r.order_id for r in split.collect())
+    n = {r.region: r["count"] for r in o.groupBy("region").count().collect()}
+    assert len(a) == sum(max(1, round(v * 0.02)) for v in n.values())
+    single = deterministic_sample(o, "order_id", 0.02, 42, rows_per_piece=11)
+    assert single.count() == max(1, round(o.count() * 0.02))
