@@ -93,3 +93,28 @@ def test_streaming_ingest_rerun_does_not_duplicate(spark):
     run_ingest(spark, base, "orders", sink, ckpt)  # only the new hour is added
     assert read().count() == 36
     assert read().filter(F.col("_source_file") == "region=us-east/date=2024-01-01/hour=06").count() == 3
+
+
+def test_ingest_hour_is_idempotent_and_audited(spark):
+    from marketlens.sources.ingest import ingest_hour
+    base, raw = local_scratch(), local_scratch() + "/raw_order"
+    write_hour(with_partition_columns(_orders(spark, REGIONS)), f"{base}/orders")
+    write_hour(with_partition_columns(_orders(spark, REGIONS, hour=T(2024, 1, 1, 6))), f"{base}/orders")
+    n1, audit = ingest_hour(spark, base, raw, "orders", "2024-01-01", "05", "r1", "2024-01-01 06:00:00")
+    n2, _ = ingest_hour(spark, base, raw, "orders", "2024-01-01", "05", "r2", "2024-01-01 06:10:00")
+    n3, _ = ingest_hour(spark, base, raw, "orders", "2024-01-01", "06", "r3", "2024-01-01 07:00:00")
+    assert (n1, n2, n3) == (18, 18, 18)
+    assert spark.read.parquet(raw).count() == 36  # the rerun replaced hour 05 instead of appending
+    rows = audit.collect()
+    assert len(rows) == 6 and all(r.s3_expected_rows == r.sf_actual_rows == 3 for r in rows)
+    assert len({r.load_id for r in rows}) == 6
+
+
+def test_seed_csv_matches_fixed_rows(spark):
+    from marketlens.constants import SEED_REGIONS
+    from marketlens.sources.landing import read_seed_csv
+    d = local_scratch()
+    with open(f"{d}/regions.csv", "w") as f:
+        f.write("region,continent,timezone_offset\n" + "\n".join(f"{r},{c},{o}" for r, c, o in SEED_REGIONS) + "\n")
+    got = [tuple(r) for r in read_seed_csv(spark, f"{d}/regions.csv").collect()]
+    assert sorted(got) == sorted(SEED_REGIONS)
