@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from marketlens.constants import REGION_CURRENCY, REGIONS
 from marketlens.functions.scalars import lookup
 
-ADAPTER_VERSION = "1"
+ADAPTER_VERSION = "2"
 FIRST_LOAD = "2024-01-01 00:00:00"
 CUSTOMER_RELOAD = "2024-01-15 00:00:00"
 

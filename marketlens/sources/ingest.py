@@ -13,30 +13,37 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from marketlens.constants import REGIONS
 from marketlens.sources.landing import cluster_for_write, read_landing, with_audit
 
 
 def ingest_hour(spark: SparkSession, landing_base: str, raw_path: str, entity: str, date: str, hour: str,
-                run_id: str, loaded_at: str) -> tuple[int, DataFrame]:
-    """Load one hour; returns (rows written, audit rows per region)."""
+                run_id: str, loaded_at: str, regions=REGIONS) -> tuple[int, DataFrame]:
+    """Load one hour; returns (rows written, audit rows per region).
+
+    Loaded rows per region are observed during the write itself (one counter
+    per configured region), so the audit describes exactly what this run
+    wrote, even if a later rerun replaces the partition.
+    """
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     landed = with_audit(read_landing(spark, landing_base, entity, date, hour), loaded_at)
     obs = Observation(f"ingest_{entity}_{date}_{hour}")
+    metrics = [F.count(F.lit(1)).alias("rows")] + [
+        F.count_if(F.col("region") == r).alias(f"r{i}") for i, r in enumerate(regions)]
     # observe above the range exchange: its boundary-sampling pass must not be counted
-    observed = cluster_for_write(landed, ("date", "hour")).observe(obs, F.count(F.lit(1)).alias("rows"))
+    observed = cluster_for_write(landed, ("date", "hour")).observe(obs, *metrics)
     observed.write.mode("overwrite").partitionBy("date", "hour").parquet(raw_path)
-    n = int(obs.get.get("rows", 0))
-    written = spark.read.parquet(f"{raw_path}/date={date}/hour={hour}") if n else None
-    if written is None:
-        return 0, spark.createDataFrame([], "load_id string, dag_run_id string, load_date date, region string, "
-                                            "entity string, s3_expected_rows bigint, sf_actual_rows bigint, "
-                                            "loaded_at timestamp")
+    got = obs.get
+    n = int(got.get("rows", 0))
+    actual = spark.createDataFrame([(r, int(got.get(f"r{i}", 0))) for i, r in enumerate(regions)],
+                                   "region string, sf_actual_rows bigint")
     expected = read_landing(spark, landing_base, entity, date, hour).groupBy("region").agg(
         F.count(F.lit(1)).alias("s3_expected_rows"))
-    actual = written.groupBy("region").agg(F.count(F.lit(1)).alias("sf_actual_rows"))
-    audit = expected.join(actual, "region", "full").select(
+    audit = expected.join(actual, "region", "full").filter(
+        F.col("s3_expected_rows").isNotNull() | (F.col("sf_actual_rows") > 0)).select(
         F.expr("uuid()").alias("load_id"), F.lit(run_id).alias("dag_run_id"),
         F.lit(date).cast("date").alias("load_date"), "region", F.lit(entity).alias("entity"),
-        "s3_expected_rows", F.coalesce("sf_actual_rows", F.lit(0)).alias("sf_actual_rows"),
+        F.coalesce("s3_expected_rows", F.lit(0)).alias("s3_expected_rows"),
+        F.coalesce("sf_actual_rows", F.lit(0)).alias("sf_actual_rows"),
         F.current_timestamp().alias("loaded_at"))
     return n, audit

@@ -36,7 +36,13 @@ def read_landing(spark: SparkSession, base: str, entity: str, date: str = "*", h
     root = entity_path(base, entity)
     schema = schema or landing_with_partitions(entity)
     try:
-        if date == "*" and hour == "*":
+        if date == "*" and hour == "*" and regions is not None:
+            # list only the requested regions' folders (existing ones; a missing region is skipped)
+            paths = [f"{root}/region={r}" for r in regions if _exists(spark, f"{root}/region={r}")]
+            if not paths:
+                return spark.createDataFrame([], schema)
+            df = spark.read.schema(schema).option("basePath", root).parquet(*paths)
+        elif date == "*" and hour == "*":
             df = spark.read.schema(schema).parquet(root)
         else:
             df = spark.read.schema(schema).option("basePath", root).parquet(
@@ -50,6 +56,11 @@ def read_landing(spark: SparkSession, base: str, entity: str, date: str = "*", h
     return df
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    p, fs = _fs_path(spark, path)
+    return bool(fs.exists(p))
+
+
 def with_audit(df: DataFrame, loaded_at) -> DataFrame:
     """Add lineage: ``_source_file`` (partition path of the file) and one ``_loaded_at`` per run."""
     loaded = loaded_at if isinstance(loaded_at, Column) else F.lit(loaded_at).cast("timestamp_ntz")
