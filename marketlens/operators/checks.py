@@ -89,3 +89,20 @@ def total_reconcile(a: DataFrame, a_col: str, b: DataFrame, b_col: str) -> DataF
 
 def not_negative(df: DataFrame, col: str) -> DataFrame:
     return df.filter(F.col(col) < 0)
+
+
+def seed_coverage(seed: DataFrame, key: str, counts: dict[str, DataFrame]) -> DataFrame:
+    """Seed rows next to per-key row counts from data tables (full outer joins on the key).
+
+    ``counts`` maps an output column name to a DataFrame whose rows carry
+    ``key``; each is reduced to one row per key before joining, so the joins
+    are between small aggregates. ``in_seed`` is false for keys seen in the
+    data but missing from the seed.
+    """
+    out = seed.withColumn("_in_seed", F.lit(True))
+    for name, df in counts.items():
+        c = df.groupBy(F.col(key).alias("_k")).agg(F.count(F.lit(1)).alias(name))
+        out = out.join(c, out[key].eqNullSafe(c["_k"]), "full").select(
+            F.coalesce(out[key], c["_k"]).alias(key), *[out[x] for x in out.columns if x != key], c[name])
+    return out.select(*seed.columns, *[F.coalesce(F.col(n), F.lit(0)).alias(n) for n in counts],
+                      F.coalesce("_in_seed", F.lit(False)).alias("in_seed"))

@@ -143,6 +143,14 @@ def q_load_audit(spark, sf_dir):
     return load_audit(landed, loaded, RUN_ID, "orders")
 
 
+@query("seed_regions")
+def q_seed_regions(spark, sf_dir):
+    """The region seed with the orders and current customers each region has in the data."""
+    m = _models(spark, sf_dir)
+    return checks.seed_coverage(m.regions, "region", {"n_orders": m.stg_orders.select("region"),
+                                                       "n_customers": m.customers_current.select("region")})
+
+
 @query("row_count_by_load_date")
 def q_row_count(spark, sf_dir):
     """Rows per raw table and load date."""

@@ -455,6 +455,16 @@ def build() -> dict[str, str]:
                         "SELECT 'run-2024-01-31' AS dag_run_id, CAST(created_at AS DATE) AS load_date, region, "
                         "'orders' AS entity, count(*) AS s3_expected_rows, count(*) AS sf_actual_rows "
                         "FROM landing_orders GROUP BY 2, 3")
+    s["seed_regions"] = q("region, continent, timezone_offset:i, n_orders:i, n_customers:i, in_seed", """
+        SELECT coalesce(so.region, c.region) AS region, so.continent, so.timezone_offset,
+               coalesce(so.n_orders, 0) AS n_orders, coalesce(c.n_customers, 0) AS n_customers,
+               coalesce(so.in_seed, false) AS in_seed
+        FROM (SELECT coalesce(s.region, o.region) AS region, s.continent, s.timezone_offset, o.n_orders, s.in_seed
+              FROM (SELECT *, true AS in_seed FROM regions_seed) s
+              FULL JOIN (SELECT region, count(*) AS n_orders FROM stg_orders GROUP BY region) o
+                ON s.region IS NOT DISTINCT FROM o.region) so
+        FULL JOIN (SELECT region, count(*) AS n_customers FROM customers_current GROUP BY region) c
+          ON so.region IS NOT DISTINCT FROM c.region""")
     s["row_count_by_load_date"] = q("table_name, load_date, n_rows:i", _union_all([
         f"SELECT '{t}' AS table_name, CAST(_loaded_at AS DATE) AS load_date, count(*) AS n_rows FROM {t} GROUP BY 2"
         for t in ["raw_order", "raw_order_item", "raw_customer", "raw_product", "raw_marketing_event"]]))
