@@ -25,8 +25,13 @@ def main() -> None:
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     repeat = int(os.environ.get("BENCH_REPEAT", "1"))
     only = [q for q in os.environ.get("BENCH_QUERIES", "").split(",") if q] or list(QUERIES)
+    extra = {"spark.ui.showConsoleProgress": "false", "spark.driver.memory": "16g"}
+    event_dir = os.environ.get("BENCH_EVENT_LOG_DIR")  # stage/task timings for offline reading
+    if event_dir:
+        os.makedirs(event_dir, exist_ok=True)
+        extra.update({"spark.eventLog.enabled": "true", "spark.eventLog.dir": event_dir})
     spark = build_session(f"local[{cpus}]", app="marketlens-bench", shuffle_partitions=max(8, 2 * cpus),
-                          extra={"spark.ui.showConsoleProgress": "false", "spark.driver.memory": "16g"})
+                          extra=extra)
     t0 = time.time()
     ensure_landing(spark, sf_dir)  # one-time landing write of the hourly files (not a query)
     landing_sec = time.time() - t0

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 def with_share_of_group(df: DataFrame, value: str, keys: Sequence[str], out: str,
                         keys_nullable: bool | None = None) -> DataFrame:
-    """``value / nullif(sum(value) over (partition by keys), 0)`` as a new column.
+    """``value / nullif(sum(value) over (partition by keys), 0)`` as a new double column.
 
     Computed as a pre-aggregated group total joined back on the keys rather
     than a window: the total is combined map-side, and adaptive skew handling
@@ -30,7 +30,9 @@ def with_share_of_group(df: DataFrame, value: str, keys: Sequence[str], out: str
         j = df.join(totals, cond, "left").select(df["*"], totals["_group_total"])
     else:
         j = df.join(totals, keys, "left")
-    share = F.col(value) / F.nullif(F.col("_group_total"), F.lit(0))
+    # the total is summed exactly (decimal stays decimal); the ratio itself is a
+    # double: a wide-decimal division per row would run on BigDecimal
+    share = F.col(value).cast("double") / F.nullif(F.col("_group_total").cast("double"), F.lit(0.0))
     return j.withColumn(out, share).drop("_group_total")
 
 
