@@ -165,6 +165,6 @@ RECENT_ROWS_WINDOW_HOURS = 2
 RECONCILIATION_TOLERANCE = 0.01
 REVENUE_MISMATCH_FACTOR = 1.15
 
-# surrogate-key convention (public dbt-utils behaviour): null sentinel and separator
+# FIXED VALUES: surrogate-key convention (NULL sentinel and separator between key parts)
 SURROGATE_NULL = "_dbt_utils_surrogate_key_null_"
 SURROGATE_SEPARATOR = "-"

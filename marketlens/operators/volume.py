@@ -71,18 +71,22 @@ def years_of(df: DataFrame, ts: str = "created_at") -> DataFrame:
     return y.select(F.explode(F.array(F.col("y") - 1, F.col("y"), F.col("y") + 1)).alias("year")).distinct()
 
 
-def expected_volume(hours: DataFrame, calendar: DataFrame, ts: str = "hour_ts") -> DataFrame:
+def expected_volume(hours: DataFrame, calendar: DataFrame, ts: str = "hour_ts",
+                    local_calendar: bool = False) -> DataFrame:
     """Expected orders per (region, UTC hour) before noise, with the +/-15% band.
 
-    base x intraday[local hour] x weekday[UTC weekday] x month[UTC month] x
-    holiday[region, local date] (1.0 when none). Multipliers are literal
-    arrays indexed inline; the holiday calendar is at most 14 rows per region
-    and year, so it is broadcast.
+    base x intraday[local hour] x weekday x month x holiday[region, local
+    date] (1.0 when none). Weekday and month are taken from the UTC time, as
+    the volume model computes them; ``local_calendar=True`` takes them from
+    the local time instead (the model's documented intent). Multipliers are
+    literal arrays indexed inline; the holiday calendar is at most 14 rows per
+    region and year, so it is broadcast.
     """
     h = with_local_time(hours, ts=ts)
+    cal_ts = F.col("local_ts") if local_calendar else F.col(ts)
     intraday = F.element_at(F.array(*[F.lit(x) for x in INTRADAY_MULTIPLIERS]), F.col("local_hour") + 1)
-    dow = F.element_at(F.array(*[F.lit(x) for x in DOW_MULTIPLIERS]), F.weekday(ts) + 1)
-    month = F.element_at(F.array(*[F.lit(x) for x in MONTHLY_MULTIPLIERS]), F.month(ts))
+    dow = F.element_at(F.array(*[F.lit(x) for x in DOW_MULTIPLIERS]), F.weekday(cal_ts) + 1)
+    month = F.element_at(F.array(*[F.lit(x) for x in MONTHLY_MULTIPLIERS]), F.month(cal_ts))
     cal = F.broadcast(calendar.groupBy("region", "holiday_date").agg(F.max("multiplier").alias("holiday")))
     j = h.join(cal, (h.region == cal.region) & (h.local_date == cal.holiday_date), "left").drop(cal.region)
     holiday = F.coalesce(F.col("holiday"), F.lit(1.0))
@@ -107,12 +111,13 @@ def hourly_actuals(orders: DataFrame, regions=REGIONS) -> DataFrame:
         "region", "hour_ts", F.coalesce("actual_orders", F.lit(0)).alias("actual_orders"))
 
 
-def volume_anomaly(actuals: DataFrame, calendar: DataFrame, slack: float = 0.5) -> DataFrame:
-    """Hours whose actual count falls outside the expected band widened by ``slack`` orders.
+def volume_anomaly(actuals: DataFrame, calendar: DataFrame, slack: float = 0.5,
+                   local_calendar: bool = False) -> DataFrame:
+    """Every (region, hour) with its band test: outside the expected band widened by ``slack`` orders.
 
     The slack absorbs rounding to whole orders.
     """
-    e = expected_volume(actuals, calendar)
+    e = expected_volume(actuals, calendar, local_calendar=local_calendar)
     return e.select(
         "region", "hour_ts", "local_hour", "actual_orders", "expected_orders", "lower_bound", "upper_bound",
         ((F.col("actual_orders") < F.col("lower_bound") - slack)

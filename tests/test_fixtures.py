@@ -224,3 +224,13 @@ def test_deterministic_sample_split_groups_equal_single_piece(spark, smoke_dir):
     assert len(a) == sum(max(1, round(v * 0.02)) for v in n.values())
     single = deterministic_sample(o, "order_id", 0.02, 42, rows_per_piece=11)
     assert single.count() == max(1, round(o.count() * 0.02))
+
+
+def test_expected_volume_local_calendar_option(spark):
+    # us-east, Sunday 2025-06-01 03:00 UTC is Saturday 22:00 local: weekday 1.10 (UTC) vs 1.20 (local)
+    hours = spark.createDataFrame([("us-east", T(2025, 6, 1, 3))], "region string, hour_ts timestamp_ntz")
+    cal = volume.holiday_calendar(spark.createDataFrame([(2025,)], "year int"))
+    utc = volume.expected_volume(hours, cal).collect()[0]
+    loc = volume.expected_volume(hours, cal, local_calendar=True).collect()[0]
+    assert (utc.dow_multiplier, loc.dow_multiplier) == (1.10, 1.20)
+    assert utc.expected_orders == pytest.approx(200 * 0.95 * 1.10 * 0.90)
