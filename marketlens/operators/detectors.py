@@ -53,7 +53,9 @@ def revenue_mismatch(orders: DataFrame, items: DataFrame) -> DataFrame:
 
 
 def orphan_orders(orders: DataFrame, items: DataFrame) -> DataFrame:
-    return orders.join(items.select("order_id"), "order_id", "left_anti")
+    """Orders without any line (anti join against the distinct ordered keys)."""
+    from marketlens.operators.checks import orphans
+    return orphans(orders, items, "order_id")
 
 
 def invalid_currency(orders: DataFrame) -> DataFrame:
