@@ -68,18 +68,6 @@ def with_audit(df: DataFrame, loaded_at) -> DataFrame:
                      loaded.alias("_loaded_at"))
 
 
-def normalise_timestamps(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Foreign files with nanosecond timestamps read as bigint (nanosAsLong): ns -> us -> timestamp_ntz."""
-    out = df
-    for c in columns:
-        t = dict(df.dtypes).get(c)
-        if t in ("bigint", "long"):
-            out = out.withColumn(c, F.timestamp_micros(F.floor(F.col(c) / 1000)).cast("timestamp_ntz"))
-        elif t == "timestamp":
-            out = out.withColumn(c, F.col(c).cast("timestamp_ntz"))
-    return out
-
-
 def typed_load(df: DataFrame, schema: StructType) -> tuple[DataFrame, DataFrame]:
     """Project + try_cast to ``schema`` (case-insensitive names); split off rejects.
 
@@ -179,7 +167,7 @@ def load_audit(landed: DataFrame, loaded: DataFrame, run_id: str, entity: str) -
 
 
 __all__ = ["LANDING", "LOAD_AUDIT", "read_landing", "with_audit", "typed_load", "seed_regions", "write_hour",
-           "load_audit", "normalise_timestamps", "path_complete", "mark_complete", "with_partition_columns", "read_seed_csv"]
+           "load_audit", "read_foreign_hour", "path_complete", "mark_complete", "with_partition_columns", "read_seed_csv"]
 
 
 def read_foreign_hour(spark: SparkSession, base: str, entity: str, date: str, hour: str,
