@@ -74,14 +74,17 @@ def _models(spark, sf_dir) -> Models:
 
 
 # ---------------------------------------------------------------- landing
+def _input_key(sf_dir: str) -> str:
+    return hashlib.md5(f"{os.path.abspath(sf_dir)}|{adapter.ADAPTER_VERSION}".encode()).hexdigest()[:12]
+
+
 def ensure_landing(spark: SparkSession, sf_dir: str, entity: str = "orders") -> str:
     """Write the test data's order headers once as hourly landing files; return the landing base.
 
     Written under the shared checkpoint folder; the write is an idempotent
     dynamic partition overwrite, so a concurrent or repeated call is harmless.
     """
-    key = hashlib.md5(f"{os.path.abspath(sf_dir)}|{adapter.ADAPTER_VERSION}".encode()).hexdigest()[:12]
-    base = shared_path(spark, "landing", key)
+    base = shared_path(spark, "landing", _input_key(sf_dir))
     if not path_complete(spark, f"{base}/{entity}"):
         src = {"orders": adapter.landing_orders}[entity](spark, sf_dir)
         write_hour(with_partition_columns(src), f"{base}/{entity}")
@@ -374,6 +377,50 @@ def q_not_negative(spark, sf_dir):
     return checks.not_negative(k, "gross_revenue").select("report_date", "region", "gross_revenue")
 
 
+@query("data_tests")
+def q_data_tests(spark, sf_dir):
+    """H1-H8 as a test run: one row per declared test with its failure count and status.
+
+    Failures count what each test returns: NULL rows (not_null), repeated
+    values (unique), distinct values outside the list (accepted_values) and
+    returned rows (model-level and singular tests). Every count is a global
+    aggregate (partial per task), all in one job.
+    """
+    m = _models(spark, sf_dir)
+    ms = _check_models(m)
+    parts = []
+    for model, cols in NOT_NULL_TESTS.items():
+        nn = checks.not_null_counts(ms[model], cols, model)
+        parts.append(nn.select(F.concat(F.lit("not_null."), F.lit(model), F.lit("."), F.col("column_name"))
+                               .alias("test_id"), F.lit("not_null").alias("kind"), "model", "column_name",
+                               F.col("n_null").alias("failures")))
+
+    def counted(test_id, kind, model, column, df):
+        return df.agg(F.count(F.lit(1)).alias("failures")).select(
+            F.lit(test_id).alias("test_id"), F.lit(kind).alias("kind"), F.lit(model).alias("model"),
+            F.lit(column).cast("string").alias("column_name"), "failures")
+
+    for model, col in UNIQUE_TESTS:
+        parts.append(counted(f"unique.{model}.{col}", "unique", model, col, checks.unique(ms[model], col, model)))
+    for model, col, vals in ACCEPTED_TESTS:
+        parts.append(counted(f"accepted_values.{model}.{col}", "accepted_values", model, col,
+                             checks.accepted_values(ms[model], col, vals, model)))
+    parts.append(counted("revenue_reconciliation.fact_orders", "model", "fact_orders", "total_amount",
+                         checks.total_reconcile(m.fact_orders, "total_amount", m.stg_orders, "total_amount")
+                         .filter(~F.col("passed"))))
+    parts.append(counted("gross_revenue_not_negative.rpt_daily_kpis", "model", "rpt_daily_kpis", "gross_revenue",
+                         checks.not_negative(m.rpt_daily_kpis, "gross_revenue")))
+    parts.append(counted("test_funnel_monotonicity", "singular", "rpt_daily_kpis", None,
+                         checks.funnel_monotonicity(m.rpt_daily_kpis)))
+    parts.append(counted("test_no_orphaned_orders", "singular", "fact_orders", None,
+                         checks.orphans(m.fact_orders.select("order_id"), m.fact_order_items, "order_id")))
+    parts.append(counted("test_revenue_reconciliation", "singular", "fact_orders", None,
+                         checks.reconcile_join_then_sum(m.fact_orders, m.fact_order_items, "order_id",
+                                                        "total_amount", "amount")))
+    r = _union(parts)
+    return r.withColumn("status", F.when(F.col("failures") == 0, "pass").otherwise("fail"))
+
+
 def _batches(spark, sf_dir):
     return with_partition_columns(adapter.raw_order(spark, sf_dir)).select("region", "date", "hour")
 
@@ -477,7 +524,8 @@ def q_volume_anomaly(spark, sf_dir):
 def q_materialised(spark, sf_dir):
     """Marts and KPI table rebuilt as tables in the shared folder, read back."""
     from marketlens.plans.warehouse import materialise
-    tables = materialise(_models(spark, sf_dir), unique_path(spark, "marts"))
+    # one folder per input (overwritten on rerun: idempotent, nothing left behind)
+    tables = materialise(_models(spark, sf_dir), shared_path(spark, "marts", _input_key(sf_dir)))
     return tables["rpt_daily_kpis"]
 
 

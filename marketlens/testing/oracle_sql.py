@@ -540,6 +540,33 @@ def build() -> dict[str, str]:
         f"SELECT '{m}' AS model, '{c}' AS column_name, CAST({c} AS VARCHAR) AS value, count(*) AS n_rows FROM {m} "
         f"WHERE {c} IS NOT NULL AND {c} NOT IN ({', '.join(repr(v) for v in vals)}) GROUP BY {c}"
         for m, c, vals in ACCEPTED_TESTS]))
+    tests = []
+    for m, cols in NOT_NULL_TESTS.items():
+        for c in cols:
+            tests.append(f"SELECT 'not_null.{m}.{c}' AS test_id, 'not_null' AS kind, '{m}' AS model, "
+                         f"'{c}' AS column_name, count_if({c} IS NULL) AS failures FROM {m}")
+    for m, c in UNIQUE_TESTS:
+        tests.append(f"SELECT 'unique.{m}.{c}', 'unique', '{m}', '{c}', count(*) FROM (SELECT {c} FROM {m} "
+                     f"WHERE {c} IS NOT NULL GROUP BY {c} HAVING count(*) > 1)")
+    for m, c, vals in ACCEPTED_TESTS:
+        tests.append(f"SELECT 'accepted_values.{m}.{c}', 'accepted_values', '{m}', '{c}', count(*) FROM ("
+                     f"SELECT DISTINCT {c} FROM {m} WHERE {c} IS NOT NULL AND {c} NOT IN "
+                     f"({', '.join(repr(v) for v in vals)}))")
+    tests.append("SELECT 'revenue_reconciliation.fact_orders', 'model', 'fact_orders', 'total_amount', "
+                 "CASE WHEN (SELECT sum(total_amount) FROM fact_orders) = (SELECT sum(total_amount) FROM stg_orders) "
+                 "THEN 0 ELSE 1 END")
+    tests.append("SELECT 'gross_revenue_not_negative.rpt_daily_kpis', 'model', 'rpt_daily_kpis', 'gross_revenue', "
+                 "count(*) FROM rpt_daily_kpis WHERE gross_revenue < 0")
+    tests.append("SELECT 'test_funnel_monotonicity', 'singular', 'rpt_daily_kpis', NULL, count(*) FROM rpt_daily_kpis "
+                 "WHERE clicks > impressions OR purchases > clicks")
+    tests.append("SELECT 'test_no_orphaned_orders', 'singular', 'fact_orders', NULL, count(*) FROM fact_orders o "
+                 "LEFT JOIN fact_order_items i ON o.order_id = i.order_id WHERE i.item_id IS NULL")
+    tests.append("SELECT 'test_revenue_reconciliation', 'singular', 'fact_orders', NULL, count(*) FROM ("
+                 "SELECT o.order_id, o.total_amount FROM fact_orders o JOIN fact_order_items i ON o.order_id = i.order_id "
+                 "GROUP BY o.order_id, o.total_amount HAVING abs(o.total_amount - sum(i.amount)) > 0.01)")
+    s["data_tests"] = q("test_id, kind, model, column_name, failures:i, status",
+                        "SELECT *, CASE WHEN failures = 0 THEN 'pass' ELSE 'fail' END AS status FROM ("
+                        + _union_all(tests) + ")")
     s["check_funnel_monotonicity"] = q("report_date, region, impressions:i, clicks:i, purchases:i", """
         SELECT report_date, region, impressions, clicks, purchases FROM rpt_daily_kpis
         WHERE clicks > impressions OR purchases > clicks""")
