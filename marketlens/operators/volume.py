@@ -84,9 +84,9 @@ def expected_volume(hours: DataFrame, calendar: DataFrame, ts: str = "hour_ts",
     """
     h = with_local_time(hours, ts=ts)
     cal_ts = F.col("local_ts") if local_calendar else F.col(ts)
-    intraday = F.element_at(F.array(*[F.lit(x) for x in INTRADAY_MULTIPLIERS]), F.col("local_hour") + 1)
-    dow = F.element_at(F.array(*[F.lit(x) for x in DOW_MULTIPLIERS]), F.weekday(cal_ts) + 1)
-    month = F.element_at(F.array(*[F.lit(x) for x in MONTHLY_MULTIPLIERS]), F.month(cal_ts))
+    intraday = F.try_element_at(F.array(*[F.lit(x) for x in INTRADAY_MULTIPLIERS]), F.col("local_hour") + 1)
+    dow = F.try_element_at(F.array(*[F.lit(x) for x in DOW_MULTIPLIERS]), F.weekday(cal_ts) + 1)
+    month = F.try_element_at(F.array(*[F.lit(x) for x in MONTHLY_MULTIPLIERS]), F.month(cal_ts))
     cal = F.broadcast(calendar.groupBy("region", "holiday_date").agg(F.max("multiplier").alias("holiday")))
     j = h.join(cal, (h.region == cal.region) & (h.local_date == cal.holiday_date), "left").drop(cal.region)
     holiday = F.coalesce(F.col("holiday"), F.lit(1.0))

@@ -41,7 +41,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def region_of(nation_key) -> Column:
-    return F.element_at(F.array(*[F.lit(r) for r in REGIONS]), (F.col(nation_key) % 6 + 1).cast("int"))
+    return F.try_element_at(F.array(*[F.lit(r) for r in REGIONS]), (F.col(nation_key) % 6 + 1).cast("int"))
 
 
 def _ntz(s: str) -> Column:
