@@ -31,8 +31,8 @@ from marketlens.plans.warehouse import Models
 from marketlens.schemas import LANDING
 from marketlens.session import apply_defaults, shared_path, unique_path
 from marketlens.sources import adapter
-from marketlens.sources.landing import (load_audit, mark_complete, path_complete, read_landing, typed_load, with_audit,
-                                        with_partition_columns, write_hour)
+from marketlens.sources.landing import (PARTITION_DIR, load_audit, mark_complete, path_complete, read_landing,
+                                        typed_load, with_audit, with_partition_columns, write_hour)
 from marketlens.streaming.ingest import ingested_schema, run_ingest
 
 # injected clock for freshness gates (the data's last day ends at this instant)
@@ -94,7 +94,7 @@ def ensure_landing(spark: SparkSession, sf_dir: str, entity: str = "orders") ->
 
 @query("landing_scan")
 def q_landing_scan(spark, sf_dir):
-    """One glob scan of every region file of every (date, hour)."""
+    """One partition-discovered scan of every region file of every (date, hour)."""
     base = ensure_landing(spark, sf_dir)
     return read_landing(spark, base, "orders")
 
@@ -122,9 +122,9 @@ def q_copy_load(spark, sf_dir):
     """Projection + try_cast to the declared types, lineage column kept."""
     base = ensure_landing(spark, sf_dir)
     df = read_landing(spark, base, "orders")
+    # columns arrive upper-cased, as from a foreign writer: the load matches names case-insensitively
     df = df.select(*[F.col(c).alias(c.upper()) for c in LANDING["orders"].fieldNames()],
-                   F.regexp_extract(F.col("_metadata.file_path"), r"(region=[^/]+/date=[^/]+/hour=[^/]+)", 1)
-                   .alias("_source_file"))
+                   F.regexp_extract(F.col("_metadata.file_path"), PARTITION_DIR, 1).alias("_source_file"))
     good, _ = typed_load(df, LANDING["orders"])
     return good
 

@@ -205,6 +205,25 @@ class RawTables:
     marketing_events: DataFrame
 
 
+RAW_ENTITIES = ("orders", "order_items", "customers", "products", "marketing_events")
+
+
+def read_raw_tables(spark: SparkSession, base: str) -> RawTables:
+    """The five raw tables as written by the ingest, ``{base}/{entity}`` Parquet (partitioned or not).
+
+    This is how the model graph runs on real loads instead of the test adapter.
+    """
+    base = base.rstrip("/")
+    return RawTables(**{e: spark.read.parquet(f"{base}/{e}") for e in RAW_ENTITIES})
+
+
+def write_raw_tables(raw: RawTables, base: str) -> None:
+    """Write raw tables to ``{base}/{entity}`` (full overwrite), e.g. to snapshot a test set."""
+    base = base.rstrip("/")
+    for e in RAW_ENTITIES:
+        getattr(raw, e).write.mode("overwrite").parquet(f"{base}/{e}")
+
+
 def raw_tables(spark: SparkSession, sf_dir: str) -> RawTables:
     return RawTables(
         orders=raw_order(spark, sf_dir),
