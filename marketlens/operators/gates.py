@@ -74,3 +74,19 @@ def hour_completeness(batches: DataFrame, expected: Sequence[str] = REGIONS) ->
     return g.select("date", "hour", F.size("_seen").cast("bigint").alias("n_regions"),
                     (F.size("_seen") == len(expected)).alias("is_complete"),
                     F.array_join(F.array_sort(F.array_except(exp, F.col("_seen"))), ",").alias("missing_regions"))
+
+
+def non_empty_load(tables: Mapping[str, DataFrame], load_date: str, loaded_col: str = "_loaded_at") -> DataFrame:
+    """Gate for one load date: rows loaded that day per table, ``passed`` when > 0.
+
+    Each table contributes one row even when nothing was loaded (a global
+    aggregate over an empty input still yields its row), so a missing load
+    shows up as 0 rather than as an absent row.
+    """
+    d = F.lit(load_date).cast("date")
+    parts = [df.filter(F.to_date(loaded_col) == d).agg(F.count(F.lit(1)).alias("n_rows"))
+             .select(F.lit(name).alias("table_name"), d.alias("load_date"), "n_rows") for name, df in tables.items()]
+    u = parts[0]
+    for p in parts[1:]:
+        u = u.unionByName(p)
+    return u.withColumn("passed", F.col("n_rows") > 0)

@@ -234,3 +234,10 @@ def test_expected_volume_local_calendar_option(spark):
     loc = volume.expected_volume(hours, cal, local_calendar=True).collect()[0]
     assert (utc.dow_multiplier, loc.dow_multiplier) == (1.10, 1.20)
     assert utc.expected_orders == pytest.approx(200 * 0.95 * 1.10 * 0.90)
+
+
+def test_non_empty_load_gate_reports_zero_rows(spark):
+    a = spark.createDataFrame([(T(2024, 1, 5, 3),)], "_loaded_at timestamp_ntz")
+    b = spark.createDataFrame([(T(2024, 1, 4, 3),)], "_loaded_at timestamp_ntz")
+    got = {r.table_name: (r.n_rows, r.passed) for r in gates.non_empty_load({"a": a, "b": b}, "2024-01-05").collect()}
+    assert got == {"a": (1, True), "b": (0, False)}

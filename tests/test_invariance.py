@@ -27,3 +27,23 @@ def test_results_do_not_depend_on_shuffle_partitions(spark, smoke_dir):
             assert _rows(getattr(m2, n)) == before[n], n
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
+
+
+def test_single_pass_matches_two_pass_with_null_region_and_time(spark, smoke_dir):
+    import datetime as dt
+
+    from marketlens.sources import adapter
+    from marketlens.sources.landing import seed_regions
+
+    raw = adapter.raw_tables(spark, smoke_dir)
+    extra = spark.createDataFrame(
+        [("x1", "1", None, dt.datetime(2024, 1, 3, 4), "returned", "USD", "P", 10.0, dt.datetime(2024, 1, 3, 5), "f"),
+         ("x2", "2", "us-east", None, "pending", "USD", None, 20.0, dt.datetime(2024, 1, 3, 5), "f"),
+         ("x3", None, "mars", dt.datetime(2024, 1, 3, 4), "pending", "USD", None, 30.0, dt.datetime(2024, 1, 3, 5), "f")],
+        raw.orders.schema)
+    raw.orders = raw.orders.unionByName(extra)
+    m = Models(raw, seed_regions(spark))
+    a = m.rpt_daily_kpis
+    b = m.rpt_daily_kpis_two_pass.select(*a.columns)
+    assert _rows(a) == _rows(b)
+    assert a.filter("region = 'mars'").count() == 1 and a.filter("region IS NULL").count() == 1
