@@ -127,3 +127,17 @@ def materialise(models: Models, base: str, tables=MART_TABLES) -> dict[str, Data
         getattr(m, name).write.mode("overwrite").parquet(path)
         out[name] = spark.read.parquet(path)
     return out
+
+
+def build_and_test(models: Models, base: str) -> tuple[dict[str, DataFrame], DataFrame]:
+    """Materialise the marts and KPI table, then run the declared tests against the written tables.
+
+    The tests read the written tables (and the lazily evaluated staging
+    models), so each mart is computed once for both the build and the tests.
+    """
+    from marketlens.plans.data_tests import run_data_tests
+
+    tables = materialise(models, base)
+    tested = {m: getattr(models, m) for m in ("stg_customers", "stg_orders", "stg_products", "stg_marketing_events")}
+    tested.update(tables)
+    return tables, run_data_tests(tested)

@@ -19,14 +19,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import (ByteType, DecimalType, DoubleType, FloatType, IntegerType, LongType,
                                ShortType)
 
-from marketlens.constants import (CUSTOMER_TIERS, DQ_RATES, EVENT_TYPES, ORDER_STATUSES, REGIONS,
-                                  RECENT_ROWS_WINDOW_HOURS)
+from marketlens.constants import DQ_RATES, RECENT_ROWS_WINDOW_HOURS, REGIONS
 from marketlens.functions.scalars import div_nullif_zero, line_amount, safe_divide, surrogate_key
 from marketlens.operators import checks, detectors, gates, volume
 from marketlens.operators.dedupe import deterministic_sample, latest_by_key
 from marketlens.operators.windows import rolling_avg, with_share_of_group
 from marketlens.plans.intermediate import marketing_daily_agg, orders_daily_agg
 from marketlens.plans.reporting import order_mix_daily
+from marketlens.plans.data_tests import ACCEPTED_TESTS, NOT_NULL_TESTS, UNIQUE_TESTS, models_of, run_data_tests
 from marketlens.plans.warehouse import Models
 from marketlens.schemas import LANDING
 from marketlens.session import apply_defaults, shared_path, unique_path
@@ -292,31 +292,6 @@ def q_sample(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- checks
-def _check_models(m: Models):
-    return {"dim_customers": m.dim_customers, "dim_products": m.dim_products, "fact_orders": m.fact_orders,
-            "fact_order_items": m.fact_order_items, "rpt_daily_kpis": m.rpt_daily_kpis,
-            "stg_customers": m.stg_customers, "stg_orders": m.stg_orders, "stg_products": m.stg_products,
-            "stg_marketing_events": m.stg_marketing_events}
-
-
-NOT_NULL_TESTS = {
-    "dim_customers": ["customer_key", "customer_id"],
-    "dim_products": ["product_key", "product_id"],
-    "fact_orders": ["order_key", "order_id", "customer_id", "customer_key"],
-    "fact_order_items": ["item_key", "order_key", "product_key"],
-    "rpt_daily_kpis": ["report_date", "region"],
-    "stg_customers": ["customer_id"],
-    "stg_orders": ["order_id"],
-    "stg_products": ["product_id"],
-    "stg_marketing_events": ["event_id"],
-}
-UNIQUE_TESTS = [("dim_customers", "customer_key"), ("dim_products", "product_key"), ("fact_orders", "order_key"),
-                ("fact_order_items", "item_key"), ("stg_customers", "customer_id"), ("stg_orders", "order_id"),
-                ("stg_products", "product_id"), ("stg_marketing_events", "event_id")]
-ACCEPTED_TESTS = [("stg_customers", "tier", CUSTOMER_TIERS), ("stg_orders", "status", ORDER_STATUSES),
-                  ("stg_marketing_events", "event_type", EVENT_TYPES)]
-
-
 def _union(dfs):
     return reduce(lambda a, b: a.unionByName(b), dfs)
 
@@ -324,7 +299,7 @@ def _union(dfs):
 @query("check_not_null")
 def q_not_null(spark, sf_dir):
     """H1: the 17 declared not-null tests, one aggregation pass per model."""
-    ms = _check_models(_models(spark, sf_dir))
+    ms = models_of(_models(spark, sf_dir))
     r = _union([checks.not_null_counts(ms[m], cols, m) for m, cols in NOT_NULL_TESTS.items()])
     return r.withColumn("passed", F.col("n_null") == 0)
 
@@ -332,14 +307,14 @@ def q_not_null(spark, sf_dir):
 @query("check_unique")
 def q_unique(spark, sf_dir):
     """H2: values violating the 8 declared unique tests."""
-    ms = _check_models(_models(spark, sf_dir))
+    ms = models_of(_models(spark, sf_dir))
     return _union([checks.unique(ms[m], c, m) for m, c in UNIQUE_TESTS])
 
 
 @query("check_accepted_values")
 def q_accepted(spark, sf_dir):
     """H3: values outside the 3 declared accepted-value lists."""
-    ms = _check_models(_models(spark, sf_dir))
+    ms = models_of(_models(spark, sf_dir))
     return _union([checks.accepted_values(ms[m], c, v, m) for m, c, v in ACCEPTED_TESTS])
 
 
@@ -379,46 +354,8 @@ def q_not_negative(spark, sf_dir):
 
 @query("data_tests")
 def q_data_tests(spark, sf_dir):
-    """H1-H8 as a test run: one row per declared test with its failure count and status.
-
-    Failures count what each test returns: NULL rows (not_null), repeated
-    values (unique), distinct values outside the list (accepted_values) and
-    returned rows (model-level and singular tests). Every count is a global
-    aggregate (partial per task), all in one job.
-    """
-    m = _models(spark, sf_dir)
-    ms = _check_models(m)
-    parts = []
-    for model, cols in NOT_NULL_TESTS.items():
-        nn = checks.not_null_counts(ms[model], cols, model)
-        parts.append(nn.select(F.concat(F.lit("not_null."), F.lit(model), F.lit("."), F.col("column_name"))
-                               .alias("test_id"), F.lit("not_null").alias("kind"), "model", "column_name",
-                               F.col("n_null").alias("failures")))
-
-    def counted(test_id, kind, model, column, df):
-        return df.agg(F.count(F.lit(1)).alias("failures")).select(
-            F.lit(test_id).alias("test_id"), F.lit(kind).alias("kind"), F.lit(model).alias("model"),
-            F.lit(column).cast("string").alias("column_name"), "failures")
-
-    for model, col in UNIQUE_TESTS:
-        parts.append(counted(f"unique.{model}.{col}", "unique", model, col, checks.unique(ms[model], col, model)))
-    for model, col, vals in ACCEPTED_TESTS:
-        parts.append(counted(f"accepted_values.{model}.{col}", "accepted_values", model, col,
-                             checks.accepted_values(ms[model], col, vals, model)))
-    parts.append(counted("revenue_reconciliation.fact_orders", "model", "fact_orders", "total_amount",
-                         checks.total_reconcile(m.fact_orders, "total_amount", m.stg_orders, "total_amount")
-                         .filter(~F.col("passed"))))
-    parts.append(counted("gross_revenue_not_negative.rpt_daily_kpis", "model", "rpt_daily_kpis", "gross_revenue",
-                         checks.not_negative(m.rpt_daily_kpis, "gross_revenue")))
-    parts.append(counted("test_funnel_monotonicity", "singular", "rpt_daily_kpis", None,
-                         checks.funnel_monotonicity(m.rpt_daily_kpis)))
-    parts.append(counted("test_no_orphaned_orders", "singular", "fact_orders", None,
-                         checks.orphans(m.fact_orders.select("order_id"), m.fact_order_items, "order_id")))
-    parts.append(counted("test_revenue_reconciliation", "singular", "fact_orders", None,
-                         checks.reconcile_join_then_sum(m.fact_orders, m.fact_order_items, "order_id",
-                                                        "total_amount", "amount")))
-    r = _union(parts)
-    return r.withColumn("status", F.when(F.col("failures") == 0, "pass").otherwise("fail"))
+    """H1-H8 as a test run: one row per declared test with its failure count and status."""
+    return run_data_tests(_models(spark, sf_dir))
 
 
 def _batches(spark, sf_dir):

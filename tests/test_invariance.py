@@ -47,3 +47,13 @@ def test_single_pass_matches_two_pass_with_null_region_and_time(spark, smoke_dir
     b = m.rpt_daily_kpis_two_pass.select(*a.columns)
     assert _rows(a) == _rows(b)
     assert a.filter("region = 'mars'").count() == 1 and a.filter("region IS NULL").count() == 1
+
+
+def test_build_and_test_on_written_tables_equals_lazy_test_run(spark, smoke_dir):
+    from marketlens.plans.data_tests import run_data_tests
+    from marketlens.plans.warehouse import build_and_test
+    from marketlens.session import local_scratch
+    m = Models.from_test_tables(spark, smoke_dir)
+    _, report = build_and_test(m, local_scratch())
+    assert _rows(report) == _rows(run_data_tests(Models.from_test_tables(spark, smoke_dir)))
+    assert report.count() == 33
