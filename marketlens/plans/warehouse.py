@@ -20,13 +20,22 @@ from marketlens.sources.landing import seed_regions
 
 
 class Models:
-    def __init__(self, raw: RawTables, regions: DataFrame):
+    """The model graph over five raw tables and the region seed.
+
+    ``dedupe_dimensions=False`` joins customers and products exactly as
+    loaded (every load row), reproducing the source SQL's numbers on an
+    append-only history, fan-out included; the default joins their latest
+    load per key.
+    """
+
+    def __init__(self, raw: RawTables, regions: DataFrame, dedupe_dimensions: bool = True):
         self.raw = raw
         self.regions = regions
+        self.dedupe_dimensions = dedupe_dimensions
 
     @classmethod
-    def from_test_tables(cls, spark: SparkSession, sf_dir: str) -> "Models":
-        return cls(raw_tables(spark, sf_dir), seed_regions(spark))
+    def from_test_tables(cls, spark: SparkSession, sf_dir: str, dedupe_dimensions: bool = True) -> "Models":
+        return cls(raw_tables(spark, sf_dir), seed_regions(spark), dedupe_dimensions)
 
     # staging
     @cached_property
@@ -52,10 +61,14 @@ class Models:
     # current rows of the append-only dimensions
     @cached_property
     def customers_current(self) -> DataFrame:
+        if not self.dedupe_dimensions:
+            return self.stg_customers
         return latest_by_key(self.stg_customers, ["customer_id"], ["_loaded_at"])
 
     @cached_property
     def products_current(self) -> DataFrame:
+        if not self.dedupe_dimensions:
+            return self.stg_products
         return latest_by_key(self.stg_products, ["product_id"], ["_loaded_at"])
 
     # intermediate
@@ -119,7 +132,7 @@ def materialise(models: Models, base: str, tables=MART_TABLES) -> dict[str, Data
     shared = f"{base}/_intermediate/int_orders_enriched"
     models.int_orders_enriched.write.mode("overwrite").parquet(shared)
     enriched = spark.read.parquet(shared)
-    m = Models(models.raw, models.regions)
+    m = Models(models.raw, models.regions, models.dedupe_dimensions)
     m.__dict__["int_orders_enriched"] = enriched  # reuse the written table downstream
     out = {}
     for name in tables:

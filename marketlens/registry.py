@@ -235,6 +235,18 @@ for _n in ["stg_orders", "stg_order_items", "stg_customers", "stg_products", "st
     _model(_n)
 
 
+@query("int_orders_enriched_as_loaded")
+def q_int_orders_as_loaded(spark, sf_dir):
+    """G6 exactly as the source SQL on the customer load history (one row per order and customer load)."""
+    return Models.from_test_tables(spark, sf_dir, dedupe_dimensions=False).int_orders_enriched
+
+
+@query("rpt_daily_kpis_as_loaded")
+def q_kpis_as_loaded(spark, sf_dir):
+    """G13 exactly as the source SQL on the load history (order counts include the customer fan-out)."""
+    return Models.from_test_tables(spark, sf_dir, dedupe_dimensions=False).rpt_daily_kpis
+
+
 @query("orders_daily_agg")
 def q_orders_daily(spark, sf_dir):
     """Per region and day counts, sums, average and distinct customers."""

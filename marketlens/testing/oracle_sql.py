@@ -36,6 +36,28 @@ def _dlist(xs) -> str:
     return "[" + ", ".join(repr(float(x)) for x in xs) + "]::DOUBLE[]"
 
 
+def _half_up(num: str, den: str) -> str:
+    """Integer num / den rounded half away from zero (den > 0), exact in HUGEINT."""
+    return f"(sign({num}) * ((abs({num}) * 2 + ({den})) // (2 * ({den}))))"
+
+
+def _dec_avg(col: str, scale: int, over: str = "", steps=(12, 6)) -> str:
+    """avg() of a DECIMAL column as the Spark decimal average computes it.
+
+    The quotient sum / count is rounded half-up at 12 places and then at each
+    later scale in ``steps``; the result is returned as DOUBLE. ``scale`` is
+    the column's own scale, ``over`` an optional window clause.
+    """
+    units = f"sum(CAST({col} * {10 ** scale} AS HUGEINT)){over}"
+    n = f"count({col}){over}"
+    v = _half_up(f"{units} * CAST({10 ** (steps[0] - scale)} AS HUGEINT)", n)
+    prev = steps[0]
+    for st in steps[1:]:
+        v = _half_up(v, str(10 ** (prev - st)))
+        prev = st
+    return f"CASE WHEN {n} = 0 THEN NULL ELSE CAST({v} AS DOUBLE) / {float(10 ** prev)!r} END"
+
+
 def _order_ts(k: str) -> str:
     return (f"make_timestamp(2024, 1, 1 + {k} % 30, ({k} // 30) % 24, ({k} // 720) % 60, 0.0)")
 
@@ -44,6 +66,8 @@ def _ppath(region: str, ts: str) -> str:
     return f"'region=' || {region} || '/date=' || strftime({ts}, '%Y-%m-%d') || '/hour=' || strftime({ts}, '%H')"
 
 
+_W7 = " OVER (PARTITION BY region ORDER BY report_date ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)"
+_W7_DAILY = " OVER (PARTITION BY region ORDER BY order_date ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)"
 _SEED_VALUES = ", ".join(f"('{r}', '{c}', {o})" for r, c, o in SEED_REGIONS)
 
 BASE_CTES = f"""
@@ -186,7 +210,7 @@ int_order_items_enriched AS (
 ),
 orders_agg AS (
   SELECT region, order_date, count(order_id) AS total_orders, sum(total_amount) AS gross_revenue,
-         CAST(avg(total_amount) AS DECIMAL(22, 6)) AS avg_order_value, count_if(status = 'returned') AS returned_orders,
+         {_dec_avg('total_amount', 2)} AS avg_order_value, count_if(status = 'returned') AS returned_orders,
          count(DISTINCT customer_id) AS unique_customers
   FROM int_orders_enriched GROUP BY region, order_date
 ),
@@ -245,10 +269,8 @@ rpt_joined AS (
 ),
 rpt_daily_kpis AS (
   SELECT *,
-         avg(avg_order_value) OVER (PARTITION BY region ORDER BY report_date
-                                    ROWS BETWEEN 6 PRECEDING AND CURRENT ROW) AS avg_order_value_7d_avg,
-         avg(gross_revenue) OVER (PARTITION BY region ORDER BY report_date
-                                  ROWS BETWEEN 6 PRECEDING AND CURRENT ROW) AS gross_revenue_7d_avg
+         {_dec_avg('avg_order_value', 6, _W7, (12, 10, 6))} AS avg_order_value_7d_avg,
+         {_dec_avg('gross_revenue', 2, _W7, (6,))} AS gross_revenue_7d_avg
   FROM rpt_joined
 ),
 line_totals AS (
@@ -260,6 +282,16 @@ batches AS (
 """
 
 
+# the same graph with customers and products joined as loaded (no latest-per-key reduction)
+BASE_CTES_AS_LOADED = (BASE_CTES
+                       .replace("LEFT JOIN customers_current c ON o.customer_id = c.customer_id",
+                                "LEFT JOIN stg_customers c ON o.customer_id = c.customer_id")
+                       .replace("LEFT JOIN products_current p ON oi.product_id = p.product_id",
+                                "LEFT JOIN stg_products p ON oi.product_id = p.product_id"))
+assert BASE_CTES_AS_LOADED.count("LEFT JOIN stg_customers c") == 1
+assert BASE_CTES_AS_LOADED.count("LEFT JOIN stg_products p") == 1
+
+
 def _cols(spec: str) -> str:
     """'a, b:f, c:i' -> conformed select list (f: round(double, 6), i: bigint)."""
     out = []
@@ -274,9 +306,9 @@ def _cols(spec: str) -> str:
     return ", ".join(out)
 
 
-def q(spec: str, body: str, extra_ctes: str = "") -> str:
+def q(spec: str, body: str, extra_ctes: str = "", base: str = BASE_CTES) -> str:
     """WITH <base>[, extra] SELECT <conformed spec> FROM (<body>)."""
-    ctes = BASE_CTES + (("," + extra_ctes) if extra_ctes else "")
+    ctes = base + (("," + extra_ctes) if extra_ctes else "")
     return f"WITH {ctes}\nSELECT {_cols(spec)} FROM ({body}) AS _q"
 
 
@@ -506,6 +538,9 @@ def build() -> dict[str, str]:
               "dim_products", "fact_orders", "fact_order_items", "rpt_daily_kpis"]:
         s[m] = q(SPEC[m], f"SELECT * FROM {m}")
     s["materialised_kpis"] = s["rpt_daily_kpis"]
+    s["int_orders_enriched_as_loaded"] = q(SPEC["int_orders_enriched"], "SELECT * FROM int_orders_enriched",
+                                           base=BASE_CTES_AS_LOADED)
+    s["rpt_daily_kpis_as_loaded"] = q(SPEC["rpt_daily_kpis"], "SELECT * FROM rpt_daily_kpis", base=BASE_CTES_AS_LOADED)
     s["orders_daily_agg"] = q("region, order_date, total_orders:i, gross_revenue:f, avg_order_value:f, "
                               "returned_orders:i, unique_customers:i", "SELECT * FROM orders_agg")
     s["marketing_daily_agg"] = q("region, event_date, impressions:i, clicks:i, purchases:i", "SELECT * FROM marketing_agg")
@@ -519,11 +554,11 @@ def build() -> dict[str, str]:
         SELECT item_id, order_id, amount, amount / nullif(sum(amount) OVER (PARTITION BY order_id), 0)
         AS revenue_contribution FROM stg_order_items""")
     s["rolling_7row_avg"] = q(
-        "region, order_date, avg_order_value:f, gross_revenue:f, avg_order_value_7d_avg:f, gross_revenue_7d_avg:f", """
+        "region, order_date, avg_order_value:f, gross_revenue:f, avg_order_value_7d_avg:f, gross_revenue_7d_avg:f", f"""
         SELECT region, order_date, avg_order_value, gross_revenue,
-               avg(avg_order_value) OVER w AS avg_order_value_7d_avg, avg(gross_revenue) OVER w AS gross_revenue_7d_avg
-        FROM int_regional_daily
-        WINDOW w AS (PARTITION BY region ORDER BY order_date ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)""")
+               {_dec_avg('avg_order_value', 6, _W7_DAILY, (12, 10, 6))} AS avg_order_value_7d_avg,
+               {_dec_avg('gross_revenue', 2, _W7_DAILY, (6,))} AS gross_revenue_7d_avg
+        FROM int_regional_daily""")
     s["deterministic_sample"] = q("_source_file, order_id, customer_id, region, total_amount:f", f"""
         SELECT _source_file, order_id, customer_id, region, total_amount FROM (
           SELECT *, row_number() OVER (PARTITION BY _source_file ORDER BY md5(order_id || '42'), order_id) AS rn,
