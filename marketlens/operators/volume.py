@@ -102,10 +102,17 @@ def expected_volume(hours: DataFrame, calendar: DataFrame, ts: str = "hour_ts",
 
 
 def hourly_actuals(orders: DataFrame, regions=REGIONS) -> DataFrame:
-    """Orders per (region, UTC hour) on the grid of observed hours x all regions (zero-filled)."""
+    """Orders per (region, UTC hour) for every hour of the data's span and every region (zero-filled).
+
+    The grid is the full hourly sequence from the first to the last order
+    hour, so an hour with no orders at all (an outage) is reported with 0.
+    Its size depends on the time span and the region count, not on the
+    number of orders; counts are a grouped aggregate joined onto it.
+    """
     hour_ts = F.date_trunc("hour", "created_at").cast("timestamp_ntz")
     counts = orders.groupBy("region", hour_ts.alias("hour_ts")).agg(F.count(F.lit(1)).alias("actual_orders"))
-    grid = orders.select(hour_ts.alias("hour_ts")).distinct().select(
+    span = orders.agg(F.min(hour_ts).alias("lo"), F.max(hour_ts).alias("hi")).filter(F.col("lo").isNotNull())
+    grid = span.select(F.explode(F.sequence("lo", "hi", F.expr("INTERVAL 1 HOUR"))).alias("hour_ts")).select(
         "hour_ts", F.explode(F.array(*[F.lit(r) for r in regions])).alias("region"))
     return grid.join(counts, ["region", "hour_ts"], "left").select(
         "region", "hour_ts", F.coalesce("actual_orders", F.lit(0)).alias("actual_orders"))

@@ -391,7 +391,8 @@ holiday_cal AS (
 ),
 hour_grid AS (
   SELECT hour_ts, unnest({_REG_LIST}) AS region
-  FROM (SELECT DISTINCT date_trunc('hour', created_at) AS hour_ts FROM stg_orders)
+  FROM (SELECT unnest(generate_series(min(date_trunc('hour', created_at)), max(date_trunc('hour', created_at)),
+                                      INTERVAL 1 HOUR)) AS hour_ts FROM stg_orders)
 ),
 hour_counts AS (
   SELECT region, date_trunc('hour', created_at) AS hour_ts, count(*) AS actual_orders FROM stg_orders GROUP BY 1, 2

@@ -241,3 +241,11 @@ def test_non_empty_load_gate_reports_zero_rows(spark):
     b = spark.createDataFrame([(T(2024, 1, 4, 3),)], "_loaded_at timestamp_ntz")
     got = {r.table_name: (r.n_rows, r.passed) for r in gates.non_empty_load({"a": a, "b": b}, "2024-01-05").collect()}
     assert got == {"a": (1, True), "b": (0, False)}
+
+
+def test_hourly_actuals_reports_an_hour_without_orders(spark):
+    df = spark.createDataFrame([("us-east", T(2024, 1, 1, 5, 10)), ("us-west", T(2024, 1, 1, 7, 30))],
+                               "region string, created_at timestamp_ntz")
+    got = {(r.region, r.hour_ts.hour): r.actual_orders for r in volume.hourly_actuals(df, ["us-east", "us-west"]).collect()}
+    assert len(got) == 6 and got[("us-east", 6)] == 0 and got[("us-west", 6)] == 0
+    assert got[("us-east", 5)] == 1 and got[("us-west", 7)] == 1
