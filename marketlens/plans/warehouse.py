@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from functools import cached_property
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from marketlens.operators.dedupe import latest_by_key
@@ -28,90 +29,126 @@ class Models:
     load per key.
     """
 
-    def __init__(self, raw: RawTables, regions: DataFrame, dedupe_dimensions: bool = True):
+    # models read by several downstream models and checks (the hubs of the graph)
+    SHARED = frozenset({"stg_orders", "stg_customers", "int_orders_enriched", "fact_orders", "fact_order_items",
+                        "rpt_daily_kpis"})
+
+    def __init__(self, raw: RawTables, regions: DataFrame, dedupe_dimensions: bool = True,
+                 reuse: str | None = None, reuse_models=SHARED):
         self.raw = raw
         self.regions = regions
         self.dedupe_dimensions = dedupe_dimensions
+        if reuse not in (None, "persist", "checkpoint"):
+            raise ValueError(f"reuse must be None, 'persist' or 'checkpoint', not {reuse!r}")
+        self.reuse = reuse
+        self.reuse_models = frozenset(reuse_models)
 
     @classmethod
-    def from_test_tables(cls, spark: SparkSession, sf_dir: str, dedupe_dimensions: bool = True) -> "Models":
-        return cls(raw_tables(spark, sf_dir), seed_regions(spark), dedupe_dimensions)
+    def from_test_tables(cls, spark: SparkSession, sf_dir: str, dedupe_dimensions: bool = True,
+                         reuse: str | None = None) -> "Models":
+        return cls(raw_tables(spark, sf_dir), seed_regions(spark), dedupe_dimensions, reuse)
+
+    def _done(self, df: DataFrame, name: str | None = None) -> DataFrame:
+        """How a model is shared by everything downstream of it (later models, checks).
+
+        ``None``: lazily inlined (each consumer plans the whole lineage; right
+        for a single output). ``"persist"``: computed once per job and kept
+        (memory, spilling to disk) for every consumer; recomputed from lineage
+        if an executor is lost. ``"checkpoint"``: computed once into the shared
+        checkpoint folder (``spark.checkpoint.dir``), cutting the lineage.
+        Only models in ``reuse_models`` (by default the hubs read by several
+        consumers) are shared this way; the rest stay inlined.
+        """
+        if name is not None and name not in self.reuse_models:
+            return df
+        if self.reuse == "persist":
+            return df.persist(StorageLevel.MEMORY_AND_DISK)
+        if self.reuse == "checkpoint":
+            return df.checkpoint(eager=True)
+        return df
 
     # staging
     @cached_property
     def stg_orders(self) -> DataFrame:
-        return staging.stg_orders(self.raw.orders)
+        return self._done(staging.stg_orders(self.raw.orders), "stg_orders")
 
     @cached_property
     def stg_order_items(self) -> DataFrame:
-        return staging.stg_order_items(self.raw.order_items)
+        return self._done(staging.stg_order_items(self.raw.order_items), "stg_order_items")
 
     @cached_property
     def stg_customers(self) -> DataFrame:
-        return staging.stg_customers(self.raw.customers)
+        return self._done(staging.stg_customers(self.raw.customers), "stg_customers")
 
     @cached_property
     def stg_products(self) -> DataFrame:
-        return staging.stg_products(self.raw.products)
+        return self._done(staging.stg_products(self.raw.products), "stg_products")
 
     @cached_property
     def stg_marketing_events(self) -> DataFrame:
-        return staging.stg_marketing_events(self.raw.marketing_events)
+        return self._done(staging.stg_marketing_events(self.raw.marketing_events),
+                          "stg_marketing_events")
 
     # current rows of the append-only dimensions
     @cached_property
     def customers_current(self) -> DataFrame:
         if not self.dedupe_dimensions:
             return self.stg_customers
-        return latest_by_key(self.stg_customers, ["customer_id"], ["_loaded_at"])
+        return self._done(latest_by_key(self.stg_customers, ["customer_id"], ["_loaded_at"]),
+                          "customers_current")
 
     @cached_property
     def products_current(self) -> DataFrame:
         if not self.dedupe_dimensions:
             return self.stg_products
-        return latest_by_key(self.stg_products, ["product_id"], ["_loaded_at"])
+        return self._done(latest_by_key(self.stg_products, ["product_id"], ["_loaded_at"]), "products_current")
 
     # intermediate
     @cached_property
     def int_orders_enriched(self) -> DataFrame:
-        return intermediate.int_orders_enriched(self.stg_orders, self.customers_current, self.regions)
+        return self._done(intermediate.int_orders_enriched(self.stg_orders, self.customers_current, self.regions),
+                          "int_orders_enriched")
 
     @cached_property
     def int_order_items_enriched(self) -> DataFrame:
-        return intermediate.int_order_items_enriched(self.stg_order_items, self.products_current)
+        return self._done(intermediate.int_order_items_enriched(self.stg_order_items, self.products_current),
+                          "int_order_items_enriched")
 
     @cached_property
     def int_regional_daily(self) -> DataFrame:
-        return intermediate.int_regional_daily(self.int_orders_enriched, self.stg_marketing_events)
+        return self._done(intermediate.int_regional_daily(self.int_orders_enriched, self.stg_marketing_events),
+                          "int_regional_daily")
 
     # marts
     @cached_property
     def dim_customers(self) -> DataFrame:
-        return marts.dim_customers(self.stg_customers)
+        return self._done(marts.dim_customers(self.stg_customers), "dim_customers")
 
     @cached_property
     def dim_products(self) -> DataFrame:
-        return marts.dim_products(self.stg_products)
+        return self._done(marts.dim_products(self.stg_products), "dim_products")
 
     @cached_property
     def fact_orders(self) -> DataFrame:
-        return marts.fact_orders(self.int_orders_enriched, self.dim_customers)
+        return self._done(marts.fact_orders(self.int_orders_enriched, self.dim_customers), "fact_orders")
 
     @cached_property
     def fact_order_items(self) -> DataFrame:
-        return marts.fact_order_items(self.int_order_items_enriched, self.fact_orders, self.dim_products)
+        return self._done(marts.fact_order_items(self.int_order_items_enriched, self.fact_orders, self.dim_products),
+                          "fact_order_items")
 
     # reporting
     @cached_property
     def rpt_daily_kpis(self) -> DataFrame:
         """Single pass over the orders (same rows as the regional-daily x order-fact join form)."""
-        return reporting.rpt_daily_kpis_single_pass(self.int_orders_enriched, self.stg_marketing_events,
-                                                    self.regions)
+        return self._done(reporting.rpt_daily_kpis_single_pass(self.int_orders_enriched, self.stg_marketing_events,
+                                                               self.regions), "rpt_daily_kpis")
 
     @cached_property
     def rpt_daily_kpis_two_pass(self) -> DataFrame:
         """The source model's shape: regional daily joined with an aggregate of the order fact."""
-        return reporting.rpt_daily_kpis(self.int_regional_daily, self.fact_orders)
+        return self._done(reporting.rpt_daily_kpis(self.int_regional_daily, self.fact_orders),
+                          "rpt_daily_kpis_two_pass")
 
 
 MART_TABLES = ("dim_customers", "dim_products", "fact_orders", "fact_order_items", "rpt_daily_kpis")
@@ -132,7 +169,7 @@ def materialise(models: Models, base: str, tables=MART_TABLES) -> dict[str, Data
     shared = f"{base}/_intermediate/int_orders_enriched"
     models.int_orders_enriched.write.mode("overwrite").parquet(shared)
     enriched = spark.read.parquet(shared)
-    m = Models(models.raw, models.regions, models.dedupe_dimensions)
+    m = Models(models.raw, models.regions, models.dedupe_dimensions, models.reuse, models.reuse_models)
     m.__dict__["int_orders_enriched"] = enriched  # reuse the written table downstream
     out = {}
     for name in tables:

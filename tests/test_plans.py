@@ -84,3 +84,10 @@ def test_null_keys_spread_and_never_match(spark):
     rows = out.collect()
     assert len(rows) == 3000
     assert all((r.k is None) == (r.v is None) for r in rows)
+
+
+def test_test_run_reads_each_raw_input_at_most_once(spark, smoke_dir):
+    from marketlens.registry import QUERIES
+    p = plan(QUERIES["data_tests"](spark, smoke_dir), "simple")
+    assert p.count("FileScan parquet [o_orderkey") <= 1
+    assert p.count("FileScan parquet [l_orderkey") <= 1
