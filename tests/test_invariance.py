@@ -57,3 +57,12 @@ def test_build_and_test_on_written_tables_equals_lazy_test_run(spark, smoke_dir)
     _, report = build_and_test(m, local_scratch())
     assert _rows(report) == _rows(run_data_tests(Models.from_test_tables(spark, smoke_dir)))
     assert report.count() == 33
+
+
+def test_kpi_load_time_column_is_optional(spark, smoke_dir):
+    from marketlens.plans import reporting
+    m = Models.from_test_tables(spark, smoke_dir)
+    with_ts = reporting.rpt_daily_kpis_single_pass(m.int_orders_enriched, m.stg_marketing_events, m.regions,
+                                                   with_updated_at=True)
+    assert with_ts.columns[-1] == "_dbt_updated_at" and "_dbt_updated_at" not in m.rpt_daily_kpis.columns
+    assert with_ts.filter("_dbt_updated_at IS NULL").count() == 0
