@@ -40,8 +40,6 @@ CLUSTER_CONF = {
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
     "spark.sql.parquet.compression.codec": "zstd",
     "spark.sql.sources.parallelPartitionDiscovery.threshold": "64",
-    "spark.sql.streaming.stateStore.providerClass":
-        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
 

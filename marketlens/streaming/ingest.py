@@ -20,8 +20,13 @@ from marketlens.sources.landing import PARTITION_DIR, cluster_for_write, entity_
 
 
 def stream_landing(spark: SparkSession, base: str, entity: str, sink: str, checkpoint: str,
-                   available_now: bool = True, max_files_per_trigger: int | None = None) -> StreamingQuery:
-    """Start the ingest of ``{base}/{entity}`` into a region/date/hour partitioned parquet table."""
+                   available_now: bool = True, max_files_per_trigger: int | None = 5000) -> StreamingQuery:
+    """Start the ingest of ``{base}/{entity}`` into a date-partitioned parquet table.
+
+    ``max_files_per_trigger`` bounds each micro-batch (about a month of hourly
+    region files by default), so a large backlog is processed as several
+    committed batches instead of one; ``availableNow`` honours the bound.
+    """
     reader = spark.readStream.schema(landing_with_partitions(entity))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)

@@ -118,3 +118,14 @@ def test_seed_csv_matches_fixed_rows(spark):
         f.write("region,continent,timezone_offset\n" + "\n".join(f"{r},{c},{o}" for r, c, o in SEED_REGIONS) + "\n")
     got = [tuple(r) for r in read_seed_csv(spark, f"{d}/regions.csv").collect()]
     assert sorted(got) == sorted(SEED_REGIONS)
+
+
+def test_streaming_backlog_in_several_bounded_batches(spark):
+    from marketlens.streaming.ingest import stream_landing
+    base, run = local_scratch(), local_scratch()
+    write_hour(with_partition_columns(_orders(spark, REGIONS)), f"{base}/orders")
+    write_hour(with_partition_columns(_orders(spark, REGIONS, hour=T(2024, 1, 1, 6))), f"{base}/orders")
+    q = stream_landing(spark, base, "orders", f"{run}/t", f"{run}/ck", max_files_per_trigger=4)
+    q.awaitTermination()
+    assert q.lastProgress is not None and int(q.lastProgress["batchId"]) >= 2  # 12 files, 4 per batch
+    assert spark.read.schema(ingested_schema("orders")).parquet(f"{run}/t").count() == 36
