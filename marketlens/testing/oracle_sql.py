@@ -483,6 +483,11 @@ def build() -> dict[str, str]:
     s["copy_load_projection"] = q(
         "order_id, customer_id, region, created_at, status, currency, promo_code, total_amount:f, _source_file",
         f"SELECT *, 'region=' || region || '/date=' || date || '/hour=' || hour AS _source_file FROM ({landing_sel})")
+    s["copy_load_entities"] = q("entity, outcome, n_rows:i", _union_all(
+        [f"SELECT '{e}' AS entity, 'loaded' AS outcome, count(*) AS n_rows FROM {t} UNION ALL "
+         f"SELECT '{e}', 'rejected', 0" for e, t in [("orders", "raw_order"), ("order_items", "raw_order_item"),
+                                                    ("customers", "raw_customer"), ("products", "raw_product"),
+                                                    ("marketing_events", "raw_marketing_event")]]))
     s["load_rejects"] = q(SPEC["landing"], f"SELECT * FROM ({landing_sel}) WHERE false")
     s["load_audit"] = q("dag_run_id, load_date, region, entity, s3_expected_rows:i, sf_actual_rows:i",
                         "SELECT 'run-2024-01-31' AS dag_run_id, CAST(created_at AS DATE) AS load_date, region, "
