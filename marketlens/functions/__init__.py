@@ -2,6 +2,7 @@
 
 from marketlens.functions.scalars import (  # noqa: F401
     div_nullif_zero,
+    hour_floor,
     line_amount,
     lookup,
     safe_divide,

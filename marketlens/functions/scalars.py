@@ -54,6 +54,16 @@ def to_local(ts, offset_hours) -> Column:
     return _c(ts) + F.make_dt_interval(F.lit(0), _c(offset_hours).cast("int"))
 
 
+def hour_floor(ts) -> Column:
+    """Start of the hour of a naive (timestamp_ntz) value, without any time-zone conversion.
+
+    ``date_trunc`` goes through the session time zone, so on a non-UTC
+    session a wall-clock hour that does not exist locally (DST) would move.
+    """
+    t = _c(ts)
+    return F.make_timestamp_ntz(F.year(t), F.month(t), F.dayofmonth(t), F.hour(t), F.lit(0), F.lit(0))
+
+
 def line_amount(quantity, unit_price) -> Column:
     """round(quantity * unit_price, 2) in exact decimal arithmetic."""
     return F.round(_c(quantity).cast("decimal(18,0)") * _c(unit_price).cast("decimal(18,2)"), 2).cast("decimal(18,2)")

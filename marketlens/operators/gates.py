@@ -25,7 +25,8 @@ def freshness(sources: Mapping[str, DataFrame], now: str, loaded_col: str = "_lo
     u = parts[0]
     for p in parts[1:]:
         u = u.unionByName(p)
-    age = (F.unix_micros(_ts(now).cast("timestamp")) - F.unix_micros(F.col("max_loaded_at").cast("timestamp"))) / 3.6e9
+    # wall-clock difference of naive timestamps, independent of the session time zone
+    age = F.expr(f"timestampdiff(MICROSECOND, max_loaded_at, TIMESTAMP_NTZ '{now}')") / 3.6e9
     return u.select(
         "source", "max_loaded_at", age.alias("age_hours"),
         F.when(F.col("max_loaded_at").isNull(), "error")

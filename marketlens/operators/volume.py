@@ -10,7 +10,7 @@ from marketlens.constants import (BASE_ORDERS_PER_REGION_PER_HOUR, DOW_MULTIPLIE
                                   GOLDEN_WEEK_STEP, HOLIDAY_GROUP, HOLIDAY_MULTIPLIERS, INTRADAY_MULTIPLIERS,
                                   MONTHLY_MULTIPLIERS, REGION_UTC_OFFSETS, REGIONS, VOLUME_NOISE_PCT)
 from marketlens.functions.calendar import last_weekday, nth_weekday
-from marketlens.functions.scalars import lookup, to_local
+from marketlens.functions.scalars import hour_floor, lookup, to_local
 
 
 def with_local_time(df: DataFrame, ts: str = "created_at", region: str = "region") -> DataFrame:
@@ -109,7 +109,7 @@ def hourly_actuals(orders: DataFrame, regions=REGIONS) -> DataFrame:
     Its size depends on the time span and the region count, not on the
     number of orders; counts are a grouped aggregate joined onto it.
     """
-    hour_ts = F.date_trunc("hour", "created_at").cast("timestamp_ntz")
+    hour_ts = hour_floor("created_at")
     counts = orders.groupBy("region", hour_ts.alias("hour_ts")).agg(F.count(F.lit(1)).alias("actual_orders"))
     span = orders.agg(F.min(hour_ts).alias("lo"), F.max(hour_ts).alias("hi")).filter(F.col("lo").isNotNull())
     grid = span.select(F.explode(F.sequence("lo", "hi", F.expr("INTERVAL 1 HOUR"))).alias("hour_ts")).select(

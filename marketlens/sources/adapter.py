@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketlens.constants import REGION_CURRENCY, REGIONS
-from marketlens.functions.scalars import lookup
+from marketlens.functions.scalars import hour_floor, lookup
 
 ADAPTER_VERSION = "2"
 FIRST_LOAD = "2024-01-01 00:00:00"
@@ -49,7 +49,7 @@ def _ntz(s: str) -> Column:
 
 
 def _hour_after(ts: Column) -> Column:
-    return F.date_trunc("hour", ts).cast("timestamp_ntz") + F.expr("INTERVAL 1 HOUR")
+    return hour_floor(ts) + F.expr("INTERVAL 1 HOUR")
 
 
 def _partition_path(region: Column, ts: Column) -> Column:

@@ -249,3 +249,14 @@ def test_hourly_actuals_reports_an_hour_without_orders(spark):
     got = {(r.region, r.hour_ts.hour): r.actual_orders for r in volume.hourly_actuals(df, ["us-east", "us-west"]).collect()}
     assert len(got) == 6 and got[("us-east", 6)] == 0 and got[("us-west", 6)] == 0
     assert got[("us-east", 5)] == 1 and got[("us-west", 7)] == 1
+
+
+def test_hour_floor_ignores_session_time_zone(spark):
+    from marketlens.functions.scalars import hour_floor
+    df = spark.createDataFrame([(T(2024, 3, 10, 2, 30),)], "ts timestamp_ntz")  # not a New York wall time
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        assert df.select(hour_floor("ts").alias("h")).collect()[0].h == T(2024, 3, 10, 2, 0)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
