@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from marketlens.operators.joins import attach_by_key
+
 
 def latest_by_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str] = ("_loaded_at",),
                   tie_break: Sequence[str] | None = None) -> DataFrame:
@@ -59,8 +61,9 @@ def deterministic_sample(df: DataFrame, key: str, rate: float, seed: int,
         *g,
         F.greatest(F.lit(1), F.bround(F.col("_n") * F.lit(rate), 0).cast("bigint")).alias("_k"),
         F.greatest(F.lit(1), F.ceil(F.col("_n") / F.lit(rows_per_piece))).cast("bigint").alias("_np"))
-    cond = [x[c].eqNullSafe(sizes[c]) for c in g]
-    x = x.join(sizes, cond).select(x["*"], sizes["_k"], sizes["_np"])
+    # sizes back to the rows: a hot group is salted over several tasks
+    counts = x.groupBy(*g).agg(F.count(F.lit(1)).alias("n"))
+    x = attach_by_key(x, sizes, g, ["_k", "_np"], counts=counts, how="inner", null_safe=True)
     # hash prefix (48 bits) scaled to [0, _np): monotone in the hash order
     u = F.conv(F.substring("_h", 1, 12), 16, 10).cast("double") / float(2 ** 48)
     x = x.withColumn("_piece", F.floor(u * F.col("_np")).cast("bigint"))

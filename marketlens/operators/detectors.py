@@ -22,11 +22,14 @@ def duplicate_orders(orders: DataFrame, key: str = "order_id") -> DataFrame:
     """Every row of a key that occurs more than once, with its copy count.
 
     Counting is a grouped aggregate (combined map-side); the duplicated keys
-    are then joined back to report all copies, which may differ.
+    are then joined back to report all copies, which may differ (a key with
+    very many copies is salted over several tasks).
     """
+    from marketlens.operators.joins import attach_by_key
     dup = (orders.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n_copies"))
            .filter(F.col("n_copies") > 1))
-    return orders.join(dup, key)
+    return attach_by_key(orders, dup, [key], ["n_copies"], counts=dup.select(key, F.col("n_copies").alias("n")),
+                         how="inner")
 
 
 def null_customer(orders: DataFrame) -> DataFrame:

@@ -16,6 +16,8 @@ def left_lookup(left: DataFrame, right: DataFrame, key: str, columns: Sequence[s
     hash all of them to one partition; a missing customer id is exactly such a
     hot value. They get a per-row, never-matching join key (a NUL-prefixed row
     hash), so they spread across partitions and keep NULL lookup columns.
+    A non-null key with very many rows is salted (:func:`attach_by_key`); the
+    key frequencies come from a count over the key column alone.
     """
     rk = right_key or key
     jk = "_jk"
@@ -24,4 +26,54 @@ def left_lookup(left: DataFrame, right: DataFrame, key: str, columns: Sequence[s
                     ).otherwise(F.col(key).cast("string"))
     l = left.withColumn(jk, spread)
     r = right.select(F.col(rk).cast("string").alias(jk), *columns)
-    return l.join(r, jk, "left").drop(jk)
+    counts = (left.filter(F.col(key).isNotNull()).groupBy(F.col(key).cast("string").alias(jk))
+              .agg(F.count(F.lit(1)).alias("n")))
+    return attach_by_key(l, r, [jk], list(columns), counts=counts).drop(jk)
+
+
+# Keys with more rows than this are spread over several tasks. The number of such keys is at
+# most (rows / HOT_KEY_ROWS), which is what makes the hot-key list safe to broadcast.
+HOT_KEY_ROWS = 4_000_000
+
+
+def attach_by_key(df: DataFrame, stats: DataFrame, keys: Sequence[str], columns: Sequence[str],
+                  counts: DataFrame | None = None, how: str = "left", null_safe: bool = False,
+                  hot_rows: int = HOT_KEY_ROWS) -> DataFrame:
+    """Attach per-key ``columns`` of ``stats`` (one row per key) to every row of ``df``.
+
+    A plain shuffle join sends all rows of a key to one task, and when the
+    per-key side is an aggregate already partitioned by the key there is no
+    shuffle on that side for adaptive skew handling to split. Here keys with
+    more than ``hot_rows`` rows in ``df`` (from ``counts``: keys + ``n``, or a
+    count over ``df``'s key columns) are salted: their ``df`` rows get a salt in
+    [0, ceil(n / hot_rows)) from a row hash and their ``stats`` row is
+    replicated once per salt, so each (key, salt) holds at most about
+    ``hot_rows`` rows. Hot keys number at most rows / ``hot_rows``, so their
+    list is broadcast; everything else is one shuffle join on (key, salt).
+    """
+    keys = list(keys)
+    if counts is None:
+        counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    hot = (counts.filter(F.col("n") > hot_rows)
+           .select(*[F.col(k).alias(f"_hk{i}") for i, k in enumerate(keys)],
+                   F.ceil(F.col("n") / F.lit(hot_rows)).cast("int").alias("_fan")))
+
+    def on(a, b_names):
+        conds = [(a[k].eqNullSafe(F.col(b)) if null_safe else (a[k] == F.col(b))) for k, b in zip(keys, b_names)]
+        c = conds[0]
+        for x in conds[1:]:
+            c = c & x
+        return c
+
+    hk = [f"_hk{i}" for i in range(len(keys))]
+    d = df.join(F.broadcast(hot), on(df, hk), "left").drop(*hk)
+    d = d.withColumn("_salt", F.when(F.col("_fan").isNull(), F.lit(0)).otherwise(
+        F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.col("_fan")).cast("int"))).drop("_fan")
+    s = stats.select(*keys, *columns)
+    s = s.join(F.broadcast(hot), on(s, hk), "left").drop(*hk)
+    s = s.withColumn("_salt", F.explode(F.when(F.col("_fan").isNull(), F.array(F.lit(0))).otherwise(
+        F.sequence(F.lit(0), F.col("_fan") - 1)))).drop("_fan")
+    s = s.select(*[F.col(k).alias(f"_sk{i}") for i, k in enumerate(keys)], F.col("_salt").alias("_ssalt"), *columns)
+    sk = [f"_sk{i}" for i in range(len(keys))]
+    cond = on(d, sk) & (F.col("_salt") == F.col("_ssalt"))
+    return d.join(s, cond, how).drop(*sk, "_salt", "_ssalt")
