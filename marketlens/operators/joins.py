@@ -45,8 +45,8 @@ def attach_by_key(df: DataFrame, stats: DataFrame, keys: Sequence[str], columns:
     per-key side is an aggregate already partitioned by the key there is no
     shuffle on that side for adaptive skew handling to split. Here keys with
     more than ``hot_rows`` rows in ``df`` (from ``counts``: keys + ``n``, or a
-    count over ``df``'s key columns) are salted: their ``df`` rows get a salt in
-    [0, ceil(n / hot_rows)) from a row hash and their ``stats`` row is
+    count over ``df``'s key columns) are salted: their ``df`` rows get a random
+    salt in [0, ceil(n / hot_rows)) and their ``stats`` row is
     replicated once per salt, so each (key, salt) holds at most about
     ``hot_rows`` rows. Hot keys number at most rows / ``hot_rows``, so their
     list is broadcast; everything else is one shuffle join on (key, salt).
@@ -67,8 +67,10 @@ def attach_by_key(df: DataFrame, stats: DataFrame, keys: Sequence[str], columns:
 
     hk = [f"_hk{i}" for i in range(len(keys))]
     d = df.join(F.broadcast(hot), on(df, hk), "left").drop(*hk)
+    # Any salt gives the same result (every salt replica carries the same per-key values), so
+    # hot rows take a random one: a hash of the row would send identical copies to one salt.
     d = d.withColumn("_salt", F.when(F.col("_fan").isNull(), F.lit(0)).otherwise(
-        F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.col("_fan")).cast("int"))).drop("_fan")
+        F.floor(F.rand(17) * F.col("_fan")).cast("int"))).drop("_fan")
     s = stats.select(*keys, *columns)
     s = s.join(F.broadcast(hot), on(s, hk), "left").drop(*hk)
     s = s.withColumn("_salt", F.explode(F.when(F.col("_fan").isNull(), F.array(F.lit(0))).otherwise(

@@ -54,6 +54,17 @@ def test_hot_key_is_spread_over_several_tasks(spark):
     assert out.filter("mx IS NULL").count() == 0 and out.count() == 30000
 
 
+def test_hot_key_of_identical_copies_is_spread(spark):
+    from marketlens.operators.joins import attach_by_key
+    df = spark.range(30000).select(F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(
+        (F.col("id") % 1000).cast("string")).alias("k"))  # the hot key's rows are identical copies
+    stats = df.groupBy("k").agg(F.count(F.lit(1)).alias("n"))
+    out = attach_by_key(df, stats, ["k"], ["n"], counts=stats, hot_rows=1000)
+    per_task = out.filter("k = 'hot'").groupBy(F.spark_partition_id().alias("p")).count().collect()
+    assert sum(r["count"] for r in per_task) == 10000 and max(r["count"] for r in per_task) <= 5000
+    assert out.filter("k = 'hot' AND n = 10000").count() == 10000
+
+
 def test_latest_by_key_is_an_aggregate_not_a_window(spark, smoke_dir):
     p = plan(latest_by_key(Models.from_test_tables(spark, smoke_dir).stg_customers, ["customer_id"]), "simple")
     assert "Window" not in p and "partial_max" in p
