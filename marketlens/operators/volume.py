@@ -48,7 +48,8 @@ def holiday_entries(year: Column) -> Column:
             m, d = GOLDEN_WEEK_START
             start = F.make_date(year, F.lit(m), F.lit(d))
             for i in range(GOLDEN_WEEK_DAYS):
-                entries.append(F.struct(F.lit(region).alias("region"), F.lit(f"golden_week_{i + 1}").alias("holiday_name"),
+                entries.append(F.struct(F.lit(region).alias("region"),
+                                        F.lit(f"golden_week_{i + 1}").alias("holiday_name"),
                                         F.date_add(start, i).alias("holiday_date"),
                                         F.lit(GOLDEN_WEEK_FIRST + GOLDEN_WEEK_STEP * i).alias("multiplier")))
     return F.array(*entries)

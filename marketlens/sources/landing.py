@@ -167,7 +167,8 @@ def load_audit(landed: DataFrame, loaded: DataFrame, run_id: str, entity: str) -
 
 
 __all__ = ["LANDING", "LOAD_AUDIT", "read_landing", "with_audit", "typed_load", "seed_regions", "write_hour",
-           "load_audit", "read_foreign_hour", "path_complete", "mark_complete", "with_partition_columns", "read_seed_csv"]
+           "load_audit", "read_foreign_hour", "path_complete", "mark_complete", "with_partition_columns",
+           "read_seed_csv", "cluster_for_write"]
 
 
 def read_foreign_hour(spark: SparkSession, base: str, entity: str, date: str, hour: str,
