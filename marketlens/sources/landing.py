@@ -71,8 +71,9 @@ def with_audit(df: DataFrame, loaded_at) -> DataFrame:
 def typed_load(df: DataFrame, schema: StructType) -> tuple[DataFrame, DataFrame]:
     """Project + try_cast to ``schema`` (case-insensitive names); split off rejects.
 
-    A row is rejected when some non-null input does not convert. Both outputs
-    come from one scan when the caller persists/writes them in the same job.
+    A row is rejected when some non-null input does not convert. The two
+    outputs are separate lazy plans over ``df``; a caller that writes both
+    should persist ``df`` (or write the flagged frame once) to scan it once.
     """
     lower = {c.lower(): c for c in df.columns}
     casts, bad = [], []
