@@ -36,44 +36,69 @@ def deterministic_sample(df: DataFrame, key: str, rate: float, seed: int,
                          group_by: Sequence[str] = (), rows_per_piece: int = 1_000_000) -> DataFrame:
     """Fixed-size seeded sample: k = max(1, round_half_even(n * rate)) rows per group, 0 if empty.
 
-    Rows are ranked by md5(key || seed) (then key), which does not depend on
-    partitioning or task retries, unlike ``sample()``. The rank is exact but
-    never needs a whole group in one task:
+    Rows are ordered by (md5(key || seed), key, row hash), which does not
+    depend on partitioning or task retries, unlike ``sample()``; the first k
+    rows of each group are kept. The rank is exact without a whole group or a
+    whole key in one task:
 
-    1. group sizes n (and k) come from a grouped count, combined map-side;
-    2. each group is cut into ceil(n / rows_per_piece) hash ranges ("pieces");
-       the range index is monotone in the hash, so pieces are ordered;
-    3. rows are ranked inside their piece (a window over at most about
-       ``rows_per_piece`` rows), and each piece's offset is the running count
-       of the earlier pieces of its group (a window over piece counts);
-    4. global rank = offset + local rank; keep rank <= k.
+    1. per (group, key): row count c (grouped, combined map-side); per group:
+       n, k and the number of distinct keys;
+    2. keys are ranked by (hash, key) inside hash ranges of at most about
+       ``rows_per_piece`` keys, offset by the rows of the earlier ranges, which
+       gives each key's start rank; keys starting at or after k are dropped;
+    3. the start rank is attached to the key's rows (salted for a hot key);
+    4. rows are ranked inside their key by the row hash, in ranges of at most
+       about ``rows_per_piece`` rows; keep start + rank <= k.
 
-    A group holding a third of all rows is therefore spread over many tasks.
+    Only identical copies of one row (equal row hash) stay in one range.
     """
     out_cols = df.columns
     g = list(group_by)
     if not g:  # one group: a constant key keeps the same plan shape (no cross join)
         df, g = df.withColumn("_all", F.lit(0)), ["_all"]
-    h = F.md5(F.concat(F.col(key).cast("string"), F.lit(str(seed))))
-    x = df.withColumn("_h", h)
-    sizes = x.groupBy(*g).agg(F.count(F.lit(1)).alias("_n"))
-    sizes = sizes.select(
-        *g,
-        F.greatest(F.lit(1), F.bround(F.col("_n") * F.lit(rate), 0).cast("bigint")).alias("_k"),
-        F.greatest(F.lit(1), F.ceil(F.col("_n") / F.lit(rows_per_piece))).cast("bigint").alias("_np"))
-    # sizes back to the rows: a hot group is salted over several tasks
-    counts = x.groupBy(*g).agg(F.count(F.lit(1)).alias("n"))
-    x = attach_by_key(x, sizes, g, ["_k", "_np"], counts=counts, how="inner", null_safe=True)
-    # hash prefix (48 bits) scaled to [0, _np): monotone in the hash order
+    x = df.select("*", F.md5(F.concat(F.col(key).cast("string"), F.lit(str(seed)))).alias("_h"),
+                  F.xxhash64(*[F.col(c) for c in out_cols]).alias("_t"))
+
+    def ns_cols(left_cols, right_cols):
+        c = None
+        for a, b in zip(left_cols, right_cols):
+            e = F.col(a).eqNullSafe(F.col(b))
+            c = e if c is None else c & e
+        return c
+
+    # 1. key level
+    kc = x.groupBy(*g, key, "_h").agg(F.count(F.lit(1)).alias("_c"))
+    gs = kc.groupBy(*g).agg(F.sum("_c").alias("_n"), F.count(F.lit(1)).alias("_nk"))
+    gs = gs.select(*g, F.greatest(F.lit(1), F.bround(F.col("_n") * F.lit(rate), 0).cast("bigint")).alias("_k"),
+                   F.greatest(F.lit(1), F.ceil(F.col("_nk") / F.lit(rows_per_piece))).cast("bigint").alias("_np"))
+    kc = attach_by_key(kc, gs, g, ["_k", "_np"], how="inner", null_safe=True)
+    # 2. rank keys inside hash ranges (48-bit prefix, monotone in the hash)
     u = F.conv(F.substring("_h", 1, 12), 16, 10).cast("double") / float(2 ** 48)
-    x = x.withColumn("_piece", F.floor(u * F.col("_np")).cast("bigint"))
-    tie = F.xxhash64(*[F.col(c) for c in out_cols])
-    local = Window.partitionBy(*g, "_piece").orderBy("_h", key, tie)
-    x = x.withColumn("_local", F.row_number().over(local))
-    pieces = x.groupBy(*g, "_piece").agg(F.count(F.lit(1)).alias("_c"))
+    kc = kc.withColumn("_piece", F.floor(u * F.col("_np")).cast("bigint"))
+    w = Window.partitionBy(*g, "_piece").orderBy("_h", key).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    kc = kc.withColumn("_cum", F.sum("_c").over(w))
+    pieces = kc.groupBy(*g, "_piece").agg(F.sum("_c").alias("_pc"))
     before = Window.partitionBy(*g).orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
-    pieces = pieces.select(*g, "_piece", F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_before"))
-    pcond = [x[c].eqNullSafe(pieces[c]) for c in g] + [x["_piece"] == pieces["_piece"]]
-    ranked = x.join(pieces, pcond).select(x["*"], pieces["_before"])
-    return (ranked.filter(F.col("_before") + F.col("_local") <= F.col("_k"))
+    pieces = pieces.select(*[F.col(c).alias(f"_pg{i}") for i, c in enumerate(g)], F.col("_piece").alias("_pp"),
+                           F.coalesce(F.sum("_pc").over(before), F.lit(0)).alias("_pb"))
+    pcond = ns_cols(g, [f"_pg{i}" for i in range(len(g))]) & (F.col("_piece") == F.col("_pp"))
+    kc = kc.join(pieces, pcond).select(*g, key, "_c", "_k", (F.col("_pb") + F.col("_cum") - F.col("_c")).alias("_start"))
+    kc = kc.filter(F.col("_start") < F.col("_k"))
+    # 3. key start back to its rows (a hot key is salted over several tasks)
+    kk = [*g, key]
+    rows = attach_by_key(x, kc, kk, ["_c", "_k", "_start"], counts=kc.select(*kk, F.col("_c").alias("n")),
+                         how="inner", null_safe=True)
+    # 4. rank inside the key by row hash, in ranges of the unsigned hash (monotone)
+    ut = (F.col("_t").cast("double") + float(2 ** 63)) / float(2 ** 64)
+    nsub = F.greatest(F.lit(1), F.ceil(F.col("_c") / F.lit(rows_per_piece))).cast("bigint")
+    rows = rows.withColumn("_sub", F.least(F.floor(ut * nsub), nsub - 1).cast("bigint"))
+    lw = Window.partitionBy(*kk, "_sub").orderBy("_t")
+    rows = rows.withColumn("_local", F.row_number().over(lw))
+    subs = rows.groupBy(*kk, "_sub").agg(F.count(F.lit(1)).alias("_sc"))
+    sb = Window.partitionBy(*kk).orderBy("_sub").rowsBetween(Window.unboundedPreceding, -1)
+    subs = subs.select(*[F.col(c).alias(f"_sk{i}") for i, c in enumerate(kk)], F.col("_sub").alias("_ss"),
+                       F.coalesce(F.sum("_sc").over(sb), F.lit(0)).alias("_sbefore"))
+    scond = ns_cols(kk, [f"_sk{i}" for i in range(len(kk))]) & (F.col("_sub") == F.col("_ss"))
+    ranked = rows.join(subs, scond)
+    return (ranked.filter(F.col("_start") + F.col("_sbefore") + F.col("_local") <= F.col("_k"))
             .select(*out_cols))

@@ -260,3 +260,16 @@ def test_hour_floor_ignores_session_time_zone(spark):
         assert df.select(hour_floor("ts").alias("h")).collect()[0].h == T(2024, 3, 10, 2, 0)
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_deterministic_sample_boundary_inside_a_hot_key(spark):
+    """A key with many distinct rows straddling the cut: exact against a brute-force sort."""
+    rows = [("g", "hot", i) for i in range(60)] + [("g", f"k{i}", i) for i in range(40)]
+    df = spark.createDataFrame(rows, "grp string, order_id string, v int")
+    for rate in (0.1, 0.37, 0.5, 0.9):
+        got = sorted(tuple(r) for r in deterministic_sample(df, "order_id", rate, 42, ["grp"],
+                                                            rows_per_piece=7).collect())
+        ordered = (df.select("*", F.md5(F.concat("order_id", F.lit("42"))).alias("h"),
+                             F.xxhash64("grp", "order_id", "v").alias("t")).orderBy("h", "order_id", "t").collect())
+        k = max(1, round(100 * rate))
+        assert got == sorted((r.grp, r.order_id, r.v) for r in ordered[:k]), rate
