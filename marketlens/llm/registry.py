@@ -1,8 +1,9 @@
 """The registered queries of this subpackage and the DuckDB SQL of those that SQL can express."""
 
-from . import sharding
+from . import mixing, sharding
 
 QUERIES = {
     "op4_sharding": sharding.query,
+    "op9_mixing": mixing.query,
 }
 ORACLE_SQL: dict[str, str] = {}
