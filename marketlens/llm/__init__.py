@@ -1 +1,8 @@
 """Operators for preparing training data; nothing else in the library imports this subpackage."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# Functions sent to Python workers carry their code, so executors need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

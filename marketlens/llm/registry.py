@@ -1,9 +1,12 @@
 """The registered queries of this subpackage and the DuckDB SQL of those that SQL can express."""
 
-from . import mixing, sharding
+from . import decontamination, mixing, sharding
 
 QUERIES = {
     "op4_sharding": sharding.query,
+    "op7_decontamination": decontamination.query,
     "op9_mixing": mixing.query,
 }
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op7_decontamination": decontamination.SQL,
+}
