@@ -1,12 +1,15 @@
 """The registered queries of this subpackage and the DuckDB SQL of those that SQL can express."""
 
-from . import decontamination, mixing, sharding
+from . import decontamination, embeddings, mixing, sharding, simhash
 
 QUERIES = {
+    "op1_simhash": simhash.query,
     "op4_sharding": sharding.query,
     "op7_decontamination": decontamination.query,
     "op9_mixing": mixing.query,
+    "op10_embeddings": embeddings.query,
 }
 ORACLE_SQL: dict[str, str] = {
     "op7_decontamination": decontamination.SQL,
+    "op10_embeddings": embeddings.SQL,
 }
