@@ -133,3 +133,16 @@ def components(links: DataFrame) -> DataFrame:
         seen = now
     roots = edges.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
     return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(roots)
+
+
+def slices(batches: Iterator, rows: int = 512) -> Iterator:
+    """Arrow batches in slices of a few rows, so that a task holds few texts as Python objects at a time."""
+    for b in batches:
+        for at in range(0, b.num_rows, rows):
+            yield b.slice(at, rows)
+
+
+def worker_state() -> dict:
+    """What a Python worker keeps from one task to the next, as long as Spark uses it again (memories, opened models)."""
+    import sys
+    return sys.__dict__.setdefault("_llm_worker_state", {})

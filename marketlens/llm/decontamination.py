@@ -6,10 +6,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import free_name, written
+from .common import free_name, slices, written
 from .text import gram_hashes, in_blocks, lowered, span_hashes, word_spans
 
 WINDOW_WORDS, SHINGLE_WORDS = 10, 5
@@ -85,7 +85,7 @@ def _frequencies(docs: DataFrame, text_col: str, lengths: list[int], flags: byte
     """h, n: how often each shingle that passes the filter occurs in all documents, counted in each batch first."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, mask = _flags(flags), np.uint64((1 << FILTER_BITS) - 1)
-        for b in batches:
+        for b in slices(batches):
             texts = [_lower(t) for t in b.column(0).to_pylist()]
             for i, j in in_blocks(texts):
                 _, _, _, h, first = _words(texts[i:j])
@@ -110,7 +110,7 @@ def _found(docs: DataFrame, id_col: str, text_col: str, lengths: list[int], flag
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, mask = _flags(flags), np.uint64((1 << FILTER_BITS) - 1)
         hit_type = pa.list_(pa.struct([("h", pa.int64()), ("k", pa.int32()), ("at", pa.int64()), ("before", pa.int32()), ("words", pa.list_(pa.string()))]))
-        for b in batches:
+        for b in slices(batches):
             texts = [_lower(t) for t in b.column(2).to_pylist()]
             n_words = np.zeros(len(texts), np.int64)
             hits: list[list] = [[] for _ in texts]

@@ -1,10 +1,12 @@
 """The registered queries of this subpackage and the DuckDB SQL of those that SQL can express."""
 
-from . import decontamination, embeddings, mixing, sharding, simhash
+from . import decontamination, embeddings, mixing, sharding, simhash, tokencount, tokenids
 
 QUERIES = {
     "op1_simhash": simhash.query,
+    "op3_tokencount": tokencount.query,
     "op4_sharding": sharding.query,
+    "op6_tokenids": tokenids.query,
     "op7_decontamination": decontamination.query,
     "op9_mixing": mixing.query,
     "op10_embeddings": embeddings.query,

@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import components, segments, small_components, written
+from .common import components, segments, slices, small_components, written
 
 SHINGLE_WORDS, MAX_BITS = 4, 4
 #: The three segments of a fingerprint; each is a shortened word of the 23-bit Golay code.
@@ -62,7 +62,7 @@ def fingerprint(text: str | None, shingle: int = SHINGLE_WORDS) -> int:
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE_WORDS) -> DataFrame:
     """doc_id and fp (the fingerprint as a signed long) of every row."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches):
             fps = np.fromiter((fingerprint(t.as_py(), shingle) for t in b.column(1)), np.uint64, b.num_rows)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps.view(np.int64))], ["doc_id", "fp"])
 

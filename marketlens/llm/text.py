@@ -33,11 +33,6 @@ def mixed_bits(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-def lowered(data: np.ndarray) -> np.ndarray:
-    """A-Z as a-z, other bytes unchanged."""
-    return np.where((data >= 65) & (data <= 90), data + np.uint8(32), data)
-
-
 def word_spans(data: np.ndarray, is_word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Starts and ends of the runs of bytes that the table ``is_word`` (256 flags) marks."""
     flag = np.zeros(len(data) + 2, np.int8)
@@ -46,7 +41,7 @@ def word_spans(data: np.ndarray, is_word: np.ndarray) -> tuple[np.ndarray, np.nd
     return change[::2], change[1::2]
 
 
-def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, size: int = 4 << 20) -> np.ndarray:
+def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, size: int = 1 << 20) -> np.ndarray:
     """A 64-bit hash of each span's bytes and length; spans ascend. Works through ``size`` bytes at a time."""
     out, at = np.zeros(len(start), np.uint64), 0
     while at < len(start):
@@ -74,7 +69,7 @@ def gram_hashes(words: np.ndarray, n: int) -> np.ndarray:
     return h
 
 
-def in_blocks(texts: list[bytes], size: int = 4 << 20) -> Iterator[tuple[int, int]]:
+def in_blocks(texts: list[bytes], size: int = 1 << 20) -> Iterator[tuple[int, int]]:
     """Ranges [from, to) of texts of about ``size`` bytes together, at least one text each."""
     at, total = 0, 0
     for i, t in enumerate(texts):
