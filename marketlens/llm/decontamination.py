@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import free_name, slices, written
-from .text import gram_hashes, in_blocks, lowered, span_hashes, word_spans
+from .text import gram_hashes, in_blocks, span_hashes, word_spans
 
 WINDOW_WORDS, SHINGLE_WORDS = 10, 5
 #: Bits of the filter that tells document shingles that no benchmark item has: 2 MB whatever the tables' size.

@@ -1,9 +1,10 @@
 """The registered queries of this subpackage and the DuckDB SQL of those that SQL can express."""
 
-from . import decontamination, embeddings, mixing, sharding, simhash, tokencount, tokenids
+from . import decontamination, embeddings, mixing, sharding, simhash, tokencount, tokenids, warc
 
 QUERIES = {
     "op1_simhash": simhash.query,
+    "op2_warc": warc.query,
     "op3_tokencount": tokencount.query,
     "op4_sharding": sharding.query,
     "op6_tokenids": tokenids.query,
@@ -12,6 +13,7 @@ QUERIES = {
     "op10_embeddings": embeddings.query,
 }
 ORACLE_SQL: dict[str, str] = {
+    "op2_warc": warc.SQL,
     "op7_decontamination": decontamination.SQL,
     "op10_embeddings": embeddings.SQL,
 }
