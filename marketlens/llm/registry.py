@@ -1,12 +1,13 @@
 """The registered queries of this subpackage and the DuckDB SQL of those that SQL can express."""
 
-from . import decontamination, embeddings, mixing, sharding, simhash, tokencount, tokenids, warc
+from . import decontamination, embeddings, htmltext, mixing, sharding, simhash, tokencount, tokenids, warc
 
 QUERIES = {
     "op1_simhash": simhash.query,
     "op2_warc": warc.query,
     "op3_tokencount": tokencount.query,
     "op4_sharding": sharding.query,
+    "op5_htmltext": htmltext.query,
     "op6_tokenids": tokenids.query,
     "op7_decontamination": decontamination.query,
     "op9_mixing": mixing.query,
