@@ -5,10 +5,51 @@ Each stage is written as Parquet to the shared folder and read again as the next
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from marketlens.llm import sharding
-from marketlens.llm.common import written
+from marketlens.llm import decontamination, mixing, quality, sharding, simhash
+from marketlens.llm.common import free_name, written
+
+
+def _row_key() -> Column:
+    """Names a row by its id and text, ordered by id (null last): null and repeated ids stay apart, equal rows fall together."""
+    return F.struct(F.col("doc_id").isNull().alias("no_id"), F.coalesce("doc_id", F.lit(0)).cast("long").alias("doc_id"),
+                    F.coalesce(F.sha1(F.col("text").cast("binary")), F.lit("")).alias("text"))
+
+
+def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier, fitted on labelled rows of ``docs``, predicts as good; the others go."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    scored = quality.scored(docs, quality.fit(docs, labels))
+    return scored.filter(F.col(scored.columns[len(docs.columns) + 1]) == 1).select(*docs.columns)
+
+
+def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group that the SimHash operator links, the document with the smallest id (a null id is the largest); of equal rows, one."""
+    key = free_name(docs, "row_key")
+    keyed = docs.withColumn(key, _row_key())
+    near = written(simhash.near_duplicates(keyed, key), "pipeline-near")
+    gone = near.filter("doc_id != component_id").select(F.col("doc_id").alias(key)).distinct()
+    left = keyed.join(gone, key, "left_anti")
+    repeated = written(near.groupBy(F.col("doc_id").alias(key)).count().filter("count > 1").select(key), "pipeline-repeated")
+    if not repeated.isEmpty():
+        left = left.join(repeated, key, "left_anti").unionByName(left.join(repeated, key, "left_semi").dropDuplicates([key]))
+    return left.drop(key)
+
+
+def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a word inside any window of a benchmark item; the others go."""
+    key = free_name(docs, "row_key")
+    keyed = docs.withColumn(key, _row_key())
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    gone = decontamination.contamination(keyed, items, key).filter("contaminated").select(F.col("doc_id").alias(key)).distinct()
+    return keyed.join(gone, key, "left_anti").drop(key)
+
+
+def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The mix: documents as often as it takes them."""
+    return mixing.mixed(docs).select(*docs.columns)
 
 
 def sharding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -17,7 +58,13 @@ def sharding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
                                     sharding.shard_tree(sharding.SHARDS + 1))
 
 
-STAGES = [("sharding", sharding_stage)]
+STAGES = [
+    ("quality classifier", quality_stage),
+    ("SimHash near-dedup", near_duplicate_stage),
+    ("benchmark decontamination", decontamination_stage),
+    ("mixing sources to target weights", mixing_stage),
+    ("sharding", sharding_stage),
+]
 
 # The classifier is fitted and XXH64 isn't in DuckDB, so SQL can't express the stages.
 ORACLE_SQL = None

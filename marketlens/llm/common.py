@@ -56,14 +56,13 @@ def id_key(c: Column) -> Column:
     return F.coalesce(F.concat(F.lit("v"), c.cast("string")), F.lit("n"))
 
 
-def expand_copies(df: DataFrame, copies: str, index: str, chunk: int = 4096) -> DataFrame:
-    """One row for each of ``copies`` (index 0 up). Many copies of one row are dealt out in chunks to all tasks."""
+def expand_copies(df: DataFrame, copies: str, index: str, most: int, chunk: int = 4096) -> DataFrame:
+    """One row for each of ``copies`` (index 0 up), which are ``most`` at most. Many copies of a row are dealt out in chunks to all tasks."""
     at, n = free_name(df, "chunk"), F.col(copies)
-    few = df.filter(n <= chunk).withColumn(index, F.explode(F.sequence(F.lit(0).cast("long"), n - 1)))
-    many = df.filter(n > chunk).withColumn(at, F.explode(F.sequence(F.lit(0).cast("long"), F.floor((n - 1) / chunk))))
-    many = many.hint("rebalance").withColumn(
-        index, F.explode(F.sequence(F.col(at) * chunk, F.least((F.col(at) + 1) * chunk, n) - 1))).drop(at)
-    return few.unionByName(many)
+    if most <= chunk:
+        return df.filter(n > 0).withColumn(index, F.explode(F.sequence(F.lit(0).cast("long"), n - 1)))
+    parts = df.filter(n > 0).withColumn(at, F.explode(F.sequence(F.lit(0).cast("long"), F.floor((n - 1) / chunk)))).hint("rebalance")
+    return parts.withColumn(index, F.explode(F.sequence(F.col(at) * chunk, F.least((F.col(at) + 1) * chunk, n) - 1))).drop(at)
 
 
 def segments(data: bytes, size: int = SEGMENT_BYTES) -> Iterator[bytes]:

@@ -204,7 +204,8 @@ def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sourc
         F.col("key").alias(key), F.col("h").alias(h)), "mix-repeated")
     one = keyed.join(repeated, [key, h], "left_anti").unionByName(
         keyed.join(repeated, [key, h], "left_semi").dropDuplicates([key, h]))
-    rows = expand_copies(one.join(picked, [key, h]), n, i := free_name(keyed, "mix_i"))
+    most = draws.agg(F.max("n")).first()[0] or 0
+    rows = expand_copies(one.join(picked, [key, h]), n, i := free_name(keyed, "mix_i"), most)
     order = uniform52(seed, "order", F.col(key), F.col(h), F.col(out[1]), F.col(i))
     return rows.select(*docs.columns, out[0], out[1], order.alias(out[2]))
 
@@ -223,7 +224,7 @@ def mix_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     same = (rows["key"] == times["key"]) & (rows["h"] == times["h"]) & (rows["size"] == times["sz"]) & rows["doc_id"].eqNullSafe(times["id"])
     out = rows.join(times, same, "left").select(rows["*"], F.coalesce("times", F.lit(0)).alias("times"))
     out = out.join(sources.select("key", "source_size", "target"), "key")
-    out = expand_copies(out, "copies", "i")
+    out = expand_copies(out, "copies", "i", rows.agg(F.max("copies")).first()[0] or 0)
     each = F.floor(F.col("times") / F.col("copies")) + F.when(F.col("i") < F.col("times") % F.col("copies"), 1).otherwise(0)
     return out.select("doc_id", "source", "size", "source_size", "target", (F.col("size") * each).cast("long").alias("taken"))
 

@@ -1,6 +1,6 @@
 """The registered queries of this subpackage and the DuckDB SQL of those that SQL can express."""
 
-from . import decontamination, embeddings, htmltext, mixing, sharding, simhash, tokencount, tokenids, warc
+from . import decontamination, embeddings, htmltext, mixing, quality, sharding, simhash, tokencount, tokenids, warc
 
 QUERIES = {
     "op1_simhash": simhash.query,
@@ -10,6 +10,7 @@ QUERIES = {
     "op5_htmltext": htmltext.query,
     "op6_tokenids": tokenids.query,
     "op7_decontamination": decontamination.query,
+    "op8_quality": quality.query,
     "op9_mixing": mixing.query,
     "op10_embeddings": embeddings.query,
 }

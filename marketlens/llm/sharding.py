@@ -78,8 +78,8 @@ def numbered(df: DataFrame, group: str, order: list[str], rows_per_bucket: int =
     """
     cols = df.columns
     folded = written(df.groupBy(*cols).agg(F.count("*").alias("copies__")), "numbered")
-    rows = folded.agg(F.sum("copies__")).first()[0] or 0
-    groups = max(1, folded.agg(F.approx_count_distinct(group)).first()[0])
+    rows, most, groups = folded.agg(F.sum("copies__"), F.max("copies__"), F.approx_count_distinct(group)).first()
+    rows, most, groups = rows or 0, most or 0, max(1, groups)
     bits = max(4, min(40, math.ceil(math.log2(max(1.0, rows / groups / rows_per_bucket)))))
     cut = folded.withColumn("bucket__", F.shiftright(order[0], 52 - bits))
     sizes = cut.groupBy(group, "bucket__").agg(F.sum("copies__").alias("rows__"))
@@ -89,7 +89,7 @@ def numbered(df: DataFrame, group: str, order: list[str], rows_per_bucket: int =
         Window.unboundedPreceding, -1)
     ranked = cut.withColumn("ahead__", F.coalesce(F.sum("copies__").over(inside), F.lit(0)))
     ranked = ranked.join(starts, [group, "bucket__"])
-    out = expand_copies(ranked, "copies__", "i__")
+    out = expand_copies(ranked, "copies__", "i__", most)
     return out.select(*cols, (F.col("start__") + F.col("ahead__") + F.col("i__")).cast("long").alias("slot"))
 
 

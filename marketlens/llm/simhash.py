@@ -231,8 +231,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     Rows link when their fingerprints differ in ``max_bits`` bits or fewer; equal texts, and all texts without words
     (null too), have equal fingerprints and so one component. Rows with a null id take part in links; a component in
-    which all ids are null has a null component_id. Ids must be whole numbers. Rows with equal ids are returned each;
-    an empty table gives an empty result; other columns aren't read.
+    which all ids are null has a null component_id. Ids may be of any type that can be ordered. Rows with equal ids are returned
+    each; an empty table gives an empty result; other columns aren't read.
     """
     prints = written(fingerprints(docs, id_col, text_col, shingle), "fingerprints")
     distinct = written(prints.groupBy("fp").agg(F.min("doc_id").alias("first")), "distinct")
