@@ -112,13 +112,22 @@ def split_quotas(quotas: DataFrame, shards: int, seed: str = "mix") -> DataFrame
 
 
 def _filled(need: Column, docs: Column) -> Column:
-    """Copies taken of each document of a block in its permuted order, while they fit into ``need`` words."""
+    """Copies taken of each document of a block: in the permuted order those that fit into ``need`` words, and then one
+    more, the closest to what is still missing, if that comes nearer to ``need``."""
     def more(state: Column, d: Column) -> Column:
         fit = F.when(d["size"] > 0, F.least(d["copies"], F.floor(state["need"] / d["size"]).cast("long"))).otherwise(d["copies"])
         return F.struct((state["need"] - fit * d["size"]).alias("need"),
                         F.concat(state["out"], F.array(fit)).alias("out"))
+
+    def last(state: Column) -> Column:
+        miss = F.transform(docs, lambda d, i: F.when(
+            (F.get(state["out"], i) < d["copies"]) & (F.abs(state["need"] - d["size"]) < state["need"]),
+            F.struct(F.abs(state["need"] - d["size"]).alias("by"), i.alias("i"))))
+        best = F.array_min(miss)["i"]
+        return F.transform(state["out"], lambda n, i: n + F.when(i == best, 1).otherwise(0).cast("long"))
+
     start = F.struct(need.alias("need"), F.array().cast("array<bigint>").alias("out"))
-    return F.aggregate(docs, start, more)["out"]
+    return F.aggregate(docs, start, more, last)
 
 
 def _keyed(docs: DataFrame, id_col: str, text_col: str, source_col: str, seed: str) -> DataFrame:
@@ -140,7 +149,7 @@ def plan_mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", so
 
     A source's documents are permuted by a hash and cut into blocks; its blocks are permuted again. Whole passes
     take every block; the last pass takes blocks in their order up to the target, and of the block that the target
-    falls into the documents that still fit. The quota of blocks is split among the output shards by
+    falls into the documents that bring the sum near it. The quota of blocks is split among the output shards by
     ``split_quotas``, and each shard draws the next blocks of each source's order, so that no two shards get the same.
     """
     rows = written(_keyed(docs, id_col, text_col, source_col, seed).groupBy("doc_id", "source", "key", "size", "h").agg(
