@@ -163,8 +163,7 @@ FRESHNESS_WARN_HOURS = 2
 FRESHNESS_ERROR_HOURS = 6
 RECENT_ROWS_WINDOW_HOURS = 2
 RECONCILIATION_TOLERANCE = 0.01
-REVENUE_MISMATCH_FACTOR = 1.15
 
-# FIXED VALUES: surrogate-key convention (NULL sentinel and separator between key parts)
-SURROGATE_NULL = "_dbt_utils_surrogate_key_null_"
+# Surrogate keys: our stand-in for NULL and the separator between key parts
+SURROGATE_NULL = "<null key>"
 SURROGATE_SEPARATOR = "-"

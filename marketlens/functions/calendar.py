@@ -23,7 +23,3 @@ def last_weekday(year, month: int, weekday: int) -> Column:
     last = F.last_day(F.make_date(year, F.lit(month), F.lit(1)))
     return F.date_sub(F.next_day(last, _DAY[weekday]), 7)
 
-
-def weekday_index(d) -> Column:
-    """0 = Monday .. 6 = Sunday."""
-    return F.weekday(d)

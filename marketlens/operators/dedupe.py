@@ -15,11 +15,14 @@ def latest_by_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str] =
     """Keep the row with the greatest ``order_by`` per key (QUALIFY row_number() = 1, DESC).
 
     Expressed as ``max(struct(order_by, tie_break, rest))`` per key instead of a
-    window: a hash aggregate combines map-side, so a key holding a large share
+    window: the aggregate combines map-side, so a key holding a large share
     of the rows is reduced to one row per input partition before the shuffle,
-    and no task ever buffers a whole key group. Ties on ``order_by`` are broken
+    and no task ever buffers a whole key group. A struct of strings needs a
+    sort-based aggregate, which sorts the rows of a partition by key (and
+    spills) on either side of the shuffle. Ties on ``order_by`` are broken
     by ``tie_break`` and then every remaining column, so the result is
-    deterministic. NULL ``order_by`` values lose (DESC NULLS LAST).
+    deterministic. NULL ``order_by`` values lose (DESC NULLS LAST): a row whose
+    load time is unknown never replaces one with a known load time.
     """
     keys = list(keys)
     order = list(order_by)
@@ -33,72 +36,47 @@ def latest_by_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str] =
 
 
 def deterministic_sample(df: DataFrame, key: str, rate: float, seed: int,
-                         group_by: Sequence[str] = (), rows_per_piece: int = 1_000_000) -> DataFrame:
+                         group_by: Sequence[str] = (), bins: int = 1024) -> DataFrame:
     """Fixed-size seeded sample: k = max(1, round_half_even(n * rate)) rows per group, 0 if empty.
 
-    Rows are ordered by (md5(key || seed), key, row hash), which does not
-    depend on partitioning or task retries, unlike ``sample()``; the first k
-    rows of each group are kept. The rank is exact without a whole group or a
-    whole key in one task:
+    Rows are ordered by (md5(key || seed), key, row hash), which does not depend on partitioning or task retries,
+    unlike ``sample()``; the first k rows of each group are kept. Exact, without a group or a key in one task:
 
-    1. per (group, key): row count c (grouped, combined map-side); per group:
-       n, k and the number of distinct keys;
-    2. keys are ranked by (hash, key) inside hash ranges of at most about
-       ``rows_per_piece`` keys, offset by the rows of the earlier ranges, which
-       gives each key's start rank; keys starting at or after k are dropped;
-    3. the start rank is attached to the key's rows (salted for a hot key);
-    4. rows are ranked inside their key by the row hash, in ranges of at most
-       about ``rows_per_piece`` rows; keep start + rank <= k.
-
-    Only identical copies of one row (equal row hash) stay in one range.
+    1. a histogram: rows per group and bin of the key hash (``bins`` equal ranges; counted map-side), which gives each
+       group's n, k and the bin in which the k-th row lies;
+    2. rows of lower bins are all kept and rows of higher bins dropped, early in the second and last scan;
+    3. in the boundary bin (about a ``bins``-th of a group, or one hot key) distinct rows are counted, so that identical
+       copies are one row, ranked by running sums of their copies over (key hash, key, range of row hash), and taken up to k.
     """
-    out_cols = df.columns
+    cols = df.columns
     g = list(group_by)
     if not g:  # one group: a constant key keeps the same plan shape (no cross join)
         df, g = df.withColumn("_all", F.lit(0)), ["_all"]
-    x = df.select("*", F.md5(F.concat(F.col(key).cast("string"), F.lit(str(seed)))).alias("_h"),
-                  F.xxhash64(*[F.col(c) for c in out_cols]).alias("_t"))
-
-    def ns_cols(left_cols, right_cols):
-        c = None
-        for a, b in zip(left_cols, right_cols):
-            e = F.col(a).eqNullSafe(F.col(b))
-            c = e if c is None else c & e
-        return c
-
-    # 1. key level
-    kc = x.groupBy(*g, key, "_h").agg(F.count(F.lit(1)).alias("_c"))
-    gs = kc.groupBy(*g).agg(F.sum("_c").alias("_n"), F.count(F.lit(1)).alias("_nk"))
-    gs = gs.select(*g, F.greatest(F.lit(1), F.bround(F.col("_n") * F.lit(rate), 0).cast("bigint")).alias("_k"),
-                   F.greatest(F.lit(1), F.ceil(F.col("_nk") / F.lit(rows_per_piece))).cast("bigint").alias("_np"))
-    kc = attach_by_key(kc, gs, g, ["_k", "_np"], how="inner", null_safe=True)
-    # 2. rank keys inside hash ranges (48-bit prefix, monotone in the hash)
+    # the first 48 bits of the MD5, a monotone prefix of the order
+    x = df.withColumn("_h", F.md5(F.concat(F.col(key).cast("string"), F.lit(str(seed)))))
     u = F.conv(F.substring("_h", 1, 12), 16, 10).cast("double") / float(2 ** 48)
-    kc = kc.withColumn("_piece", F.floor(u * F.col("_np")).cast("bigint"))
-    w = Window.partitionBy(*g, "_piece").orderBy("_h", key).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    kc = kc.withColumn("_cum", F.sum("_c").over(w))
-    pieces = kc.groupBy(*g, "_piece").agg(F.sum("_c").alias("_pc"))
-    before = Window.partitionBy(*g).orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
-    pieces = pieces.select(*[F.col(c).alias(f"_pg{i}") for i, c in enumerate(g)], F.col("_piece").alias("_pp"),
-                           F.coalesce(F.sum("_pc").over(before), F.lit(0)).alias("_pb"))
-    pcond = ns_cols(g, [f"_pg{i}" for i in range(len(g))]) & (F.col("_piece") == F.col("_pp"))
-    kc = kc.join(pieces, pcond).select(*g, key, "_c", "_k", (F.col("_pb") + F.col("_cum") - F.col("_c")).alias("_start"))
-    kc = kc.filter(F.col("_start") < F.col("_k"))
-    # 3. key start back to its rows (a hot key is salted over several tasks)
-    kk = [*g, key]
-    rows = attach_by_key(x, kc, kk, ["_c", "_k", "_start"], counts=kc.select(*kk, F.col("_c").alias("n")),
-                         how="inner", null_safe=True)
-    # 4. rank inside the key by row hash, in ranges of the unsigned hash (monotone)
-    ut = (F.col("_t").cast("double") + float(2 ** 63)) / float(2 ** 64)
-    nsub = F.greatest(F.lit(1), F.ceil(F.col("_c") / F.lit(rows_per_piece))).cast("bigint")
-    rows = rows.withColumn("_sub", F.least(F.floor(ut * nsub), nsub - 1).cast("bigint"))
-    lw = Window.partitionBy(*kk, "_sub").orderBy("_t")
-    rows = rows.withColumn("_local", F.row_number().over(lw))
-    subs = rows.groupBy(*kk, "_sub").agg(F.count(F.lit(1)).alias("_sc"))
-    sb = Window.partitionBy(*kk).orderBy("_sub").rowsBetween(Window.unboundedPreceding, -1)
-    subs = subs.select(*[F.col(c).alias(f"_sk{i}") for i, c in enumerate(kk)], F.col("_sub").alias("_ss"),
-                       F.coalesce(F.sum("_sc").over(sb), F.lit(0)).alias("_sbefore"))
-    scond = ns_cols(kk, [f"_sk{i}" for i in range(len(kk))]) & (F.col("_sub") == F.col("_ss"))
-    ranked = rows.join(subs, scond)
-    return (ranked.filter(F.col("_start") + F.col("_sbefore") + F.col("_local") <= F.col("_k"))
-            .select(*out_cols))
+    x = x.withColumn("_bin", F.floor(F.coalesce(u, F.lit(0.0)) * bins).cast("int"))
+    per_bin = x.groupBy(*g, "_bin").agg(F.count(F.lit(1)).alias("_c"))
+    upto = Window.partitionBy(*g).orderBy("_bin")
+    everything = Window.partitionBy(*g)
+    per_bin = per_bin.withColumn("_cum", F.sum("_c").over(upto)).withColumn("_n", F.sum("_c").over(everything))
+    k = F.greatest(F.lit(1), F.bround(F.col("_n") * F.lit(rate), 0).cast("bigint"))
+    edge = per_bin.filter((F.col("_cum") >= k) & (F.col("_cum") - F.col("_c") < k)).select(
+        *g, F.col("_bin").alias("_edge"), (k - (F.col("_cum") - F.col("_c"))).alias("_need"))
+    x = attach_by_key(x, edge, g, ["_edge", "_need"], how="inner", null_safe=True).filter(F.col("_bin") <= F.col("_edge"))
+    whole = x.filter(F.col("_bin") < F.col("_edge")).select(*cols)
+
+    # the boundary bin: distinct rows and their copies, ranked inside fine ranges of the order
+    distinct = x.filter(F.col("_bin") == F.col("_edge")).groupBy(*df.columns, "_h", "_need").agg(
+        F.count(F.lit(1)).alias("_copies")).withColumn("_t", F.xxhash64(*[F.col(c) for c in cols]))
+    distinct = distinct.withColumn("_tt", F.shiftright("_t", 52))
+    fine = ["_h", key, "_tt"]
+    pieces = distinct.groupBy(*g, *fine).agg(F.sum("_copies").alias("_pc"))
+    before = Window.partitionBy(*g).orderBy(*fine).rowsBetween(Window.unboundedPreceding, -1)
+    pieces = pieces.select(*g, *fine, F.coalesce(F.sum("_pc").over(before), F.lit(0)).alias("_ahead"))
+    ranked = attach_by_key(distinct, pieces, [*g, *fine], ["_ahead"], how="inner", null_safe=True)
+    inside = Window.partitionBy(*g, *fine).orderBy("_t").rowsBetween(Window.unboundedPreceding, -1)
+    left = F.col("_need") - F.col("_ahead") - F.coalesce(F.sum("_copies").over(inside), F.lit(0))
+    taken = ranked.withColumn("_take", F.least(left, F.col("_copies"))).filter("_take > 0")
+    taken = taken.withColumn("_i", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_take"))))
+    return whole.unionByName(taken.select(*cols))

@@ -50,31 +50,51 @@ def rows_by_load_date(tables: Mapping[str, DataFrame], loaded_col: str = "_loade
     return u
 
 
-def region_manifest(batches: DataFrame, expected: Sequence[str] = REGIONS) -> DataFrame:
-    """For every observed (date, hour) and every expected region: rows landed and presence.
+def landed_hours(batches: DataFrame, since: str | None = None, until: str | None = None) -> DataFrame:
+    """(date, hour) of every hour asked for, ``since`` to ``until`` ("yyyy-MM-dd HH", both included).
 
-    The expected list is attached by exploding a literal array (no join with a
-    region table), then observed counts are left-joined on the full key.
+    The range is the caller's, so an hour in which nothing landed is there too. Without a range, the hours that
+    ``batches`` (region, date, hour) has.
+    """
+    if since is None or until is None:
+        return batches.select("date", "hour").distinct()
+    spark = batches.sparkSession
+    span = spark.range(1).select(F.explode(F.sequence(
+        F.lit(since + ":00:00").cast("timestamp_ntz"), F.lit(until + ":00:00").cast("timestamp_ntz"),
+        F.expr("INTERVAL 1 HOUR"))).alias("t"))
+    return span.select(F.date_format("t", "yyyy-MM-dd").alias("date"), F.date_format("t", "HH").alias("hour"))
+
+
+def region_manifest(batches: DataFrame, expected: Sequence[str] = REGIONS, since: str | None = None,
+                    until: str | None = None) -> DataFrame:
+    """For every (date, hour) asked for: rows landed per expected region, and per other region that landed.
+
+    ``present``: whether anything landed; ``expected``: whether the region is one of ``expected`` (a NULL or
+    unlisted region is reported with false, not left out). See :func:`landed_hours` for the range.
     """
     counts = batches.groupBy("date", "hour", "region").agg(F.count(F.lit(1)).alias("n_rows"))
-    hours = batches.select("date", "hour").distinct()
-    grid = hours.select("date", "hour", F.explode(F.array(*[F.lit(r) for r in expected])).alias("region"))
-    j = grid.join(counts, ["date", "hour", "region"], "left")
-    return j.select("date", "hour", "region", F.coalesce("n_rows", F.lit(0)).alias("n_rows"),
-                    F.col("n_rows").isNotNull().alias("present"))
+    grid = landed_hours(batches, since, until).select(
+        "date", "hour", F.explode(F.array(*[F.lit(r) for r in expected])).alias("region")).withColumn("n_rows", F.lit(0).cast("long"))
+    inside = counts.join(landed_hours(batches, since, until), ["date", "hour"], "left_semi").select("date", "hour", "region", "n_rows")
+    j = grid.unionByName(inside).groupBy("date", "hour", "region").agg(F.sum("n_rows").alias("n_rows"))
+    return j.select("date", "hour", "region", "n_rows", (F.col("n_rows") > 0).alias("present"),
+                    F.coalesce(F.col("region").isin(list(expected)), F.lit(False)).alias("expected"))
 
 
-def hour_completeness(batches: DataFrame, expected: Sequence[str] = REGIONS) -> DataFrame:
-    """Per (date, hour): distinct regions landed, completeness flag and the missing regions.
+def hour_completeness(batches: DataFrame, expected: Sequence[str] = REGIONS, since: str | None = None,
+                      until: str | None = None) -> DataFrame:
+    """Per (date, hour) asked for: expected regions landed, completeness flag, missing and unexpected regions.
 
-    ``collect_set(region)`` is bounded by the number of regions.
+    An hour with nothing at all is there with 0 regions if the range covers it; a NULL region is listed as ``null``.
     """
-    exp = F.array(*[F.lit(r) for r in expected])
-    g = batches.filter(F.col("region").isin(list(expected))).groupBy("date", "hour").agg(
-        F.collect_set("region").alias("_seen"))
-    return g.select("date", "hour", F.size("_seen").cast("bigint").alias("n_regions"),
-                    (F.size("_seen") == len(expected)).alias("is_complete"),
-                    F.array_join(F.array_sort(F.array_except(exp, F.col("_seen"))), ",").alias("missing_regions"))
+    m = region_manifest(batches, expected, since, until)
+    name = F.coalesce("region", F.lit("null"))
+    g = m.groupBy("date", "hour").agg(
+        F.count_if(F.col("expected") & F.col("present")).alias("n_regions"),
+        F.array_join(F.array_sort(F.collect_list(F.when(F.col("expected") & ~F.col("present"), name))), ",").alias("missing_regions"),
+        F.array_join(F.array_sort(F.collect_list(F.when(~F.col("expected"), name))), ",").alias("unexpected_regions"))
+    return g.select("date", "hour", "n_regions", (F.col("n_regions") == len(expected)).alias("is_complete"),
+                    "missing_regions", "unexpected_regions")
 
 
 def non_empty_load(tables: Mapping[str, DataFrame], load_date: str, loaded_col: str = "_loaded_at") -> DataFrame:

@@ -3,79 +3,47 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+def own_exchange(stats: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``stats`` (one row per key) dealt out so that a join on ``keys`` shuffles it again.
+
+    Adaptive execution splits a hot key's rows over several tasks only where both sides of the join
+    come straight from a shuffle made for it. An aggregate by the join key is already partitioned by the
+    key, so the join would read it without one, and all rows of a hot key would meet in one task. Dealing
+    the aggregate out by another expression of the key leaves the join its own shuffle on both sides. It
+    costs one more exchange of one row per key.
+    """
+    return stats.repartition(F.xxhash64(*[F.col(k) for k in keys], F.lit("own exchange")))
+
+
 def left_lookup(left: DataFrame, right: DataFrame, key: str, columns: Sequence[str],
                 right_key: str | None = None) -> DataFrame:
     """``left LEFT JOIN right ON left.key = right.right_key``, adding ``columns``.
 
-    Rows whose key is NULL can never match, but a shuffle join would still
-    hash all of them to one partition; a missing customer id is exactly such a
-    hot value. They get a per-row, never-matching join key (a NUL-prefixed row
-    hash), so they spread across partitions and keep NULL lookup columns.
-    A non-null key with very many rows is salted (:func:`attach_by_key`); the
-    key frequencies come from a count over the key column alone.
+    ``right`` has one row per key (a current dimension, usually an aggregate). Rows with a NULL key match
+    nothing and keep NULL columns. A key with very many rows, NULL included, is split over several tasks by
+    adaptive execution (:func:`own_exchange`); a small ``right`` is broadcast by the planner.
     """
     rk = right_key or key
-    jk = "_jk"
-    spread = F.when(F.col(key).isNull(),
-                    F.concat(F.lit("\u0000"), F.xxhash64(*[F.col(c) for c in left.columns]).cast("string"))
-                    ).otherwise(F.col(key).cast("string"))
-    l = left.withColumn(jk, spread)
-    r = right.select(F.col(rk).cast("string").alias(jk), *columns)
-    counts = (left.filter(F.col(key).isNotNull()).groupBy(F.col(key).cast("string").alias(jk))
-              .agg(F.count(F.lit(1)).alias("n")))
-    return attach_by_key(l, r, [jk], list(columns), counts=counts).drop(jk)
-
-
-# Keys with more rows than this are spread over several tasks. The number of such keys is at
-# most (rows / HOT_KEY_ROWS), which is what makes the hot-key list safe to broadcast.
-HOT_KEY_ROWS = 4_000_000
+    r = right.select(F.col(rk).alias("_lk"), *columns)
+    return left.join(own_exchange(r, ["_lk"]), F.col(key) == F.col("_lk"), "left").drop("_lk")
 
 
 def attach_by_key(df: DataFrame, stats: DataFrame, keys: Sequence[str], columns: Sequence[str],
-                  counts: DataFrame | None = None, how: str = "left", null_safe: bool = False,
-                  hot_rows: int = HOT_KEY_ROWS) -> DataFrame:
+                  how: str = "left", null_safe: bool = False) -> DataFrame:
     """Attach per-key ``columns`` of ``stats`` (one row per key) to every row of ``df``.
 
-    A plain shuffle join sends all rows of a key to one task, and when the
-    per-key side is an aggregate already partitioned by the key there is no
-    shuffle on that side for adaptive skew handling to split. Here keys with
-    more than ``hot_rows`` rows in ``df`` (from ``counts``: keys + ``n``, or a
-    count over ``df``'s key columns) are salted: their ``df`` rows get a random
-    salt in [0, ceil(n / hot_rows)) and their ``stats`` row is
-    replicated once per salt, so each (key, salt) holds at most about
-    ``hot_rows`` rows. Hot keys number at most rows / ``hot_rows``, so their
-    list is broadcast; everything else is one shuffle join on (key, salt).
+    With ``null_safe`` a NULL key is a key like any other. Hot keys: see :func:`own_exchange`. Nothing here is
+    random, so a rerun of a lost task deals its rows out as before.
     """
     keys = list(keys)
-    if counts is None:
-        counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    hot = (counts.filter(F.col("n") > hot_rows)
-           .select(*[F.col(k).alias(f"_hk{i}") for i, k in enumerate(keys)],
-                   F.ceil(F.col("n") / F.lit(hot_rows)).cast("int").alias("_fan")))
-
-    def on(a, b_names):
-        conds = [(a[k].eqNullSafe(F.col(b)) if null_safe else (a[k] == F.col(b))) for k, b in zip(keys, b_names)]
-        c = conds[0]
-        for x in conds[1:]:
-            c = c & x
-        return c
-
-    hk = [f"_hk{i}" for i in range(len(keys))]
-    d = df.join(F.broadcast(hot), on(df, hk), "left").drop(*hk)
-    # Any salt gives the same result (every salt replica carries the same per-key values), so
-    # hot rows take a random one: a hash of the row would send identical copies to one salt.
-    d = d.withColumn("_salt", F.when(F.col("_fan").isNull(), F.lit(0)).otherwise(
-        F.floor(F.rand(17) * F.col("_fan")).cast("int"))).drop("_fan")
-    s = stats.select(*keys, *columns)
-    s = s.join(F.broadcast(hot), on(s, hk), "left").drop(*hk)
-    s = s.withColumn("_salt", F.explode(F.when(F.col("_fan").isNull(), F.array(F.lit(0))).otherwise(
-        F.sequence(F.lit(0), F.col("_fan") - 1)))).drop("_fan")
-    s = s.select(*[F.col(k).alias(f"_sk{i}") for i, k in enumerate(keys)], F.col("_salt").alias("_ssalt"), *columns)
-    sk = [f"_sk{i}" for i in range(len(keys))]
-    cond = on(d, sk) & (F.col("_salt") == F.col("_ssalt"))
-    return d.join(s, cond, how).drop(*sk, "_salt", "_ssalt")
+    names = [f"_sk{i}" for i in range(len(keys))]
+    s = stats.select(*[F.col(k).alias(n) for k, n in zip(keys, names, strict=True)], *columns)
+    on = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(n)) if null_safe else F.col(k) == F.col(n)
+                                     for k, n in zip(keys, names, strict=True)])
+    return df.join(own_exchange(s, names), on, how).drop(*names)

@@ -80,15 +80,15 @@ def expected_volume(hours: DataFrame, calendar: DataFrame, ts: str = "hour_ts",
     date] (1.0 when none). Weekday and month are taken from the UTC time, as
     the volume model computes them; ``local_calendar=True`` takes them from
     the local time instead (the model's documented intent). Multipliers are
-    literal arrays indexed inline; the holiday calendar is at most 14 rows per
-    region and year, so it is broadcast.
+    literal arrays indexed inline. A region without a local time has no
+    expectation: it stays, with NULLs.
     """
     h = with_local_time(hours, ts=ts)
     cal_ts = F.col("local_ts") if local_calendar else F.col(ts)
     intraday = F.try_element_at(F.array(*[F.lit(x) for x in INTRADAY_MULTIPLIERS]), F.col("local_hour") + 1)
     dow = F.try_element_at(F.array(*[F.lit(x) for x in DOW_MULTIPLIERS]), F.weekday(cal_ts) + 1)
     month = F.try_element_at(F.array(*[F.lit(x) for x in MONTHLY_MULTIPLIERS]), F.month(cal_ts))
-    cal = F.broadcast(calendar.groupBy("region", "holiday_date").agg(F.max("multiplier").alias("holiday")))
+    cal = calendar.groupBy("region", "holiday_date").agg(F.max("multiplier").alias("holiday"))
     j = h.join(cal, (h.region == cal.region) & (h.local_date == cal.holiday_date), "left").drop(cal.region)
     holiday = F.coalesce(F.col("holiday"), F.lit(1.0))
     expected = F.lit(float(BASE_ORDERS_PER_REGION_PER_HOUR)) * intraday * dow * month * holiday
@@ -102,28 +102,42 @@ def expected_volume(hours: DataFrame, calendar: DataFrame, ts: str = "hour_ts",
     )
 
 
-def hourly_actuals(orders: DataFrame, regions=REGIONS) -> DataFrame:
-    """Orders per (region, UTC hour) for every hour of the data's span and every region (zero-filled).
+def hourly_actuals(orders: DataFrame, regions=REGIONS, since: str | None = None, until: str | None = None) -> DataFrame:
+    """Orders per (region, UTC hour): every hour of each day and every region, zero-filled.
 
-    The grid is the full hourly sequence from the first to the last order
-    hour, so an hour with no orders at all (an outage) is reported with 0.
-    Its size depends on the time span and the region count, not on the
-    number of orders; counts are a grouped aggregate joined onto it.
+    Days are those with orders, or ``since`` to ``until`` ("yyyy-MM-dd", both included), which also reports days
+    without any. Regions are the given ones and all others that the orders have, NULL included. The grid grows with
+    days and regions, not with orders or with the distance of a stray timestamp.
     """
     hour_ts = hour_floor("created_at")
     counts = orders.groupBy("region", hour_ts.alias("hour_ts")).agg(F.count(F.lit(1)).alias("actual_orders"))
-    span = orders.agg(F.min(hour_ts).alias("lo"), F.max(hour_ts).alias("hi")).filter(F.col("lo").isNotNull())
-    grid = span.select(F.explode(F.sequence("lo", "hi", F.expr("INTERVAL 1 HOUR"))).alias("hour_ts")).select(
-        "hour_ts", F.explode(F.array(*[F.lit(r) for r in regions])).alias("region"))
-    return grid.join(counts, ["region", "hour_ts"], "left").select(
-        "region", "hour_ts", F.coalesce("actual_orders", F.lit(0)).alias("actual_orders"))
+    if since is not None and until is not None:
+        days = orders.sparkSession.range(1).select(F.explode(F.sequence(
+            F.lit(since).cast("date"), F.lit(until).cast("date"))).alias("day"))
+    else:
+        days = counts.filter(F.col("hour_ts").isNotNull()).select(F.to_date("hour_ts").alias("day")).distinct()
+    listed = F.explode(F.array(*[F.lit(r) for r in regions])).alias("region")
+    hours = F.explode(F.transform(F.sequence(F.lit(0), F.lit(23)),
+                                  lambda h: F.col("day").cast("timestamp_ntz") + F.make_dt_interval(hours=h))).alias("hour_ts")
+    # other regions get the hours of the days on which they have orders
+    other = counts.filter(~F.coalesce(F.col("region").isin(list(regions)), F.lit(False)) & F.col("hour_ts").isNotNull())
+    other = other.select(F.to_date("hour_ts").alias("day"), "region").distinct()
+    if since is not None and until is not None:
+        other = other.filter(F.col("day").between(F.lit(since).cast("date"), F.lit(until).cast("date")))
+    grid = days.select("day", listed).unionByName(other).select("region", hours)
+    zero = grid.withColumn("actual_orders", F.lit(0).cast("long"))
+    inside = counts.filter(F.col("hour_ts").isNotNull())
+    if since is not None and until is not None:
+        inside = inside.filter(F.to_date("hour_ts").between(F.lit(since).cast("date"), F.lit(until).cast("date")))
+    return zero.unionByName(inside).groupBy("region", "hour_ts").agg(F.sum("actual_orders").alias("actual_orders"))
 
 
 def volume_anomaly(actuals: DataFrame, calendar: DataFrame, slack: float = 0.5,
                    local_calendar: bool = False) -> DataFrame:
     """Every (region, hour) with its band test: outside the expected band widened by ``slack`` orders.
 
-    The slack absorbs rounding to whole orders.
+    The slack absorbs rounding to whole orders. A region without an expectation is reported with
+    ``has_baseline`` false and no verdict.
     """
     e = expected_volume(actuals, calendar, local_calendar=local_calendar)
     return e.select(
@@ -131,4 +145,5 @@ def volume_anomaly(actuals: DataFrame, calendar: DataFrame, slack: float = 0.5,
         ((F.col("actual_orders") < F.col("lower_bound") - slack)
          | (F.col("actual_orders") > F.col("upper_bound") + slack)).alias("is_anomaly"),
         (F.col("actual_orders") / F.col("expected_orders") - 1).alias("deviation"),
+        F.col("expected_orders").isNotNull().alias("has_baseline"),
     )

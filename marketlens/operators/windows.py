@@ -13,9 +13,9 @@ def with_share_of_group(df: DataFrame, value: str, keys: Sequence[str], out: str
     """``value / nullif(sum(value) over (partition by keys), 0)`` as a new double column.
 
     Computed as a pre-aggregated group total joined back on the keys rather
-    than a window: the total is combined map-side, and a key with very many
-    rows is salted over several tasks (:func:`attach_by_key`); a window would
-    hold the whole group in one task. With nullable keys, NULL keys form one
+    than a window: the total is combined map-side, and adaptive execution splits
+    a key with very many rows over several tasks (:func:`attach_by_key`); a
+    window would hold the whole group in one task. With nullable keys, NULL keys form one
     group via null-safe equality, as in the window form.
     """
     from marketlens.operators.joins import attach_by_key
@@ -23,9 +23,8 @@ def with_share_of_group(df: DataFrame, value: str, keys: Sequence[str], out: str
     keys = list(keys)
     if keys_nullable is None:
         keys_nullable = any(df.schema[k].nullable for k in keys)
-    totals = df.groupBy(*keys).agg(F.sum(value).alias("_group_total"), F.count(F.lit(1)).alias("n"))
-    j = attach_by_key(df, totals, keys, ["_group_total"], counts=totals.select(*keys, "n"),
-                      null_safe=keys_nullable)
+    totals = df.groupBy(*keys).agg(F.sum(value).alias("_group_total"))
+    j = attach_by_key(df, totals, keys, ["_group_total"], null_safe=keys_nullable)
     # the total is summed exactly (decimal stays decimal); the ratio itself is a
     # double: a wide-decimal division per row would run on BigDecimal
     share = F.col(value).cast("double") / F.nullif(F.col("_group_total").cast("double"), F.lit(0.0))

@@ -5,45 +5,54 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketlens.functions.scalars import safe_divide
+from marketlens.functions.scalars import safe_divide, surrogate_key
 from marketlens.operators.joins import left_lookup
 from marketlens.operators.windows import with_share_of_group
 
 
-def int_orders_enriched(orders: DataFrame, customers: DataFrame, regions: DataFrame) -> DataFrame:
-    """Orders + customer email/tier + region continent/offset (left joins).
+ORDERS_ENRICHED = ("order_id", "customer_id", "region", "created_at", "order_date", "order_hour", "status", "currency",
+                   "promo_code", "total_amount", "has_promo", "_loaded_at", "_source_file", "customer_email",
+                   "customer_tier", "continent", "timezone_offset")
+ITEMS_ENRICHED = ("item_id", "order_id", "product_id", "quantity", "unit_price", "amount", "_loaded_at", "product_name",
+                  "category", "revenue_contribution")
+
+
+def orders_with_customer(orders: DataFrame, customers: DataFrame, regions: DataFrame) -> DataFrame:
+    """Orders + customer email/tier/key + region continent/offset (left joins): one customer lookup for
+    the enriched orders and the order fact.
 
     ``customers`` is joined as given: pass deduplicated customers to avoid the
     fan-out an append-only customer history would cause. ``regions`` is the
-    six-row seed, broadcast by construction.
+    region seed; the planner broadcasts it while it is small.
     """
-    c = customers.select("customer_id", F.col("email").alias("customer_email"),
-                         F.col("tier").alias("customer_tier"))
-    o = left_lookup(orders, c, "customer_id", ["customer_email", "customer_tier"])
-    o = o.join(F.broadcast(regions.select("region", "continent", "timezone_offset")), "region", "left")
-    return o.select(
-        "order_id", "customer_id", "region", "created_at",
-        F.to_date("created_at").alias("order_date"),
-        F.hour("created_at").alias("order_hour"),
-        "status", "currency", "promo_code", "total_amount", "has_promo", "_loaded_at", "_source_file",
-        "customer_email", "customer_tier", "continent", "timezone_offset",
-    )
+    c = customers.select("customer_id", F.col("email").alias("customer_email"), F.col("tier").alias("customer_tier"),
+                         surrogate_key("customer_id").alias("customer_key"))
+    o = left_lookup(orders, c, "customer_id", ["customer_email", "customer_tier", "customer_key"])
+    o = o.join(regions.select("region", "continent", "timezone_offset"), "region", "left")
+    return o.withColumns({"order_date": F.to_date("created_at"), "order_hour": F.hour("created_at")}).select(
+        *ORDERS_ENRICHED, "customer_key")
 
 
-def int_order_items_enriched(items: DataFrame, products: DataFrame) -> DataFrame:
-    """Items + product name/category, and each line's share of its order's amount.
+def int_orders_enriched(orders: DataFrame, customers: DataFrame, regions: DataFrame) -> DataFrame:
+    return orders_with_customer(orders, customers, regions).select(*ORDERS_ENRICHED)
 
-    The share is evaluated after the product join (as in the source model), so
-    duplicate product rows would dilute it; pass deduplicated products.
+
+def items_with_product(items: DataFrame, products: DataFrame) -> DataFrame:
+    """Items + product name/category/key of active products, and each line's share of its order's amount.
+
+    One product lookup for the enriched items and the item fact. The share is evaluated after it (as in the source
+    model), so duplicate product rows would dilute it; pass deduplicated products.
     """
-    p = products.select("product_id", F.col("name").alias("product_name"), "category")
-    j = items.join(p, "product_id", "left").select(
-        "item_id", "order_id", "product_id", "quantity", "unit_price", "amount", "_loaded_at",
-        "product_name", "category")
+    active = F.when(F.col("is_active"), surrogate_key("product_id")) if "is_active" in products.columns else F.lit(None)
+    p = products.select("product_id", F.col("name").alias("product_name"), "category", active.cast("string").alias("product_key"))
+    j = left_lookup(items, p, "product_id", ["product_name", "category", "product_key"])
     # staging guarantees non-null order ids, so the share join is a plain equi-join
     return with_share_of_group(j, "amount", ["order_id"], "revenue_contribution", keys_nullable=False).select(
-        "item_id", "order_id", "product_id", "quantity", "unit_price", "amount", "_loaded_at",
-        "product_name", "category", "revenue_contribution")
+        *ITEMS_ENRICHED, "product_key")
+
+
+def int_order_items_enriched(items: DataFrame, products: DataFrame) -> DataFrame:
+    return items_with_product(items, products).select(*ITEMS_ENRICHED)
 
 
 def orders_daily_agg(orders_enriched: DataFrame) -> DataFrame:

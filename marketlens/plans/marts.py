@@ -19,30 +19,43 @@ def dim_customers(stg_customers: DataFrame) -> DataFrame:
     )
 
 
-def dim_products(stg_products: DataFrame) -> DataFrame:
-    """Active products only; not deduplicated (as in the source model)."""
-    return stg_products.filter(F.col("is_active")).select(
+def dim_products(products: DataFrame) -> DataFrame:
+    """Active products, one row per row of ``products``: pass the latest load per product, or every load as loaded."""
+    return products.filter(F.col("is_active")).select(
         surrogate_key("product_id").alias("product_key"),
         "product_id", "name", "category", "unit_price", "is_active", "_loaded_at",
     )
 
 
-def fact_orders(orders_enriched: DataFrame, dim_cust: DataFrame) -> DataFrame:
-    o = left_lookup(orders_enriched, dim_cust, "customer_id", ["customer_key"])
-    return o.select(
-        surrogate_key("order_id").alias("order_key"),
-        "order_id", "customer_id", "customer_key", "region", "order_date", "order_hour", "status",
-        "currency", "promo_code", "has_promo", "total_amount", "continent",
-        F.col("customer_tier").alias("tier"),
-    )
+FACT_ORDERS = ("order_id", "customer_id", "customer_key", "region", "order_date", "order_hour", "status", "currency",
+               "promo_code", "has_promo", "total_amount", "continent", "tier")
 
 
-def fact_order_items(items_enriched: DataFrame, fact_ord: DataFrame, dim_prod: DataFrame) -> DataFrame:
-    fo = fact_ord.select("order_id", "order_key")
-    dp = dim_prod.select("product_id", "product_key")
-    j = items_enriched.join(fo, "order_id", "left").join(dp, "product_id", "left")
-    return j.select(
-        surrogate_key("item_id").alias("item_key"),
-        "item_id", "order_id", "order_key", "product_id", "product_key", "quantity", "unit_price", "amount",
-        "revenue_contribution", "product_name", "category",
-    )
+def fact_orders(orders: DataFrame) -> DataFrame:
+    """The order fact from ``intermediate.orders_with_customer``, which has the customer's key already."""
+    return orders.withColumnRenamed("customer_tier", "tier").select(surrogate_key("order_id").alias("order_key"), *FACT_ORDERS)
+
+
+def fact_orders_as_loaded(orders_enriched: DataFrame, dim_cust: DataFrame) -> DataFrame:
+    """The order fact with its own lookup of the current customer, for orders joined to every customer load."""
+    return fact_orders(left_lookup(orders_enriched, dim_cust, "customer_id", ["customer_key"]))
+
+
+FACT_ITEMS = ("item_id", "order_id", "order_key", "product_id", "product_key", "quantity", "unit_price", "amount",
+              "revenue_contribution", "product_name", "category")
+
+
+def fact_order_items(items: DataFrame, orders: DataFrame) -> DataFrame:
+    """The item fact from ``intermediate.items_with_product``, which has the product's key already.
+
+    ``orders`` are the order headers (order_id). As in the source model a header that landed n times gives each of its lines n
+    times: ``check_unique`` on the item key reports them.
+    """
+    o = orders.filter(F.col("order_id").isNotNull()).select("order_id", surrogate_key("order_id").alias("order_key"))
+    return items.join(o, "order_id", "left").select(surrogate_key("item_id").alias("item_key"), *FACT_ITEMS)
+
+
+def fact_order_items_as_loaded(items_enriched: DataFrame, orders: DataFrame, dim_prod: DataFrame) -> DataFrame:
+    """The item fact joined to every active product load, fan-out included."""
+    j = items_enriched.join(dim_prod.select("product_id", "product_key"), "product_id", "left")
+    return fact_order_items(j, orders)

@@ -63,7 +63,7 @@ def daily_order_metrics(orders_enriched: DataFrame, regions: DataFrame) -> DataF
         F.count_if(F.col("customer_tier") == "gold").alias("_gold"),
         F.count_if("has_promo").alias("_promo"),
     )
-    seed = F.broadcast(regions.select(F.col("region").alias("_seed_region"), F.col("continent").alias("_continent")))
+    seed = regions.select(F.col("region").alias("_seed_region"), F.col("continent").alias("_continent"))
     j = g.join(seed, g.region == seed._seed_region, "left")
     keyed = F.col("region").isNotNull() & F.col("order_date").isNotNull()
     return j.select(

@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 MONEY = "decimal(18,2)"
 
 
+def whole(c: Column) -> Column:
+    """An integer, fractions rounded half away from zero as the source's warehouse casts them."""
+    return F.round(c.cast("decimal(38,10)"), 0).cast("int")
+
+
 def stg_orders(raw: DataFrame) -> DataFrame:
     return raw.filter(F.col("order_id").isNotNull()).select(
         "order_id", "customer_id", "region",
@@ -22,7 +27,7 @@ def stg_orders(raw: DataFrame) -> DataFrame:
 def stg_order_items(raw: DataFrame) -> DataFrame:
     return raw.filter(F.col("item_id").isNotNull() & F.col("order_id").isNotNull()).select(
         "item_id", "order_id", "product_id",
-        F.col("quantity").cast("int").alias("quantity"),
+        whole(F.col("quantity")).alias("quantity"),
         F.col("unit_price").cast(MONEY).alias("unit_price"),
         F.col("amount").cast(MONEY).alias("amount"),
         "_loaded_at",

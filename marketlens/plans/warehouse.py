@@ -30,7 +30,7 @@ class Models:
     """
 
     # models read by several downstream models and checks (the hubs of the graph)
-    SHARED = frozenset({"stg_orders", "stg_customers", "int_orders_enriched", "fact_orders", "fact_order_items",
+    SHARED = frozenset({"stg_orders", "stg_customers", "orders_with_customer", "fact_orders", "fact_order_items",
                         "rpt_daily_kpis"})
 
     def __init__(self, raw: RawTables, regions: DataFrame, dedupe_dimensions: bool = True,
@@ -38,8 +38,8 @@ class Models:
         self.raw = raw
         self.regions = regions
         self.dedupe_dimensions = dedupe_dimensions
-        if reuse not in (None, "persist", "checkpoint"):
-            raise ValueError(f"reuse must be None, 'persist' or 'checkpoint', not {reuse!r}")
+        if reuse not in (None, "persist"):
+            raise ValueError(f"reuse must be None or 'persist', not {reuse!r}")
         self.reuse = reuse
         self.reuse_models = frozenset(reuse_models)
 
@@ -54,17 +54,14 @@ class Models:
         ``None``: lazily inlined (each consumer plans the whole lineage; right
         for a single output). ``"persist"``: computed once per job and kept
         (memory, spilling to disk) for every consumer; recomputed from lineage
-        if an executor is lost. ``"checkpoint"``: computed once into the shared
-        checkpoint folder (``spark.checkpoint.dir``), cutting the lineage.
-        Only models in ``reuse_models`` (by default the hubs read by several
+        if an executor is lost. To share models across jobs, write them as
+        Parquet (:func:`materialise`), which readers prune by column. Only models in ``reuse_models`` (by default the hubs read by several
         consumers) are shared this way; the rest stay inlined.
         """
         if name is not None and name not in self.reuse_models:
             return df
         if self.reuse == "persist":
             return df.persist(StorageLevel.MEMORY_AND_DISK)
-        if self.reuse == "checkpoint":
-            return df.checkpoint(eager=True)
         return df
 
     # staging
@@ -104,15 +101,23 @@ class Models:
         return self._done(latest_by_key(self.stg_products, ["product_id"], ["_loaded_at"]), "products_current")
 
     # intermediate
+    @cached_property
+    def orders_with_customer(self) -> DataFrame:
+        return self._done(intermediate.orders_with_customer(self.stg_orders, self.customers_current, self.regions),
+                          "orders_with_customer")
+
+    @cached_property
+    def items_with_product(self) -> DataFrame:
+        return self._done(intermediate.items_with_product(self.stg_order_items, self.products_current),
+                          "items_with_product")
+
     @cached_property
     def int_orders_enriched(self) -> DataFrame:
-        return self._done(intermediate.int_orders_enriched(self.stg_orders, self.customers_current, self.regions),
-                          "int_orders_enriched")
+        return self.orders_with_customer.select(*intermediate.ORDERS_ENRICHED)
 
     @cached_property
     def int_order_items_enriched(self) -> DataFrame:
-        return self._done(intermediate.int_order_items_enriched(self.stg_order_items, self.products_current),
-                          "int_order_items_enriched")
+        return self.items_with_product.select(*intermediate.ITEMS_ENRICHED)
 
     @cached_property
     def int_regional_daily(self) -> DataFrame:
@@ -126,16 +131,21 @@ class Models:
 
     @cached_property
     def dim_products(self) -> DataFrame:
-        return self._done(marts.dim_products(self.stg_products), "dim_products")
+        return self._done(marts.dim_products(self.products_current), "dim_products")
 
     @cached_property
     def fact_orders(self) -> DataFrame:
-        return self._done(marts.fact_orders(self.int_orders_enriched, self.dim_customers), "fact_orders")
+        if not self.dedupe_dimensions:
+            return self._done(marts.fact_orders_as_loaded(self.int_orders_enriched, self.dim_customers), "fact_orders")
+        return self._done(marts.fact_orders(self.orders_with_customer), "fact_orders")
 
     @cached_property
     def fact_order_items(self) -> DataFrame:
-        return self._done(marts.fact_order_items(self.int_order_items_enriched, self.fact_orders, self.dim_products),
-                          "fact_order_items")
+        if not self.dedupe_dimensions:
+            f = marts.fact_order_items_as_loaded(self.int_order_items_enriched, self.fact_orders, self.dim_products)
+        else:  # the headers themselves: their customer and region lookups add nothing to a line
+            f = marts.fact_order_items(self.items_with_product, self.stg_orders)
+        return self._done(f, "fact_order_items")
 
     # reporting
     @cached_property
@@ -157,25 +167,22 @@ MART_TABLES = ("dim_customers", "dim_products", "fact_orders", "fact_order_items
 def materialise(models: Models, base: str, tables=MART_TABLES) -> dict[str, DataFrame]:
     """Rebuild the mart and reporting tables as Parquet under ``base`` (full overwrite).
 
-    ``int_orders_enriched`` feeds both the order fact and the KPI table, so it
-    is written once and read back by both; the write also cuts the lineage,
-    so a lost executor recomputes from the written table rather than from the
-    raw scans. ``base`` must be a shared folder (e.g. under
-    ``spark.checkpoint.dir``), never a machine-local path on a cluster.
-    Returns DataFrames over the written tables.
+    ``orders_with_customer`` feeds both the order fact and the KPI table: the order fact is written first and the KPI table
+    and the item fact read the written tables they need. ``base`` must be a shared folder of this run's own (e.g. from
+    ``session.unique_path``): two runs must not write the same one. Returns DataFrames over the written tables.
     """
     spark = models.raw.orders.sparkSession
     base = base.rstrip("/")
-    shared = f"{base}/_intermediate/int_orders_enriched"
-    models.int_orders_enriched.write.mode("overwrite").parquet(shared)
-    enriched = spark.read.parquet(shared)
     m = Models(models.raw, models.regions, models.dedupe_dimensions, models.reuse, models.reuse_models)
-    m.__dict__["int_orders_enriched"] = enriched  # reuse the written table downstream
+    if "fact_orders" in tables or "rpt_daily_kpis" in tables:
+        shared = f"{base}/_intermediate/orders_with_customer"
+        models.orders_with_customer.write.mode("overwrite").parquet(shared)
+        m.__dict__["orders_with_customer"] = spark.read.parquet(shared)
     out = {}
     for name in tables:
         path = f"{base}/{name}"
         getattr(m, name).write.mode("overwrite").parquet(path)
-        out[name] = spark.read.parquet(path)
+        out[name] = m.__dict__[name] = spark.read.parquet(path)
     return out
 
 

@@ -10,7 +10,6 @@ bigint. The library functions themselves keep exact decimal money.
 from __future__ import annotations
 
 import hashlib
-import os
 from collections.abc import Callable
 from functools import reduce
 
@@ -31,8 +30,9 @@ from marketlens.plans.warehouse import Models
 from marketlens.schemas import LANDING
 from marketlens.session import apply_defaults, shared_path, unique_path
 from marketlens.sources import adapter
-from marketlens.sources.landing import (PARTITION_DIR, load_audit, mark_complete, path_complete, read_landing,
-                                        typed_load, with_audit, with_partition_columns, write_hour)
+from marketlens.sources.ingest import ingest_history, ingest_hour
+from marketlens.sources.landing import (_fs_path, flagged_load, load_audit, mark_complete, nanos_to_timestamp, partition_dir,
+                                        path_complete, read_landing, seed_regions, typed_load, with_audit, write_hour)
 from marketlens.streaming.ingest import ingested_schema, run_ingest
 
 # injected clock for freshness gates (the data's last day ends at this instant)
@@ -40,12 +40,8 @@ NOW = "2024-01-31 00:00:00"
 RUN_LOADED_AT = "2024-01-31 00:00:00"
 RUN_ID = "run-2024-01-31"
 SAMPLE_SEED = 42
-# Multi-model test queries read the same hub models from many checks. Inlined, each check
-# re-plans its model's lineage down to the raw scans (the orders were scanned 15 times in one
-# test run); checkpointed, each hub model is computed once into the shared checkpoint folder
-# and every check reads it. At sf0.1 this costs a few seconds of extra writes; at scale it
-# removes all but one pass over the raw inputs.
-REUSE_FOR_TESTS = "checkpoint"
+HOURS = ("2024-01-01 00", "2024-01-31 00")  # asked of the landing gates: the data's days and one hour more
+TABLES = ("customer", "orders", "lineitem", "part", "events")
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -80,20 +76,25 @@ def _models(spark, sf_dir, reuse: str | None = None) -> Models:
 
 
 # ---------------------------------------------------------------- landing
-def _input_key(sf_dir: str) -> str:
-    return hashlib.md5(f"{os.path.abspath(sf_dir)}|{adapter.ADAPTER_VERSION}".encode()).hexdigest()[:12]
+def _input_key(spark: SparkSession, sf_dir: str) -> str:
+    """Names the input by its files' paths, sizes and modification times, so that changed input isn't taken for old."""
+    seen = [adapter.ADAPTER_VERSION]
+    for t in TABLES:
+        p, fs = _fs_path(spark, f"{sf_dir.rstrip('/')}/{t}.parquet")
+        for s in ([fs.getFileStatus(p)] if fs.getFileStatus(p).isFile() else fs.listStatus(p)):
+            seen.append(f"{s.getPath()}|{s.getLen()}|{s.getModificationTime()}")
+    return hashlib.md5("\n".join(sorted(seen)).encode()).hexdigest()[:12]
 
 
 def ensure_landing(spark: SparkSession, sf_dir: str, entity: str = "orders") -> str:
-    """Write the test data's order headers once as hourly landing files; return the landing base.
+    """Write an entity of the test data once as hourly landing files; return the landing base.
 
     Written under the shared checkpoint folder; the write is an idempotent
     dynamic partition overwrite, so a concurrent or repeated call is harmless.
     """
-    base = shared_path(spark, "landing", _input_key(sf_dir))
+    base = shared_path(spark, "landing", _input_key(spark, sf_dir))
     if not path_complete(spark, f"{base}/{entity}"):
-        src = {"orders": adapter.landing_orders}[entity](spark, sf_dir)
-        write_hour(with_partition_columns(src), f"{base}/{entity}")
+        write_hour(adapter.landing_entity(spark, sf_dir, entity), f"{base}/{entity}")
         mark_complete(spark, f"{base}/{entity}")
     return base
 
@@ -110,7 +111,55 @@ def q_audit_columns(spark, sf_dir):
     """A2/A3: _source_file from file metadata, one _loaded_at per run."""
     base = ensure_landing(spark, sf_dir)
     df = with_audit(read_landing(spark, base, "orders"), RUN_LOADED_AT)
-    return df.select("order_id", "region", "date", "hour", "_source_file", "_loaded_at")
+    # the path up to the region folder and the part file's name differ from run to run
+    whole = F.col("_source_file").contains("/".join(base.split("/")[-3:])) & F.col("_source_file").endswith(".parquet")
+    return df.select("order_id", "region", "date", "hour", partition_dir().alias("_source_file"), whole.alias("whole_path"), "_loaded_at")
+
+
+def _landed(entity):
+    @query(f"landing_{entity}")
+    def q(spark, sf_dir):
+        return read_landing(spark, ensure_landing(spark, sf_dir, entity), entity)
+    q.__doc__ = f"A1/A8: the landing scan of {entity}, typed as declared."
+    return q
+
+
+for _e in adapter.RAW_ENTITIES[1:]:
+    _landed(_e)
+
+
+@query("landing_one_hour")
+def q_one_hour(spark, sf_dir):
+    """One (date, hour) of every region, by path."""
+    return read_landing(spark, ensure_landing(spark, sf_dir), "orders", "2024-01-15", "07")
+
+
+@query("landing_hour_rerun")
+def q_hour_rerun(spark, sf_dir):
+    """An hour ingested twice, and another once: the rerun replaces its own hour."""
+    base, run = ensure_landing(spark, sf_dir), unique_path(spark, "rerun")
+    for hour, loaded in (("07", "2024-01-15 08:00:00"), ("08", "2024-01-15 09:00:00"), ("07", "2024-01-15 10:00:00")):
+        ingest_hour(spark, base, run, "orders", "2024-01-15", hour, RUN_ID, loaded)
+    schema = "order_id string, region string, total_amount double, _loaded_at timestamp_ntz, date string, hour string"
+    return spark.read.schema(schema).parquet(run)
+
+
+@query("nanos_to_timestamp")
+def q_nanos(spark, sf_dir):
+    """Nanosecond timestamps cut to microseconds (every event a few hundred nanoseconds past its time)."""
+    e = adapter.table(spark, sf_dir, "events")
+    nanos = F.unix_micros(F.col("ts").cast("timestamp")) * 1000 + F.col("event_id") % 1000
+    return e.select("event_id", nanos.alias("nanos")).select("event_id", "nanos", nanos_to_timestamp(F.col("nanos")).alias("ts"))
+
+
+@query("rpt_daily_kpis_from_landing")
+def q_kpis_from_landing(spark, sf_dir):
+    """All five entities from landing files through the ingest and the models to the KPI table."""
+    for entity in adapter.RAW_ENTITIES:
+        base = ensure_landing(spark, sf_dir, entity)
+    raw = unique_path(spark, "raw")
+    ingest_history(spark, base, raw)
+    return Models(adapter.read_raw_tables(spark, raw), seed_regions(spark)).rpt_daily_kpis
 
 
 @query("union_regions")
@@ -130,40 +179,51 @@ def q_copy_load(spark, sf_dir):
     df = read_landing(spark, base, "orders")
     # columns arrive upper-cased, as from a foreign writer: the load matches names case-insensitively
     df = df.select(*[F.col(c).alias(c.upper()) for c in LANDING["orders"].fieldNames()],
-                   F.regexp_extract(F.col("_metadata.file_path"), PARTITION_DIR, 1).alias("_source_file"))
+                   partition_dir(F.col("_metadata.file_path")).alias("_source_file"))
     good, _ = typed_load(df, LANDING["orders"])
     return good
 
 
+def _text_orders(spark, sf_dir):
+    """The landed orders as a foreign writer's text, some of it not what it should be."""
+    df = read_landing(spark, ensure_landing(spark, sf_dir), "orders")
+    k = F.col("order_id").cast("bigint")
+    return df.select("order_id", "customer_id", "region",
+                     F.when(k % 40 == 2, "yesterday").otherwise(F.col("created_at").cast("string")).alias("created_at"),
+                     "status", "currency", "promo_code",
+                     F.when(k % 40 == 1, "n/a").otherwise(F.col("total_amount").cast("decimal(18,2)").cast("string")).alias("total_amount"),
+                     "date", "hour")
+
+
 @query("copy_load_entities")
 def q_copy_load_entities(spark, sf_dir):
-    """A8 x5: every raw entity through the typed load into its declared schema; loaded vs rejected rows."""
+    """A8 x5: every raw entity through the typed load into its declared schema; loaded vs rejected rows, one scan each.
+
+    Amounts and quantities arrive as text here, with a few that don't convert.
+    """
     r = adapter.raw_tables(spark, sf_dir)
+    amount = {"orders": "total_amount", "order_items": "quantity", "customers": "created_at", "products": "unit_price",
+              "marketing_events": "created_at"}
     parts = []
     for entity in adapter.RAW_ENTITIES:
-        good, bad = typed_load(getattr(r, entity), LANDING[entity])
-        parts.append(good.agg(F.count(F.lit(1)).alias("n")).select(
-            F.lit(entity).alias("entity"), F.lit("loaded").alias("outcome"), F.col("n").alias("n_rows")))
-        parts.append(bad.agg(F.count(F.lit(1)).alias("n")).select(
-            F.lit(entity).alias("entity"), F.lit("rejected").alias("outcome"), F.col("n").alias("n_rows")))
+        df, c, key = getattr(r, entity), amount[entity], LANDING[entity].fieldNames()[0]
+        df = df.withColumn(c, F.when(F.col(key).endswith("77"), "n/a").otherwise(F.col(c).cast("string")))
+        n = flagged_load(df, LANDING[entity]).agg(F.count_if(~F.col("_rejected")).alias("loaded"), F.count_if("_rejected").alias("rejected"))
+        parts.append(n.select(F.lit(entity).alias("entity"), F.expr("stack(2, 'loaded', loaded, 'rejected', rejected) as (outcome, n_rows)")))
     return _union(parts)
 
 
 @query("load_rejects")
 def q_load_rejects(spark, sf_dir):
-    """Rows that do not convert to the declared types (empty on well-typed files)."""
-    base = ensure_landing(spark, sf_dir)
-    _, rejects = typed_load(read_landing(spark, base, "orders"), LANDING["orders"])
+    """Rows that do not convert to the declared types, as they came."""
+    _, rejects = typed_load(_text_orders(spark, sf_dir), LANDING["orders"])
     return rejects
 
 
 @query("load_audit")
 def q_load_audit(spark, sf_dir):
     """Expected (landed) vs loaded rows per load date and region."""
-    base = ensure_landing(spark, sf_dir)
-    landed = read_landing(spark, base, "orders")
-    loaded, _ = typed_load(landed, LANDING["orders"])
-    return load_audit(landed, loaded, RUN_ID, "orders")
+    return load_audit(flagged_load(_text_orders(spark, sf_dir), LANDING["orders"]), RUN_ID, "orders")
 
 
 @query("seed_regions")
@@ -261,6 +321,12 @@ def q_int_orders_as_loaded(spark, sf_dir):
     return Models.from_test_tables(spark, sf_dir, dedupe_dimensions=False).int_orders_enriched
 
 
+@query("fact_order_items_as_loaded")
+def q_items_as_loaded(spark, sf_dir):
+    """G12 exactly as the source SQL on the product load history (a line per product load and active product load)."""
+    return Models.from_test_tables(spark, sf_dir, dedupe_dimensions=False).fact_order_items
+
+
 @query("rpt_daily_kpis_as_loaded")
 def q_kpis_as_loaded(spark, sf_dir):
     """G13 exactly as the source SQL on the load history (order counts include the customer fan-out)."""
@@ -331,7 +397,7 @@ def _union(dfs):
 @query("check_not_null")
 def q_not_null(spark, sf_dir):
     """H1: the 17 declared not-null tests, one aggregation pass per model."""
-    ms = models_of(_models(spark, sf_dir, reuse=REUSE_FOR_TESTS))
+    ms = models_of(_models(spark, sf_dir))
     r = _union([checks.not_null_counts(ms[m], cols, m) for m, cols in NOT_NULL_TESTS.items()])
     return r.withColumn("passed", F.col("n_null") == 0)
 
@@ -339,7 +405,7 @@ def q_not_null(spark, sf_dir):
 @query("check_unique")
 def q_unique(spark, sf_dir):
     """H2: values violating the 8 declared unique tests."""
-    ms = models_of(_models(spark, sf_dir, reuse=REUSE_FOR_TESTS))
+    ms = models_of(_models(spark, sf_dir))
     return _union([checks.unique(ms[m], c, m) for m, c in UNIQUE_TESTS])
 
 
@@ -379,42 +445,53 @@ def q_total_reconciliation(spark, sf_dir):
 
 @query("check_revenue_not_negative")
 def q_not_negative(spark, sf_dir):
-    """H8: KPI rows with negative gross revenue."""
-    k = _models(spark, sf_dir).rpt_daily_kpis
-    return checks.not_negative(k, "gross_revenue").select("report_date", "region", "gross_revenue")
+    """H8: KPI rows with negative gross revenue, and the order headers with a negative total behind them."""
+    m = _models(spark, sf_dir)
+    k = checks.not_negative(m.rpt_daily_kpis, "gross_revenue").select(
+        F.lit("rpt_daily_kpis").alias("model"), F.col("report_date").alias("day"), "region", F.lit(None).cast("string").alias("order_id"),
+        F.col("gross_revenue").cast("decimal(38,2)").alias("revenue"))
+    o = checks.not_negative(m.fact_orders, "total_amount").select(
+        F.lit("fact_orders").alias("model"), F.col("order_date").alias("day"), "region", "order_id",
+        F.col("total_amount").cast("decimal(38,2)").alias("revenue"))
+    return k.unionByName(o)
 
 
 @query("data_tests")
 def q_data_tests(spark, sf_dir):
-    """H1-H8 as a test run: one row per declared test with its failure count and status.
-
-    The tests span nine models that share their inputs, so the hub models are
-    checkpointed: each is computed once and every test reads it.
-    """
-    return run_data_tests(_models(spark, sf_dir, reuse=REUSE_FOR_TESTS))
+    """H1-H8 as a test run: one row per declared test with its failure count and status."""
+    return run_data_tests(_models(spark, sf_dir))
 
 
 def _batches(spark, sf_dir):
-    return with_partition_columns(adapter.raw_order(spark, sf_dir)).select("region", "date", "hour")
+    """Region, date and hour of the landed rows, from the files' paths."""
+    return read_landing(spark, ensure_landing(spark, sf_dir), "orders").select("region", "date", "hour")
 
 
 @query("region_manifest")
 def q_manifest(spark, sf_dir):
-    """Rows landed per expected region for every observed hour."""
-    return gates.region_manifest(_batches(spark, sf_dir))
+    """Rows landed per region for every hour asked for, hours without any included."""
+    return gates.region_manifest(_batches(spark, sf_dir), since=HOURS[0], until=HOURS[1])
 
 
 @query("hour_completeness")
 def q_completeness(spark, sf_dir):
-    """Regions landed per hour, complete flag, missing regions."""
-    return gates.hour_completeness(_batches(spark, sf_dir))
+    """Regions landed per hour asked for, complete flag, missing and unexpected regions."""
+    return gates.hour_completeness(_batches(spark, sf_dir), since=HOURS[0], until=HOURS[1])
+
+
+@query("non_empty_load")
+def q_non_empty(spark, sf_dir):
+    """Rows loaded into each raw table on one day, 0 and not passed where nothing was."""
+    r = adapter.raw_tables(spark, sf_dir)
+    return gates.non_empty_load({"raw_order": r.orders, "raw_order_item": r.order_items, "raw_customer": r.customers,
+                                 "raw_product": r.products, "raw_marketing_event": r.marketing_events}, "2024-01-15")
 
 
 @query("referential_subset")
 def q_ref_subset(spark, sf_dir):
-    """Item rows whose order id is not among the order ids."""
+    """Item rows whose product isn't among the active products (latest load)."""
     m = _models(spark, sf_dir)
-    return checks.orphans(m.stg_order_items.select("item_id", "order_id"), m.stg_orders, "order_id")
+    return checks.orphans(m.stg_order_items.select("item_id", "product_id"), m.dim_products, "product_id")
 
 
 # ---------------------------------------------------------------- detectors
@@ -497,8 +574,7 @@ def q_volume_anomaly(spark, sf_dir):
 def q_materialised(spark, sf_dir):
     """Marts and KPI table rebuilt as tables in the shared folder, read back."""
     from marketlens.plans.warehouse import materialise
-    # one folder per input (overwritten on rerun: idempotent, nothing left behind)
-    tables = materialise(_models(spark, sf_dir), shared_path(spark, "marts", _input_key(sf_dir)))
+    tables = materialise(_models(spark, sf_dir), unique_path(spark, "marts"))
     return tables["rpt_daily_kpis"]
 
 
@@ -510,4 +586,4 @@ def q_streaming(spark, sf_dir):
     run = unique_path(spark, "ingest")
     run_ingest(spark, base, "orders", f"{run}/table", f"{run}/checkpoint")
     t = spark.read.schema(ingested_schema("orders")).parquet(f"{run}/table")
-    return t.select(*LANDING["orders"].fieldNames(), "date", "hour", "_source_file")
+    return t.select(*LANDING["orders"].fieldNames(), "date", "hour", partition_dir().alias("_source_file"))

@@ -8,12 +8,14 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-# Defaults a cluster job should run with; anything already set on the session wins.
+# Defaults a cluster job should run with.
 DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # split a hot key even where a later operator then needs another shuffle
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.localShuffleReader.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.parquet.filterPushdown": "true",
@@ -69,7 +71,9 @@ def build_session(master: str = "local[*]", app: str = "marketlens",
 
 
 def apply_defaults(spark: SparkSession) -> None:
-    """Pin the settings results depend on (UTC, dynamic partition overwrite) and size file listing.
+    """Pin the settings results depend on and size file listing.
+
+    This overwrites the session's time zone (UTC) and partition overwrite mode (dynamic), whatever was set.
 
     Many small landing files (one per region-hour) are listed by a Spark job
     with one task per path by default; two tasks per core list them with far
@@ -86,8 +90,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster this is set by the platform to a shared (HDFS/object-store)
-    folder and is only read here. A private folder is created only when the
-    setting is missing, which happens in local tests.
+    folder and is only read here; without it an error is raised. Only a plain
+    local session (one process, as in tests) gets a private folder.
     """
     sc = spark.sparkContext
     d = sc.getConf().get("spark.checkpoint.dir", None)
@@ -97,6 +101,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         except Exception:  # noqa: BLE001 - unset key
             d = None
     if not d:
+        d = sc.getCheckpointDir()
+    if not d:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="marketlens-ckpt-")
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(d)

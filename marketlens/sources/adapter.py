@@ -5,7 +5,7 @@ The driver ships TPC-H-shaped tables; the library works on retail raw tables
 one onto the other with deterministic column rules so an independent SQL
 engine can derive the same rows. Defects of the kinds the source business
 pipeline lands (duplicate headers, null customer, negative and inflated
-totals, orphaned headers, invalid currency) are placed by key arithmetic, so
+totals, invalid currency) are placed by key arithmetic, so
 the quality operators have real findings to detect.
 
 Mapping rules (k = order key):
@@ -16,9 +16,11 @@ Mapping rules (k = order key):
   item amount    extended price; unit price = floor(amount cents / quantity) / 100
   header total   sum of the order's line amounts (its own total price when it has no lines)
   defects        duplicate k % 50 = 0, null customer k % 100 = 7, negative total k % 200 = 3,
-                 total x1.15 k % 100 = 11, lines removed k % 200 = 5, currency 'XXX' k % 300 = 13
+                 total x1.15 k % 100 = 11, currency 'XXX' k % 300 = 13 (orders without lines are in the data)
   customers      one load on 2024-01-01, a re-load of c_custkey % 5 = 0 on 2024-01-15
-  events         view -> IMPRESSION, others upper-cased; 'error' rows dropped
+  products       one load on 2024-01-01, a re-load of p_partkey % 4 = 0 on 2024-01-15, which renames them and
+                 retires p_partkey % 40 = 8
+  events         view -> IMPRESSION, others upper-cased
 """
 
 from __future__ import annotations
@@ -30,10 +32,11 @@ from pyspark.sql import functions as F
 
 from marketlens.constants import REGION_CURRENCY, REGIONS
 from marketlens.functions.scalars import hour_floor, lookup
+from marketlens.schemas import landing_with_partitions
 
-ADAPTER_VERSION = "2"
+ADAPTER_VERSION = "3"
 FIRST_LOAD = "2024-01-01 00:00:00"
-CUSTOMER_RELOAD = "2024-01-15 00:00:00"
+RELOAD = "2024-01-15 00:00:00"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -80,7 +83,7 @@ def raw_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
         _ntz(FIRST_LOAD).alias("_loaded_at"), F.lit("2024-01-01").alias("load_date"))
     reload = F.struct(
         F.when(bal >= 6000, "GOLD").when(bal >= 2000, "SILVER").otherwise("BRONZE").alias("tier"),
-        _ntz(CUSTOMER_RELOAD).alias("_loaded_at"), F.lit("2024-01-15").alias("load_date"))
+        _ntz(RELOAD).alias("_loaded_at"), F.lit("2024-01-15").alias("load_date"))
     loads = F.when(F.col("c_custkey") % 5 == 0, F.array(first, reload)).otherwise(F.array(first))
     e = c.select(
         F.col("c_custkey").cast("string").alias("customer_id"),
@@ -100,16 +103,17 @@ def raw_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_product(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = table(spark, sf_dir, "part")
-    return p.select(
-        F.col("p_partkey").cast("string").alias("product_id"),
-        F.col("p_name").alias("name"),
-        F.col("p_type").alias("category"),
-        F.col("p_retailprice").alias("unit_price"),
-        (F.col("p_partkey") % 10 != 0).alias("is_active"),
-        _ntz(FIRST_LOAD).alias("_loaded_at"),
-        F.lit("date=2024-01-01/hour=00").alias("_source_file"),
-    )
+    """Product load history: every product on the first load, a re-load of some later."""
+    k = F.col("p_partkey")
+    first = F.struct(F.col("p_name").alias("name"), (k % 10 != 0).alias("is_active"),
+                     _ntz(FIRST_LOAD).alias("_loaded_at"), F.lit("2024-01-01").alias("load_date"))
+    reload = F.struct(F.concat(F.col("p_name"), F.lit(" v2")).alias("name"), ((k % 10 != 0) & (k % 40 != 8)).alias("is_active"),
+                      _ntz(RELOAD).alias("_loaded_at"), F.lit("2024-01-15").alias("load_date"))
+    p = table(spark, sf_dir, "part").select(
+        k.cast("string").alias("product_id"), F.col("p_type").alias("category"), F.col("p_retailprice").alias("unit_price"),
+        F.explode(F.when(k % 4 == 0, F.array(first, reload)).otherwise(F.array(first))).alias("load"))
+    return p.select("product_id", "load.name", "category", "unit_price", "load.is_active", "load._loaded_at",
+                    F.concat(F.lit("date="), F.col("load.load_date"), F.lit("/hour=00")).alias("_source_file"))
 
 
 def _line_cents(li: DataFrame) -> DataFrame:
@@ -163,7 +167,7 @@ def raw_order(spark: SparkSession, sf_dir: str) -> DataFrame:
 def raw_order_item(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
                                                  "l_quantity", "l_extendedprice")
-    li = _line_cents(li.filter(F.col("l_orderkey") % 200 != 5))
+    li = _line_cents(li)
     k = F.col("l_orderkey")
     return li.select(
         F.concat_ws("-", k.cast("string"), F.col("l_linenumber").cast("string"),
@@ -177,8 +181,23 @@ def raw_order_item(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def landing_entity(spark: SparkSession, sf_dir: str, entity: str) -> DataFrame:
+    """Rows of an entity as they land: its declared columns and the region, date and hour of its file.
+
+    Orders and events land in the hour in which they were made, the others in the hour of their load; lines and
+    products, which have no region, in the folder of the first region.
+    """
+    raw = {"orders": landing_orders, "order_items": raw_order_item, "customers": raw_customer, "products": raw_product,
+           "marketing_events": raw_marketing_event}[entity](spark, sf_dir)
+    if "region" not in raw.columns:
+        raw = raw.withColumn("region", F.lit(REGIONS[0]))
+    at = F.col("created_at" if entity in ("orders", "marketing_events") else "_loaded_at")
+    raw = raw.withColumns({"date": F.date_format(at, "yyyy-MM-dd"), "hour": F.date_format(at, "HH")})
+    return raw.select(*landing_with_partitions(entity).fieldNames())
+
+
 def raw_marketing_event(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = table(spark, sf_dir, "events").filter(F.col("event_type") != "error")
+    e = table(spark, sf_dir, "events")
     cust = _customer_nation(spark, sf_dir)
     j = e.join(cust, e.user_id == cust.c_custkey, "left")
     created = F.date_trunc("second", "ts").cast("timestamp_ntz")

@@ -1,11 +1,8 @@
-"""Hourly batch ingest: one landing hour -> raw table partition + load-audit rows.
-
-The job reads every region file of the hour in one scan, adds the lineage
-columns, and writes the raw table with dynamic partition overwrite on
-(date, hour): rerunning an hour (a retry, a backfill) replaces that hour
-instead of appending it twice. Rows are counted in flight with an
-``Observation`` (no second pass over the data) and the audit rows are built
-from per-region counts of the same write.
+"""Batch ingest: landing files -> raw table partitions + load-audit rows.
+
+The hourly job reads every region file of the hour in one scan, adds the lineage columns, and writes the raw table with
+dynamic partition overwrite on (date, hour): rerunning an hour (a retry, a backfill) replaces that hour instead of
+appending it twice. Rows are counted in flight with an ``Observation`` (no second pass over the written data).
 """
 
 from __future__ import annotations
@@ -13,37 +10,51 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from marketlens.constants import REGIONS
-from marketlens.sources.landing import cluster_for_write, read_landing, with_audit
+from marketlens.sources.adapter import RAW_ENTITIES
+from marketlens.sources.landing import cluster_for_write, read_foreign_hour, read_landing, with_audit
 
 
 def ingest_hour(spark: SparkSession, landing_base: str, raw_path: str, entity: str, date: str, hour: str,
-                run_id: str, loaded_at: str, regions=REGIONS) -> tuple[int, DataFrame]:
+                run_id: str, loaded_at: str, foreign: bool = False) -> tuple[int, DataFrame]:
     """Load one hour; returns (rows written, audit rows per region).
 
-    Loaded rows per region are observed during the write itself (one counter
-    per configured region), so the audit describes exactly what this run
-    wrote, even if a later rerun replaces the partition.
+    ``foreign``: files whose types may differ from the declared ones (:func:`read_foreign_hour`).
+
+    The audit lists the regions that the batch itself has, listed or not, NULL included (a bounded set that is counted
+    before the write); the rows written per region are observed during the write, so the audit describes exactly what
+    this run wrote, even if a later rerun replaces the partition.
     """
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    landed = with_audit(read_landing(spark, landing_base, entity, date, hour), loaded_at)
+    if foreign:
+        landed = read_foreign_hour(spark, landing_base, entity, date, hour).withColumn(
+            "_loaded_at", F.lit(loaded_at).cast("timestamp_ntz"))
+    else:
+        landed = with_audit(read_landing(spark, landing_base, entity, date, hour), loaded_at)
+    expected = [(r.region, r.n) for r in landed.groupBy("region").agg(F.count(F.lit(1)).alias("n")).collect()]
     obs = Observation(f"ingest_{entity}_{date}_{hour}")
     metrics = [F.count(F.lit(1)).alias("rows")] + [
-        F.count_if(F.col("region") == r).alias(f"r{i}") for i, r in enumerate(regions)]
+        F.count_if(F.col("region").eqNullSafe(F.lit(r))).alias(f"r{i}") for i, (r, _) in enumerate(expected)]
     # observe above the range exchange: its boundary-sampling pass must not be counted
     observed = cluster_for_write(landed, ("date", "hour")).observe(obs, *metrics)
     observed.write.mode("overwrite").partitionBy("date", "hour").parquet(raw_path)
     got = obs.get
-    n = int(got.get("rows", 0))
-    actual = spark.createDataFrame([(r, int(got.get(f"r{i}", 0))) for i, r in enumerate(regions)],
-                                   "region string, sf_actual_rows bigint")
-    expected = read_landing(spark, landing_base, entity, date, hour).groupBy("region").agg(
-        F.count(F.lit(1)).alias("s3_expected_rows"))
-    audit = expected.join(actual, "region", "full").filter(
-        F.col("s3_expected_rows").isNotNull() | (F.col("sf_actual_rows") > 0)).select(
+    rows = [(r, n, int(got.get(f"r{i}", 0))) for i, (r, n) in enumerate(expected)]
+    audit = spark.createDataFrame(rows, "region string, s3_expected_rows bigint, sf_actual_rows bigint").select(
         F.expr("uuid()").alias("load_id"), F.lit(run_id).alias("dag_run_id"),
         F.lit(date).cast("date").alias("load_date"), "region", F.lit(entity).alias("entity"),
-        F.coalesce("s3_expected_rows", F.lit(0)).alias("s3_expected_rows"),
-        F.coalesce("sf_actual_rows", F.lit(0)).alias("sf_actual_rows"),
-        F.current_timestamp().alias("loaded_at"))
-    return n, audit
+        "s3_expected_rows", "sf_actual_rows", F.current_timestamp().alias("loaded_at"))
+    return int(got.get("rows", 0)), audit
+
+
+def ingest_history(spark: SparkSession, landing_base: str, raw_base: str, entities=RAW_ENTITIES) -> None:
+    """Backfill: every landed hour of each entity into ``{raw_base}/{entity}``, one job per entity.
+
+    A batch's ``_loaded_at`` is the end of its landing hour, as the hourly job would have set it, so later loads of a
+    customer or product stay later. Rerunning replaces the same (date, hour) partitions.
+    """
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    for entity in entities:
+        landed = read_landing(spark, landing_base, entity)
+        loaded = F.concat_ws(" ", "date", F.concat("hour", F.lit(":00:00"))).cast("timestamp_ntz") + F.expr("INTERVAL 1 HOUR")
+        cluster_for_write(with_audit(landed, loaded), ("date", "hour")).write.mode("overwrite").partitionBy("date", "hour").parquet(
+            f"{raw_base.rstrip('/')}/{entity}")

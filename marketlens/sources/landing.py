@@ -1,17 +1,17 @@
 """Hourly landing files: partitioned scan, audit columns, typed load, sinks.
 
-Layout: ``{base}/{entity}/region=R/date=YYYY-MM-DD/hour=HH/part-*.parquet``.
-Reads are a single glob scan with an explicit schema, so Spark lists and
-plans every region file of an hour in parallel and prunes partitions from the
-path; there is no per-file driver loop.
+Two layouts: the generator's, ``{base}/region=R/date=YYYY-MM-DD/hour=HH/{entity}.parquet``, and this library's own sink,
+``{base}/{entity}/region=R/date=YYYY-MM-DD/hour=HH/part-*.parquet``. Reads are a single glob scan with an explicit schema,
+so Spark lists and plans every region file of an hour in parallel and prunes partitions from the path; there is no
+per-file driver loop.
 """
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
-from pyspark.errors import AnalysisException
+from pyspark.sql.types import DataType, IntegralType, StructType
 
 from marketlens.constants import SEED_REGIONS
 from marketlens.schemas import LANDING, LOAD_AUDIT, PARTITION_COLUMNS, landing_with_partitions
@@ -23,78 +23,91 @@ def entity_path(base: str, entity: str) -> str:
     return f"{base.rstrip('/')}/{entity}"
 
 
+def _globbed(spark: SparkSession, pattern: str) -> bool:
+    p, fs = _fs_path(spark, pattern)
+    return bool(fs.globStatus(p))
+
+
+def landing_files(spark: SparkSession, base: str, entity: str) -> tuple[str, str]:
+    """(root, file part) of an entity's landing: where region folders begin and what follows the hour folder.
+
+    Raises FileNotFoundError if ``base`` has neither layout, so that a wrong path isn't read as an hour without data.
+    """
+    base = base.rstrip("/")
+    if _globbed(spark, f"{base}/{entity}"):
+        return f"{base}/{entity}", ""
+    if _globbed(spark, f"{base}/region=*"):
+        return base, f"/{entity}.parquet"
+    raise FileNotFoundError(f"no landing of {entity} at {base}: neither {entity}/region=... nor "
+                            f"region=.../date=.../hour=.../{entity}.parquet")
+
+
 def read_landing(spark: SparkSession, base: str, entity: str, date: str = "*", hour: str = "*",
                  regions: list[str] | None = None, schema: StructType | None = None) -> DataFrame:
-    """Scan every region's ``entity`` files of one (date, hour), or the whole history.
+    """Scan every region's ``entity`` files of one (date, hour), or the whole history, in either layout.
 
-    One hour (the hourly job) is a glob over six region folders; the whole
-    history reads the entity root with partition discovery, and any region /
-    date / hour predicate becomes a partition filter pruned at listing. A
-    region whose file is absent is simply not matched (A4); if nothing
-    matches at all, an empty frame with the declared schema is returned.
+    One hour (the hourly job) is a glob over the region folders, and so are some regions; the whole history of the
+    library's own layout reads the entity root with partition discovery. Any region / date / hour predicate becomes a
+    partition filter. A region whose file is absent is simply not matched (A4); if nothing matches an hour, an empty frame
+    with the declared schema is returned. A base without any landing raises (:func:`landing_files`).
     """
-    root = entity_path(base, entity)
+    root, file = landing_files(spark, base, entity)
     schema = schema or landing_with_partitions(entity)
+    if regions is not None and not regions:
+        return spark.createDataFrame([], schema)
+    if date == "*" and hour == "*" and regions is None and not file:
+        return spark.read.schema(schema).parquet(root)
+    region = "*" if regions is None else "{" + ",".join(regions) + "}"
     try:
-        if date == "*" and hour == "*" and regions is not None:
-            # list only the requested regions' folders (existing ones; a missing region is skipped)
-            paths = [f"{root}/region={r}" for r in regions if _exists(spark, f"{root}/region={r}")]
-            if not paths:
-                return spark.createDataFrame([], schema)
-            df = spark.read.schema(schema).option("basePath", root).parquet(*paths)
-        elif date == "*" and hour == "*":
-            df = spark.read.schema(schema).parquet(root)
-        else:
-            df = spark.read.schema(schema).option("basePath", root).parquet(
-                f"{root}/region=*/date={date}/hour={hour}")
-    except AnalysisException as e:  # unmatched glob / missing root -> PATH_NOT_FOUND
+        return spark.read.schema(schema).option("basePath", root).parquet(
+            f"{root}/region={region}/date={date}/hour={hour}{file}")
+    except AnalysisException as e:  # the glob matches nothing
         if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e):
             raise
         return spark.createDataFrame([], schema)
-    if regions is not None:
-        df = df.filter(F.col("region").isin(list(regions)))
-    return df
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    p, fs = _fs_path(spark, path)
-    return bool(fs.exists(p))
 
 
 def with_audit(df: DataFrame, loaded_at) -> DataFrame:
-    """Add lineage: ``_source_file`` (partition path of the file) and one ``_loaded_at`` per run."""
+    """Add lineage: ``_source_file`` (the file's whole path) and one ``_loaded_at`` per run."""
     loaded = loaded_at if isinstance(loaded_at, Column) else F.lit(loaded_at).cast("timestamp_ntz")
-    return df.select("*", F.regexp_extract(F.col("_metadata.file_path"), PARTITION_DIR, 1).alias("_source_file"),
-                     loaded.alias("_loaded_at"))
+    return df.select("*", F.col("_metadata.file_path").alias("_source_file"), loaded.alias("_loaded_at"))
 
 
-def typed_load(df: DataFrame, schema: StructType) -> tuple[DataFrame, DataFrame]:
-    """Project + try_cast to ``schema`` (case-insensitive names); split off rejects.
+def partition_dir(source_file: str | Column = "_source_file") -> Column:
+    """The region, date and hour folders of a file's path."""
+    return F.regexp_extract(source_file, PARTITION_DIR, 1)
+
+
+def _typed(name: str, kind: DataType) -> Column:
+    if isinstance(kind, IntegralType):  # fractions are rounded half away from zero, as the source's warehouse loads them
+        return F.expr(f"try_cast(round(try_cast(`{name}` as decimal(38,10)), 0) as {kind.simpleString()})")
+    return F.expr(f"try_cast(`{name}` as {kind.simpleString()})")
 
-    A row is rejected when some non-null input does not convert. The two
-    outputs are separate lazy plans over ``df``; a caller that writes both
-    should persist ``df`` (or write the flagged frame once) to scan it once.
+
+def flagged_load(df: DataFrame, schema: StructType) -> DataFrame:
+    """Project + try_cast to ``schema`` (case-insensitive names), other columns kept, and ``_rejected``.
+
+    A row is rejected when some non-null input does not convert. One scan gives loaded and rejected rows.
     """
     lower = {c.lower(): c for c in df.columns}
-    casts, bad = [], []
+    casts, rejected = [], F.lit(False)
     for f in schema.fields:
         src = lower.get(f.name.lower())
         if src is None:
             casts.append(F.lit(None).cast(f.dataType).alias(f.name))
             continue
-        typed = F.col(src).try_cast(f.dataType) if hasattr(F.col(src), "try_cast") else F.expr(
-            f"try_cast(`{src}` as {f.dataType.simpleString()})")
+        typed = _typed(src, f.dataType)
         casts.append(typed.alias(f.name))
-        bad.append(F.col(src).isNotNull() & typed.isNull())
-    reject_flag = F.lit(False)
-    for b in bad:
-        reject_flag = reject_flag | b
+        rejected = rejected | (F.col(src).isNotNull() & typed.isNull())
     declared = {f.name.lower() for f in schema.fields}
     keep = [c for c in df.columns if c.lower() not in declared]
-    flagged = df.select(*casts, *[F.col(c) for c in keep], reject_flag.alias("_rejected"))
-    good = flagged.filter(~F.col("_rejected")).drop("_rejected")
-    rejects = (df.select("*", reject_flag.alias("_rejected")).filter("_rejected").drop("_rejected"))
-    return good, rejects
+    return df.select(*casts, *[F.col(c) for c in keep], rejected.alias("_rejected"))
+
+
+def typed_load(df: DataFrame, schema: StructType) -> tuple[DataFrame, DataFrame]:
+    """(loaded rows in ``schema``, rejected rows as they came), two lazy plans over ``df``."""
+    flag = flagged_load(df.withColumn("_as_read", F.struct("*")), schema)
+    return flag.filter("NOT _rejected").drop("_rejected", "_as_read"), flag.filter("_rejected").select("_as_read.*")
 
 
 def seed_regions(spark: SparkSession) -> DataFrame:
@@ -152,48 +165,48 @@ def mark_complete(spark: SparkSession, path: str) -> None:
     fs.create(p, True).close()
 
 
-def load_audit(landed: DataFrame, loaded: DataFrame, run_id: str, entity: str) -> DataFrame:
-    """Per (load_date, region): expected rows from the landing scan vs rows loaded.
-
-    Both sides are pre-aggregated to one row per (date, region) before the join.
-    """
-    exp = landed.groupBy(F.col("date").cast("date").alias("load_date"), "region").agg(
-        F.count(F.lit(1)).alias("s3_expected_rows"))
-    act = loaded.groupBy(F.col("date").cast("date").alias("load_date"), "region").agg(
-        F.count(F.lit(1)).alias("sf_actual_rows"))
-    return (exp.join(act, ["load_date", "region"], "full")
-            .select(F.lit(run_id).alias("dag_run_id"), "load_date", "region", F.lit(entity).alias("entity"),
-                    F.col("s3_expected_rows").cast("bigint").alias("s3_expected_rows"),
-                    F.coalesce("sf_actual_rows", F.lit(0)).cast("bigint").alias("sf_actual_rows")))
+def load_audit(flagged: DataFrame, run_id: str, entity: str) -> DataFrame:
+    """Per (load_date, region): rows expected (all that landed) and rows loaded, one pass over :func:`flagged_load`."""
+    return flagged.groupBy(F.col("date").cast("date").alias("load_date"), "region").agg(
+        F.count(F.lit(1)).alias("s3_expected_rows"), F.count_if(~F.col("_rejected")).alias("sf_actual_rows")).select(
+        F.lit(run_id).alias("dag_run_id"), "load_date", "region", F.lit(entity).alias("entity"), "s3_expected_rows", "sf_actual_rows")
 
 
 __all__ = ["LANDING", "LOAD_AUDIT", "read_landing", "with_audit", "typed_load", "seed_regions", "write_hour",
-           "load_audit", "read_foreign_hour", "path_complete", "mark_complete", "with_partition_columns",
+           "load_audit", "flagged_load", "landing_files", "partition_dir", "nanos_to_timestamp", "read_foreign_hour", "path_complete", "mark_complete", "with_partition_columns",
            "read_seed_csv", "cluster_for_write"]
 
 
+def nanos_to_timestamp(nanos: Column) -> Column:
+    """Whole nanoseconds since 1970 as a naive UTC timestamp, cut to microseconds in whole-number arithmetic."""
+    return F.timestamp_micros(F.call_function("div", nanos, F.lit(1000).cast("bigint"))).cast("timestamp_ntz")
+
+
 def read_foreign_hour(spark: SparkSession, base: str, entity: str, date: str, hour: str,
                       regions: list[str] | None = None) -> DataFrame:
-    """Read one landing hour written by a foreign writer (e.g. pandas/pyarrow) into the declared schema.
+    """Read one landing hour written by a foreign writer (e.g. pandas/pyarrow) into the declared schema, in either layout.
 
-    Such files may carry nanosecond timestamps (read as bigint, then ns -> us)
-    or a column that is NULL in every row of a file and was therefore written
-    with a placeholder type. Each region's file of the hour (at most one per
-    region) is read with its own inferred schema, conformed to the declared
-    types and the parts are concatenated by name.
+    Such files may carry nanosecond timestamps (read as bigint, then ns -> us) or a column that is NULL in every row of a
+    file and was therefore written with a placeholder type. Each region's file of the hour is read with its own inferred
+    schema, conformed to the declared types, given its path as ``_source_file``, and the parts are concatenated by name. The
+    session setting that lets nanoseconds be inferred as whole numbers holds only while the schemas are inferred.
     """
     from marketlens.constants import REGIONS as ALL_REGIONS
 
-    spark.conf.set("spark.sql.legacy.parquet.nanosAsLong", "true")
+    setting = "spark.sql.legacy.parquet.nanosAsLong"
+    before = spark.conf.get(setting, None)
     declared = LANDING[entity]
-    root = entity_path(base, entity)
+    root, file = landing_files(spark, base, entity)
     parts = []
     for r in regions or ALL_REGIONS:
-        path = f"{root}/region={r}/date={date}/hour={hour}"
-        p, fs = _fs_path(spark, path)
-        if not fs.exists(p):
+        path = f"{root}/region={r}/date={date}/hour={hour}{file}"
+        if not _globbed(spark, path):
             continue  # missing region file is tolerated
-        df = spark.read.parquet(path)
+        spark.conf.set(setting, "true")
+        try:
+            df = spark.read.parquet(path)
+        finally:
+            spark.conf.unset(setting) if before is None else spark.conf.set(setting, before)
         have = dict(df.dtypes)
         cols = []
         for f in declared.fields:
@@ -202,12 +215,14 @@ def read_foreign_hour(spark: SparkSession, base: str, entity: str, date: str, ho
             elif f.name not in have:
                 cols.append(F.lit(None).cast(f.dataType).alias(f.name))
             elif f.dataType.simpleString() == "timestamp_ntz" and have[f.name] == "bigint":
-                cols.append(F.timestamp_micros(F.floor(F.col(f.name) / 1000)).cast("timestamp_ntz").alias(f.name))
+                cols.append(nanos_to_timestamp(F.col(f.name)).alias(f.name))
             else:
                 cols.append(F.col(f.name).cast(f.dataType).alias(f.name))
-        parts.append(df.select(*cols, F.lit(date).alias("date"), F.lit(hour).alias("hour")))
+        if "region" not in declared.fieldNames():
+            cols.append(F.lit(r).alias("region"))
+        parts.append(df.select(*cols, F.lit(date).alias("date"), F.lit(hour).alias("hour"), F.col("_metadata.file_path").alias("_source_file")))
     if not parts:
-        return spark.createDataFrame([], landing_with_partitions(entity))
+        return spark.createDataFrame([], landing_with_partitions(entity)).withColumn("_source_file", F.lit(None).cast("string"))
     out = parts[0]
     for p_ in parts[1:]:
         out = out.unionByName(p_)

@@ -16,12 +16,12 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StringType, StructField, StructType, TimestampNTZType
 
 from marketlens.schemas import landing_with_partitions
-from marketlens.sources.landing import PARTITION_DIR, cluster_for_write, entity_path
+from marketlens.sources.landing import cluster_for_write, landing_files
 
 
 def stream_landing(spark: SparkSession, base: str, entity: str, sink: str, checkpoint: str,
                    available_now: bool = True, max_files_per_trigger: int | None = 5000) -> StreamingQuery:
-    """Start the ingest of ``{base}/{entity}`` into a date-partitioned parquet table.
+    """Start the ingest of an entity's landing files, in either layout, into a date-partitioned parquet table.
 
     ``max_files_per_trigger`` bounds each micro-batch (about a month of hourly
     region files by default), so a large backlog is processed as several
@@ -30,9 +30,14 @@ def stream_landing(spark: SparkSession, base: str, entity: str, sink: str, check
     reader = spark.readStream.schema(landing_with_partitions(entity))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    src = reader.parquet(entity_path(base, entity))
+    root, file = landing_files(spark, base, entity)
+    if file:  # the generator's layout: one file per entity and hour folder
+        reader = reader.option("basePath", root)
+        src = reader.parquet(f"{root}/region=*/date=*/hour=*{file}")
+    else:
+        src = reader.parquet(root)
     out = src.select("*",
-                     F.regexp_extract(F.col("_metadata.file_path"), PARTITION_DIR, 1).alias("_source_file"),
+                     F.col("_metadata.file_path").alias("_source_file"),
                      F.current_timestamp().cast("timestamp_ntz").alias("_loaded_at"))
     # The raw table is partitioned by landing date (hourly partitions would
     # multiply small files). Each micro-batch is range-clustered on (date, row

@@ -14,6 +14,7 @@ from marketlens.constants import (BASE_ORDERS_PER_REGION_PER_HOUR, DOW_MULTIPLIE
                                   GOLDEN_WEEK_START, GOLDEN_WEEK_STEP, HOLIDAY_GROUP, HOLIDAY_MULTIPLIERS,
                                   INTRADAY_MULTIPLIERS, MONTHLY_MULTIPLIERS, REGION_CURRENCY, REGION_UTC_OFFSETS,
                                   REGIONS, SEED_REGIONS, SURROGATE_NULL)
+from marketlens.plans.data_tests import ACCEPTED_TESTS, NOT_NULL_TESTS, UNIQUE_TESTS
 
 NOW = "TIMESTAMP '2024-01-31 00:00:00'"
 _REG_LIST = "[" + ", ".join(f"'{r}'" for r in REGIONS) + "]"
@@ -48,8 +49,11 @@ def _dec_avg(col: str, scale: int, over: str = "", steps=(12, 6)) -> str:
     later scale in ``steps``; the result is returned as DOUBLE. ``scale`` is
     the column's own scale, ``over`` an optional window clause.
     """
-    units = f"sum(CAST({col} * {10 ** scale} AS HUGEINT)){over}"
-    n = f"count({col}){over}"
+    return _exact_avg(f"sum(CAST({col} * {10 ** scale} AS HUGEINT)){over}", f"count({col}){over}", scale, steps)
+
+
+def _exact_avg(units: str, n: str, scale: int, steps=(12, 6)) -> str:
+    """units / n rounded half-up at each scale of ``steps``; ``units`` counts 10^-scale."""
     v = _half_up(f"{units} * CAST({10 ** (steps[0] - scale)} AS HUGEINT)", n)
     prev = steps[0]
     for st in steps[1:]:
@@ -67,7 +71,6 @@ def _ppath(region: str, ts: str) -> str:
 
 
 _W7 = " OVER (PARTITION BY region ORDER BY report_date ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)"
-_W7_DAILY = " OVER (PARTITION BY region ORDER BY order_date ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)"
 _SEED_VALUES = ", ".join(f"('{r}', '{c}', {o})" for r, c, o in SEED_REGIONS)
 
 BASE_CTES = f"""
@@ -98,6 +101,10 @@ raw_product AS (
          p_retailprice AS unit_price, p_partkey % 10 <> 0 AS is_active,
          TIMESTAMP '2024-01-01 00:00:00' AS _loaded_at, 'date=2024-01-01/hour=00' AS _source_file
   FROM part
+  UNION ALL
+  SELECT CAST(p_partkey AS VARCHAR), p_name || ' v2', p_type, p_retailprice, p_partkey % 10 <> 0 AND p_partkey % 40 <> 8,
+         TIMESTAMP '2024-01-15 00:00:00', 'date=2024-01-15/hour=00'
+  FROM part WHERE p_partkey % 4 = 0
 ),
 order_lines AS (
   SELECT l_orderkey, sum(CAST(round(l_extendedprice * 100) AS BIGINT)) AS line_cents FROM lineitem GROUP BY l_orderkey
@@ -143,8 +150,7 @@ raw_order_item AS (
          CAST(amount_cents // CAST(l_quantity AS BIGINT) AS DOUBLE) / 100.0 AS unit_price,
          CAST(amount_cents AS DOUBLE) / 100.0 AS amount,
          date_trunc('hour', {_order_ts('l_orderkey')}) + INTERVAL 1 HOUR AS _loaded_at
-  FROM (SELECT *, CAST(round(l_extendedprice * 100) AS BIGINT) AS amount_cents FROM lineitem
-        WHERE l_orderkey % 200 <> 5)
+  FROM (SELECT *, CAST(round(l_extendedprice * 100) AS BIGINT) AS amount_cents FROM lineitem)
 ),
 raw_marketing_event AS (
   SELECT CAST(e.event_id AS VARCHAR) AS event_id, CAST(e.user_id AS VARCHAR) AS customer_id,
@@ -154,7 +160,6 @@ raw_marketing_event AS (
          date_trunc('hour', e.ts) + INTERVAL 1 HOUR AS _loaded_at,
          {_ppath(f'{_REG_LIST}[c.c_nationkey % 6 + 1]', 'e.ts')} AS _source_file
   FROM events e LEFT JOIN cust_nation c ON e.user_id = c.c_custkey
-  WHERE e.event_type <> 'error'
 ),
 regions_seed AS (SELECT * FROM (VALUES {_SEED_VALUES}) t(region, continent, timezone_offset)),
 stg_orders AS (
@@ -184,94 +189,84 @@ stg_marketing_events AS (
   FROM raw_marketing_event WHERE event_id IS NOT NULL
 ),
 customers_current AS (
-  SELECT * EXCLUDE (rn) FROM (
-    SELECT *, row_number() OVER (PARTITION BY customer_id ORDER BY _loaded_at DESC) AS rn FROM stg_customers)
-  WHERE rn = 1
+  SELECT customer_id, arg_max(name, _loaded_at) AS name, arg_max(email, _loaded_at) AS email,
+         arg_max(region, _loaded_at) AS region, arg_max(tier, _loaded_at) AS tier,
+         arg_max(created_at, _loaded_at) AS created_at, max(_loaded_at) AS _loaded_at
+  FROM stg_customers GROUP BY customer_id
 ),
 products_current AS (
-  SELECT * EXCLUDE (rn) FROM (
-    SELECT *, row_number() OVER (PARTITION BY product_id ORDER BY _loaded_at DESC) AS rn FROM stg_products)
-  WHERE rn = 1
-),
-int_orders_enriched AS (
-  SELECT o.order_id, o.customer_id, o.region, o.created_at, CAST(o.created_at AS DATE) AS order_date,
-         hour(o.created_at) AS order_hour, o.status, o.currency, o.promo_code, o.total_amount, o.has_promo,
-         o._loaded_at, o._source_file, c.email AS customer_email, c.tier AS customer_tier,
-         r.continent, r.timezone_offset
-  FROM stg_orders o
-  LEFT JOIN customers_current c ON o.customer_id = c.customer_id
-  LEFT JOIN regions_seed r ON o.region = r.region
-),
-int_order_items_enriched AS (
-  SELECT oi.item_id, oi.order_id, oi.product_id, oi.quantity, oi.unit_price, oi.amount, oi._loaded_at,
-         p.name AS product_name, p.category,
-         oi.amount / nullif(sum(oi.amount) OVER (PARTITION BY oi.order_id), 0) AS revenue_contribution
-  FROM stg_order_items oi LEFT JOIN products_current p ON oi.product_id = p.product_id
-),
-orders_agg AS (
-  SELECT region, order_date, count(order_id) AS total_orders, sum(total_amount) AS gross_revenue,
-         {_dec_avg('total_amount', 2)} AS avg_order_value, count_if(status = 'returned') AS returned_orders,
-         count(DISTINCT customer_id) AS unique_customers
-  FROM int_orders_enriched GROUP BY region, order_date
-),
-marketing_agg AS (
-  SELECT region, event_date, count_if(event_type = 'impression') AS impressions,
-         count_if(event_type = 'click') AS clicks, count_if(event_type = 'purchase') AS purchases
-  FROM stg_marketing_events GROUP BY region, event_date
-),
-int_regional_daily AS (
-  SELECT o.region, o.order_date, o.total_orders, o.gross_revenue, o.avg_order_value, o.unique_customers,
-         o.returned_orders,
-         CASE WHEN o.returned_orders IS NULL OR o.total_orders IS NULL THEN NULL WHEN o.total_orders = 0 THEN 0.0
-              ELSE CAST(o.returned_orders AS DOUBLE) / CAST(o.total_orders AS DOUBLE) END AS return_rate,
-         coalesce(m.impressions, 0) AS impressions, coalesce(m.clicks, 0) AS clicks,
-         coalesce(m.purchases, 0) AS purchases
-  FROM orders_agg o LEFT JOIN marketing_agg m ON o.region = m.region AND o.order_date = m.event_date
+  SELECT product_id, arg_max(name, _loaded_at) AS name, arg_max(category, _loaded_at) AS category,
+         arg_max(unit_price, _loaded_at) AS unit_price, arg_max(is_active, _loaded_at) AS is_active, max(_loaded_at) AS _loaded_at
+  FROM stg_products GROUP BY product_id
 ),
 dim_customers AS (
-  SELECT {_sk('customer_id')} AS customer_key, customer_id, name, email, region, tier, created_at, _loaded_at,
-         true AS is_current
-  FROM customers_current
+  SELECT {_sk('customer_id')} AS customer_key, *, _loaded_at IS NOT NULL AS is_current FROM customers_current
 ),
 dim_products AS (
-  SELECT {_sk('product_id')} AS product_key, product_id, name, category, unit_price, is_active, _loaded_at
-  FROM stg_products WHERE is_active = true
+  SELECT {_sk('product_id')} AS product_key, * FROM products_current WHERE is_active
+),
+-- rows of the orders: what a customer's loads and the region's seed row say about each header
+customer_facts AS (SELECT customer_id, email AS customer_email, tier AS customer_tier FROM customers_current),
+int_orders_enriched AS (
+  SELECT * EXCLUDE (_c, _r), CAST(created_at AS DATE) AS order_date, hour(created_at) AS order_hour
+  FROM stg_orders LEFT JOIN (SELECT *, 1 AS _c FROM customer_facts) USING (customer_id)
+  LEFT JOIN (SELECT *, 1 AS _r FROM regions_seed) USING (region)
 ),
 fact_orders AS (
-  SELECT {_sk('o.order_id')} AS order_key, o.order_id, o.customer_id, c.customer_key, o.region, o.order_date,
-         o.order_hour, o.status, o.currency, o.promo_code, o.has_promo, o.total_amount, o.continent,
-         o.customer_tier AS tier
-  FROM int_orders_enriched o LEFT JOIN (SELECT customer_id, customer_key FROM dim_customers) c
-    ON o.customer_id = c.customer_id
+  SELECT {_sk('order_id')} AS order_key, * EXCLUDE (customer_tier), customer_tier AS tier,
+         CASE WHEN customer_id IN (SELECT customer_id FROM raw_customer) THEN {_sk('customer_id')} END AS customer_key
+  FROM int_orders_enriched
+),
+-- rows of the lines, weighed by the money of all rows of their order
+product_facts AS (SELECT product_id, name AS product_name, category FROM products_current),
+priced_lines AS (SELECT * FROM stg_order_items LEFT JOIN product_facts USING (product_id)),
+int_order_items_enriched AS (
+  SELECT l.*, l.amount / nullif(t.money, 0) AS revenue_contribution
+  FROM priced_lines l JOIN (SELECT order_id, sum(amount) AS money FROM priced_lines GROUP BY order_id) t USING (order_id)
 ),
+product_keys AS (SELECT product_id, product_key FROM dim_products),
+header_copies AS (SELECT order_id, count(*) AS copies FROM raw_order GROUP BY order_id),
 fact_order_items AS (
-  SELECT {_sk('i.item_id')} AS item_key, i.item_id, i.order_id, fo.order_key, i.product_id, dp.product_key,
-         i.quantity, i.unit_price, i.amount, i.revenue_contribution, i.product_name, i.category
-  FROM int_order_items_enriched i
-  LEFT JOIN (SELECT order_id, order_key FROM fact_orders) fo ON i.order_id = fo.order_id
-  LEFT JOIN (SELECT product_id, product_key FROM dim_products) dp ON i.product_id = dp.product_id
-),
-order_mix AS (
-  SELECT region, order_date, max(continent) AS continent, count_if(tier = 'gold') AS gold_customer_orders,
-         CASE WHEN count(order_id) = 0 THEN 0.0
-              ELSE CAST(count_if(has_promo) AS DOUBLE) / CAST(count(order_id) AS DOUBLE) END AS promo_order_pct
-  FROM fact_orders GROUP BY region, order_date
-),
-rpt_joined AS (
-  SELECT rd.order_date AS report_date, rd.region, oa.continent, rd.total_orders, rd.gross_revenue,
-         rd.avg_order_value, rd.unique_customers, rd.returned_orders, rd.return_rate,
-         rd.impressions, rd.clicks, rd.purchases,
-         CAST(rd.clicks AS DOUBLE) / nullif(CAST(rd.impressions AS DOUBLE), 0) AS ctr,
-         CAST(rd.purchases AS DOUBLE) / nullif(CAST(rd.clicks AS DOUBLE), 0) AS conversion_rate,
-         CAST(rd.gross_revenue AS DOUBLE) / nullif(CAST(rd.impressions AS DOUBLE), 0) AS revenue_per_impression,
-         oa.gold_customer_orders, oa.promo_order_pct
-  FROM int_regional_daily rd LEFT JOIN order_mix oa ON rd.region = oa.region AND rd.order_date = oa.order_date
+  SELECT {_sk('item_id')} AS item_key, i.*, CASE WHEN h.order_id IS NOT NULL THEN {_sk('i.order_id')} END AS order_key,
+         k.product_key, unnest(range(CAST(coalesce(h.copies, 1) AS BIGINT))) AS _copy
+  FROM int_order_items_enriched i LEFT JOIN header_copies h ON h.order_id = i.order_id
+  LEFT JOIN product_keys k ON k.product_id = i.product_id
+),
+-- a region's day, straight from the landed rows: each header weighs as many rows as its customer has (one, or a load each)
+customer_weight AS (
+  SELECT customer_id, 1 AS n, CAST(arg_max(lower(tier), _loaded_at) = 'gold' AS BIGINT) AS gold
+  FROM raw_customer GROUP BY customer_id
+),
+weighed AS (
+  SELECT o.region, CAST(o.created_at AS DATE) AS day, o.customer_id, o.status, o.promo_code,
+         CAST(round(o.total_amount * 100) AS HUGEINT) AS cents, coalesce(w.n, 1) AS n, coalesce(w.gold, 0) AS gold
+  FROM raw_order o LEFT JOIN customer_weight w USING (customer_id)
+),
+region_day AS (
+  SELECT region, day AS report_date, CAST(sum(n) AS BIGINT) AS total_orders,
+         CAST(sum(cents * n) AS DOUBLE) / 100 AS gross_revenue,
+         {_exact_avg('sum(cents * n)', 'CAST(sum(n) AS HUGEINT)', 2)} AS avg_order_value,
+         count(DISTINCT customer_id) AS unique_customers,
+         coalesce(sum(n) FILTER (status = 'returned'), 0) AS returned_orders,
+         sum(gold) AS gold_customer_orders,
+         CAST(coalesce(sum(n) FILTER (promo_code IS NOT NULL), 0) AS DOUBLE) / CAST(sum(n) AS DOUBLE) AS promo_order_pct,
+         (SELECT any_value(continent) FROM regions_seed s WHERE s.region = weighed.region) AS continent
+  FROM weighed GROUP BY region, day
+),
+funnel_day AS (
+  SELECT region, CAST(created_at AS DATE) AS event_date, sum(CAST(upper(event_type) = 'IMPRESSION' AS BIGINT)) AS impressions,
+         sum(CAST(upper(event_type) = 'CLICK' AS BIGINT)) AS clicks, sum(CAST(upper(event_type) = 'PURCHASE' AS BIGINT)) AS purchases
+  FROM raw_marketing_event GROUP BY ALL
 ),
 rpt_daily_kpis AS (
-  SELECT *,
+  SELECT d.*, CAST(returned_orders AS DOUBLE) / CAST(total_orders AS DOUBLE) AS return_rate,
+         coalesce(f.impressions, 0) AS impressions, coalesce(f.clicks, 0) AS clicks, coalesce(f.purchases, 0) AS purchases,
+         CAST(f.clicks AS DOUBLE) / nullif(f.impressions, 0) AS ctr,
+         CAST(f.purchases AS DOUBLE) / nullif(f.clicks, 0) AS conversion_rate,
+         gross_revenue / nullif(CAST(f.impressions AS DOUBLE), 0) AS revenue_per_impression,
          {_dec_avg('avg_order_value', 6, _W7, (12, 10, 6))} AS avg_order_value_7d_avg,
          {_dec_avg('gross_revenue', 2, _W7, (6,))} AS gross_revenue_7d_avg
-  FROM rpt_joined
+  FROM region_day d LEFT JOIN (SELECT region AS f_region, * EXCLUDE (region) FROM funnel_day) f ON f_region = d.region AND event_date = report_date
 ),
 line_totals AS (
   SELECT order_id, sum(amount) AS items_total, count(*) AS n_lines FROM stg_order_items GROUP BY order_id
@@ -282,14 +277,21 @@ batches AS (
 """
 
 
-# the same graph with customers and products joined as loaded (no latest-per-key reduction)
-BASE_CTES_AS_LOADED = (BASE_CTES
-                       .replace("LEFT JOIN customers_current c ON o.customer_id = c.customer_id",
-                                "LEFT JOIN stg_customers c ON o.customer_id = c.customer_id")
-                       .replace("LEFT JOIN products_current p ON oi.product_id = p.product_id",
-                                "LEFT JOIN stg_products p ON oi.product_id = p.product_id"))
-assert BASE_CTES_AS_LOADED.count("LEFT JOIN stg_customers c") == 1
-assert BASE_CTES_AS_LOADED.count("LEFT JOIN stg_products p") == 1
+# the same graph with customers and products as loaded: a row, a weight or a key for each of their loads
+_AS_LOADED = [
+    ("customer_tier FROM customers_current", "customer_tier FROM stg_customers"),
+    ("category FROM products_current)", "category FROM stg_products)"),
+    ("product_key FROM dim_products)", f"{_sk('product_id')} FROM stg_products WHERE is_active)"),
+    ("1 AS n, CAST(arg_max(lower(tier), _loaded_at) = 'gold' AS BIGINT) AS gold", "count(*) AS n, count_if(lower(tier) = 'gold') AS gold"),
+    ("header_copies AS (SELECT order_id, count(*) AS copies FROM raw_order GROUP BY order_id)",
+     "header_copies AS (SELECT order_id, sum(coalesce(n, 1)) AS copies FROM raw_order LEFT JOIN (SELECT customer_id, count(*) AS n "
+     "FROM raw_customer GROUP BY 1) USING (customer_id) GROUP BY order_id)"),
+]
+BASE_CTES_AS_LOADED = BASE_CTES
+for _old, _new in _AS_LOADED:
+    assert BASE_CTES_AS_LOADED.count(_old) == 1, _old
+    BASE_CTES_AS_LOADED = BASE_CTES_AS_LOADED.replace(_old, _new)
+BASE_CTES_AS_LOADED = BASE_CTES_AS_LOADED.replace(f"product_keys AS (SELECT product_id, {_sk('product_id')} FROM", f"product_keys AS (SELECT product_id, {_sk('product_id')} AS product_key FROM")
 
 
 def _cols(spec: str) -> str:
@@ -390,9 +392,8 @@ holiday_cal AS (
 {_holiday_rows_sql()}
 ),
 hour_grid AS (
-  SELECT hour_ts, unnest({_REG_LIST}) AS region
-  FROM (SELECT unnest(generate_series(min(date_trunc('hour', created_at)), max(date_trunc('hour', created_at)),
-                                      INTERVAL 1 HOUR)) AS hour_ts FROM stg_orders)
+  SELECT CAST(day AS TIMESTAMP) + to_hours(h) AS hour_ts, region
+  FROM (SELECT DISTINCT CAST(created_at AS DATE) AS day FROM stg_orders), (SELECT unnest(range(24)) AS h), (SELECT unnest({_REG_LIST}) AS region)
 ),
 hour_counts AS (
   SELECT region, date_trunc('hour', created_at) AS hour_ts, count(*) AS actual_orders FROM stg_orders GROUP BY 1, 2
@@ -426,24 +427,6 @@ def _union_all(parts):
     return "\nUNION ALL\n".join(parts)
 
 
-NOT_NULL_TESTS = {
-    "dim_customers": ["customer_key", "customer_id"],
-    "dim_products": ["product_key", "product_id"],
-    "fact_orders": ["order_key", "order_id", "customer_id", "customer_key"],
-    "fact_order_items": ["item_key", "order_key", "product_key"],
-    "rpt_daily_kpis": ["report_date", "region"],
-    "stg_customers": ["customer_id"],
-    "stg_orders": ["order_id"],
-    "stg_products": ["product_id"],
-    "stg_marketing_events": ["event_id"],
-}
-UNIQUE_TESTS = [("dim_customers", "customer_key"), ("dim_products", "product_key"), ("fact_orders", "order_key"),
-                ("fact_order_items", "item_key"), ("stg_customers", "customer_id"), ("stg_orders", "order_id"),
-                ("stg_products", "product_id"), ("stg_marketing_events", "event_id")]
-ACCEPTED_TESTS = [("stg_customers", "tier", ["bronze", "silver", "gold"]),
-                  ("stg_orders", "status", ["pending", "confirmed", "shipped", "delivered", "returned"]),
-                  ("stg_marketing_events", "event_type", ["impression", "click", "purchase"])]
-
 _EXPECTED_CCY = _case("region", REGION_CURRENCY)
 _LOCAL_OFFSET = _case("region", REGION_UTC_OFFSETS, "BIGINT")
 
@@ -454,10 +437,11 @@ def _scorecard_body() -> str:
               ("orphaned_items_rate", "orphan"), ("invalid_currency_rate", "bad_currency")]
     per = f"""
       SELECT p.order_id, p.n_copies > 1 AS duplicate, p.null_customer, p.min_total < 0 AS negative,
-             (t.items_total IS NOT NULL AND p.min_total >= 0 AND abs(p.max_total - t.items_total) > 0.01) AS mismatch,
+             EXISTS (SELECT 1 FROM stg_orders o WHERE o.order_id = p.order_id AND o.total_amount >= 0
+                     AND abs(o.total_amount - t.items_total) > 0.01) AS mismatch,
              t.items_total IS NULL AS orphan, p.bad_currency
       FROM (SELECT order_id, count(*) AS n_copies, bool_or(customer_id IS NULL) AS null_customer,
-                   min(total_amount) AS min_total, max(total_amount) AS max_total,
+                   min(total_amount) AS min_total,
                    bool_or({_EXPECTED_CCY} IS NULL OR currency IS NULL OR currency <> {_EXPECTED_CCY}) AS bad_currency
             FROM stg_orders WHERE order_id IS NOT NULL GROUP BY order_id) p
       LEFT JOIN line_totals t ON p.order_id = t.order_id"""
@@ -474,9 +458,22 @@ def build() -> dict[str, str]:
     landing_sel = ("SELECT order_id, customer_id, created_at, status, currency, promo_code, total_amount, region, "
                    "strftime(created_at, '%Y-%m-%d') AS date, strftime(created_at, '%H') AS hour FROM landing_orders")
     s["landing_scan"] = q(SPEC["landing"], landing_sel)
-    s["audit_columns"] = q("order_id, region, date, hour, _source_file, _loaded_at",
+    s["audit_columns"] = q("order_id, region, date, hour, _source_file, whole_path, _loaded_at",
                            f"SELECT order_id, region, date, hour, 'region=' || region || '/date=' || date || '/hour=' || hour"
-                           f" AS _source_file, {NOW} AS _loaded_at FROM ({landing_sel})")
+                           f" AS _source_file, true AS whole_path, {NOW} AS _loaded_at FROM ({landing_sel})")
+    for entity, table, cols, at in [
+            ("order_items", "raw_order_item", "item_id, order_id, product_id, quantity:i, unit_price:f, amount:f", "_loaded_at"),
+            ("customers", "raw_customer", "customer_id, name, email, tier, created_at", "_loaded_at"),
+            ("products", "raw_product", "product_id, name, category, unit_price:f, is_active", "_loaded_at"),
+            ("marketing_events", "raw_marketing_event", "event_id, customer_id, event_type, created_at", "created_at")]:
+        region = f"'{REGIONS[0]}' AS region, " if entity in ("order_items", "products") else ""
+        s[f"landing_{entity}"] = q(f"{cols}, region, date, hour", f"SELECT *, {region}strftime({at}, '%Y-%m-%d') AS date, "
+                                   f"strftime({at}, '%H') AS hour FROM {table}")
+    s["landing_one_hour"] = q(SPEC["landing"], f"SELECT * FROM ({landing_sel}) WHERE date = '2024-01-15' AND hour = '07'")
+    s["landing_hour_rerun"] = q("order_id, region, total_amount:f, _loaded_at, date, hour", f"""
+        SELECT *, TIMESTAMP '2024-01-15 00:00:00' + to_hours(CASE WHEN hour = '07' THEN 10 ELSE 9 END) AS _loaded_at
+        FROM ({landing_sel}) WHERE date = '2024-01-15' AND hour IN ('07', '08')""")
+    s["nanos_to_timestamp"] = q("event_id:i, nanos:i, ts", "SELECT event_id, epoch_us(ts) * 1000 + event_id % 1000 AS nanos, ts FROM events")
     s["union_regions"] = q("region, date, hour, n_rows:i, total_amount:f",
                            f"SELECT region, date, hour, count(*) AS n_rows, sum(total_amount) AS total_amount "
                            f"FROM ({landing_sel}) GROUP BY region, date, hour")
@@ -484,14 +481,19 @@ def build() -> dict[str, str]:
         "order_id, customer_id, region, created_at, status, currency, promo_code, total_amount:f, _source_file",
         f"SELECT *, 'region=' || region || '/date=' || date || '/hour=' || hour AS _source_file FROM ({landing_sel})")
     s["copy_load_entities"] = q("entity, outcome, n_rows:i", _union_all(
-        [f"SELECT '{e}' AS entity, 'loaded' AS outcome, count(*) AS n_rows FROM {t} UNION ALL "
-         f"SELECT '{e}', 'rejected', 0" for e, t in [("orders", "raw_order"), ("order_items", "raw_order_item"),
-                                                    ("customers", "raw_customer"), ("products", "raw_product"),
-                                                    ("marketing_events", "raw_marketing_event")]]))
-    s["load_rejects"] = q(SPEC["landing"], f"SELECT * FROM ({landing_sel}) WHERE false")
+        [f"SELECT '{e}' AS entity, unnest(['loaded', 'rejected']) AS outcome, unnest([count_if(NOT {k} LIKE '%77'), "
+         f"count_if({k} LIKE '%77')]) AS n_rows FROM {t}"
+         for e, t, k in [("orders", "raw_order", "order_id"), ("order_items", "raw_order_item", "item_id"),
+                         ("customers", "raw_customer", "customer_id"), ("products", "raw_product", "product_id"),
+                         ("marketing_events", "raw_marketing_event", "event_id")]]))
+    broken = "CAST(order_id AS BIGINT) % 40 IN (1, 2)"
+    s["load_rejects"] = q("order_id, customer_id, region, created_at, status, currency, promo_code, total_amount, date, hour", f"""
+        SELECT * REPLACE (CASE WHEN CAST(order_id AS BIGINT) % 40 = 2 THEN 'yesterday' ELSE strftime(created_at, '%Y-%m-%d %H:%M:%S') END AS created_at,
+                          CASE WHEN CAST(order_id AS BIGINT) % 40 = 1 THEN 'n/a' ELSE CAST(CAST(total_amount AS DECIMAL(18, 2)) AS VARCHAR) END AS total_amount)
+        FROM ({landing_sel}) WHERE {broken}""")
     s["load_audit"] = q("dag_run_id, load_date, region, entity, s3_expected_rows:i, sf_actual_rows:i",
                         "SELECT 'run-2024-01-31' AS dag_run_id, CAST(created_at AS DATE) AS load_date, region, "
-                        "'orders' AS entity, count(*) AS s3_expected_rows, count(*) AS sf_actual_rows "
+                        f"'orders' AS entity, count(*) AS s3_expected_rows, count_if(NOT {broken}) AS sf_actual_rows "
                         "FROM landing_orders GROUP BY 2, 3")
     s["seed_regions"] = q("region, continent, timezone_offset:i, n_orders:i, n_customers:i, in_seed", """
         SELECT coalesce(so.region, c.region) AS region, so.continent, so.timezone_offset,
@@ -529,7 +531,7 @@ def build() -> dict[str, str]:
     s["funnel_rates"] = q("region, event_date, impressions:i, clicks:i, purchases:i, ctr:f, conversion_rate:f", """
         SELECT *, CAST(clicks AS DOUBLE) / nullif(CAST(impressions AS DOUBLE), 0) AS ctr,
                CAST(purchases AS DOUBLE) / nullif(CAST(clicks AS DOUBLE), 0) AS conversion_rate
-        FROM marketing_agg""")
+        FROM funnel_day""")
     s["surrogate_key"] = q("order_id, customer_id, order_key, order_customer_key",
                            f"SELECT order_id, customer_id, {_sk('order_id')} AS order_key, "
                            f"{_sk('order_id', 'customer_id')} AS order_customer_key FROM stg_orders")
@@ -540,31 +542,29 @@ def build() -> dict[str, str]:
                  round(CAST(quantity AS DECIMAL(18, 0)) * unit_price, 2) AS expected_amount FROM stg_order_items)
         WHERE abs(amount - expected_amount) > 0.01""")
     for m in ["stg_orders", "stg_order_items", "stg_customers", "stg_products", "stg_marketing_events",
-              "int_orders_enriched", "int_order_items_enriched", "int_regional_daily", "dim_customers",
+              "int_orders_enriched", "int_order_items_enriched", "dim_customers",
               "dim_products", "fact_orders", "fact_order_items", "rpt_daily_kpis"]:
         s[m] = q(SPEC[m], f"SELECT * FROM {m}")
-    s["materialised_kpis"] = s["rpt_daily_kpis"]
+    s["int_regional_daily"] = q(SPEC["int_regional_daily"], "SELECT *, report_date AS order_date FROM rpt_daily_kpis")
+    s["materialised_kpis"] = s["rpt_daily_kpis_from_landing"] = s["rpt_daily_kpis"]
+    s["fact_order_items_as_loaded"] = q(SPEC["fact_order_items"], "SELECT * FROM fact_order_items", base=BASE_CTES_AS_LOADED)
     s["int_orders_enriched_as_loaded"] = q(SPEC["int_orders_enriched"], "SELECT * FROM int_orders_enriched",
                                            base=BASE_CTES_AS_LOADED)
     s["rpt_daily_kpis_as_loaded"] = q(SPEC["rpt_daily_kpis"], "SELECT * FROM rpt_daily_kpis", base=BASE_CTES_AS_LOADED)
     s["orders_daily_agg"] = q("region, order_date, total_orders:i, gross_revenue:f, avg_order_value:f, "
-                              "returned_orders:i, unique_customers:i", "SELECT * FROM orders_agg")
-    s["marketing_daily_agg"] = q("region, event_date, impressions:i, clicks:i, purchases:i", "SELECT * FROM marketing_agg")
+                              "returned_orders:i, unique_customers:i", "SELECT *, report_date AS order_date FROM region_day")
+    s["marketing_daily_agg"] = q("region, event_date, impressions:i, clicks:i, purchases:i", "SELECT * FROM funnel_day")
     s["order_mix_daily"] = q("region, order_date, continent, gold_customer_orders:i, promo_order_pct:f",
-                             "SELECT * FROM order_mix")
+                             "SELECT *, report_date AS order_date FROM region_day")
     s["order_totals_from_items"] = q("order_id, items_total:f, n_lines:i", "SELECT * FROM line_totals")
     s["latest_by_key"] = q("customer_id, name, email, region, tier, created_at, _loaded_at, _source_file", """
-        SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY customer_id ORDER BY _loaded_at DESC)
-        AS rn FROM raw_customer) WHERE rn = 1""")
-    s["revenue_contribution"] = q("item_id, order_id, amount:f, revenue_contribution:f", """
-        SELECT item_id, order_id, amount, amount / nullif(sum(amount) OVER (PARTITION BY order_id), 0)
-        AS revenue_contribution FROM stg_order_items""")
+        SELECT c.* FROM raw_customer c WHERE _loaded_at = (SELECT max(_loaded_at) FROM raw_customer n WHERE n.customer_id = c.customer_id)""")
+    s["revenue_contribution"] = q("item_id, order_id, amount:f, revenue_contribution:f", "SELECT * FROM int_order_items_enriched")
     s["rolling_7row_avg"] = q(
         "region, order_date, avg_order_value:f, gross_revenue:f, avg_order_value_7d_avg:f, gross_revenue_7d_avg:f", f"""
         SELECT region, order_date, avg_order_value, gross_revenue,
-               {_dec_avg('avg_order_value', 6, _W7_DAILY, (12, 10, 6))} AS avg_order_value_7d_avg,
-               {_dec_avg('gross_revenue', 2, _W7_DAILY, (6,))} AS gross_revenue_7d_avg
-        FROM int_regional_daily""")
+               avg_order_value_7d_avg, gross_revenue_7d_avg
+        FROM (SELECT *, report_date AS order_date FROM rpt_daily_kpis)""")
     s["deterministic_sample"] = q("_source_file, order_id, customer_id, region, total_amount:f", f"""
         SELECT _source_file, order_id, customer_id, region, total_amount FROM (
           SELECT *, row_number() OVER (PARTITION BY _source_file ORDER BY md5(order_id || '42'), order_id) AS rn,
@@ -581,6 +581,13 @@ def build() -> dict[str, str]:
         f"SELECT '{m}' AS model, '{c}' AS column_name, CAST({c} AS VARCHAR) AS value, count(*) AS n_rows FROM {m} "
         f"WHERE {c} IS NOT NULL AND {c} NOT IN ({', '.join(repr(v) for v in vals)}) GROUP BY {c}"
         for m, c, vals in ACCEPTED_TESTS]))
+    funnel = ("SELECT report_date, region, impressions, clicks, purchases FROM rpt_daily_kpis "
+              "WHERE greatest(clicks - impressions, purchases - clicks) > 0")
+    lineless = "SELECT order_id FROM raw_order WHERE order_id NOT IN (SELECT order_id FROM raw_order_item)"
+    # joined row by row, a header's total meets each line once for every header of the order and every copy of the total
+    unequal = """SELECT order_id, total_amount, alike * copies * items_total AS items_total
+        FROM (SELECT order_id, total_amount, count(*) AS alike FROM stg_orders GROUP BY ALL) JOIN header_copies USING (order_id)
+        JOIN line_totals USING (order_id) WHERE abs(total_amount - alike * copies * items_total) > 0.01"""
     tests = []
     for m, cols in NOT_NULL_TESTS.items():
         for c in cols:
@@ -598,51 +605,41 @@ def build() -> dict[str, str]:
                  "THEN 0 ELSE 1 END")
     tests.append("SELECT 'gross_revenue_not_negative.rpt_daily_kpis', 'model', 'rpt_daily_kpis', 'gross_revenue', "
                  "count(*) FROM rpt_daily_kpis WHERE gross_revenue < 0")
-    tests.append("SELECT 'test_funnel_monotonicity', 'singular', 'rpt_daily_kpis', NULL, count(*) FROM rpt_daily_kpis "
-                 "WHERE clicks > impressions OR purchases > clicks")
-    tests.append("SELECT 'test_no_orphaned_orders', 'singular', 'fact_orders', NULL, count(*) FROM fact_orders o "
-                 "LEFT JOIN fact_order_items i ON o.order_id = i.order_id WHERE i.item_id IS NULL")
-    tests.append("SELECT 'test_revenue_reconciliation', 'singular', 'fact_orders', NULL, count(*) FROM ("
-                 "SELECT o.order_id, o.total_amount FROM fact_orders o JOIN fact_order_items i ON o.order_id = i.order_id "
-                 "GROUP BY o.order_id, o.total_amount HAVING abs(o.total_amount - sum(i.amount)) > 0.01)")
+    tests.append(f"SELECT 'test_funnel_monotonicity', 'singular', 'rpt_daily_kpis', NULL, count(*) FROM ({funnel})")
+    tests.append(f"SELECT 'test_no_orphaned_orders', 'singular', 'fact_orders', NULL, count(*) FROM ({lineless})")
+    tests.append(f"SELECT 'test_revenue_reconciliation', 'singular', 'fact_orders', NULL, count(*) FROM ({unequal})")
     s["data_tests"] = q("test_id, kind, model, column_name, failures:i, status",
                         "SELECT *, CASE WHEN failures = 0 THEN 'pass' ELSE 'fail' END AS status FROM ("
                         + _union_all(tests) + ")")
-    s["check_funnel_monotonicity"] = q("report_date, region, impressions:i, clicks:i, purchases:i", """
-        SELECT report_date, region, impressions, clicks, purchases FROM rpt_daily_kpis
-        WHERE clicks > impressions OR purchases > clicks""")
-    s["check_no_orphaned_orders"] = q("order_id", """
-        SELECT o.order_id FROM fact_orders o LEFT JOIN fact_order_items i ON o.order_id = i.order_id
-        WHERE i.item_id IS NULL""")
-    s["check_revenue_reconciliation"] = q("order_id, total_amount:f, items_total:f", """
-        SELECT o.order_id, o.total_amount, sum(i.amount) AS items_total
-        FROM fact_orders o JOIN fact_order_items i ON o.order_id = i.order_id
-        GROUP BY o.order_id, o.total_amount HAVING abs(o.total_amount - sum(i.amount)) > 0.01""")
+    s["check_funnel_monotonicity"] = q("report_date, region, impressions:i, clicks:i, purchases:i", funnel)
+    s["check_no_orphaned_orders"] = q("order_id", lineless)
+    s["check_revenue_reconciliation"] = q("order_id, total_amount:f, items_total:f", unequal)
     s["check_total_reconciliation"] = q("model_total:f, staged_total:f, difference:f, passed", """
         SELECT model_total, staged_total, model_total - staged_total AS difference, model_total = staged_total AS passed
         FROM (SELECT (SELECT sum(total_amount) FROM fact_orders) AS model_total,
                      (SELECT sum(total_amount) FROM stg_orders) AS staged_total)""")
-    s["check_revenue_not_negative"] = q("report_date, region, gross_revenue:f",
-                                        "SELECT report_date, region, gross_revenue FROM rpt_daily_kpis WHERE gross_revenue < 0")
-    s["region_manifest"] = q("date, hour, region, n_rows:i, present", f"""
-        SELECT g.date, g.hour, g.region, coalesce(c.n_rows, 0) AS n_rows, c.n_rows IS NOT NULL AS present
-        FROM (SELECT date, hour, unnest({_REG_LIST}) AS region FROM (SELECT DISTINCT date, hour FROM batches)) g
-        LEFT JOIN (SELECT date, hour, region, count(*) AS n_rows FROM batches GROUP BY 1, 2, 3) c
-          ON g.date = c.date AND g.hour = c.hour AND g.region = c.region""")
-    s["hour_completeness"] = q("date, hour, n_regions:i, is_complete, missing_regions", f"""
-        SELECT s.date, s.hour, s.n_regions, s.n_regions = {len(REGIONS)} AS is_complete,
-               coalesce(m.missing_regions, '') AS missing_regions
-        FROM (SELECT date, hour, count(DISTINCT region) AS n_regions FROM batches
-              WHERE region IN ({', '.join(repr(r) for r in REGIONS)}) GROUP BY date, hour) s
-        LEFT JOIN (
-          SELECT g.date, g.hour, string_agg(g.region, ',' ORDER BY g.region) AS missing_regions
-          FROM (SELECT date, hour, unnest({_REG_LIST}) AS region FROM (SELECT DISTINCT date, hour FROM batches)) g
-          WHERE NOT EXISTS (SELECT 1 FROM batches b WHERE b.date = g.date AND b.hour = g.hour AND b.region = g.region)
-          GROUP BY g.date, g.hour) m
-        ON s.date = m.date AND s.hour = m.hour""")
-    s["referential_subset"] = q("order_id, item_id", """
-        SELECT i.order_id, i.item_id FROM stg_order_items i
-        WHERE NOT EXISTS (SELECT 1 FROM stg_orders o WHERE o.order_id = i.order_id)""")
+    s["check_revenue_not_negative"] = q("model, day, region, order_id, revenue:f", """
+        SELECT 'rpt_daily_kpis' AS model, report_date AS day, region, NULL AS order_id, gross_revenue AS revenue
+        FROM rpt_daily_kpis WHERE gross_revenue < 0
+        UNION ALL
+        SELECT 'fact_orders', CAST(created_at AS DATE), region, order_id, total_amount FROM raw_order WHERE total_amount < 0""")
+    s["non_empty_load"] = q("table_name, load_date, n_rows:i, passed", _union_all([
+        f"SELECT '{t}' AS table_name, DATE '2024-01-15' AS load_date, count(*) AS n_rows, count(*) > 0 AS passed FROM {t} "
+        f"WHERE CAST(_loaded_at AS DATE) = DATE '2024-01-15'"
+        for t in ["raw_order", "raw_order_item", "raw_customer", "raw_product", "raw_marketing_event"]]))
+    asked = f"""
+        SELECT strftime(t, '%Y-%m-%d') AS date, strftime(t, '%H') AS hour, unnest({_REG_LIST}) AS region
+        FROM (SELECT unnest(generate_series(TIMESTAMP '2024-01-01 00:00:00', {NOW}, INTERVAL 1 HOUR)) AS t)"""
+    present = f"SELECT a.*, (SELECT count(*) FROM batches b WHERE b.date = a.date AND b.hour = a.hour AND b.region = a.region) AS n_rows FROM ({asked}) a"
+    s["region_manifest"] = q("date, hour, region, n_rows:i, present, expected",
+                             f"SELECT *, n_rows > 0 AS present, true AS expected FROM ({present})")
+    s["hour_completeness"] = q("date, hour, n_regions:i, is_complete, missing_regions, unexpected_regions", f"""
+        SELECT date, hour, count_if(n_rows > 0) AS n_regions, bool_and(n_rows > 0) AS is_complete,
+               coalesce(string_agg(region, ',' ORDER BY region) FILTER (n_rows = 0), '') AS missing_regions, '' AS unexpected_regions
+        FROM ({present}) GROUP BY date, hour""")
+    s["referential_subset"] = q("product_id, item_id", """
+        SELECT i.product_id, i.item_id FROM raw_order_item i
+        WHERE NOT coalesce((SELECT arg_max(is_active, _loaded_at) FROM raw_product p WHERE p.product_id = i.product_id), false)""")
     s["dq_duplicate_orders"] = q("order_id, n_copies:i, customer_id, region, total_amount:f", """
         SELECT o.order_id, d.n_copies, o.customer_id, o.region, o.total_amount
         FROM stg_orders o JOIN (SELECT order_id, count(*) AS n_copies FROM stg_orders WHERE order_id IS NOT NULL
@@ -679,8 +676,8 @@ def build() -> dict[str, str]:
         FROM hour_volume""", _CAL_CTES)
     s["volume_anomaly"] = q(
         "region, hour_ts, local_hour:i, actual_orders:i, expected_orders:f, lower_bound:f, upper_bound:f, "
-        "is_anomaly, deviation:f", """
-        SELECT region, hour_ts, local_hour, actual_orders, expected_orders, lower_bound, upper_bound,
+        "is_anomaly, deviation:f, has_baseline", """
+        SELECT region, hour_ts, local_hour, actual_orders, expected_orders, lower_bound, upper_bound, true AS has_baseline,
                actual_orders < lower_bound - 0.5 OR actual_orders > upper_bound + 0.5 AS is_anomaly,
                CAST(actual_orders AS DOUBLE) / expected_orders - 1 AS deviation
         FROM (SELECT *, expected_orders * CAST(0.85 AS DOUBLE) AS lower_bound,

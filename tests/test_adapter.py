@@ -20,11 +20,23 @@ def test_defect_counts_follow_key_rules(spark, smoke_dir):
     assert (got.null, got.neg, got.ccy) == (expect.null, expect.neg, expect.ccy)
 
 
-def test_items_reference_existing_orders_and_orphans_have_no_items(spark, smoke_dir):
+def test_all_rows_reach_the_raw_tables(spark, smoke_dir):
+    n = lambda t: adapter.table(spark, smoke_dir, t).count()
     orders = adapter.raw_order(spark, smoke_dir).select("order_id").distinct()
     items = adapter.raw_order_item(spark, smoke_dir)
     assert items.join(orders, "order_id", "left_anti").count() == 0
-    assert items.filter(F.col("order_id").cast("bigint") % 200 == 5).count() == 0
+    assert items.count() == n("lineitem") and adapter.raw_marketing_event(spark, smoke_dir).count() == n("events")
+    assert adapter.raw_product(spark, smoke_dir).select("product_id").distinct().count() == n("part")
+
+
+def test_a_second_product_load_does_not_multiply_lines(spark, smoke_dir):
+    from marketlens.plans.warehouse import Models
+    from marketlens.sources.landing import seed_regions
+    raw = adapter.raw_tables(spark, smoke_dir)
+    once = Models(adapter.RawTables(raw.orders, raw.order_items, raw.customers, raw.products.filter("_loaded_at < '2024-01-10'"),
+                                    raw.marketing_events), seed_regions(spark))
+    assert once.fact_order_items.count() == Models(raw, seed_regions(spark)).fact_order_items.count()
+    assert Models(raw, seed_regions(spark)).dim_products.groupBy("product_id").count().filter("count > 1").count() == 0
 
 
 def test_adapter_is_deterministic(spark, smoke_dir):

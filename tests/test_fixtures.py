@@ -142,6 +142,44 @@ def test_completeness_five_of_six(spark):
     assert m["apac-jp"] is False and sum(m.values()) == 5
 
 
+def test_completeness_of_a_range_with_absent_hours_and_other_regions(spark):
+    b = spark.createDataFrame([("us-east", "2024-01-01", "05"), ("mars", "2024-01-01", "05"), ("mars", "2024-01-01", "06"),
+                               (None, "2024-01-01", "06"), ("us-east", "2024-01-01", "09")], "region string, date string, hour string")
+    got = {r.hour: r for r in gates.hour_completeness(b, since="2024-01-01 04", until="2024-01-01 07").collect()}
+    assert sorted(got) == ["04", "05", "06", "07"]
+    assert [(got[h].n_regions, got[h].unexpected_regions) for h in sorted(got)] == [(0, ""), (1, "mars"), (0, "mars,null"), (0, "")]
+    assert got["07"].missing_regions.count(",") == 5 and not any(r.is_complete for r in got.values())
+    assert sorted(r.hour for r in gates.hour_completeness(b).collect()) == ["05", "06", "09"]
+    rows = [(r.hour, r.region, r.n_rows, r.expected) for r in gates.region_manifest(b, since="2024-01-01 06", until="2024-01-01 06").collect()]
+    assert ("06", "mars", 1, False) in rows and ("06", None, 1, False) in rows and len(rows) == 8
+
+
+def test_volume_keeps_unlisted_regions_and_stray_timestamps(spark):
+    df = spark.createDataFrame([("us-east", T(2024, 1, 1, 5)), ("mars", T(2024, 1, 1, 6)), (None, T(2024, 1, 1, 7)),
+                                ("us-east", T(2199, 1, 1, 0)), ("us-east", None)], "region string, created_at timestamp_ntz")
+    act = volume.hourly_actuals(df)
+    assert act.count() == 24 * (6 * 2 + 2) and act.groupBy().sum("actual_orders").first()[0] == 4
+    out = volume.volume_anomaly(act, volume.holiday_calendar(volume.years_of(df)))
+    assert out.count() == act.count()
+    odd = out.filter("region = 'mars' OR region IS NULL").collect()
+    assert len(odd) == 48 and not any(r.has_baseline or r.is_anomaly for r in odd) and sum(r.actual_orders for r in odd) == 2
+    days = volume.hourly_actuals(df, since="2024-01-01", until="2024-01-03").filter("region = 'us-east'")
+    assert days.count() == 72 and days.groupBy().sum("actual_orders").first()[0] == 1
+
+
+def test_scorecard_agrees_with_detectors(spark):
+    from marketlens.operators import detectors
+    orders = spark.createDataFrame(
+        [("o1", "c", "us-east", Decimal("100.00"), "USD"), ("o1", "c", "us-east", Decimal("80.00"), "USD"),
+         ("o2", "c", "us-east", Decimal("-5.00"), "USD"), ("o2", "c", "us-east", Decimal("7.00"), "USD"), ("o3", "c", "us-east", Decimal("5.00"), "USD")],
+        "order_id string, customer_id string, region string, total_amount decimal(18,2), currency string")
+    items = spark.createDataFrame([("o1", Decimal("100.00")), ("o2", Decimal("5.00")), ("o3", Decimal("5.00"))], "order_id string, amount decimal(18,2)")
+    n = {r.issue: r.n_affected for r in detectors.dq_scorecard(orders, items).collect()}
+    assert n["revenue_mismatch_rate"] == detectors.revenue_mismatch(orders, items).select("order_id").distinct().count() == 2
+    empty = detectors.dq_scorecard(orders.limit(0), items).collect()
+    assert len(empty) == 6 and all(r.n_affected == 0 and r.observed_rate is None for r in empty)
+
+
 def test_local_time(spark):
     df = spark.createDataFrame([("us-east", T(2025, 11, 29, 0)), ("apac-au", T(2025, 12, 24, 20))],
                                "region string, created_at timestamp_ntz")
@@ -216,13 +254,13 @@ def test_deterministic_sample_split_groups_equal_single_piece(spark, smoke_dir):
     """Cutting groups into many hash pieces gives exactly the same sample as one piece per group."""
     from marketlens.plans.warehouse import Models
     o = Models.from_test_tables(spark, smoke_dir).stg_orders
-    whole = deterministic_sample(o, "order_id", 0.02, 42, ["region"], rows_per_piece=10**9)
-    split = deterministic_sample(o, "order_id", 0.02, 42, ["region"], rows_per_piece=7)
+    whole = deterministic_sample(o, "order_id", 0.02, 42, ["region"], bins=1)
+    split = deterministic_sample(o, "order_id", 0.02, 42, ["region"], bins=4096)
     a = sorted(r.order_id for r in whole.collect())
     assert a == sorted(r.order_id for r in split.collect())
     n = {r.region: r["count"] for r in o.groupBy("region").count().collect()}
     assert len(a) == sum(max(1, round(v * 0.02)) for v in n.values())
-    single = deterministic_sample(o, "order_id", 0.02, 42, rows_per_piece=11)
+    single = deterministic_sample(o, "order_id", 0.02, 42, bins=11)
     assert single.count() == max(1, round(o.count() * 0.02))
 
 
@@ -243,11 +281,19 @@ def test_non_empty_load_gate_reports_zero_rows(spark):
     assert got == {"a": (1, True), "b": (0, False)}
 
 
+def test_sample_of_identical_copies(spark):
+    """Copies of one row past the cut: as many as are missing, no more."""
+    df = spark.createDataFrame([("g", "same", 1)] * 50 + [("g", f"k{i}", i) for i in range(10)], "grp string, order_id string, v int")
+    for rate in (0.1, 0.5, 0.95):
+        got = deterministic_sample(df, "order_id", rate, 42, ["grp"]).collect()
+        assert len(got) == max(1, round(60 * rate))
+
+
 def test_hourly_actuals_reports_an_hour_without_orders(spark):
     df = spark.createDataFrame([("us-east", T(2024, 1, 1, 5, 10)), ("us-west", T(2024, 1, 1, 7, 30))],
                                "region string, created_at timestamp_ntz")
     got = {(r.region, r.hour_ts.hour): r.actual_orders for r in volume.hourly_actuals(df, ["us-east", "us-west"]).collect()}
-    assert len(got) == 6 and got[("us-east", 6)] == 0 and got[("us-west", 6)] == 0
+    assert len(got) == 48 and got[("us-east", 6)] == 0 and got[("us-west", 6)] == 0
     assert got[("us-east", 5)] == 1 and got[("us-west", 7)] == 1
 
 
@@ -268,7 +314,7 @@ def test_deterministic_sample_boundary_inside_a_hot_key(spark):
     df = spark.createDataFrame(rows, "grp string, order_id string, v int")
     for rate in (0.1, 0.37, 0.5, 0.9):
         got = sorted(tuple(r) for r in deterministic_sample(df, "order_id", rate, 42, ["grp"],
-                                                            rows_per_piece=7).collect())
+                                                            bins=7).collect())
         ordered = (df.select("*", F.md5(F.concat("order_id", F.lit("42"))).alias("h"),
                              F.xxhash64("grp", "order_id", "v").alias("t")).orderBy("h", "order_id", "t").collect())
         k = max(1, round(100 * rate))

@@ -5,13 +5,14 @@ import os
 
 import pyarrow as pa
 import pyarrow.parquet as pq
+import pytest
 from pyspark.sql import functions as F
 
 from marketlens.constants import REGIONS
 from marketlens.schemas import LANDING
 from marketlens.session import local_scratch
-from marketlens.sources.landing import (read_foreign_hour, read_landing, typed_load, with_audit,
-                                        with_partition_columns, write_hour)
+from marketlens.sources.landing import (flagged_load, nanos_to_timestamp, partition_dir, read_foreign_hour, read_landing,
+                                        typed_load, with_audit, with_partition_columns, write_hour)
 from marketlens.streaming.ingest import ingested_schema, run_ingest
 
 T = dt.datetime
@@ -28,7 +29,9 @@ def test_six_region_union_and_lineage(spark):
     df = with_audit(read_landing(spark, base, "orders", "2024-01-01", "05"), "2024-01-01 06:00:00")
     assert df.count() == 18
     files = {r._source_file for r in df.select("_source_file").distinct().collect()}
-    assert files == {f"region={r}/date=2024-01-01/hour=05" for r in REGIONS}
+    assert all(f.startswith("file:") and base in f and f.endswith(".parquet") for f in files)
+    dirs = {r.d for r in df.select(partition_dir().alias("d")).distinct().collect()}
+    assert dirs == {f"region={r}/date=2024-01-01/hour=05" for r in REGIONS}
 
 
 def test_missing_region_file_is_skipped(spark):
@@ -40,10 +43,85 @@ def test_missing_region_file_is_skipped(spark):
 
 def test_no_file_gives_empty_frame_with_schema(spark):
     base = local_scratch()
-    df = read_landing(spark, base, "orders", "2024-01-01", "05")
+    write_hour(with_partition_columns(_orders(spark, REGIONS)), f"{base}/orders")
+    df = read_landing(spark, base, "orders", "2024-01-01", "06")
     assert df.count() == 0 and "total_amount" in df.columns
 
 
+def test_a_base_without_any_landing_raises(spark):
+    with pytest.raises(FileNotFoundError):
+        read_landing(spark, local_scratch(), "orders", "2024-01-01", "05")
+
+
+def _generator_layout(spark, base, smoke_dir, hours=3):
+    """The five entities of a few hours as the generator lands them: region=R/date=D/hour=HH/{entity}.parquet, one file each."""
+    from marketlens.sources import adapter
+    counts = {}
+    for entity in adapter.RAW_ENTITIES:
+        pdf = adapter.landing_entity(spark, smoke_dir, entity).filter(F.col("hour").cast("int") < hours).toPandas()
+        counts[entity] = len(pdf)
+        for (r, d, h), part in pdf.groupby(["region", "date", "hour"]):
+            path = f"{base}/region={r}/date={d}/hour={h}"
+            os.makedirs(path, exist_ok=True)
+            cols = LANDING[entity].fieldNames()
+            table = pa.Table.from_pandas(part[cols], preserve_index=False)
+            for i, f in enumerate(table.schema):  # a column without any value keeps its type here
+                if pa.types.is_null(f.type):
+                    table = table.set_column(i, f.name, table.column(i).cast(pa.string()))
+            pq.write_table(table, f"{path}/{entity}.parquet", coerce_timestamps="us")
+    return counts
+
+
+def test_generator_layout_end_to_end(spark, smoke_dir):
+    """Landing files in the generator's layout -> scan, batch ingest, stream, models, KPI table."""
+    from marketlens.plans.warehouse import Models
+    from marketlens.sources.adapter import RAW_ENTITIES, read_raw_tables
+    from marketlens.sources.ingest import ingest_history, ingest_hour
+    from marketlens.sources.landing import seed_regions
+    base, raw = local_scratch(), local_scratch()
+    counts = _generator_layout(spark, base, smoke_dir)
+    for entity in RAW_ENTITIES:
+        df = read_landing(spark, base, entity)
+        assert df.count() == counts[entity] > 0 and {"region", "date", "hour"} <= set(df.columns)
+    one = read_landing(spark, base, "orders", "2024-01-02", "01", regions=["us-east", "eu-west"])
+    assert {r.region for r in one.collect()} <= {"us-east", "eu-west"}
+    assert read_landing(spark, base, "orders", "2023-01-01", "00").count() == 0
+    ingest_history(spark, base, raw)
+    m = Models(read_raw_tables(spark, raw), seed_regions(spark))
+    assert m.rpt_daily_kpis.groupBy().sum("total_orders").first()[0] == counts["orders"]
+    assert m.stg_orders.filter("_source_file NOT LIKE '%/orders.parquet'").count() == 0
+    assert m.raw.order_items.filter("_source_file LIKE '%/order_items.parquet'").count() == counts["order_items"]
+    n, audit = ingest_hour(spark, base, f"{raw}/hour", "orders", "2024-01-02", "01", "r", "2024-01-02 02:00:00")
+    assert n == sum(r.sf_actual_rows for r in audit.collect()) == read_landing(spark, base, "orders", "2024-01-02", "01").count()
+    run_ingest(spark, base, "orders", f"{raw}/stream", f"{raw}/ckpt")
+    assert spark.read.schema(ingested_schema("orders")).parquet(f"{raw}/stream").count() == counts["orders"]
+
+
+def test_nanoseconds_are_cut_to_microseconds(spark):
+    df = spark.createDataFrame([(1748786700123456999,), (1748786700123456000,), (None,), (999,)], "n long")
+    got = [r.t for r in df.select(nanos_to_timestamp(F.col("n")).alias("t")).collect()]
+    assert got == [T(2025, 6, 1, 14, 5, 0, 123456), T(2025, 6, 1, 14, 5, 0, 123456), None, T(1970, 1, 1)]
+
+
+def test_fractions_round_in_whole_number_columns(spark):
+    from pyspark.sql.types import IntegerType, StructField, StructType
+
+    from marketlens.plans.staging import whole
+    df = spark.createDataFrame([("2.5",), ("2.4",), ("-2.5",), ("x",), (None,), ("3000000000",)], "q string").coalesce(1)
+    flag = flagged_load(df, StructType([StructField("q", IntegerType())]))
+    assert [(r.q, r._rejected) for r in flag.collect()] == [(3, False), (2, False), (-3, False), (None, True), (None, False), (None, True)]
+    good = spark.createDataFrame([(2.5,), (2.4,), (-2.5,), (None,)], "q double")
+    assert [r.q for r in good.select(whole(F.col("q")).alias("q")).collect()] == [3, 2, -3, None]
+
+
+def test_ingest_audit_counts_unlisted_regions(spark):
+    from marketlens.sources.ingest import ingest_hour
+    base, raw = local_scratch(), local_scratch() + "/raw_order"
+    write_hour(with_partition_columns(_orders(spark, ["us-east", "mars"])), f"{base}/orders")
+    n, audit = ingest_hour(spark, base, raw, "orders", "2024-01-01", "05", "r1", "2024-01-01 06:00:00")
+    assert n == 6 and {(r.region, r.s3_expected_rows, r.sf_actual_rows) for r in audit.collect()} == {("us-east", 3, 3), ("mars", 3, 3)}
+
+
 def test_same_hour_written_twice_is_idempotent(spark):
     base = local_scratch()
     src = with_partition_columns(_orders(spark, REGIONS))
@@ -74,8 +152,12 @@ def test_foreign_files_ns_timestamps_and_all_null_column(spark):
                       "total_amount": [1.5, 2.5]})
         pq.write_table(t, f"{d}/orders.parquet", coerce_timestamps=None, version="2.6")
     df = read_foreign_hour(spark, base, "orders", "2025-06-01", "14")
+    assert spark.conf.get("spark.sql.legacy.parquet.nanosAsLong", "false") == "false"
     rows = {r.order_id: r for r in df.collect()}
-    assert len(rows) == 4
+    assert len(rows) == 4 and all(r._source_file.endswith("/orders.parquet") for r in rows.values())
+    from marketlens.sources.ingest import ingest_hour
+    n, audit = ingest_hour(spark, base, local_scratch() + "/raw", "orders", "2025-06-01", "14", "r", "2025-06-01 15:00:00", foreign=True)
+    assert n == 4 and {(r.region, r.sf_actual_rows) for r in audit.collect()} == {("us-east", 2), ("eu-west", 2)}
     assert rows["a-us-east"].created_at == T(2025, 6, 1, 14, 5, 0, 123456)
     assert rows["a-us-east"].promo_code == "P1" and rows["a-eu-west"].promo_code is None
     assert dict(df.dtypes)["promo_code"] == "string"
@@ -92,7 +174,7 @@ def test_streaming_ingest_rerun_does_not_duplicate(spark):
     write_hour(with_partition_columns(_orders(spark, REGIONS, hour=T(2024, 1, 1, 6))), f"{base}/orders")
     run_ingest(spark, base, "orders", sink, ckpt)  # only the new hour is added
     assert read().count() == 36
-    assert read().filter(F.col("_source_file") == "region=us-east/date=2024-01-01/hour=06").count() == 3
+    assert read().filter(partition_dir() == "region=us-east/date=2024-01-01/hour=06").count() == 3
 
 
 def test_ingest_hour_is_idempotent_and_audited(spark):
