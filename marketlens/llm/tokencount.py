@@ -13,7 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from .common import slices, worker_state
 
 MAX_TOKENS = 2048
-#: Distinct words that a worker remembers at a time.
+#: Characters of a long text that are counted at a time; distinct words that a worker remembers at a time.
+PIECE = 1 << 20
 MEMORY = 400_000
 #: Python splits at these separators, the tokenizer's white space doesn't have them (U+0085 kept with them to be safe).
 _ODD = re.compile("[\x1c-\x1f\x85]")
@@ -99,21 +100,18 @@ class Counter:
         return [len(e.ids) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def count(self, text: str) -> int:
-        if _ODD.search(text):
-            return self.library([text])[0]
         total, at = 0, 0
-        while at < len(text):  # a long text piece by piece, cut at white space
-            to = min(len(text), at + (1 << 20))
-            while to < len(text) and not text[to].isspace():
-                to += 1
-            words = (text[at:to] if at or to < len(text) else text).split()
+        while at < len(text):  # a long text piece by piece, cut at a space or newline
+            to = len(text) if len(text) - at <= PIECE else min((x for x in (text.find(" ", at + PIECE), text.find("\n", at + PIECE)) if x >= 0), default=len(text))
+            part, at = text[at:to], to
+            if _ODD.search(part):
+                total += self.library([part])[0]
+                continue
+            words = part.split()
             new = [w for w in set(words) if w not in self.known]
             if new:
-                if len(self.known) + len(new) > MEMORY:
-                    new = list(set(words))
-                self.merge(new)
+                self.merge(list(set(words)) if len(self.known) + len(new) > MEMORY else new)
             total += sum(map(self.known.__getitem__, words))
-            at = to
         return total
 
 

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import slices, work_folder, worker_state, written
+from .common import free_name, slices, work_folder, worker_state, written
 from .files import Output, open_input
 from .huffman import BLOCK, Decoder, Encoder, code_lengths
 
@@ -27,19 +27,23 @@ END_ID = 2
 #: Ids of a file, and of what a task holds at a time.
 FILE_IDS, CHUNK_IDS = 8_000_000, 1 << 17
 MAGIC = b"HUF1"
-MEMORY = 600_000
+MEMORY = 1_200_000
 #: Where a text may be cut: before a single space between two characters that aren't white space.
 _SAFE = re.compile(r"(?<=\S)(?= \S)")
-_TEXT_CUT = "\x1f"
+#: What keeps a text from being cut at every space and newline: two of them in a row, or other white space.
+_NOT_PLAIN = ["  ", " \n", "\n ", "\n\n", *"\t\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2028\u2029\u202f\u205f\u3000", *map(chr, range(0x2000, 0x200B))]
+#: A word of letters (Latin-1 ones, all of them letters to the tokenizer too) before ASCII punctuation, and white space behind a piece's first character.
+_STEM = re.compile(r" ?[A-Za-zÀ-ÖØ-öø-ÿ]+(?=[!-/:-@\[-`{-~])(?=\S+\Z)")
+_SPACED = re.compile(r"(?<!\A)\s|\A[^\S ]|\A \Z")
 
 
 class Tokenizer:
     """Ids of whole texts as the library gives them, remembering the pieces that it has encoded.
 
     The byte-level pre-tokenizer never joins text across a single space or newline that stands between two other characters (the
-    space begins the next pre-token, the newline is one), so the ids of a text are those of its pieces. Each distinct piece
-    is encoded by the library, many in one call with an added token between them. Other texts are cut only where that holds;
-    texts with an added token inside go to the library whole.
+    space begins the next pre-token, the newline is one), nor across the end of a run of letters, so the ids of a text are
+    those of its pieces. Each distinct piece is encoded by the library, many in one call with a newline between them. Other texts
+    are cut only where that holds; texts with an added token inside go to the library whole.
     """
 
     def __init__(self, path: str) -> None:
@@ -48,35 +52,74 @@ class Tokenizer:
         with open(path, encoding="utf-8") as f:
             added = json.load(f).get("added_tokens", [])
         self.special = [t["content"] for t in added]
-        self.mark = next(((t["content"], t["id"]) for t in added if not (t["lstrip"] or t["rstrip"] or t["single_word"])), None)
-        self.known: dict[str, bytes] = {"": b""}
+        line = self.library.encode("\n", add_special_tokens=False).ids
+        self.line = line[0] if len(line) == 1 else None
+        self.known: dict[str, bytes] = {"": b"", "\n": np.array(line, np.uint32).tobytes()}
+        self.fixed = dict(self.known)
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.library.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32).tobytes()
 
-    def _learn(self, pieces: list[str]) -> None:
-        for i in range(0, len(pieces), 512):
-            part = pieces[i:i + 512]
-            ids = np.array(self.library.encode_batch_fast([self.mark[0].join(part)], add_special_tokens=False)[0].ids, np.uint32)
-            at = np.concatenate([[-1], np.flatnonzero(ids == self.mark[1]), [len(ids)]])
+    def _encode(self, pieces: list[str]) -> None:
+        """Remembers pieces whose only white space is a space at their beginning."""
+        if self.line is None:
+            self.known.update((p, self._whole(p)) for p in pieces)
+            return
+        for i in range(0, len(pieces), 1024):
+            part = pieces[i:i + 1024]
+            ids = np.array(self.library.encode_batch_fast(["\n".join(part)], add_special_tokens=False)[0].ids, np.uint32)
+            cut = np.flatnonzero(ids == self.line) * 4
             raw = ids.tobytes()
-            self.known.update(zip(part, [raw[4 * a + 4:4 * b] for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)], strict=True))
-
-    def ids(self, text: str) -> bytes:
-        """The ids as little-endian 32-bit numbers."""
-        if not self.mark or any(s in text for s in self.special):
-            return self._whole(text)
-        if len(text.split()) - 1 == text.count(" ") + text.count("\n") and _TEXT_CUT not in text:
-            pieces = text.replace(" ", "\x1f ").replace("\n", "\x1f\n\x1f").split(_TEXT_CUT)
-        else:
-            pieces = _SAFE.split(text)
-        new = [p for p in set(pieces) if p not in self.known]
+            self.known.update(zip(part, map(raw.__getitem__, map(slice, [0, *(cut + 4).tolist()], [*cut.tolist(), len(raw)])), strict=True))
+
+    def _learn(self, pieces: set[str]) -> None:
+        """Remembers new pieces; a word with punctuation behind it is put together from the two."""
+        known, split, plain = self.known, {}, set()
+        for p in pieces:
+            m = _STEM.match(p)
+            if m:
+                split[p] = (m[0], p[m.end():])
+            elif _SPACED.search(p):
+                known[p] = self._whole(p)
+            else:
+                plain.add(p)
+        self._encode(list(plain.union(*map(set, zip(*split.values()))).difference(known) if split else plain))
+        known.update((p, known[a] + known[b]) for p, (a, b) in split.items())
+
+    def ids(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text as little-endian 32-bit numbers."""
+        if len(self.known) > MEMORY:
+            self.known = dict(self.fixed)
+        get, out, gaps, new = self.known.get, [], [], set()
+        for text in texts:
+            if any(s in text for s in self.special):
+                out.append([self._whole(text)])
+                continue
+            if not text or text[0].isspace() or text[-1].isspace() or any(s in text for s in _NOT_PLAIN):
+                pieces = _SAFE.split(text)
+            else:
+                pieces = text.replace(" ", "\x1f ").replace("\n", "\x1f\n\x1f").split("\x1f")
+            found = list(map(get, pieces))
+            at = -1
+            for _ in range(found.count(None)):
+                at = found.index(None, at + 1)
+                gaps.append((found, at, pieces[at]))
+                new.add(pieces[at])
+            out.append(found)
         if new:
-            if len(self.known) + len(new) > MEMORY:
-                self.known = {"": b""}
-                new = list(set(pieces))
             self._learn(new)
-        return b"".join(map(self.known.__getitem__, pieces))
+            for found, at, piece in gaps:
+                found[at] = self.known[piece]
+        return list(map(b"".join, out))
+
+
+def parts(text: str, size: int = 1 << 20) -> list[str]:
+    """A long text in pieces that are encoded one by one, cut where no token crosses."""
+    out, at = [], 0
+    while len(text) - at > size and (m := _SAFE.search(text, at + size)):
+        out.append(text[at:m.start()])
+        at = m.start()
+    return [*out, text[at:]]
 
 
 def token_ids(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", end_id: int | None = END_ID) -> DataFrame:
@@ -87,30 +130,35 @@ def token_ids(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col:
         end = b"" if end_id is None else np.uint32(end_id).tobytes()
         for b in slices(batches):
             n, out = [], []
-            for x in b.column(2):
-                ids = np.frombuffer(t.ids(x.as_py() or "") + end, np.uint32)
+            texts = [parts(x or "") for x in b.column(2).to_pylist()]
+            raw = iter(t.ids([p for x in texts for p in x]))
+            for x in texts:
+                ids = np.frombuffer(b"".join([*(next(raw) for _ in x), end]), np.uint32)
                 n.append(len(ids))
                 out.append((ids.astype(np.uint16) if not len(ids) or ids.max() < 1 << 16 else ids).tobytes())
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(n, pa.int64()), pa.array(out, pa.binary())], ["doc_id", "row", "n", "ids"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(id_col, F.monotonically_increasing_id().alias("row"), text_col).mapInArrow(run, f"doc_id {kind}, row bigint, n bigint, ids binary")
+    return docs.select(id_col, F.monotonically_increasing_id().alias(free_name(docs, "row")), text_col).mapInArrow(run, f"doc_id {kind}, row bigint, n bigint, ids binary")
 
 
-def _array(ids: bytes, n: int) -> np.ndarray:
-    return np.frombuffer(ids, np.uint16 if len(ids) == 2 * n else np.uint32)
+def _joined(column: pa.Array, n: np.ndarray) -> np.ndarray:
+    """All ids of a column of ids in one array."""
+    parts = column.to_pylist()
+    if sum(map(len, parts)) == 2 * n.sum():
+        return np.frombuffer(b"".join(parts), np.uint16)
+    return np.concatenate([np.frombuffer(x, np.uint16 if len(x) == 2 * k else np.uint32) for x, k in zip(parts, n, strict=True)])
 
 
 def _counts(tokens: DataFrame) -> np.ndarray:
     """How often each id occurs, one number for each id of the vocabulary."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(0, np.int64)
-        for b in batches:
-            for n, ids in zip(b.column(0).to_pylist(), b.column(1), strict=True):
-                c = np.bincount(_array(ids.as_py(), n))
-                if len(c) > len(total):
-                    total = np.concatenate([total, np.zeros(len(c) - len(total), np.int64)])
-                total[:len(c)] += c
+        for b in slices(batches):
+            c = np.bincount(_joined(b.column(1), b.column(0).to_numpy(zero_copy_only=False)))
+            if len(c) > len(total):
+                total = np.concatenate([total, np.zeros(len(c) - len(total), np.int64)])
+            total[:len(c)] += c
         i = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(i.astype(np.int32)), pa.array(total[i])], ["id", "n"])
 
@@ -150,7 +198,7 @@ def _encoded(tokens: DataFrame, lengths: np.ndarray, bounds: list[tuple]) -> Dat
                 if not b.num_rows:
                     continue
                 n = b.column(2).to_numpy(zero_copy_only=False)
-                ids = np.concatenate([_array(x.as_py(), k) for x, k in zip(b.column(3), n, strict=True)]).astype(np.int64)
+                ids = _joined(b.column(3), n).astype(np.int64)
                 first = np.concatenate([[0], np.cumsum(n)])
                 data, start, bit = encoder.encode(ids, first)
                 blocks = [bit[f:f + k:BLOCK] - 8 * s for f, k, s in zip(first[:-1], n, start[:-1], strict=True)]

@@ -107,7 +107,8 @@ def test_token_counts_equal_library(spark, texts):
     path = public_tokenizers.path("word_bpe_49k.json")
     odd = ["a<|endoftext|>b <|startoftext|>", "I'll DON'T it's x'S", "a\x1cb \x85 c", "Ünïcode ǅ İstanbul ΣΑΣ é ́x  y",
            "12 345 ½ ²³", "日本語 テキスト", "'s's 'll''d", "  x　y", "<|ENDOFTEXT|>"]
-    rows = texts + EDGE + [(2000 + i, t) for i, t in enumerate(odd)]
+    long = ["ab\x1c!? c's\n" * 150_000, "word<|endoftext|> " * 70_000]  # over a megabyte
+    rows = texts[:50] + EDGE + [(2000 + i, t) for i, t in enumerate(odd + long)]
     got = sorted((tuple(r) for r in tokencount.token_counts(frame(spark, rows), path).collect()), key=str)
     lib = Tokenizer.from_file(path)
     n = [len(e.ids) for e in lib.encode_batch([t or "" for _, t in rows], add_special_tokens=False)]
@@ -128,7 +129,8 @@ def test_token_ids_round_trip(spark, texts):
     import public_tokenizers
     from tokenizers import Tokenizer
     path = public_tokenizers.path("byte_bpe_50k.json")
-    odd = ["a  b\n\n c <|endoftext|> d", " x \t y  ", "\x1c\x1f q", "é ́ ́a　 b", "tail ", "\n\nx\n y"]
+    odd = ["a  b\n\n c <|endoftext|> d", " x \t y  ", "\x1c\x1f q", "é ́ ́a　 b", "tail ", "\n\nx\n y", " ", "\n",
+           "it's word's. don't, x''s a²b! Ab- é-é naïve! \xa0x", "ab1! cd_e", "w's  <|endoftext|>.\n" * 80_000]
     rows = texts + EDGE + [(7, t) for t in odd]
     docs = frame(spark, rows)
     tokens = written(tokenids.token_ids(docs, path), "t")
