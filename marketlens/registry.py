@@ -579,11 +579,26 @@ def q_materialised(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- streaming
+def _streamed(spark, sf_dir, entity):
+    base = ensure_landing(spark, sf_dir, entity)
+    run = unique_path(spark, "ingest")
+    run_ingest(spark, base, entity, f"{run}/table", f"{run}/checkpoint")
+    t = spark.read.schema(ingested_schema(entity)).parquet(f"{run}/table")
+    return t.drop("_loaded_at").withColumn("_source_file", partition_dir())
+
+
 @query("streaming_ingest")
 def q_streaming(spark, sf_dir):
     """availableNow incremental ingest of the landing files into a partitioned table."""
-    base = ensure_landing(spark, sf_dir)
-    run = unique_path(spark, "ingest")
-    run_ingest(spark, base, "orders", f"{run}/table", f"{run}/checkpoint")
-    t = spark.read.schema(ingested_schema("orders")).parquet(f"{run}/table")
-    return t.select(*LANDING["orders"].fieldNames(), "date", "hour", partition_dir().alias("_source_file"))
+    return _streamed(spark, sf_dir, "orders")
+
+
+def _stream(entity):
+    @query(f"streaming_ingest_{entity}")
+    def q(spark, sf_dir):
+        return _streamed(spark, sf_dir, entity)
+    q.__doc__ = f"I15: the same ingest of {entity}."
+
+
+for _e in adapter.RAW_ENTITIES[1:]:
+    _stream(_e)

@@ -467,8 +467,11 @@ def build() -> dict[str, str]:
             ("products", "raw_product", "product_id, name, category, unit_price:f, is_active", "_loaded_at"),
             ("marketing_events", "raw_marketing_event", "event_id, customer_id, event_type, created_at", "created_at")]:
         region = f"'{REGIONS[0]}' AS region, " if entity in ("order_items", "products") else ""
-        s[f"landing_{entity}"] = q(f"{cols}, region, date, hour", f"SELECT *, {region}strftime({at}, '%Y-%m-%d') AS date, "
-                                   f"strftime({at}, '%H') AS hour FROM {table}")
+        landed = f"SELECT * EXCLUDE (_source_file), {region}strftime({at}, '%Y-%m-%d') AS date, strftime({at}, '%H') AS hour FROM {table}"
+        landed = landed.replace(" EXCLUDE (_source_file)", "") if entity == "order_items" else landed
+        s[f"landing_{entity}"] = q(f"{cols}, region, date, hour", landed)
+        s[f"streaming_ingest_{entity}"] = q(f"{cols}, region, date, hour, _source_file",
+                                            f"SELECT *, 'region=' || region || '/date=' || date || '/hour=' || hour AS _source_file FROM ({landed})")
     s["landing_one_hour"] = q(SPEC["landing"], f"SELECT * FROM ({landing_sel}) WHERE date = '2024-01-15' AND hour = '07'")
     s["landing_hour_rerun"] = q("order_id, region, total_amount:f, _loaded_at, date, hour", f"""
         SELECT *, TIMESTAMP '2024-01-15 00:00:00' + to_hours(CASE WHEN hour = '07' THEN 10 ELSE 9 END) AS _loaded_at
