@@ -241,3 +241,36 @@ def mix_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     return mix_report(docs).select("doc_id", "size", "source_size", "target", "taken")
+
+
+SQL = f"""
+WITH RECURSIVE d AS (
+  SELECT row_number() OVER () AS r, doc_id, source, coalesce('v' || source, 'n') AS key, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS size,
+         CAST('0x' || substr(md5('mix|' || coalesce('v' || CAST(doc_id AS VARCHAR), 'n') || '|' || coalesce(md5(text), 'n')), 1, 13) AS BIGINT) AS h
+  FROM documents),
+s1 AS (SELECT source, key, CAST(sum(size) AS BIGINT) AS source_size, count(*) AS n, {MAX_REPEAT!r} * sum(size) AS cap FROM d GROUP BY source, key),
+s2 AS (SELECT *, {list(WEIGHTS)}[(row_number() OVER (ORDER BY source NULLS LAST) - 1) % {len(WEIGHTS)} + 1] AS weight FROM s1),
+s3 AS (SELECT *, (sum(source_size) OVER () * {BUDGET!r} - coalesce(sum(cap) OVER (ORDER BY cap / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+                 / sum(weight) OVER (ORDER BY cap / weight, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level FROM s2),
+s4 AS (SELECT *, least(cap, coalesce((SELECT arg_min(level, cap / weight) FROM s3 WHERE level <= cap / weight) * weight, cap)) AS target FROM s3),
+s AS (SELECT *, target - whole * source_size AS rest
+      FROM (SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END AS whole,
+                   greatest(1, least({MAX_BLOCKS}, ceil(n / {BLOCK_ROWS}))) AS blocks FROM s4)),
+b0 AS (SELECT d.*, whole, rest, CAST(floor(h / {SCALE!r} * blocks) AS BIGINT) AS block FROM d JOIN s USING (key)),
+b1 AS (SELECT key, block, sum(size) AS words, CAST('0x' || substr(md5('mix|block|' || key || '|' || CAST(block AS VARCHAR)), 1, 13) AS BIGINT) AS o FROM b0 GROUP BY key, block),
+b AS (SELECT *, coalesce(sum(words) OVER (PARTITION BY key ORDER BY o, block ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS ahead FROM b1),
+x AS (SELECT b0.*, CASE WHEN rest > 0 AND ahead + words <= rest THEN 1 ELSE 0 END AS more, rest > 0 AND ahead < rest AND ahead + words > rest AS edge,
+             rest - ahead AS need, row_number() OVER (PARTITION BY key, block ORDER BY h, doc_id NULLS FIRST, size) AS i
+      FROM b0 JOIN b USING (key, block)),
+fill(key, i, need, r, took, size) AS (
+  SELECT key, i, CASE WHEN size <= need THEN need - size ELSE need END, r, size <= need, size FROM x WHERE edge AND i = 1
+  UNION ALL
+  SELECT x.key, x.i, CASE WHEN x.size <= f.need THEN f.need - x.size ELSE f.need END, x.r, x.size <= f.need, x.size
+  FROM fill f JOIN x ON x.edge AND x.key = f.key AND x.i = f.i + 1),
+missing AS (SELECT key, arg_max(need, i) AS need FROM fill GROUP BY key),
+last AS (SELECT arg_min(f.r, (abs(m.need - f.size), f.i)) AS r FROM fill f JOIN missing m USING (key)
+         WHERE NOT f.took AND abs(m.need - f.size) < m.need GROUP BY key)
+SELECT x.doc_id, CAST(x.size AS BIGINT) AS size, s.source_size, CAST(s.target AS DOUBLE) AS target,
+       CAST(x.size * (x.whole + x.more + CASE WHEN f.took OR x.r IN (SELECT r FROM last) THEN 1 ELSE 0 END) AS BIGINT) AS taken
+FROM x JOIN s USING (key) LEFT JOIN fill f ON f.r = x.r
+"""

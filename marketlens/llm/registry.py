@@ -16,6 +16,8 @@ QUERIES = {
 }
 ORACLE_SQL: dict[str, str] = {
     "op2_warc": warc.SQL,
+    "op4_sharding": sharding.SQL,
     "op7_decontamination": decontamination.SQL,
+    "op9_mixing": mixing.SQL,
     "op10_embeddings": embeddings.SQL,
 }

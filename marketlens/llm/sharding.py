@@ -120,3 +120,45 @@ SHARDS = 40
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     return shard_documents(docs, shard_tree(SHARDS), shard_tree(SHARDS + 1))
+
+
+def _draw_sql(name: str, weight: float) -> str:
+    return f"ln((CAST('0x' || substr(md5('shard|' || k || '|{name}'), 1, 13) AS BIGINT) + 0.5) / {float(1 << 52)!r}) / {float(weight)!r}"
+
+
+def _shard_sql(tree: Tree) -> str:
+    """The shard of the key text ``k``: at each level the child with the largest draw."""
+    def level(children: list[tuple[str, float, str]]) -> str:
+        draws = ", ".join(_draw_sql(name, w) for name, w, _ in children)
+        if len(children) == 1:
+            return children[0][2]
+        return f"CASE list_position([{draws}], greatest({draws})) " + " ".join(
+            f"WHEN {i + 1} THEN {then}" for i, (_, _, then) in enumerate(children)) + " END"
+    return level([(region, sum(w for s in racks.values() for w in s.values()),
+                   level([(rack, sum(s.values()), level([(f"s{n}", w, str(n)) for n, w in s.items()])) for rack, s in racks.items()]))
+                  for region, racks in tree.items()])
+
+
+def _crc_table() -> list[int]:
+    out = []
+    for n in range(256):
+        for _ in range(8):
+            n = n >> 1 ^ (0xEDB88320 if n & 1 else 0)
+        out.append(n)
+    return out
+
+
+SQL = f"""
+WITH t AS (SELECT doc_id, encode(coalesce(text, '')) AS b, coalesce('v' || CAST(doc_id AS VARCHAR), 'n') AS k FROM documents),
+c AS (SELECT {_crc_table()} AS crc),
+p AS (
+  SELECT doc_id, octet_length(b) + 16 AS size, k, CAST({_shard_sql(shard_tree(SHARDS))} AS INTEGER) AS shard,
+         CAST({_shard_sql(shard_tree(SHARDS + 1))} AS INTEGER) AS grown_shard,
+         CAST('0x' || substr(md5('shard|' || k || '|order'), 1, 13) AS BIGINT) AS h,
+         xor(list_reduce(list_transform(regexp_extract_all(hex(b), '..'), lambda x: CAST('0x' || x AS BIGINT)),
+                         lambda a, x: xor(a >> 8, crc[CAST((xor(a, x) & 255) + 1 AS INTEGER)]), 4294967295), 4294967295) AS text_crc32
+  FROM t, c)
+SELECT doc_id, CAST(size AS BIGINT) AS size, CAST(text_crc32 AS BIGINT) AS text_crc32, 'key' AS law, shard,
+       row_number() OVER (PARTITION BY shard ORDER BY h, doc_id NULLS FIRST, size, text_crc32) - 1 AS slot, grown_shard
+FROM p
+"""

@@ -268,3 +268,9 @@ def test_embeddings_equal_sql_and_empty(spark, smoke_dir):
     res = compare(embeddings.query(spark, smoke_dir), duck_connect(smoke_dir), embeddings.SQL)
     assert res["ok"], res
     assert embeddings.near_duplicates(spark.createDataFrame([], VECTORS)).count() == 0
+
+
+@pytest.mark.parametrize("module", [sharding, mixing])
+def test_native_operators_equal_sql(spark, smoke_dir, module):
+    res = compare(module.query(spark, smoke_dir), duck_connect(smoke_dir), module.SQL)
+    assert res["ok"], res
