@@ -37,6 +37,18 @@ _STEM = re.compile(r" ?[A-Za-zÀ-ÖØ-öø-ÿ]+(?=[!-/:-@\[-`{-~])(?=\S+\Z)")
 _SPACED = re.compile(r"(?<!\A)\s|\A[^\S ]|\A \Z")
 
 
+class _Numbers(dict):
+    """Numbers strings in the order in which they are first looked up."""
+
+    def __init__(self) -> None:
+        self.new: list[str] = []
+
+    def __missing__(self, piece: str) -> int:
+        self[piece] = n = len(self)
+        self.new.append(piece)
+        return n
+
+
 class Tokenizer:
     """Ids of whole texts as the library gives them, remembering the pieces that it has encoded.
 
@@ -54,63 +66,70 @@ class Tokenizer:
         self.special = [t["content"] for t in added]
         line = self.library.encode("\n", add_special_tokens=False).ids
         self.line = line[0] if len(line) == 1 else None
-        self.known: dict[str, bytes] = {"": b"", "\n": np.array(line, np.uint32).tobytes()}
-        self.fixed = dict(self.known)
+        self.line_ids = np.array(line, np.uint32).tobytes()
+        self.clear()
+
+    def clear(self) -> None:
+        """Forgets all pieces but the empty one and the newline."""
+        self.number, self.known = _Numbers(), [b"", self.line_ids]
+        self.number["\n"] = self.number[""] + 1
+        self.number.new.clear()
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.library.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32).tobytes()
 
     def _encode(self, pieces: list[str]) -> None:
-        """Remembers pieces whose only white space is a space at their beginning."""
-        if self.line is None:
-            self.known.update((p, self._whole(p)) for p in pieces)
-            return
+        """Encodes pieces whose only white space is a space at their beginning."""
         for i in range(0, len(pieces), 1024):
             part = pieces[i:i + 1024]
-            ids = np.array(self.library.encode_batch_fast(["\n".join(part)], add_special_tokens=False)[0].ids, np.uint32)
-            cut = np.flatnonzero(ids == self.line) * 4
-            raw = ids.tobytes()
-            self.known.update(zip(part, map(raw.__getitem__, map(slice, [0, *(cut + 4).tolist()], [*cut.tolist(), len(raw)])), strict=True))
-
-    def _learn(self, pieces: set[str]) -> None:
-        """Remembers new pieces; a word with punctuation behind it is put together from the two."""
-        known, split, plain = self.known, {}, set()
-        for p in pieces:
+            if self.line is None:
+                found = list(map(self._whole, part))
+            else:
+                ids = np.array(self.library.encode_batch_fast(["\n".join(part)], add_special_tokens=False)[0].ids, np.uint32)
+                cut = np.flatnonzero(ids == self.line) * 4
+                raw = ids.tobytes()
+                found = [raw[a:b] for a, b in zip([0, *(cut + 4).tolist()], [*cut.tolist(), len(raw)], strict=True)]
+            for n, x in zip(map(self.number.__getitem__, part), found, strict=True):
+                self.known[n] = x
+
+    def _learn(self) -> None:
+        """Finds the ids of new pieces; a word with punctuation behind it is put together from the two."""
+        number, plain, split = self.number, [], []
+        for p in number.new.copy():  # a word's letters and punctuation may be new too
             m = _STEM.match(p)
             if m:
-                split[p] = (m[0], p[m.end():])
-            elif _SPACED.search(p):
-                known[p] = self._whole(p)
+                split.append((number[p], number[m[0]], number[p[m.end():]]))
+        new, number.new = number.new, []
+        self.known += [b""] * len(new)
+        whole = {n for n, _, _ in split}
+        for p in new:
+            if number[p] in whole:
+                continue
+            if _SPACED.search(p):
+                self.known[number[p]] = self._whole(p)
             else:
-                plain.add(p)
-        self._encode(list(plain.union(*map(set, zip(*split.values()))).difference(known) if split else plain))
-        known.update((p, known[a] + known[b]) for p, (a, b) in split.items())
+                plain.append(p)
+        self._encode(plain)
+        known = self.known
+        for n, a, b in split:
+            known[n] = known[a] + known[b]
 
     def ids(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian 32-bit numbers."""
         if len(self.known) > MEMORY:
-            self.known = dict(self.fixed)
-        get, out, gaps, new = self.known.get, [], [], set()
+            self.clear()
+        number, found = self.number.__getitem__, []
         for text in texts:
             if any(s in text for s in self.special):
-                out.append([self._whole(text)])
-                continue
-            if not text or text[0].isspace() or text[-1].isspace() or any(s in text for s in _NOT_PLAIN):
-                pieces = _SAFE.split(text)
+                found.append(None)
+            elif not text or text[0].isspace() or text[-1].isspace() or any(s in text for s in _NOT_PLAIN):
+                found.append(list(map(number, _SAFE.split(text))))
             else:
-                pieces = text.replace(" ", "\x1f ").replace("\n", "\x1f\n\x1f").split("\x1f")
-            found = list(map(get, pieces))
-            at = -1
-            for _ in range(found.count(None)):
-                at = found.index(None, at + 1)
-                gaps.append((found, at, pieces[at]))
-                new.add(pieces[at])
-            out.append(found)
-        if new:
-            self._learn(new)
-            for found, at, piece in gaps:
-                found[at] = self.known[piece]
-        return list(map(b"".join, out))
+                found.append(list(map(number, text.replace(" ", "\x1f ").replace("\n", "\x1f\n\x1f").split("\x1f"))))
+        if self.number.new:
+            self._learn()
+        known = self.known.__getitem__
+        return [self._whole(t) if x is None else b"".join(map(known, x)) for t, x in zip(texts, found, strict=True)]
 
 
 def parts(text: str, size: int = 1 << 20) -> list[str]:
