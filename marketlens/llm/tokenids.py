@@ -27,16 +27,38 @@ END_ID = 2
 #: Ids of a file, and of what a task holds at a time.
 FILE_IDS, CHUNK_IDS = 8_000_000, 1 << 17
 MAGIC = b"HUF1"
-MEMORY = 1_200_000
+MEMORY = 500_000
 #: Where a text may be cut: before a single space between two characters that aren't white space.
 _SAFE = re.compile(r"(?<=\S)(?= \S)")
 #: What keeps a text from being cut at every space and newline: two of them in a row, or other white space.
 _NOT_PLAIN = ["  ", " \n", "\n ", "\n\n", *"\t\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2028\u2029\u202f\u205f\u3000", *map(chr, range(0x2000, 0x200B))]
-#: A word of letters (Latin-1 ones, all of them letters to the tokenizer too) before ASCII punctuation, and white space behind a piece's first character.
-_STEM = re.compile(r" ?[A-Za-zÀ-ÖØ-öø-ÿ]+(?=[!-/:-@\[-`{-~])(?=\S+\Z)")
+#: Letters to the tokenizer for certain, and what may stand behind a word: between the two a pre-token always ends.
+_LATIN = frozenset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ" + "".join(chr(c) for c in range(0xC0, 0x100) if c not in (0xD7, 0xF7)))
+_BEHIND = "".join(chr(c) for c in range(33, 127) if not chr(c).isalpha())
+_LETTERS = re.compile(r" ?[A-Za-zÀ-ÖØ-öø-ÿ]+\Z")
 _SPACED = re.compile(r"(?<!\A)\s|\A[^\S ]|\A \Z")
 
 
+def _byte_alphabet() -> dict[int, str]:
+    """The characters that byte-level vocabularies write bytes as: printable ones as themselves, the others from 256 on."""
+    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in printable]
+    return {b: chr(b) for b in printable} | {b: chr(256 + i) for i, b in enumerate(others)}
+
+
+_BYTE_ALPHABET = _byte_alphabet()
+
+
+def _merger(spec: dict):  # noqa: ANN202
+    """The same vocabulary and merges for text in the byte alphabet whose pre-tokens stand on lines of their own; None for a tokenizer
+    that isn't plainly byte-level."""
+    from tokenizers import Tokenizer as Library
+    if spec.get("normalizer") or spec.get("pre_tokenizer") != {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True}:
+        return None
+    cut = {"type": "Split", "pattern": {"String": _BYTE_ALPHABET[10]}, "behavior": "Isolated", "invert": False}
+    return Library.from_str(json.dumps(spec | {"added_tokens": [], "pre_tokenizer": cut, "post_processor": None, "decoder": None}))
+
+
 class _Numbers(dict):
     """Numbers strings in the order in which they are first looked up."""
 
@@ -54,16 +76,18 @@ class Tokenizer:
 
     The byte-level pre-tokenizer never joins text across a single space or newline that stands between two other characters (the
     space begins the next pre-token, the newline is one), nor across the end of a run of letters, so the ids of a text are
-    those of its pieces. Each distinct piece is encoded by the library, many in one call with a newline between them. Other texts
-    are cut only where that holds; texts with an added token inside go to the library whole.
+    those of its pieces. Each distinct piece is encoded by the library, many in one call with a newline between them; pieces of letters,
+    one pre-token each, by its merges alone. Other texts are cut only where that holds; texts with an added token inside go to
+    the library whole.
     """
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer as Library
         self.library = Library.from_file(path)
         with open(path, encoding="utf-8") as f:
-            added = json.load(f).get("added_tokens", [])
-        self.special = [t["content"] for t in added]
+            spec = json.load(f)
+        self.special = [t["content"] for t in spec.get("added_tokens", [])]
+        self.merger = _merger(spec)
         line = self.library.encode("\n", add_special_tokens=False).ids
         self.line = line[0] if len(line) == 1 else None
         self.line_ids = np.array(line, np.uint32).tobytes()
@@ -72,20 +96,27 @@ class Tokenizer:
     def clear(self) -> None:
         """Forgets all pieces but the empty one and the newline."""
         self.number, self.known = _Numbers(), [b"", self.line_ids]
+        self.odd: set[str] = set()  # pieces of texts that aren't cut at every space and newline
         self.number["\n"] = self.number[""] + 1
         self.number.new.clear()
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.library.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32).tobytes()
 
-    def _encode(self, pieces: list[str]) -> None:
-        """Encodes pieces whose only white space is a space at their beginning."""
+    def _encode(self, pieces: list[str], words: bool) -> None:
+        """Encodes pieces whose only white space is a space at their beginning; ``words``: runs of letters, which are one
+        pre-token each and need only the merges."""
+        words = words and self.merger is not None
+        library = self.merger if words else self.library
         for i in range(0, len(pieces), 1024):
             part = pieces[i:i + 1024]
             if self.line is None:
                 found = list(map(self._whole, part))
             else:
-                ids = np.array(self.library.encode_batch_fast(["\n".join(part)], add_special_tokens=False)[0].ids, np.uint32)
+                text = "\n".join(part)
+                if words:
+                    text = text.encode().decode("latin-1").translate(_BYTE_ALPHABET)
+                ids = np.array(library.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
                 cut = np.flatnonzero(ids == self.line) * 4
                 raw = ids.tobytes()
                 found = [raw[a:b] for a, b in zip([0, *(cut + 4).tolist()], [*cut.tolist(), len(raw)], strict=True)]
@@ -94,22 +125,22 @@ class Tokenizer:
 
     def _learn(self) -> None:
         """Finds the ids of new pieces; a word with punctuation behind it is put together from the two."""
-        number, plain, split = self.number, [], []
-        for p in number.new.copy():  # a word's letters and punctuation may be new too
-            m = _STEM.match(p)
-            if m:
-                split.append((number[p], number[m[0]], number[p[m.end():]]))
-        new, number.new = number.new, []
-        self.known += [b""] * len(new)
+        number, new = self.number, self.number.new
+        number.new = []
+        stems = [p.rstrip(_BEHIND) for p in new]
+        split = [(number[p], number[t], number[p[len(t):]]) for p, t in zip(new, stems, strict=True) if len(t) < len(p) and t and t[-1] in _LATIN]
         whole = {n for n, _, _ in split}
-        for p in new:
-            if number[p] in whole:
-                continue
-            if _SPACED.search(p):
-                self.known[number[p]] = self._whole(p)
-            else:
-                plain.append(p)
-        self._encode(plain)
+        new = [p for p in new if number[p] not in whole] + number.new
+        number.new = []
+        self.known += [b""] * (len(number) - len(self.known))
+        odd = {p for p in new if p in self.odd and _SPACED.search(p)} if self.odd else set()
+        for p in odd:
+            self.known[number[p]] = self._whole(p)
+        match = _LETTERS.match
+        letters = [p for p in new if match(p)]
+        self._encode(letters, True)
+        self._encode(list(set(new).difference(letters, odd)), False)
+        self.odd = set()
         known = self.known
         for n, a, b in split:
             known[n] = known[a] + known[b]
@@ -123,7 +154,9 @@ class Tokenizer:
             if any(s in text for s in self.special):
                 found.append(None)
             elif not text or text[0].isspace() or text[-1].isspace() or any(s in text for s in _NOT_PLAIN):
-                found.append(list(map(number, _SAFE.split(text))))
+                pieces = _SAFE.split(text)
+                self.odd.update(pieces)
+                found.append(list(map(number, pieces)))
             else:
                 found.append(list(map(number, text.replace(" ", "\x1f ").replace("\n", "\x1f\n\x1f").split("\x1f"))))
         if self.number.new:
