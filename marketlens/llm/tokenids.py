@@ -124,8 +124,11 @@ class Tokenizer:
                 self.known[n] = x
 
     def _learn(self) -> None:
-        """Finds the ids of new pieces; a word with punctuation behind it is put together from the two."""
-        number, new = self.number, self.number.new
+        """Finds the ids of new pieces; a word with punctuation behind it is put together from the two, a piece with white space inside is
+        encoded whole."""
+        number = self.number
+        odd = {p for p in number.new if p in self.odd and _SPACED.search(p)} if self.odd else set()
+        new = [p for p in number.new if p not in odd] if odd else number.new
         number.new = []
         stems = [p.rstrip(_BEHIND) for p in new]
         split = [(number[p], number[t], number[p[len(t):]]) for p, t in zip(new, stems, strict=True) if len(t) < len(p) and t and t[-1] in _LATIN]
@@ -133,13 +136,12 @@ class Tokenizer:
         new = [p for p in new if number[p] not in whole] + number.new
         number.new = []
         self.known += [b""] * (len(number) - len(self.known))
-        odd = {p for p in new if p in self.odd and _SPACED.search(p)} if self.odd else set()
         for p in odd:
             self.known[number[p]] = self._whole(p)
         match = _LETTERS.match
         letters = [p for p in new if match(p)]
         self._encode(letters, True)
-        self._encode(list(set(new).difference(letters, odd)), False)
+        self._encode(list(set(new).difference(letters)), False)
         self.odd = set()
         known = self.known
         for n, a, b in split:

@@ -147,6 +147,23 @@ def test_token_ids_round_trip(spark, texts):
     assert tokenids.stored_ids(frame(spark, []), path).count() == 0
 
 
+def test_token_ids_of_texts_with_white_space_inside_pieces():
+    import public_tokenizers
+    from tokenizers import Tokenizer
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    lines = "At the end.\nYes, he ertitier.\nHeti, (so)\nno! "
+    cases = [lines * 25_000 + "end.", lines + "he left.\n", lines.replace("\n", "\n\n"), "end.\nYes,", " end.\nYes, he", "end.\r\nYes,\tno.\nSo",
+             "a\xa0b.\nYes, he", "\n\nYes, he.\n \nno,"]
+    assert len(cases[0]) > 1 << 20
+    t, lib = tokenids.Tokenizer(path), Tokenizer.from_file(path)
+    for each in (cases, cases[::-1]):
+        t.clear()
+        cut = [tokenids.parts(x) for x in each]
+        raw = iter(t.ids([p for x in cut for p in x]))
+        got = [np.frombuffer(b"".join(next(raw) for _ in x), np.uint32).tolist() for x in cut]
+        assert got == [lib.encode(x, add_special_tokens=False).ids for x in each]
+
+
 @pytest.mark.parametrize("symbols", [0, 1, 2, 3, 700])
 def test_huffman_codes(symbols):
     from marketlens.llm.huffman import BLOCK, Decoder, Encoder, canonical_codes, code_lengths
