@@ -23,6 +23,8 @@ UNWANTED = frozenset("""ad ads adv advert adverts advertisement advertising adbo
     cookie cookies consent gdpr notice notices alert popup modal overlay newsletter subscribe subscription signup login share sharing social
     related recommended recommendations widget pagination pager toolbar skip""".split())
 WANTED = frozenset("article body content entry hentry main page post story text blog".split())
+#: Names of an article itself, not of the layout around it: lists of links below them are its own.
+OWN = WANTED - frozenset("body content main page blog".split())
 TAG_POINTS = {"article": 25, "main": 15, "div": 5, "section": 3, "pre": 3, "td": 3, "blockquote": 3, "address": -3, "ol": -3, "ul": -3, "dl": -3,
               "dd": -3, "dt": -3, "li": -3, "form": -3, "h1": -5, "h2": -5, "h3": -5, "h4": -5, "h5": -5, "h6": -5, "th": -5}
 CONTAINERS = frozenset("article main div section td body html blockquote center table tbody tr pre figure details".split())
@@ -34,7 +36,12 @@ _TAG = re.compile(r"""<(?:!--(?:.*?-->|.*\Z)|[!?][^>]*>|(/?)([a-zA-Z][^\s/>]*)((
 _ATTRIBUTE = re.compile(r"""([^\s=/"'<>]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""")
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 _NAMES = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
+#: Start tags that end an open svg or math, and elements of theirs that may hold such tags.
+_BREAK = re.compile(rf"<(?:{'|'.join(sorted(BLOCK - {'summary', 'caption', 'dir'}))}|body|br|img|span|b|i|em|strong|code|u|s|sub|sup|small)(?=[\s/>])", re.I)
+_HOLDS_HTML = re.compile(r"<(?:foreignobject|desc|title|annotation-xml|mi|mo|mn|ms|mtext)(?=[\s/>])", re.I)
 MIN_PARAGRAPH, SIBLING_SHARE, LINK_LIST = 25, 0.2, 0.6
+#: Unlinked characters of a well named element beside which a badly named one is left out even if it holds most of the text.
+MIN_ARTICLE = 100
 
 
 class _Tree:
@@ -42,8 +49,9 @@ class _Tree:
 
     def __init__(self, page: str, by_name: bool) -> None:
         self.parent, self.tag, self.weight, self.drop, self.block = [-1], ["html"], [0], [False], [0]
-        self.fragments: list[tuple[int, str, bool]] = []  # (block element, text, in a link); block -1: a break
-        self.stack, self.links, self.by_name = [0], 0, by_name
+        self.named, self.good, self.own = [False], [False], [False]
+        self.fragments: list[tuple[int, str, bool, int]] = []  # (block element, text, in a link, element); block -1: a break
+        self.stack, self.links, self.unclosed = [0], 0, set()
         at, size = 0, len(page)
         while at < size:
             lt = page.find("<", at)
@@ -67,23 +75,72 @@ class _Tree:
                 continue
             attributes = m[3] or m[6] or ""
             if name in RAW:
-                close = re.compile(rf"</{re.escape(name)}(?=[\s/>])[^>]*>?", re.I).search(page, at)
-                if not attributes.endswith("/") or name not in ("svg", "math"):
+                if name not in ("svg", "math"):
+                    close = self.close(page, name, at)
                     at = close.end() if close else size
+                elif not attributes.endswith("/"):
+                    at = self.foreign_end(page, name, at)
                 continue
             self.start(name, attributes)
+        if by_name:
+            self.drop_named()
+
+    def close(self, page: str, name: str, at: int) -> re.Match | None:
+        return re.compile(rf"</{re.escape(name)}(?=[\s/>])[^>]*>?", re.I).search(page, at)
+
+    def foreign_end(self, page: str, name: str, at: int) -> int:
+        """Where an svg or math element ends: behind its end tag, or before an HTML tag that can't be in it; one with neither is the tag alone."""
+        close = None if name in self.unclosed else self.close(page, name, at)
+        if close:
+            found = _BREAK.search(page, at, close.start())
+            return found.start() if found and not _HOLDS_HTML.search(page, at, found.start()) else close.end()
+        self.unclosed.add(name)
+        found = None if "" in self.unclosed else _BREAK.search(page, at)
+        if not found:
+            self.unclosed.add("")
+        return found.start() if found else at
+
+    def drop_named(self) -> None:
+        """Drops elements with unwanted names, but not those around a main element, an article or most of the page's unlinked text.
+
+        Most of the text doesn't save an element if an article or well named element beside it holds some.
+        """
+        n = len(self.tag)
+        if not any(self.named):
+            return
+        own, holds, bad, last = [0] * n, [False] * n, [False] * n, list(range(n))
+        for b, text, link, e in self.fragments:
+            if b >= 0 and not link:
+                own[e] += len(text.strip())
+        for i in range(n - 1, 0, -1):
+            up = self.parent[i]
+            own[up] += own[i]
+            last[up] = max(last[up], last[i])
+            holds[i] = holds[i] or self.good[i] and self.tag[i] in ("article", "main") and not self.drop[i]
+            holds[up] = holds[up] or holds[i]
+        for i in range(1, n):
+            bad[i] = bad[self.parent[i]] or self.named[i] and not holds[i]
+        good = [i for i in range(1, n) if self.good[i] and not self.drop[i] and not bad[i] and own[i] >= MIN_ARTICLE]
+        for i in range(1, n):
+            if self.drop[self.parent[i]]:
+                self.drop[i] = True
+            elif self.named[i] and not holds[i]:
+                self.drop[i] = 2 * own[i] <= own[0] or any(g < i > last[g] or g > last[i] for g in good)
+                if not self.drop[i]:  # what holds most of the text mustn't lose to a trifle for its name
+                    self.weight[i] += 25
+        self.fragments = [f for f in self.fragments if f[0] < 0 or not self.drop[f[3]]]
 
     def text(self, raw: str) -> None:
         top = self.stack[-1]
         if not self.drop[top]:
-            self.fragments.append((self.block[top], html.unescape(raw) if "&" in raw else raw, self.links > 0))
+            self.fragments.append((self.block[top], html.unescape(raw) if "&" in raw else raw, self.links > 0, top))
 
     def pop(self, depth: int) -> None:
         for n in self.stack[depth:]:
             if self.tag[n] == "a":
                 self.links -= 1
             if self.tag[n] in BLOCK:
-                self.fragments.append((-1, "", False))
+                self.fragments.append((-1, "", False, -1))
         del self.stack[depth:]
 
     def end(self, name: str) -> None:
@@ -96,10 +153,10 @@ class _Tree:
 
     def start(self, name: str, attributes: str) -> None:
         if name == "br":
-            self.fragments.append((-1, "", False))
+            self.fragments.append((-1, "", False, -1))
         if name in VOID or name in ("html", "body") and not attributes:
             if name in BLOCK:
-                self.fragments.append((-1, "", False))
+                self.fragments.append((-1, "", False, -1))
             return
         if name in BLOCK:
             for depth in range(len(self.stack) - 1, 0, -1):
@@ -109,7 +166,7 @@ class _Tree:
                     break
                 if tag in SCOPE:
                     break
-            self.fragments.append((-1, "", False))
+            self.fragments.append((-1, "", False, -1))
         for depth in range(len(self.stack) - 1, 0, -1) if name in CLOSES else ():
             tag = self.tag[self.stack[depth]]
             if tag in CLOSES[name]:
@@ -118,7 +175,7 @@ class _Tree:
                     break
             elif tag in ("ul", "ol", "dl", "table", "select"):
                 break
-        up, weight = self.stack[-1], 0
+        up, weight, named, other, good, own = self.stack[-1], 0, False, False, name in ("article", "main"), name in ("article", "main")
         drop = self.drop[up] or name in DROPPED
         if name == "header" and not any(self.tag[n] in ("article", "main") for n in self.stack):
             drop = True
@@ -129,7 +186,13 @@ class _Tree:
                 weight += 25
             if names & UNWANTED and name not in ("html", "body"):
                 weight -= 25
-                drop = self.by_name and not (names & WANTED and name in ("article", "main"))
+                named = not names & WANTED and name not in ("article", "main")
+            if names & (WANTED | UNWANTED) and name not in ("html", "body", "main"):
+                each = [{x.lower() for x in _NAMES.findall(w)} for w in f"{a.get('class', '')} {a.get('id', '')}".split()]
+                pure = [x for x in each if x & WANTED and not x & UNWANTED]
+                good = bool(pure) or good and not names & UNWANTED
+                own = own or any(x & OWN for x in pure)
+                other = not own and bool(names & UNWANTED - {"header"})
             drop = drop or a.get("role", "").lower() in ROLES or a.get("aria-hidden") == "true" or bool(_HIDDEN.search(a.get("style", "")))
         if re.search(r"(?:^|\s)hidden(?:$|[\s=])", attributes):
             drop = True
@@ -138,6 +201,9 @@ class _Tree:
         self.tag.append(name)
         self.weight.append(weight)
         self.drop.append(drop)
+        self.named.append(named)
+        self.good.append(good)
+        self.own.append(own or self.own[up] and not other)
         self.block.append(n if name in BLOCK else self.block[up])
         self.stack.append(n)
         self.links += name == "a"
@@ -147,7 +213,7 @@ def _best_text(page: str, by_name: bool) -> str:
     tree = _Tree(page, by_name)
     n = len(tree.tag)
     length, linked, commas = [0] * n, [0] * n, [0] * n
-    for b, text, link in tree.fragments:
+    for b, text, link, _ in tree.fragments:
         if b >= 0 and (size := len(text.strip())):
             length[b] += size
             linked[b] += size * link
@@ -183,10 +249,10 @@ def _best_text(page: str, by_name: bool) -> str:
                 keep[i] = plain or score[i] >= max(10, SIBLING_SHARE * score[best])
     lists = [False] * n
     for i in range(1, n):
-        lists[i] = lists[tree.parent[i]] or i != best and tree.tag[i] in ("ul", "ol", "div", "section", "table") and density[i] > LINK_LIST and not keep[i]
+        lists[i] = lists[tree.parent[i]] or i != best and tree.tag[i] in ("ul", "ol", "div", "section", "table") and density[i] > LINK_LIST and not keep[i] and not tree.own[i]
         keep[i] = keep[i] or keep[tree.parent[i]]
     blocks, now = [], []
-    for b, text, _ in tree.fragments:
+    for b, text, _, _ in tree.fragments:
         if b < 0:
             if now:
                 blocks.append(" ".join("".join(now).split()))
@@ -201,10 +267,12 @@ def _best_text(page: str, by_name: bool) -> str:
 def main_text(page: str | None) -> str:
     """The article of a page: its blocks in page order, joined by a space.
 
-    Menus, headers, footers, asides, forms and the like are left out by element, role and class or id names. Each paragraph
+    Menus, headers, footers, asides, forms and the like are left out by element, role and class or id names. An unwanted name only lowers the
+    score of an element that also has a wanted one, or holds an article or a main element, and doesn't count for one with most of the page's
+    unlinked text. Each paragraph
     gives a point, one for each comma, and up to three for its length, without its link text, to the container above it, half to the next
     and ever less further up; a container's points are discounted by its share of link text. The best container is kept with
-    siblings that score a fifth of it or are plain paragraphs, without lists of links. If names ruled out all text, they count only as points.
+    siblings that score a fifth of it or are plain paragraphs, without lists of links other than an article's own. If names ruled out all text, they count only as points.
     """
     if not page:
         return ""

@@ -265,6 +265,30 @@ def test_main_text(spark, smoke_dir):
         assert htmltext.main_text(r.html) == want
 
 
+BODY = "The real text, is here, and it is long enough to be counted as text, by any measure, and a bit more than that."
+
+
+@pytest.mark.parametrize("page", [
+    "<div class='content has-sidebar'><p>{}</p></div>", "<div id='page' class='no-comments'><p>{}</p></div>", "<section class='post share-enabled'><p>{}</p></section>",
+    "<div class='has-sidebar'><article><p>{}</p></article></div>", "<div class='no-comments'><main><p>{}</p></main></div>", "<div class='with-sidebar'><p>{}</p></div>",
+    "<div class='no-comments'><article class='post share-enabled'><p>{}</p></article></div>",
+    "<div class=content><p>{}</p></div><div id=comments><p>" + "a long comment, of a reader, " * 30 + "</p></div>",
+    "<div class='with-sidebar'><p>{0}</p><p>{0}</p></div><div class=comments><div class=text><p>" + "a comment, of a reader, " * 6 + "</p></div></div>",
+    "<article><p>{}</p></article><ol class='comments'><li><article class='comment-body'><p>I, for one, think that this isn't so, at all.</p></article></ol>",
+    "<svg><path d='M0 0'><p>{}</p>", "<math><mi>x<p>{}</p>", "<svg><path d='M0 0'><p>{}</p><svg><text>no</text></svg>",
+    "<svg><foreignObject><div>no</div></foreignObject></svg><p>{}</p>",
+])
+def test_main_text_of_wrappers_and_unclosed_drawings(page):
+    got = htmltext.main_text("<body><div>Some other words</div>" + page.format(BODY))
+    assert BODY in got and "reader" not in got and "for one" not in got and "no" not in got.split()
+
+
+def test_main_text_keeps_titles_and_lists_of_an_article():
+    page = ("<div>Other words</div><article><header class='entry-header'><h1>Title</h1></header><p>" + BODY + "</p><ul><li><a href=x>First source</a></li>"
+            "<li><a href=y>Second source</a></li></ul><div class='post-navigation'><a href=z>Next</a></div><div class='share'>Send it</div></article>")
+    assert htmltext.main_text(page) == f"Title {BODY} First source Second source"
+
+
 def test_quality_on_held_out_rows(spark):
     sf = "/root/testdata/sf0.01"
     docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
