@@ -6,10 +6,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import free_name, segments, slices
+from .common import expand_copies, free_name, segments, slices, written
 from .text import mixed_bits, span_hashes, word_spans
 
 #: 2^BITS vectors of DIM numbers; most labelled rows that the model is fitted on; passes over them and first step.
@@ -68,14 +68,31 @@ def fit_rows(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
              max_rows: int = MAX_FIT_ROWS) -> DataFrame:
     """label, buckets, counts: the features of at most ``max_rows`` labelled rows outside the held-out fifth.
 
-    Rows are taken in the order of a hash of the id, so the sample doesn't depend on how the tables are laid out. Labels other than 0 and 1
-    and null ids are left out; of several labels of an id the largest counts, and rows with equal ids are all taken.
+    Ids are taken in the order of a hash, so the sample doesn't depend on how the tables are laid out. Labels other than 0 and 1
+    and null ids are left out; of several labels of an id the largest counts. Each id gives one row, and as long as rows are
+    missing the others of these ids follow in the order of a hash of id and text, so an id that repeats often doesn't crowd others out.
     """
     known = labels.filter(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull() & ~held_out(F.col(id_col))).groupBy(
         F.col(id_col).alias("id")).agg(F.max(label_col).cast("int").alias("y"))
     known = known.join(docs.select(F.col(id_col).alias("id")).distinct(), "id", "left_semi")
     known = known.orderBy(F.md5(F.col("id").cast("string")), "id").limit(max_rows)
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(known), "id").select("y", "text")
+    known = written(known, "fit-ids")
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.coalesce(F.md5(F.col(text_col).cast("binary")), F.lit("n")).alias("hash"))
+    # copies of a row are one row with a count, so at most max_rows of them are ever needed
+    folded = rows.select("id", "hash").join(F.broadcast(known), "id").groupBy("id", "hash").agg(F.max("y").alias("y"), F.count("*").alias("n"))
+    folded = written(folded, "fit-folded")
+    first = folded.groupBy("id").agg(F.min("hash").alias("hash")).withColumn("first", F.lit(1))
+    # an id's first row goes ahead of all, and its further copies behind with the other rows
+    ranked = folded.join(F.broadcast(first), ["id", "hash"], "left").select(
+        "id", "hash", "y", F.explode(F.when(F.col("first") == 1, F.array(
+            F.struct(F.lit(0).alias("late"), F.lit(1).cast("long").alias("n")), F.struct(F.lit(1).alias("late"), (F.col("n") - 1).alias("n")))).otherwise(
+            F.array(F.struct(F.lit(1).alias("late"), F.col("n").alias("n"))))).alias("x")).select("id", "hash", "y", "x.late", "x.n").filter("n > 0")
+    order = ["late", F.md5(F.concat_ws("|", F.col("id").cast("string"), "hash")), "id", "hash"]
+    top = ranked.orderBy(*order).limit(max_rows)
+    ahead = F.coalesce(F.sum("n").over(Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    top = top.withColumn("n", F.least("n", max_rows - ahead)).filter("n > 0").groupBy("id", "hash", "y").agg(F.sum("n").alias("n"))
+    texts = rows.join(F.broadcast(written(top, "fit-rows")), ["id", "hash"]).groupBy("id", "hash").agg(
+        F.first("y").alias("y"), F.first("n").alias("n"), F.first("text").alias("text")).select("y", "text", "n")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, 64):
@@ -88,9 +105,10 @@ def fit_rows(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
             pairs = [np.unique(np.concatenate(x) if x else np.zeros(0, np.int64), return_counts=True) for x in found]
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array([p[0].astype(np.int32) for p in pairs], pa.list_(pa.int32())),
-                 pa.array([p[1].astype(np.int32) for p in pairs], pa.list_(pa.int32()))], ["y", "buckets", "counts"])
+                 pa.array([p[1].astype(np.int32) for p in pairs], pa.list_(pa.int32())), b.column(2)], ["y", "buckets", "counts", "n"])
 
-    return texts.mapInArrow(run, "y int, buckets array<int>, counts array<int>")
+    found = texts.mapInArrow(run, "y int, buckets array<int>, counts array<int>, n bigint")
+    return expand_copies(found, "n", "i", max_rows).select("y", "buckets", "counts")
 
 
 def held_out(doc_id: Column) -> Column:
@@ -147,6 +165,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         for y, bucket, count in zip(b.column(0).to_pylist(), b.column(1), b.column(2), strict=True):
             bucket, count = bucket.values.to_numpy(zero_copy_only=False), count.values.to_numpy(zero_copy_only=False)
             rows.append((y, bucket, (count / max(1, count.sum())).astype(np.float32)))
+    rows.sort(key=lambda r: (r[0], r[1].tobytes(), r[2].tobytes()))  # the fit goes by their order, which isn't the tables'
     return Model().fit(rows).weights()
 
 

@@ -298,6 +298,20 @@ def test_quality_on_held_out_rows(spark):
     assert quality.fit_rows(docs, labels, max_rows=50).count() == 50
 
 
+def test_quality_is_fitted_on_bounded_rows(spark):
+    """An id with most of the rows, copies and other texts, doesn't exceed the bound nor crowd out other ids."""
+    out = spark.range(40).select(F.col("id").alias("doc_id"), quality.held_out(F.col("id")).alias("h")).filter("NOT h").orderBy("doc_id")
+    ids = [r.doc_id for r in out.collect()]
+    rows = [(i, f"own{i}") for i in ids] + [(ids[0], "copy")] * 200 + [(ids[1], f"other{k}") for k in range(200)]
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in ids], "doc_id long, quality int, toxic int")
+    bucket = {t: sorted(set(quality.features([t.encode()])[0].tolist())) for _, t in rows}
+    for most in (10, len(ids), len(ids) + 50, len(ids) + 400, 1000):
+        got = [r.buckets for r in quality.fit_rows(frame(spark, rows), labels, max_rows=most).collect()]
+        assert len(got) == min(most, len(rows))
+        of = {i: [bucket[t] for j, t in rows if j == i] for i in ids}
+        assert sum(any(b in got for b in of[i]) for i in ids) == min(most, len(ids))
+
+
 def test_quality_edges(spark, texts):
     rows = texts[:40] + EDGE
     docs = frame(spark, rows)
