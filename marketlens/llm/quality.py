@@ -14,7 +14,7 @@ from .text import mixed_bits, span_hashes, word_spans
 
 #: 2^BITS vectors of DIM numbers; most labelled rows that the model is fitted on; passes over them and first step.
 BITS, DIM = 18, 16
-MAX_FIT_ROWS = 2500
+MAX_FIT_ROWS = 4000
 EPOCHS, RATE, SEED = 8, 3.0, 7
 THRESHOLD = 0.3
 _SPACE = np.zeros(256, bool)

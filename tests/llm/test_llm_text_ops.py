@@ -312,6 +312,14 @@ def test_quality_is_fitted_on_bounded_rows(spark):
         assert sum(any(b in got for b in of[i]) for i in ids) == min(most, len(ids))
 
 
+def test_quality_is_fitted_on_all_labels_of_sf01(spark):
+    sf = "/root/testdata/sf0.1"
+    docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
+    known = labels.filter(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull() & ~quality.held_out(F.col("doc_id")))
+    usable = docs.join(known.select("doc_id").distinct(), "doc_id", "left_semi").count()
+    assert 2500 < quality.fit_rows(docs, labels).count() == usable
+
+
 def test_quality_edges(spark, texts):
     rows = texts[:40] + EDGE
     docs = frame(spark, rows)
