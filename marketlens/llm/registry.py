@@ -1,6 +1,7 @@
 """The registered queries of this subpackage and the DuckDB SQL of those that SQL can express."""
 
-from . import decontamination, embeddings, htmltext, mixing, quality, sharding, simhash, tokencount, tokenids, warc
+from . import (decontamination, embeddings, htmltext, mixing, periodic, quality, sanitise, sharding, simhash, tokencount, tokenids,
+               variants, warc)
 
 QUERIES = {
     "op1_simhash": simhash.query,
@@ -13,6 +14,9 @@ QUERIES = {
     "op8_quality": quality.query,
     "op9_mixing": mixing.query,
     "op10_embeddings": embeddings.query,
+    "op11_variants": variants.query,
+    "op12_sanitise": sanitise.query,
+    "op13_periodic": periodic.query,
 }
 ORACLE_SQL: dict[str, str] = {
     "op2_warc": warc.SQL,
@@ -20,4 +24,5 @@ ORACLE_SQL: dict[str, str] = {
     "op7_decontamination": decontamination.SQL,
     "op9_mixing": mixing.SQL,
     "op10_embeddings": embeddings.SQL,
+    "op11_variants": variants.SQL,
 }
