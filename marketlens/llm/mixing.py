@@ -15,6 +15,10 @@ MAX_REPEAT = 2.0
 #: Documents of a block, and the most blocks of a source: a block stays small and so does a source's list.
 BLOCK_ROWS, MAX_BLOCKS = 256, 65536
 OUTPUT_SHARDS = 16
+#: Rows of a part of the block that a target falls into, whose documents are fitted one by one.
+PART_ROWS = 1024
+#: A node of the splitting tree is a row with a number per source; more sources raise.
+MAX_SOURCES = 4096
 SCALE = float(1 << 52)
 
 
@@ -45,34 +49,28 @@ def source_targets(sources: DataFrame, weights: tuple[float, ...] = WEIGHTS, bud
     return s.withColumn("target", F.coalesce(F.least("cap", F.col("level") * F.col("weight")), "cap")).drop("cap", "level", "fits")
 
 
-def _ln_factorial(n: Column) -> Column:
-    """ln n! by Stirling's series, carried eight further up so that it holds for small n too."""
-    n = n.cast("double")
-    up = F.lit(0.0)
-    for i in range(1, 9):
-        up = up + F.log(n + float(i))
-    m = n + 8.0
-    return (m * F.log(m) - m + F.log(2 * math.pi * m) / 2 + 1 / (12 * m) - 1 / (360 * m * m * m)
-            + 1 / (1260 * m * m * m * m * m) - up)
+def _ln_factorials(start: str, *terms: tuple[int, str]) -> str:
+    """SQL: ``start`` and the signed sum of ln n! of the terms (sign, n), by Stirling's series carried eight further up for small n.
+
+    The series stands in the plan once, however many terms there are.
+    """
+    up = " * ".join(f"(e.n + {i})" for i in range(1, 9))
+    m = "(e.n + 8)"
+    series = (f"{m} * ln({m}) - {m} + ln({2 * math.pi!r}D * {m}) / 2 + 1 / (12 * {m}) - 1 / (360 * pow({m}, 3)) + 1 / (1260 * pow({m}, 5)) - ln({up})")
+    each = ", ".join(f"named_struct('sign', {sign}D, 'n', CAST({n} AS DOUBLE))" for sign, n in terms)
+    return f"aggregate(array({each}), {start}, (t, e) -> t + e.sign * ({series}))"
 
 
-def _drawn(total: Column, marked: Column, n: Column, u: Column) -> Column:
-    """How many of ``marked`` among ``total`` fall into a draw of ``n`` without replacement, for a uniform u.
+def _drawn(total: str, marked: str, n: str, u: str) -> str:
+    """SQL: how many of ``marked`` among ``total`` fall into a draw of ``n`` without replacement, for a uniform u.
 
     The smallest k at which the hypergeometric distribution reaches u; the sum runs over all k that can be.
     """
-    low, high = F.greatest(F.lit(0).cast("long"), n + marked - total), F.least(n, marked)
-    base = (_ln_factorial(marked) + _ln_factorial(total - marked) + _ln_factorial(n) + _ln_factorial(total - n)
-            - _ln_factorial(total))
-
-    def more(state: Column, k: Column) -> Column:
-        p = F.exp(state["base"] - _ln_factorial(k) - _ln_factorial(marked - k) - _ln_factorial(n - k)
-                  - _ln_factorial(total - marked - n + k))
-        return F.when(state["sum"] >= u, state).otherwise(
-            F.struct((state["sum"] + p).alias("sum"), k.alias("k"), state["base"].alias("base")))
-
-    start = F.struct(F.lit(0.0).alias("sum"), low.alias("k"), base.alias("base"))
-    return F.aggregate(F.sequence(low, high), start, more)["k"]
+    low, high = f"greatest(0L, {n} + {marked} - {total})", f"least({n}, {marked})"
+    base = _ln_factorials("0D", (1, marked), (1, f"{total} - {marked}"), (1, n), (1, f"{total} - {n}"), (-1, total))
+    p = _ln_factorials("d.base", (-1, "c"), (-1, f"{marked} - c"), (-1, f"{n} - c"), (-1, f"{total} - {marked} - {n} + c"))
+    return (f"aggregate(sequence({low}, {high}), named_struct('sum', 0D, 'k', {low}, 'base', {base}), "
+            f"(d, c) -> CASE WHEN d.sum >= {u} THEN d ELSE named_struct('sum', d.sum + exp({p}), 'k', c, 'base', d.base) END).k")
 
 
 def split_quotas(quotas: DataFrame, shards: int, seed: str = "mix") -> DataFrame:
@@ -80,31 +78,22 @@ def split_quotas(quotas: DataFrame, shards: int, seed: str = "mix") -> DataFrame
 
     A binary tree: a node's blocks are dealt between its halves by a multivariate hypergeometric draw, that is one
     source after the other by the hypergeometric draw that is left. Sums stay exact at each node. Each level is a
-    projection over its nodes; a node holds one number per source, never blocks or rows.
+    projection over its nodes; a node holds one number per source (``MAX_SOURCES`` at most), never blocks or rows.
     """
     node = quotas.agg(F.sort_array(F.collect_list(F.struct("key", "quota"))).alias("q")).select(
-        F.col("q.key").alias("keys"), F.col("q.quota").alias("k"), F.lit(0).alias("from"), F.lit(shards).alias("to"))
+        F.col("q.key").alias("keys"), F.col("q.quota").alias("k"), F.lit(0).alias("low"), F.lit(shards).alias("high"))
+    u = f"((CAST(conv(substring(md5(CAST(concat_ws('|', {seed!r}, 'split', low, high, get(keys, i)) AS BINARY)), 1, 13), 16, 10) AS BIGINT) + 0.5D) / {SCALE!r}D)"
+    deal = (f"aggregate(sequence(0, size(k) - 1), named_struct('total', total, 'n', to_left, 'out', CAST(array() AS ARRAY<BIGINT>)), (s, i) -> "
+            f"transform(array({_drawn('s.total', 'get(k, i)', 's.n', u)}), "
+            f"x -> named_struct('total', s.total - get(k, i), 'n', s.n - x, 'out', concat(s.out, array(x))))[0]).out")
     for _ in range(max(0, math.ceil(math.log2(shards)))):
-        half = F.floor((F.col("from") + F.col("to")) / 2).cast("int")
-        total = F.aggregate("k", F.lit(0).cast("long"), lambda a, x: a + x)
-        left = F.floor(total * (half - F.col("from")) / (F.col("to") - F.col("from"))).cast("long")
-
-        def deal(state: Column, i: Column) -> Column:
-            k = F.get(F.col("k"), i)
-            u = (uniform52(seed, "split", F.col("from"), F.col("to"), F.get(F.col("keys"), i)) + F.lit(0.5)) / F.lit(SCALE)
-            x = _drawn(state["total"], k, state["n"], u)
-            return F.struct((state["total"] - k).alias("total"), (state["n"] - x).alias("n"),
-                            F.concat(state["out"], F.array(x)).alias("out"))
-
-        start = F.struct(total.alias("total"), left.alias("n"), F.array().cast("array<bigint>").alias("out"))
-        dealt = F.when(F.size("k") > 0, F.aggregate(F.sequence(F.lit(0), F.size("k") - 1), start, deal)["out"]).otherwise(F.col("k"))
-        node = node.withColumn("half", half).withColumn("l", F.when(F.col("to") - F.col("from") > 1, dealt).otherwise(F.col("k")))
-        node = node.select("keys", F.explode(F.filter(F.array(
-            F.struct(F.col("l").alias("k"), F.col("from"), F.when(F.col("to") - F.col("from") > 1, F.col("half")).otherwise(F.col("to")).alias("to")),
-            F.struct(F.transform("k", lambda x, i: x - F.get(F.col("l"), i)).alias("k"),
-                     F.when(F.col("to") - F.col("from") > 1, F.col("half")).otherwise(F.col("to")).alias("from"), F.col("to"))),
-            lambda s: s["to"] > s["from"])).alias("s")).select("keys", "s.k", "s.from", "s.to")
-    leaf = node.select(F.col("from").alias("shard"), F.posexplode(F.arrays_zip("keys", "k")).alias("i", "z")).select(
+        node = node.selectExpr("keys", "k", "low", "high", "CAST(floor((low + high) / 2) AS INT) AS half", "aggregate(k, 0L, (a, x) -> a + x) AS total")
+        node = node.selectExpr("*", "CAST(floor(total * (half - low) / (high - low)) AS BIGINT) AS to_left")
+        node = node.selectExpr("keys", "k", "low", "high", "half", f"CASE WHEN high - low > 1 AND size(k) > 0 THEN {deal} ELSE k END AS l")
+        node = node.selectExpr("keys", """explode(CASE WHEN high - low > 1 THEN array(
+            named_struct('k', l, 'low', low, 'high', half), named_struct('k', transform(k, (x, i) -> x - get(l, i)), 'low', half, 'high', high))
+            ELSE array(named_struct('k', k, 'low', low, 'high', high)) END) AS s""").select("keys", "s.k", "s.low", "s.high")
+    leaf = node.select(F.col("low").alias("shard"), F.posexplode(F.arrays_zip("keys", "k")).alias("i", "z")).select(
         "shard", F.col("z.keys").alias("key"), F.col("z.k").alias("n"))
     upto = Window.partitionBy("key").orderBy("shard").rowsBetween(Window.unboundedPreceding, 0)
     return leaf.withColumn("end", F.sum("n").over(upto)).filter("n > 0").select(
@@ -130,12 +119,14 @@ def _filled(need: Column, docs: Column) -> Column:
     return F.aggregate(docs, start, more, last)
 
 
-def _keyed(docs: DataFrame, id_col: str, text_col: str, source_col: str, seed: str) -> DataFrame:
-    """doc_id, source and its key, size, and h: the place in the source's permutation, from the id and the text."""
-    return docs.select(
-        F.col(id_col).alias("doc_id"), F.col(source_col).cast("string").alias("source"),
-        id_key(F.col(source_col)).alias("key"), words(F.col(text_col)).alias("size"),
-        uniform52(seed, id_key(F.col(id_col)), F.coalesce(F.md5(F.col(text_col).cast("binary")), F.lit("n"))).alias("h"))
+def _keyed(docs: DataFrame, id_col: str, text_col: str, source_col: str, seed: str) -> list[Column]:
+    """key of the source, doc (the id's text), size, and h: the place in the source's permutation, from the id and the text."""
+    return [id_key(F.col(source_col)).alias("key"), id_key(F.col(id_col)).alias("doc"), words(F.col(text_col)).alias("size"),
+            uniform52(seed, id_key(F.col(id_col)), F.coalesce(F.md5(F.col(text_col).cast("binary")), F.lit("n"))).alias("h")]
+
+
+#: What names a document in the tables of a mix.
+DOCUMENT = ["key", "doc", "size", "h"]
 
 
 def plan_mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
@@ -143,19 +134,23 @@ def plan_mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", so
              shards: int = OUTPUT_SHARDS, seed: str = "mix") -> tuple[DataFrame, DataFrame, DataFrame]:
     """(documents, sources, draws) of the mix, as written tables.
 
-    documents: doc_id, source, key, size, h, copies, one row for each distinct document and how often it is there.
-    sources: source, key, source_size, weight, target. draws: key, h, doc_id, size, pass, shard, n: the copies of a
-    document that the mix takes in a pass over its source, and the output shard that they go to.
+    documents: doc_id, source, key, doc, size, h, copies, one row for each distinct document and how often it is there.
+    sources: source, key, source_size, weight, target. draws: key, doc, size, h and the list ``draws`` of (pass, shard, n): the
+    copies of a document that the mix takes in a pass over its source, and the output shard that they go to.
 
     A source's documents are permuted by a hash and cut into blocks; its blocks are permuted again. Whole passes
     take every block; the last pass takes blocks in their order up to the target, and of the block that the target
     falls into the documents that bring the sum near it. The quota of blocks is split among the output shards by
-    ``split_quotas``, and each shard draws the next blocks of each source's order, so that no two shards get the same.
+    ``split_quotas``, and each shard draws as many of the next blocks of each source's order as its quota has, so that no two
+    shards get the same. More than ``MAX_SOURCES`` sources raise ValueError.
     """
-    rows = written(_keyed(docs, id_col, text_col, source_col, seed).groupBy("doc_id", "source", "key", "size", "h").agg(
+    rows = written(docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).cast("string").alias("source"),
+                               *_keyed(docs, id_col, text_col, source_col, seed)).groupBy("doc_id", "source", *DOCUMENT).agg(
         F.count("*").alias("copies")), "mix-documents")
-    sums = rows.groupBy("source", "key").agg(F.sum(F.col("size") * F.col("copies")).alias("source_size"),
-                                             F.sum("copies").alias("rows"))
+    sums = written(rows.groupBy("source", "key").agg(F.sum(F.col("size") * F.col("copies")).alias("source_size"),
+                                                     F.sum("copies").alias("rows")), "mix-sizes")
+    if (found := sums.count()) > MAX_SOURCES:
+        raise ValueError(f"{found} sources; a mix has {MAX_SOURCES} at most")
     s = source_targets(sums, weights, budget, max_repeat)
     s = s.withColumn("full", F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("long"))
     s = s.withColumn("rest", F.col("target") - F.col("full") * F.col("source_size"))
@@ -163,8 +158,10 @@ def plan_mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", so
     sources = written(s, "mix-sources")
 
     part = sources.select("key", "full", "rest", "blocks")
-    cut = rows.join(part, "key").withColumn("block", F.floor(F.col("h") / F.lit(SCALE) * F.col("blocks")).cast("long"))
-    blocks = cut.groupBy("key", "block", "full", "rest").agg(F.sum(F.col("size") * F.col("copies")).alias("words"))
+    place = F.col("h") / F.lit(SCALE) * F.col("blocks")
+    cut = rows.join(part, "key").withColumn("block", F.floor(place).cast("long"))
+    blocks = cut.groupBy("key", "block", "full", "rest").agg(
+        F.sum(F.col("size") * F.col("copies")).alias("words"), F.sum("copies").alias("rows"))
     order = Window.partitionBy("key").orderBy(uniform52(seed, "block", F.col("key"), F.col("block")), "block")
     blocks = blocks.withColumn("place", (F.row_number().over(order) - 1).cast("long")).withColumn(
         "before", F.coalesce(F.sum("words").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
@@ -177,20 +174,29 @@ def plan_mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", so
         F.struct(F.col("full").alias("pass"), (F.col("rest") - F.col("before")).alias("need")))
     passes = F.transform(F.when(F.col("full") > 0, F.sequence(F.lit(0).cast("long"), F.col("full") - 1)).otherwise(F.array().cast("array<bigint>")),
                          lambda p: F.struct(p.alias("pass"), F.lit(None).cast("double").alias("need")))
-    drawn = blocks.withColumn("p", F.explode(F.filter(F.concat(passes, F.array(last)), lambda x: x.isNotNull()))).select(
-        "key", "block", "p.pass", "p.need", (F.col("p.pass") * F.col("there") + F.col("place")).alias("draw"))
-    quotas = drawn.groupBy("key").agg(F.count("*").alias("quota"))
-    dealt = split_quotas(quotas, shards, seed).select("key", "shard", F.explode(F.sequence("first", "last")).alias("draw"))
-    drawn = written(drawn.join(dealt, ["key", "draw"]), "mix-draws")
-
-    placed = cut.select("key", "block", "doc_id", "size", "h", "copies")
-    took = placed.join(drawn.filter("need IS NULL"), ["key", "block"]).select(
-        "key", "h", "doc_id", "size", "pass", "shard", F.col("copies").alias("n"))
-    part = placed.join(drawn.filter("need IS NOT NULL"), ["key", "block"]).groupBy("key", "block", "need", "pass", "shard").agg(
-        F.sort_array(F.collect_list(F.struct("h", "doc_id", "size", "copies"))).alias("d"))
+    drawn = written(blocks.withColumn("p", F.explode(F.filter(F.concat(passes, F.array(last)), lambda x: x.isNotNull()))).select(
+        "key", "block", "rows", "p.pass", "p.need", (F.col("p.pass") * F.col("there") + F.col("place")).alias("draw")), "mix-drawn")
+    quotas = written(drawn.groupBy("key").agg(F.count("*").alias("quota")), "mix-quotas")
+    dealt = written(split_quotas(quotas, shards, seed), "mix-shards")
+    drawn = written(drawn.join(dealt.select("key", "shard", F.explode(F.sequence("first", "last")).alias("draw")), ["key", "draw"]), "mix-draws")
+
+    placed = cut.select(*DOCUMENT, "copies", "block", place.alias("at"))
+    took = placed.join(drawn.filter("need IS NULL"), ["key", "block"]).select(*DOCUMENT, "pass", "shard", F.col("copies").alias("n"))
+    # the block that a target falls into: its parts in order, and of the part that the target falls into the documents
+    edge = placed.join(drawn.filter("need IS NOT NULL"), ["key", "block"]).withColumn(
+        "part", F.floor((F.col("at") - F.col("block")) * F.ceil(F.col("rows") / PART_ROWS)).cast("long"))
+    upto = Window.partitionBy("key").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = edge.groupBy("key", "part").agg(F.sum(F.col("size") * F.col("copies")).alias("words")).select(
+        "key", "part", "words", F.coalesce(F.sum("words").over(upto), F.lit(0)).alias("before"))
+    edge = edge.join(parts, ["key", "part"])
+    fits = edge.filter("before + words <= need").select(*DOCUMENT, "pass", "shard", F.col("copies").alias("n"))
+    part = edge.filter("before < need AND before + words > need").groupBy("key", "pass", "shard", (F.col("need") - F.col("before")).alias("need")).agg(
+        F.sort_array(F.collect_list(F.struct("h", "doc", "size", "copies"))).alias("d"))
     part = part.select("key", "pass", "shard", F.explode(F.arrays_zip("d", _filled(F.col("need"), F.col("d")).alias("n"))).alias("z")).select(
-        "key", "z.d.h", "z.d.doc_id", "z.d.size", "pass", "shard", "z.n").filter("n > 0")
-    return rows, sources, written(took.unionByName(part), "mix-taken")
+        "key", "z.d.doc", "z.d.size", "z.d.h", "pass", "shard", "z.n").filter("n > 0")
+    draws = took.unionByName(fits).unionByName(part).groupBy(*DOCUMENT).agg(
+        F.sort_array(F.collect_list(F.struct("pass", "shard", "n"))).alias("draws"))
+    return rows, sources, written(draws, "mix-taken")
 
 
 def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
@@ -199,48 +205,56 @@ def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sourc
     """Rows of ``docs`` as often as the mix takes them, with ``mix_shard``, ``mix_pass`` and ``mix_order``.
 
     mix_order is a hash by which the rows of an output shard are sorted, the local shuffle. Columns of ``docs`` keep
-    their names (the new ones get underscores where they clash). See ``plan_mix``.
+    their names (the new ones get underscores where they clash). Rows with equal id, text and source share their document's
+    draws in the order of a hash of all columns, so that reruns agree and other columns differ as they do in ``docs``.
+    See ``plan_mix``.
     """
-    _, _, draws = plan_mix(docs, id_col, text_col, source_col, weights, budget, max_repeat, shards, seed)
-    key, h = free_name(docs, "mix_key"), free_name(docs, "mix_h")
+    rows, _, draws = plan_mix(docs, id_col, text_col, source_col, weights, budget, max_repeat, shards, seed)
     out = [free_name(docs, n) for n in ("mix_shard", "mix_pass", "mix_order")]
-    # equal rows are interchangeable, so one stands for all copies and the draws count them
-    keyed = docs.select("*", id_key(F.col(source_col)).alias(key), uniform52(
-        seed, id_key(F.col(id_col)), F.coalesce(F.md5(F.col(text_col).cast("binary")), F.lit("n"))).alias(h))
-    picked = draws.select(F.col("key").alias(key), F.col("h").alias(h), F.col("pass").alias(out[1]), F.col("shard").alias(out[0]), "n")
-    picked = picked.withColumnRenamed("n", n := free_name(keyed, "mix_n"))
-    repeated = written(_keyed(docs, id_col, text_col, source_col, seed).groupBy("key", "h").count().filter("count > 1").select(
-        F.col("key").alias(key), F.col("h").alias(h)), "mix-repeated")
-    one = keyed.join(repeated, [key, h], "left_anti").unionByName(
-        keyed.join(repeated, [key, h], "left_semi").dropDuplicates([key, h]))
-    most = draws.agg(F.max("n")).first()[0] or 0
-    rows = expand_copies(one.join(picked, [key, h]), n, i := free_name(keyed, "mix_i"), most)
-    order = uniform52(seed, "order", F.col(key), F.col(h), F.col(out[1]), F.col(i))
-    return rows.select(*docs.columns, out[0], out[1], order.alias(out[2]))
+    # one column for a whole row, so that no other name can clash
+    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), *_keyed(docs, id_col, text_col, source_col, seed))
+    kept = written(draws.join(rows.select(*DOCUMENT, "copies"), DOCUMENT), "mix-kept")
+    met = packed.join(kept, DOCUMENT)
+    alone = met.filter("copies = 1").withColumn("first", F.lit(0).cast("long")).withColumn("m", F.lit(1).cast("long"))
+    # of the rows of one document: equal ones are folded, and the different ones follow one another by their hash
+    print_ = F.sha1(F.to_json("row").cast("binary"))
+    variants = written(met.filter("copies > 1").withColumn("print", print_).groupBy(*DOCUMENT, "print").agg(
+        F.first("row").alias("row"), F.first("draws").alias("draws"), F.count("*").alias("m")).withColumn("range", F.substring("print", 1, 3)), "mix-variants")
+    ranges = variants.groupBy(*DOCUMENT, "range").agg(F.sum("m").alias("in_range"))
+    before = Window.partitionBy(*DOCUMENT).orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    ranges = ranges.select(*DOCUMENT, "range", F.coalesce(F.sum("in_range").over(before), F.lit(0)).alias("ahead"))
+    inside = Window.partitionBy(*DOCUMENT, "range").orderBy("print").rowsBetween(Window.unboundedPreceding, -1)
+    several = variants.withColumn("first", F.coalesce(F.sum("m").over(inside), F.lit(0))).join(ranges, [*DOCUMENT, "range"]).withColumn(
+        "first", (F.col("first") + F.col("ahead")).cast("long"))
+    cols = ["row", *DOCUMENT, "first", "m", "draws"]
+    every = alone.select(*cols).unionByName(several.select(*cols)).withColumn("d", F.explode("draws"))
+    every = every.withColumn("times", F.least(F.greatest(F.col("d.n") - F.col("first"), F.lit(0).cast("long")), F.col("m")))
+    most = rows.agg(F.max("copies")).first()[0] or 0
+    every = expand_copies(every, "times", "i", most)
+    order = uniform52(seed, "order", F.col("key"), F.col("h"), F.col("d.pass"), F.col("first") + F.col("i"))
+    return every.select("row.*", F.col("d.shard").alias(out[0]), F.col("d.pass").alias(out[1]), order.alias(out[2]))
 
 
 def mix_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
                weights: tuple[float, ...] = WEIGHTS, budget: float = BUDGET, max_repeat: float = MAX_REPEAT,
                shards: int = OUTPUT_SHARDS, seed: str = "mix") -> DataFrame:
-    """doc_id, source, size, source_size, target, taken for every row of ``docs``; ``taken`` counts words over all passes.
+    """doc_id, source, size, source_size, target, shards, taken for every row of ``docs``.
 
-    A null text has size 0 and is taken 0 words; a null source is a source of its own, last in order; of equal rows
+    ``shards`` lists the output shards that draw the row, pass by pass; ``taken`` counts its words in all of them. A null text
+    has size 0 and is taken 0 words; a null source is a source of its own, last in order; of equal rows
     the first ones take what the last pass still holds; an empty table gives an empty result; other columns aren't read.
     """
     rows, sources, draws = plan_mix(docs, id_col, text_col, source_col, weights, budget, max_repeat, shards, seed)
-    times = draws.withColumnRenamed("n", "times").groupBy("key", "h", F.col("doc_id").alias("id"), F.col("size").alias("sz")).agg(
-        F.sum("times").alias("times"))
-    same = (rows["key"] == times["key"]) & (rows["h"] == times["h"]) & (rows["size"] == times["sz"]) & rows["doc_id"].eqNullSafe(times["id"])
-    out = rows.join(times, same, "left").select(rows["*"], F.coalesce("times", F.lit(0)).alias("times"))
-    out = out.join(sources.select("key", "source_size", "target"), "key")
+    out = rows.join(draws, DOCUMENT, "left").join(sources.select("key", "source_size", "target"), "key")
     out = expand_copies(out, "copies", "i", rows.agg(F.max("copies")).first()[0] or 0)
-    each = F.floor(F.col("times") / F.col("copies")) + F.when(F.col("i") < F.col("times") % F.col("copies"), 1).otherwise(0)
-    return out.select("doc_id", "source", "size", "source_size", "target", (F.col("size") * each).cast("long").alias("taken"))
+    mine = F.transform(F.filter("draws", lambda d: F.col("i") < d["n"]), lambda d: d["shard"])
+    out = out.withColumn("shards", F.coalesce(mine, F.array().cast("array<int>")))
+    return out.select("doc_id", "source", "size", "source_size", "target", "shards", (F.col("size") * F.size("shards")).cast("long").alias("taken"))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    return mix_report(docs).select("doc_id", "size", "source_size", "target", "taken")
+    return mix_report(docs).select("doc_id", "size", "source_size", "target", "taken", F.concat_ws(",", F.col("shards").cast("array<string>")).alias("shards"))
 
 
 SQL = f"""
@@ -254,23 +268,52 @@ s3 AS (SELECT *, (sum(source_size) OVER () * {BUDGET!r} - coalesce(sum(cap) OVER
                  / sum(weight) OVER (ORDER BY cap / weight, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level FROM s2),
 s4 AS (SELECT *, least(cap, coalesce((SELECT arg_min(level, cap / weight) FROM s3 WHERE level <= cap / weight) * weight, cap)) AS target FROM s3),
 s AS (SELECT *, target - whole * source_size AS rest
-      FROM (SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END AS whole,
+      FROM (SELECT *, CAST(CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END AS BIGINT) AS whole,
                    greatest(1, least({MAX_BLOCKS}, ceil(n / {BLOCK_ROWS}))) AS blocks FROM s4)),
-b0 AS (SELECT d.*, whole, rest, CAST(floor(h / {SCALE!r} * blocks) AS BIGINT) AS block FROM d JOIN s USING (key)),
-b1 AS (SELECT key, block, sum(size) AS words, CAST('0x' || substr(md5('mix|block|' || key || '|' || CAST(block AS VARCHAR)), 1, 13) AS BIGINT) AS o FROM b0 GROUP BY key, block),
-b AS (SELECT *, coalesce(sum(words) OVER (PARTITION BY key ORDER BY o, block ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS ahead FROM b1),
-x AS (SELECT b0.*, CASE WHEN rest > 0 AND ahead + words <= rest THEN 1 ELSE 0 END AS more, rest > 0 AND ahead < rest AND ahead + words > rest AS edge,
-             rest - ahead AS need, row_number() OVER (PARTITION BY key, block ORDER BY h, doc_id NULLS FIRST, size) AS i
+b0 AS (SELECT d.*, whole, rest, h / {SCALE!r} * blocks AS spot, CAST(floor(h / {SCALE!r} * blocks) AS BIGINT) AS block FROM d JOIN s USING (key)),
+b1 AS (SELECT key, block, sum(size) AS words, count(*) AS n, CAST('0x' || substr(md5('mix|block|' || key || '|' || CAST(block AS VARCHAR)), 1, 13) AS BIGINT) AS o FROM b0 GROUP BY key, block),
+b AS (SELECT *, coalesce(sum(words) OVER (PARTITION BY key ORDER BY o, block ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS ahead,
+             row_number() OVER (PARTITION BY key ORDER BY o, block) - 1 AS place, count(*) OVER (PARTITION BY key) AS there FROM b1),
+x AS (SELECT b0.*, place, there, CASE WHEN rest > 0 AND ahead + words <= rest THEN 1 ELSE 0 END AS more, rest > 0 AND ahead < rest AND ahead + words > rest AS edge,
+             rest - ahead AS need, CAST(floor((spot - block) * ceil(n / {PART_ROWS})) AS BIGINT) AS part
       FROM b0 JOIN b USING (key, block)),
+p AS (SELECT *, coalesce(sum(words) OVER (PARTITION BY key ORDER BY part ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS ahead
+      FROM (SELECT key, part, sum(size) AS words FROM x WHERE edge GROUP BY key, part)),
+y AS (SELECT x.r, x.key, x.size, p.ahead + p.words <= need AS fits, p.ahead < need AND p.ahead + p.words > need AS inner_edge, need - p.ahead AS need,
+             row_number() OVER (PARTITION BY x.key, x.part ORDER BY h, doc_id NULLS FIRST, size) AS i
+      FROM x JOIN p ON p.key = x.key AND p.part = x.part WHERE x.edge),
 fill(key, i, need, r, took, size) AS (
-  SELECT key, i, CASE WHEN size <= need THEN need - size ELSE need END, r, size <= need, size FROM x WHERE edge AND i = 1
+  SELECT key, i, CASE WHEN size <= need THEN need - size ELSE need END, r, size <= need, size FROM y WHERE inner_edge AND i = 1
   UNION ALL
-  SELECT x.key, x.i, CASE WHEN x.size <= f.need THEN f.need - x.size ELSE f.need END, x.r, x.size <= f.need, x.size
-  FROM fill f JOIN x ON x.edge AND x.key = f.key AND x.i = f.i + 1),
+  SELECT y.key, y.i, CASE WHEN y.size <= f.need THEN f.need - y.size ELSE f.need END, y.r, y.size <= f.need, y.size
+  FROM fill f JOIN y ON y.inner_edge AND y.key = f.key AND y.i = f.i + 1),
 missing AS (SELECT key, arg_max(need, i) AS need FROM fill GROUP BY key),
 last AS (SELECT arg_min(f.r, (abs(m.need - f.size), f.i)) AS r FROM fill f JOIN missing m USING (key)
-         WHERE NOT f.took AND abs(m.need - f.size) < m.need GROUP BY key)
-SELECT x.doc_id, CAST(x.size AS BIGINT) AS size, s.source_size, CAST(s.target AS DOUBLE) AS target,
-       CAST(x.size * (x.whole + x.more + CASE WHEN f.took OR x.r IN (SELECT r FROM last) THEN 1 ELSE 0 END) AS BIGINT) AS taken
-FROM x JOIN s USING (key) LEFT JOIN fill f ON f.r = x.r
+         WHERE NOT f.took AND abs(m.need - f.size) < m.need GROUP BY key),
+drawn AS (SELECT DISTINCT key, block, unnest(range(0, whole + CASE WHEN more = 1 OR edge THEN 1 ELSE 0 END)) AS pass, place, there FROM x),
+quota AS (SELECT list(key ORDER BY key) AS keys, list(n ORDER BY key) AS k FROM (SELECT key, count(*) AS n FROM drawn GROUP BY key)),
+tree(a, z, k, i, total, left_, dealt) AS (
+  SELECT 0, {OUTPUT_SHARDS}, k, 1, CAST(list_sum(k) AS BIGINT), CAST(floor(list_sum(k) * floor({OUTPUT_SHARDS} / 2) / {OUTPUT_SHARDS}) AS BIGINT), CAST([] AS BIGINT[]) FROM quota
+  UNION ALL
+  SELECT a, z, k, i, total, left_, dealt FROM (
+    SELECT a, z, k, i + 1 AS i, total - k[i] AS total, left_ - draw AS left_, list_append(dealt, draw) AS dealt FROM (
+      SELECT *, CAST(low + least(high - low, len(list_filter(range(1, high - low + 2), lambda j: list_sum(list_transform(range(0, j), lambda t: exp(
+               base - lgamma(low + t + 1) - lgamma(k[i] - low - t + 1) - lgamma(left_ - low - t + 1) - lgamma(total - k[i] - left_ + low + t + 1)))) < u))) AS BIGINT) AS draw
+      FROM (SELECT *, greatest(0, left_ + k[i] - total) AS low, least(left_, k[i]) AS high,
+                   lgamma(k[i] + 1) + lgamma(total - k[i] + 1) + lgamma(left_ + 1) + lgamma(total - left_ + 1) - lgamma(total + 1) AS base,
+                   (CAST('0x' || substr(md5('mix|split|' || a || '|' || z || '|' || (SELECT keys FROM quota)[i]), 1, 13) AS BIGINT) + 0.5) / {SCALE!r} AS u
+            FROM tree WHERE z - a > 1 AND i <= len(k)))
+    UNION ALL
+    SELECT a, z, k, 1, CAST(list_sum(k) AS BIGINT), CAST(floor(list_sum(k) * (floor((a + z) / 2) - a) / (z - a)) AS BIGINT), CAST([] AS BIGINT[]) FROM (
+      SELECT unnest([a, m]) AS a, unnest([m, z]) AS z, unnest([dealt, list_transform(range(1, len(k) + 1), lambda j: k[j] - dealt[j])]) AS k
+      FROM (SELECT *, CAST(floor((a + z) / 2) AS INTEGER) AS m FROM tree WHERE z - a > 1 AND i = len(k) + 1)))),
+leaf AS (SELECT DISTINCT a AS shard, unnest((SELECT keys FROM quota)) AS key, unnest(k) AS n FROM tree WHERE z - a = 1),
+span AS (SELECT *, sum(n) OVER (PARTITION BY key ORDER BY shard) AS upto FROM leaf),
+went AS (SELECT d.key, d.block, d.pass, s.shard FROM drawn d JOIN span s ON s.key = d.key AND d.pass * d.there + d.place >= s.upto - s.n AND d.pass * d.there + d.place < s.upto),
+took AS (SELECT x.r, x.key, x.block, x.whole + x.more + CASE WHEN y.fits OR f.took OR x.r IN (SELECT r FROM last) THEN 1 ELSE 0 END AS times
+         FROM x LEFT JOIN y ON y.r = x.r LEFT JOIN fill f ON f.r = x.r),
+shards AS (SELECT t.r, string_agg(CAST(w.shard AS VARCHAR), ',' ORDER BY w.pass) AS shards FROM took t JOIN went w ON w.key = t.key AND w.block = t.block AND w.pass < t.times GROUP BY t.r)
+SELECT d.doc_id, CAST(d.size AS BIGINT) AS size, s.source_size, CAST(s.target AS DOUBLE) AS target, CAST(d.size * t.times AS BIGINT) AS taken,
+       coalesce(g.shards, '') AS shards
+FROM d JOIN s USING (key) JOIN took t USING (r) LEFT JOIN shards g USING (r)
 """

@@ -50,6 +50,45 @@ def test_filters(spark, steps):
     assert shards.count() == mix.count() and shards.select("shard", "slot").distinct().count() == mix.count()
 
 
+ODD = "doc_id long, text string, lang string, source string, n_chars long, row_key string, score string, key int, h int, n int, d int"
+
+
+@pytest.fixture(scope="module")
+def odd_rows(spark):
+    """Nulls in any column, empty and very long texts, ties, repeated rows and clashing names, among ordinary documents."""
+    docs = [tuple(r) for r in spark.read.parquet(f"{SF}/documents.parquet").limit(60).collect()]
+    rows = [(*d, "k", "s", 1, 2, 3, 4) for d in docs]
+    long = " ".join(f"word{i % 977}x{i}" for i in range(60_000))
+    rows += [(None, None, None, None, None, None, None, None, None, None, None)] * 3
+    rows += [(None, "", "en", "web", 0, "a", "b", 1, 1, 1, 1), (10 ** 6, "", None, None, 0, "a", "b", 1, 1, 1, 1),
+             (10 ** 6 + 1, long, "en", "web", len(long), "a", "b", 1, 1, 1, 1), (None, long, "fr", None, len(long), "z", "b", 1, 1, 1, 1)]
+    rows += [(*docs[0], "other", "s", 1, 2, 3, 4), (*docs[1], "k", "s", 1, 2, 3, 4), (*docs[1], "k", "s", 1, 2, 3, 4)]
+    return spark.createDataFrame(rows, ODD)
+
+
+@pytest.mark.parametrize("i", range(5))
+def test_each_stage_on_odd_rows(spark, odd_rows, i):
+    stage = corpus_pipeline.STAGES[i][1]
+    out = stage(spark, odd_rows.repartition(3), SF)
+    got = sorted(map(str, out.collect()))
+    assert sorted(map(str, stage(spark, odd_rows.repartition(5), SF).collect())) == got  # reruns agree
+    given = [str(r) for r in odd_rows.collect()]
+    if i == 4:
+        assert len(got) == len(given) and set(out.columns) >= {"doc_id", "shard", "slot"}
+    else:
+        assert out.columns == odd_rows.columns and set(got) <= set(given)
+    if i == 1:  # of null and empty texts one, and of rows with equal id and text one
+        assert len({(r.doc_id, r.text) for r in out.collect()}) == len(got) and sum(not r.text for r in out.collect()) == 1
+    if i == 2:
+        assert sum(not r.text for r in out.collect()) == 5
+
+
+@pytest.mark.parametrize("i", range(5))
+def test_each_stage_on_an_empty_table(spark, i):
+    out = corpus_pipeline.STAGES[i][1](spark, spark.createDataFrame([], ODD), SF)
+    assert out.count() == 0 and (i == 4 or out.columns == ODD.replace(",", "").split()[::2])
+
+
 def test_run(spark):
     out = corpus_pipeline.run(spark, SF)
     assert out.count() > 0 and out.filter("slot < 0 or shard not between 0 and 39").count() == 0

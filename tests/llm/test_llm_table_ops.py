@@ -125,7 +125,7 @@ def test_mixing_targets_and_taken_words(spark, smoke_dir):
         assert all(math.isclose(r.target, want[s], rel_tol=1e-9, abs_tol=1e-9) for r in mine)
         taken = sum(r.taken for r in mine)
         assert abs(want[s] - taken) <= max(0.05 * want[s], max((r.size for r in mine), default=0) / 2)
-        assert all(r.taken in (0, r.size, 2 * r.size) for r in mine)
+        assert all(r.taken in (0, r.size, 2 * r.size) and len(r.shards) * r.size == r.taken for r in mine)
     again = mixing.mix_report(docs.repartition(7)).collect()
     assert sorted(map(str, again)) == sorted(map(str, got))
     assert mixing.mix_report(frame(spark, [])).count() == 0
@@ -163,6 +163,34 @@ def test_boundary_block_of_many_blocks(spark, monkeypatch):
     assert all(abs(r.t - r.n) <= 12 for r in got)
 
 
+def test_a_boundary_block_is_cut_into_parts(spark, smoke_dir, monkeypatch):
+    """Only documents of one part are fitted one by one; the deal's SQL is built with the same sizes."""
+    monkeypatch.setattr(mixing, "PART_ROWS", 5)
+    sql = mixing.SQL.replace("ceil(n / 1024)", "ceil(n / 5)")
+    assert sql != mixing.SQL
+    res = compare(mixing.query(spark, smoke_dir), duck_connect(smoke_dir), sql)
+    assert res["ok"], res
+
+
+def test_mixed_rows_keep_the_columns_that_differ(spark):
+    """Rows with equal id, text and source but other columns share the document's draws, each as often as it is there."""
+    rows = [(1, "a b c", "s", lang, n) for lang, n in (("en", 1), ("en", 1), ("fr", 2), (None, 3))] + [(2, "d e", "s", "en", 4), (None, "", None, "x", 5), (None, "", None, "y", 6)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string, row int")
+    mixes = [sorted(map(str, mixing.mixed(d, budget=2.0).collect())) for d in (docs, docs.repartition(4), docs.coalesce(1))]
+    assert mixes[0] == mixes[1] == mixes[2]
+    got = sorted((r.doc_id or 0, r.lang or "", r.row) for r in mixing.mixed(docs, budget=2.0).collect())
+    twice = [(i or 0, lang or "", n) for i, t, _, lang, n in rows if t] * 2
+    assert [g for g in got if g[0]] == sorted(twice)
+
+
+def test_too_many_sources_raise(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "MAX_SOURCES", 3)
+    rows = [(i, "w x", f"s{i}") for i in range(4)]
+    with pytest.raises(ValueError):
+        mixing.mix_report(frame(spark, rows))
+    assert mixing.mix_report(frame(spark, rows[:3])).count() == 3
+
+
 def pages(spark, rows):
     return spark.createDataFrame([(i, u, h, 1, "x") for i, u, h in rows], "page_id long, url string, html string, bytes int, digest string")
 
