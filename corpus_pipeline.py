@@ -19,14 +19,22 @@ def _row_key() -> Column:
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier, fitted on labelled rows of ``docs``, predicts as good; the others go."""
+    """Documents that the classifier, fitted on labelled rows of ``docs``, predicts as good; the others go.
+
+    A null text is scored as an empty one. Rows are judged each by its text, so equal ids or rows share a fate only as their texts do;
+    without labels that match a row every document has the same score. An empty table stays empty; extra columns are kept.
+    """
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     scored = quality.scored(docs, quality.fit(docs, labels))
     return scored.filter(F.col(scored.columns[len(docs.columns) + 1]) == 1).select(*docs.columns)
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group that the SimHash operator links, the document with the smallest id (a null id is the largest); of equal rows, one."""
+    """Of each group that the SimHash operator links, the document with the smallest id (a null id is the largest).
+
+    Of rows with equal id and text one stays, the first in the order of its columns' JSON, so that reruns agree. Null and empty texts have
+    the fingerprint zero and are one group. An empty table stays empty; extra columns are kept.
+    """
     key = free_name(docs, "row_key")
     keyed = docs.withColumn(key, _row_key())
     near = written(simhash.near_duplicates(keyed, key), "pipeline-near")
@@ -34,12 +42,19 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     left = keyed.join(gone, key, "left_anti")
     repeated = written(near.groupBy(F.col("doc_id").alias(key)).count().filter("count > 1").select(key), "pipeline-repeated")
     if not repeated.isEmpty():
-        left = left.join(repeated, key, "left_anti").unionByName(left.join(repeated, key, "left_semi").dropDuplicates([key]))
+        row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+        first = left.join(repeated, key, "left_semi").select(F.col(key).alias("key"), row.alias("row")).groupBy("key").agg(
+            F.min_by("row", F.to_json("row")).alias("row"))
+        return left.join(repeated, key, "left_anti").drop(key).unionByName(first.select("row.*"))
     return left.drop(key)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a word inside any window of a benchmark item; the others go."""
+    """Documents without a word inside any window of a benchmark item; the others go.
+
+    Null and empty texts have no words and stay; rows with equal id and text share a fate. An empty table stays empty;
+    extra columns are kept.
+    """
     key = free_name(docs, "row_key")
     keyed = docs.withColumn(key, _row_key())
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
@@ -48,12 +63,20 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The mix: documents as often as it takes them."""
+    """The mix: documents as often as it takes them.
+
+    A null source is a source of its own; null and empty texts have no words, and are taken as often as their block is. Rows with
+    equal id and text are one document with as many copies. An empty table stays empty; extra columns are kept.
+    """
     return mixing.mixed(docs).select(*docs.columns)
 
 
 def sharding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Places every row that the mix holds, repeats included, into the 40 shards."""
+    """Places every row that the mix holds, repeats included, into the 40 shards.
+
+    Repeats and rows with equal or null ids share a shard and get slots of their own; a null text has size 16. An empty table
+    gives an empty result; extra columns aren't read.
+    """
     return sharding.shard_documents(docs, sharding.shard_tree(sharding.SHARDS),
                                     sharding.shard_tree(sharding.SHARDS + 1))
 
