@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marketlens.constants import FRESHNESS_ERROR_HOURS, FRESHNESS_WARN_HOURS, REGIONS
+from marketlens.sources.footers import footers
 
 
 def _ts(now) -> F.Column:
@@ -25,21 +28,58 @@ def freshness(sources: Mapping[str, DataFrame], now: str, loaded_col: str = "_lo
     u = parts[0]
     for p in parts[1:]:
         u = u.unionByName(p)
-    # wall-clock difference of naive timestamps, independent of the session time zone
-    age = F.expr(f"timestampdiff(MICROSECOND, max_loaded_at, TIMESTAMP_NTZ '{now}')") / 3.6e9
-    return u.select(
-        "source", "max_loaded_at", age.alias("age_hours"),
-        F.when(F.col("max_loaded_at").isNull(), "error")
-        .when(age > error_hours, "error").when(age > warn_hours, "warn").otherwise("pass").alias("status"))
+    return _graded(u, now, warn_hours, error_hours)
 
 
 def recent_rows(df: DataFrame, now: str, hours: int = 2, loaded_col: str = "_loaded_at") -> DataFrame:
-    """Rows loaded within ``hours`` before ``now``; one row (n_recent, passed)."""
+    """Rows loaded within ``hours`` before ``now``; one row (n_recent, passed).
+
+    A filter on the load time, so that a stored table skips the files and row groups of its history.
+    """
     since = _ts(now) - F.make_dt_interval(F.lit(0), F.lit(hours))
-    return df.agg(F.count_if(F.col(loaded_col) >= since).alias("n_recent")).select(
+    return df.filter(F.col(loaded_col) >= since).agg(F.count(F.lit(1)).alias("n_recent")).select(
         "n_recent", (F.col("n_recent") > 0).alias("passed"))
 
 
+def _graded(newest: DataFrame, now: str, warn_hours: int, error_hours: int) -> DataFrame:
+    """Adds age_hours at ``now`` and pass / warn / error to (source, max_loaded_at)."""
+    # wall-clock difference of naive timestamps, independent of the session time zone
+    age = F.expr(f"timestampdiff(MICROSECOND, max_loaded_at, TIMESTAMP_NTZ '{now}')") / 3.6e9
+    return newest.withColumn("age_hours", age).withColumn(
+        "status", F.when(F.col("max_loaded_at").isNull(), "error").when(age > error_hours, "error")
+        .when(age > warn_hours, "warn").otherwise("pass"))
+
+
+def gates_from_footers(tables: Mapping[str, DataFrame], now: str, loaded_col: str = "_loaded_at",
+                       warn_hours: int = FRESHNESS_WARN_HOURS, error_hours: int = FRESHNESS_ERROR_HOURS) -> DataFrame:
+    """Per stored table: n_rows, newest load time, its age and pass / warn / error, from Parquet footers.
+
+    ``tables`` are scans of Parquet files without filters. Their footers hold row counts and the largest load time of each row
+    group, so no row is read; only files without such statistics have that one column read. One small row per file meets in
+    the aggregate.
+    """
+    spark = next(iter(tables.values())).sparkSession
+    parts = []
+    for name, df in tables.items():
+        paths = [unquote(p) for p in df.inputFiles()]  # the planner's own list
+        files = spark.createDataFrame([(p,) for p in paths], "path string").repartition(min(2000, len(paths) // 64 + 1))
+        parts.append(footers(files, [], loaded_col).withColumn("source", F.lit(name)))
+    feet = reduce(lambda a, b: a.unionByName(b), parts).groupBy("source").agg(
+        F.sum("n_rows").alias("n_rows"), F.max("newest").alias("newest"), F.collect_list(F.when(~F.col("known"), F.col("path"))).alias("unknown"))
+    found = {r.source: r for r in feet.collect()}  # a row per table
+    rows = []
+    for name, df in tables.items():
+        r = found.get(name)
+        newest = [None if r is None else r.newest]
+        if r is not None and r.unknown:
+            rest = spark.read.schema(df.select(loaded_col).schema).parquet(*r.unknown)
+            newest.append(rest.agg(F.unix_micros(F.max(loaded_col).cast("timestamp"))).first()[0])
+        rows.append((name, 0 if r is None else r.n_rows, max((x for x in newest if x is not None), default=None)))
+    out = spark.createDataFrame(rows, "source string, n_rows bigint, newest bigint")
+    out = out.select("source", "n_rows", F.timestamp_micros("newest").cast("timestamp_ntz").alias("max_loaded_at"))
+    return _graded(out, now, warn_hours, error_hours)
+
+
 def rows_by_load_date(tables: Mapping[str, DataFrame], loaded_col: str = "_loaded_at") -> DataFrame:
     """Row count per table and load date (a non-empty gate reads its date's row)."""
     parts = [df.groupBy(F.to_date(loaded_col).alias("load_date")).agg(F.count(F.lit(1)).alias("n_rows"))
@@ -81,6 +121,21 @@ def region_manifest(batches: DataFrame, expected: Sequence[str] = REGIONS, since
                     F.coalesce(F.col("region").isin(list(expected)), F.lit(False)).alias("expected"))
 
 
+def file_manifest(files: DataFrame, expected: Sequence[str] = REGIONS, since: str | None = None, until: str | None = None) -> DataFrame:
+    """For every (date, hour) asked for: files landed per expected region, and per other region that landed any.
+
+    ``files`` is a listing (region, date, hour, path, size). ``present`` says whether a file is there, with rows or without, so
+    an empty file counts as landed and a folder without files doesn't. Otherwise as :func:`region_manifest`.
+    """
+    counts = files.groupBy("date", "hour", "region").agg(F.count(F.lit(1)).alias("n_files"), F.sum("size").alias("n_bytes"))
+    grid = landed_hours(files, since, until).select("date", "hour", F.explode(F.array(*[F.lit(r) for r in expected])).alias("region"))
+    inside = counts.join(landed_hours(files, since, until), ["date", "hour"], "left_semi")
+    j = grid.unionByName(inside, allowMissingColumns=True).groupBy("date", "hour", "region").agg(
+        F.coalesce(F.sum("n_files"), F.lit(0)).alias("n_files"), F.coalesce(F.sum("n_bytes"), F.lit(0)).alias("n_bytes"))
+    return j.select("date", "hour", "region", "n_files", "n_bytes", (F.col("n_files") > 0).alias("present"),
+                    F.coalesce(F.col("region").isin(list(expected)), F.lit(False)).alias("expected"))
+
+
 def hour_completeness(batches: DataFrame, expected: Sequence[str] = REGIONS, since: str | None = None,
                       until: str | None = None) -> DataFrame:
     """Per (date, hour) asked for: expected regions landed, completeness flag, missing and unexpected regions.

@@ -16,8 +16,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from marketlens.operators.dedupe import latest_by_key
 from marketlens.plans import intermediate, marts, reporting, staging
+from marketlens.session import unique_path
 from marketlens.sources.adapter import RawTables, raw_tables
-from marketlens.sources.landing import seed_regions
+from marketlens.sources.landing import _fs_path, seed_regions
+from marketlens.sources.publish import PublishedTable
 
 
 class Models:
@@ -161,31 +163,49 @@ class Models:
                           "rpt_daily_kpis_two_pass")
 
 
+MODEL_NAMES = ("stg_orders", "stg_order_items", "stg_customers", "stg_products", "stg_marketing_events", "int_orders_enriched",
+               "int_order_items_enriched", "int_regional_daily", "dim_customers", "dim_products", "fact_orders", "fact_order_items", "rpt_daily_kpis")
 MART_TABLES = ("dim_customers", "dim_products", "fact_orders", "fact_order_items", "rpt_daily_kpis")
 
 
 def materialise(models: Models, base: str, tables=MART_TABLES) -> dict[str, DataFrame]:
-    """Rebuild the mart and reporting tables as Parquet under ``base`` (full overwrite).
+    """Rebuild mart and reporting tables as published tables under ``base``; returns DataFrames over the new versions.
 
-    ``orders_with_customer`` feeds both the order fact and the KPI table: the order fact is written first and the KPI table
-    and the item fact read the written tables they need. ``base`` must be a shared folder of this run's own (e.g. from
-    ``session.unique_path``): two runs must not write the same one. Returns DataFrames over the written tables.
+    Each table changes in one step, and readers of the old version keep it (``sources.publish``). Only what ``tables`` asks for
+    is built. Where both the order fact and the KPI table are asked for, the orders with their customer, which feed both, are
+    written once to a folder of the run's own, removed at the end; later tables read the written ones they need.
     """
     spark = models.raw.orders.sparkSession
     base = base.rstrip("/")
     m = Models(models.raw, models.regions, models.dedupe_dimensions, models.reuse, models.reuse_models)
-    if "fact_orders" in tables or "rpt_daily_kpis" in tables:
-        shared = f"{base}/_intermediate/orders_with_customer"
-        models.orders_with_customer.write.mode("overwrite").parquet(shared)
+    shared = None
+    if "fact_orders" in tables and "rpt_daily_kpis" in tables:
+        shared = unique_path(spark, "orders_with_customer")
+        models.orders_with_customer.write.parquet(shared)
         m.__dict__["orders_with_customer"] = spark.read.parquet(shared)
     out = {}
     for name in tables:
-        path = f"{base}/{name}"
-        getattr(m, name).write.mode("overwrite").parquet(path)
-        out[name] = m.__dict__[name] = spark.read.parquet(path)
+        table = PublishedTable(spark, f"{base}/{name}")
+        table.publish(getattr(m, name))
+        out[name] = m.__dict__[name] = table.read()
+    if shared:
+        p, fs = _fs_path(spark, shared)
+        fs.delete(p, True)
     return out
 
 
+def register_views(models: Models, names=MODEL_NAMES, prefix: str = "") -> list[str]:
+    """Register models as views of the session, so that SQL can query them by name; returns the views' names.
+
+    A view holds a model's plan, not its rows: a query over several of them is planned as a whole, and reads the columns it needs.
+    """
+    views = []
+    for name in names:
+        getattr(models, name).createOrReplaceTempView(prefix + name)
+        views.append(prefix + name)
+    return views
+
+
 def build_and_test(models: Models, base: str) -> tuple[dict[str, DataFrame], DataFrame]:
     """Materialise the marts and KPI table, then run the declared tests against the written tables.
 

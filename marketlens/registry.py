@@ -26,13 +26,16 @@ from marketlens.operators.windows import rolling_avg, with_share_of_group
 from marketlens.plans.intermediate import marketing_daily_agg, orders_daily_agg
 from marketlens.plans.reporting import order_mix_daily
 from marketlens.plans.data_tests import ACCEPTED_TESTS, NOT_NULL_TESTS, UNIQUE_TESTS, models_of, run_data_tests
-from marketlens.plans.warehouse import Models
+from marketlens.plans.warehouse import Models, materialise, register_views
 from marketlens.schemas import LANDING
 from marketlens.session import apply_defaults, shared_path, unique_path
 from marketlens.sources import adapter
-from marketlens.sources.ingest import ingest_history, ingest_hour
+from marketlens.sources.footers import landing_manifest
+from marketlens.sources.ingest import append_audit, ingest_history, ingest_hour
 from marketlens.sources.landing import (_fs_path, flagged_load, load_audit, mark_complete, nanos_to_timestamp, partition_dir,
                                         path_complete, read_landing, seed_regions, typed_load, with_audit, write_hour)
+from marketlens.sources.publish import PublishedTable
+from marketlens.sources.relanding import ingest_changes
 from marketlens.streaming.ingest import ingested_schema, run_ingest
 
 # injected clock for freshness gates (the data's last day ends at this instant)
@@ -140,8 +143,132 @@ def q_hour_rerun(spark, sf_dir):
     base, run = ensure_landing(spark, sf_dir), unique_path(spark, "rerun")
     for hour, loaded in (("07", "2024-01-15 08:00:00"), ("08", "2024-01-15 09:00:00"), ("07", "2024-01-15 10:00:00")):
         ingest_hour(spark, base, run, "orders", "2024-01-15", hour, RUN_ID, loaded)
-    schema = "order_id string, region string, total_amount double, _loaded_at timestamp_ntz, date string, hour string"
-    return spark.read.schema(schema).parquet(run)
+    return PublishedTable(spark, run).read().select("order_id", "region", "total_amount", "_loaded_at", "date", "hour")
+
+
+def _daily_orders(spark, sf_dir):
+    """The landed orders as one file a day and region would hold them."""
+    return adapter.landing_entity(spark, sf_dir, "orders").withColumn("hour", F.lit("00"))
+
+
+@query("relanded_hours")
+def q_relanded(spark, sf_dir):
+    """A second run after a batch was landed again with other rows and one was withdrawn: only these are replaced."""
+    run = unique_path(spark, "relanded")
+    base, table = f"{run}/landing", f"{run}/raw_order"
+    write_hour(_daily_orders(spark, sf_dir), f"{base}/orders")
+    ingest_changes(spark, base, "orders", table, "2024-01-31 00:00:00")
+    again = read_landing(spark, base, "orders", "2024-01-15", "00").withColumn("total_amount", F.col("total_amount") * 2)
+    moved = unique_path(spark, "relanded")  # a table can't be overwritten by what is read from it
+    again.write.parquet(moved)
+    write_hour(spark.read.parquet(moved), f"{base}/orders")
+    p, fs = _fs_path(spark, f"{base}/orders/region={REGIONS[0]}/date=2024-01-20")
+    fs.delete(p, True)
+    ingest_changes(spark, base, "orders", table, "2024-01-31 01:00:00")
+    return PublishedTable(spark, table).read().select("order_id", "region", "total_amount", "date", "hour", "_loaded_at")
+
+
+def _write_foreign(rows, base: str) -> DataFrame:
+    """Each batch's rows as a file of pandas: in turn nanosecond times, a column without any value, and wide strings."""
+    def write(key, pdf):
+        import pyarrow as pa
+        import pyarrow.fs as pafs
+        import pyarrow.parquet as pq
+        region, date, hour = key
+        t = pa.Table.from_pandas(pdf[LANDING["orders"].fieldNames()].drop(columns="region"), preserve_index=False)
+        variant = int(date[-2:]) % 3
+        for i, f in enumerate(t.schema):
+            if f.name == "created_at":
+                t = t.set_column(i, f.name, t.column(i).cast(pa.timestamp("ns" if variant == 0 else "us")))
+            elif f.name == "promo_code" and variant == 1:
+                t = t.set_column(i, f.name, pa.nulls(len(t)))
+            elif f.name != "total_amount":
+                t = t.set_column(i, f.name, t.column(i).cast(pa.large_string() if variant == 2 else pa.string()))
+        fs, root = pafs.FileSystem.from_uri(base)
+        folder = f"{root}/region={region}/date={date}/hour={hour}"
+        fs.create_dir(folder, recursive=True)
+        with fs.open_output_stream(f"{folder}/orders.parquet") as out:
+            pq.write_table(t, out)
+        return pdf.head(1)[["order_id"]]
+    return rows.groupBy("region", "date", "hour").applyInPandas(write, "order_id string")
+
+
+@query("foreign_backfill")
+def q_foreign_backfill(spark, sf_dir):
+    """A history of foreign files, with three different schemas and a seventh region, ingested by one scan per schema."""
+    run = unique_path(spark, "foreign")
+    run = run if "://" in run else f"file://{run}"
+    rows = _daily_orders(spark, sf_dir).filter("region IS NOT NULL").withColumn(
+        "region", F.when(F.col("order_id").cast("bigint") % 11 == 0, "lunar-1").otherwise(F.col("region")))
+    _write_foreign(rows, f"{run}/landing").write.format("noop").mode("overwrite").save()
+    ingest_history(spark, f"{run}/landing", f"{run}/raw", ["orders"], foreign=True)
+    return PublishedTable(spark, f"{run}/raw/orders").read().select(
+        "order_id", "customer_id", "region", "created_at", "status", "currency", "promo_code", "total_amount", "date", "_loaded_at")
+
+
+@query("audit_history")
+def q_audit_history(spark, sf_dir):
+    """A10: audit rows kept over runs: an hour twice under one run id, once under another, and a second hour."""
+    base, run = ensure_landing(spark, sf_dir), unique_path(spark, "audit")
+    for run_id, hour in (("run-a", "07"), ("run-a", "08"), ("run-b", "07"), ("run-a", "07")):
+        _, audit = ingest_hour(spark, base, f"{run}/raw", "orders", "2024-01-15", hour, run_id, f"2024-01-15 {int(hour) + 1:02d}:00:00")
+        append_audit(spark, f"{run}/audit", audit, "orders", "2024-01-15", hour, run_id)
+    return PublishedTable(spark, f"{run}/audit").read().drop("load_id", "loaded_at")
+
+
+@query("unpublished_attempt")
+def q_unpublished(spark, sf_dir):
+    """Readers see the last published version: an attempt that was written but not published changes nothing."""
+    daily = _models(spark, sf_dir).int_regional_daily
+    table = PublishedTable(spark, unique_path(spark, "published"))
+    table.publish(daily, ["region"])
+    table.write_attempt(daily.withColumn("total_orders", F.col("total_orders") * 2), ["region"])
+    table.publish(daily.filter(F.col("region") == REGIONS[1]).withColumn("total_orders", F.lit(0).cast("bigint")), ["region"])
+    table.write_attempt(daily.limit(0), ["region"])
+    return table.read(1).withColumn("version", F.lit(1)).unionByName(table.read().withColumn("version", F.lit(2))).select(
+        "version", "region", "order_date", "total_orders")
+
+
+@query("footer_gates")
+def q_footer_gates(spark, sf_dir):
+    """Rows and newest load of every raw table as stored, told by the files' footers."""
+    run = unique_path(spark, "stored")
+    adapter.write_raw_tables(adapter.raw_tables(spark, sf_dir), run)
+    stored = adapter.read_raw_tables(spark, run)
+    return gates.gates_from_footers({"raw_order": stored.orders, "raw_order_item": stored.order_items, "raw_customer": stored.customers,
+                                     "raw_product": stored.products, "raw_marketing_event": stored.marketing_events}, NOW)
+
+
+@query("file_manifest")
+def q_file_manifest(spark, sf_dir):
+    """Regions that landed a file, for every hour asked for; a file without rows counts, a folder without files doesn't."""
+    run = unique_path(spark, "manifest")
+    daily = _daily_orders(spark, sf_dir)
+    write_hour(daily.filter("date < '2024-01-29'"), f"{run}/orders")
+    empty = spark.createDataFrame([], LANDING["orders"]).drop("region")
+    empty.coalesce(1).write.parquet(f"{run}/orders/region={REGIONS[2]}/date=2024-01-29/hour=00")
+    p, fs = _fs_path(spark, f"{run}/orders/region={REGIONS[3]}/date=2024-01-29/hour=00")
+    fs.mkdirs(p)
+    days = gates.file_manifest(landing_manifest(spark, run, "orders"), since="2024-01-01 00", until="2024-01-30 00").filter("hour = '00'")
+    return days.select("date", "region", "present", "expected", ((F.col("n_bytes") > 0) == F.col("present")).alias("has_bytes"))
+
+
+@query("lines_without_header")
+def q_lines_without_header(spark, sf_dir):
+    """Lines whose order isn't among the loaded orders (those that the typed load rejects are missing)."""
+    good, _ = typed_load(_text_orders(spark, sf_dir), LANDING["orders"])
+    items = read_landing(spark, ensure_landing(spark, sf_dir, "order_items"), "order_items")
+    return checks.orphans(items.select("order_id", "item_id"), good, "order_id")
+
+
+@query("model_views")
+def q_model_views(spark, sf_dir):
+    """Models as views, queried by SQL: each region's best day next to its orders of that day."""
+    register_views(_models(spark, sf_dir), prefix="ml_")
+    return spark.sql("""
+        SELECT k.region, k.report_date, k.gross_revenue, count(o.order_key) AS n_orders, max(o.total_amount) AS largest_order
+        FROM ml_rpt_daily_kpis k JOIN ml_fact_orders o ON o.region = k.region AND o.order_date = k.report_date
+        WHERE k.total_orders > 0 GROUP BY k.region, k.report_date, k.gross_revenue""")
 
 
 @query("nanos_to_timestamp")
@@ -572,10 +699,8 @@ def q_volume_anomaly(spark, sf_dir):
 
 @query("materialised_kpis")
 def q_materialised(spark, sf_dir):
-    """Marts and KPI table rebuilt as tables in the shared folder, read back."""
-    from marketlens.plans.warehouse import materialise
-    tables = materialise(_models(spark, sf_dir), unique_path(spark, "marts"))
-    return tables["rpt_daily_kpis"]
+    """The KPI table rebuilt as a published table in the shared folder, read back."""
+    return materialise(_models(spark, sf_dir), unique_path(spark, "marts"), ["rpt_daily_kpis"])["rpt_daily_kpis"]
 
 
 # ---------------------------------------------------------------- streaming

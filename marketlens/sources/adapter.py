@@ -228,12 +228,14 @@ RAW_ENTITIES = ("orders", "order_items", "customers", "products", "marketing_eve
 
 
 def read_raw_tables(spark: SparkSession, base: str) -> RawTables:
-    """The five raw tables as written by the ingest, ``{base}/{entity}`` Parquet (partitioned or not).
+    """The five raw tables as written by the ingest, ``{base}/{entity}``: published tables, or plain Parquet (partitioned or not).
 
     This is how the model graph runs on real loads instead of the test adapter.
     """
+    from marketlens.sources.publish import read_table
+
     base = base.rstrip("/")
-    return RawTables(**{e: spark.read.parquet(f"{base}/{e}") for e in RAW_ENTITIES})
+    return RawTables(**{e: read_table(spark, f"{base}/{e}") for e in RAW_ENTITIES})
 
 
 def write_raw_tables(raw: RawTables, base: str) -> None:

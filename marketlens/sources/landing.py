@@ -8,6 +8,8 @@ per-file driver loop.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -67,9 +69,19 @@ def read_landing(spark: SparkSession, base: str, entity: str, date: str = "*", h
         return spark.createDataFrame([], schema)
 
 
+def read_files(spark: SparkSession, base: str, entity: str, paths: list[str]) -> DataFrame:
+    """Some landed files of an entity, by path, in the declared schema."""
+    schema = landing_with_partitions(entity)
+    if not paths:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).option("basePath", landing_files(spark, base, entity)[0]).parquet(*paths)
+
+
 def with_audit(df: DataFrame, loaded_at) -> DataFrame:
     """Add lineage: ``_source_file`` (the file's whole path) and one ``_loaded_at`` per run."""
     loaded = loaded_at if isinstance(loaded_at, Column) else F.lit(loaded_at).cast("timestamp_ntz")
+    if not df.inputFiles():  # nothing landed: no file to name
+        return df.select("*", F.lit(None).cast("string").alias("_source_file"), loaded.alias("_loaded_at"))
     return df.select("*", F.col("_metadata.file_path").alias("_source_file"), loaded.alias("_loaded_at"))
 
 
@@ -172,8 +184,8 @@ def load_audit(flagged: DataFrame, run_id: str, entity: str) -> DataFrame:
         F.lit(run_id).alias("dag_run_id"), "load_date", "region", F.lit(entity).alias("entity"), "s3_expected_rows", "sf_actual_rows")
 
 
-__all__ = ["LANDING", "LOAD_AUDIT", "read_landing", "with_audit", "typed_load", "seed_regions", "write_hour",
-           "load_audit", "flagged_load", "landing_files", "partition_dir", "nanos_to_timestamp", "read_foreign_hour", "path_complete", "mark_complete", "with_partition_columns",
+__all__ = ["LANDING", "LOAD_AUDIT", "read_landing", "read_files", "with_audit", "typed_load", "seed_regions", "write_hour",
+           "load_audit", "flagged_load", "landing_files", "partition_dir", "nanos_to_timestamp", "read_foreign", "read_foreign_hour", "path_complete", "mark_complete", "with_partition_columns",
            "read_seed_csv", "cluster_for_write"]
 
 
@@ -182,48 +194,52 @@ def nanos_to_timestamp(nanos: Column) -> Column:
     return F.timestamp_micros(F.call_function("div", nanos, F.lit(1000).cast("bigint"))).cast("timestamp_ntz")
 
 
-def read_foreign_hour(spark: SparkSession, base: str, entity: str, date: str, hour: str,
-                      regions: list[str] | None = None) -> DataFrame:
-    """Read one landing hour written by a foreign writer (e.g. pandas/pyarrow) into the declared schema, in either layout.
+def read_foreign(spark: SparkSession, base: str, entity: str, date: str = "*", hour: str = "*",
+                 regions: list[str] | None = None) -> DataFrame:
+    """Landing files of a foreign writer (e.g. pandas/pyarrow), one hour or the whole history, in the declared schema; either layout.
 
-    Such files may carry nanosecond timestamps (read as bigint, then ns -> us) or a column that is NULL in every row of a
-    file and was therefore written with a placeholder type. Each region's file of the hour is read with its own inferred
-    schema, conformed to the declared types, given its path as ``_source_file``, and the parts are concatenated by name. The
-    session setting that lets nanoseconds be inferred as whole numbers holds only while the schemas are inferred.
+    Such files may carry nanosecond timestamps (read as whole numbers, then ns -> us), a column that is NULL in every row
+    of a file and was therefore written with a placeholder type, or other number types. Tasks read the files' footers; files
+    whose columns have the same types are read in one scan with these types, so there are as many scans as different
+    schemas, whatever the number of files, hours and regions. Columns are matched by name, whatever its case; a missing one is
+    NULL. Every region folder is read. The driver holds the files' paths, as it does to plan the scans.
     """
-    from marketlens.constants import REGIONS as ALL_REGIONS
-
-    setting = "spark.sql.legacy.parquet.nanosAsLong"
-    before = spark.conf.get(setting, None)
-    declared = LANDING[entity]
-    root, file = landing_files(spark, base, entity)
+    from marketlens.sources.footers import footers, landing_manifest
+
+    declared, root = LANDING[entity], landing_files(spark, base, entity)[0]
+    files = landing_manifest(spark, base, entity, date, hour)
+    if regions is not None:
+        files = files.filter(F.col("region").isin(list(regions)))
+    groups: dict[tuple, list[str]] = {}
+    wanted = [f.name for f in declared.fields if f.name != "region"]
+    for path, kinds in footers(files, wanted).select("path", "kinds").collect():
+        groups.setdefault(tuple(kinds), []).append(path)
     parts = []
-    for r in regions or ALL_REGIONS:
-        path = f"{root}/region={r}/date={date}/hour={hour}{file}"
-        if not _globbed(spark, path):
-            continue  # missing region file is tolerated
-        spark.conf.set(setting, "true")
-        try:
-            df = spark.read.parquet(path)
-        finally:
-            spark.conf.unset(setting) if before is None else spark.conf.set(setting, before)
-        have = dict(df.dtypes)
+    for kinds, paths in sorted(groups.items()):
+        have = {k.split(":", 1)[0].lower(): tuple(k.split(":", 1)) for k in kinds}
+        fields = [(name, "bigint" if kind == "nanos" else kind) for name, kind in have.values() if kind != "none"]
+        schema = ", ".join(f"`{name}` {kind}" for name, kind in [*fields, *((p, "string") for p in PARTITION_COLUMNS)])
+        df = spark.read.schema(schema).option("basePath", root).parquet(*sorted(paths))
         cols = []
         for f in declared.fields:
+            name, kind = have.get(f.name.lower(), (f.name, "none"))
             if f.name == "region":
-                cols.append(F.lit(r).alias("region"))
-            elif f.name not in have:
+                cols.append(F.col("region"))
+            elif kind == "none":
                 cols.append(F.lit(None).cast(f.dataType).alias(f.name))
-            elif f.dataType.simpleString() == "timestamp_ntz" and have[f.name] == "bigint":
-                cols.append(nanos_to_timestamp(F.col(f.name)).alias(f.name))
+            elif kind == "nanos":
+                cols.append(nanos_to_timestamp(F.col(name)).cast(f.dataType).alias(f.name))
             else:
-                cols.append(F.col(f.name).cast(f.dataType).alias(f.name))
+                cols.append(F.col(name).cast(f.dataType).alias(f.name))
         if "region" not in declared.fieldNames():
-            cols.append(F.lit(r).alias("region"))
-        parts.append(df.select(*cols, F.lit(date).alias("date"), F.lit(hour).alias("hour"), F.col("_metadata.file_path").alias("_source_file")))
+            cols.append(F.col("region"))
+        parts.append(df.select(*cols, "date", "hour", F.col("_metadata.file_path").alias("_source_file")))
     if not parts:
         return spark.createDataFrame([], landing_with_partitions(entity)).withColumn("_source_file", F.lit(None).cast("string"))
-    out = parts[0]
-    for p_ in parts[1:]:
-        out = out.unionByName(p_)
-    return out
+    return reduce(lambda a, b: a.unionByName(b), parts)
+
+
+def read_foreign_hour(spark: SparkSession, base: str, entity: str, date: str, hour: str,
+                      regions: list[str] | None = None) -> DataFrame:
+    """:func:`read_foreign` of one hour."""
+    return read_foreign(spark, base, entity, date, hour, regions)

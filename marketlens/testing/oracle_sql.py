@@ -476,6 +476,41 @@ def build() -> dict[str, str]:
     s["landing_hour_rerun"] = q("order_id, region, total_amount:f, _loaded_at, date, hour", f"""
         SELECT *, TIMESTAMP '2024-01-15 00:00:00' + to_hours(CASE WHEN hour = '07' THEN 10 ELSE 9 END) AS _loaded_at
         FROM ({landing_sel}) WHERE date = '2024-01-15' AND hour IN ('07', '08')""")
+    s["relanded_hours"] = q("order_id, region, total_amount:f, date, hour, _loaded_at", f"""
+        SELECT order_id, region, total_amount * CASE WHEN date = '2024-01-15' THEN 2 ELSE 1 END AS total_amount, date, '00' AS hour,
+               {NOW} + to_hours(CASE WHEN date IN ('2024-01-15', '2024-01-20') THEN 1 ELSE 0 END) AS _loaded_at
+        FROM ({landing_sel}) WHERE NOT (date = '2024-01-20' AND region = '{REGIONS[0]}')""")
+    s["foreign_backfill"] = q(
+        "order_id, customer_id, region, created_at, status, currency, promo_code, total_amount:f, date, _loaded_at", f"""
+        SELECT * REPLACE (CASE WHEN CAST(order_id AS BIGINT) % 11 = 0 THEN 'lunar-1' ELSE region END AS region,
+                          CASE WHEN CAST(right(date, 2) AS INTEGER) % 3 <> 1 THEN promo_code END AS promo_code),
+               CAST(date AS TIMESTAMP) + INTERVAL 1 HOUR AS _loaded_at
+        FROM ({landing_sel}) WHERE region IS NOT NULL""")
+    s["audit_history"] = q("dag_run_id, load_date, load_hour, region, entity, s3_expected_rows:i, sf_actual_rows:i", f"""
+        SELECT r.dag_run_id, DATE '2024-01-15' AS load_date, hour AS load_hour, region, 'orders' AS entity, count(*) AS s3_expected_rows,
+               count(*) AS sf_actual_rows
+        FROM ({landing_sel}) o JOIN (VALUES ('run-a', '07'), ('run-a', '08'), ('run-b', '07')) r (dag_run_id, h) ON o.hour = r.h
+        WHERE date = '2024-01-15' GROUP BY r.dag_run_id, hour, region""")
+    s["unpublished_attempt"] = q("version:i, region, order_date, total_orders:i", f"""
+        SELECT v AS version, region, report_date AS order_date, CASE WHEN v = 2 AND region = '{REGIONS[1]}' THEN 0 ELSE total_orders END AS total_orders
+        FROM region_day, (VALUES (1), (2)) t (v)""")
+    s["footer_gates"] = q("source, n_rows:i, max_loaded_at, age_hours:f, status", f"""
+        SELECT *, CASE WHEN age_hours > 6 THEN 'error' WHEN age_hours > 2 THEN 'warn' ELSE 'pass' END AS status
+        FROM (SELECT *, (epoch_us({NOW}) - epoch_us(max_loaded_at)) / 3.6e9 AS age_hours
+              FROM ({_union_all([f"SELECT '{t}' AS source, count(*) AS n_rows, max(_loaded_at) AS max_loaded_at FROM {t}" for t in
+                                 ["raw_order", "raw_order_item", "raw_customer", "raw_product", "raw_marketing_event"]])}))""")
+    s["file_manifest"] = q("date, region, present, expected, has_bytes", f"""
+        SELECT date, region, CASE WHEN date < '2024-01-29' THEN EXISTS (SELECT 1 FROM ({landing_sel}) o WHERE o.date = a.date AND o.region = a.region)
+                                  ELSE date = '2024-01-29' AND region = '{REGIONS[2]}' END AS present, true AS expected, true AS has_bytes
+        FROM (SELECT strftime(t, '%Y-%m-%d') AS date, unnest({_REG_LIST}) AS region
+              FROM (SELECT unnest(generate_series(TIMESTAMP '2024-01-01 00:00:00', TIMESTAMP '2024-01-30 00:00:00', INTERVAL 1 DAY)) AS t)) a""")
+    s["lines_without_header"] = q("order_id, item_id", """
+        SELECT i.order_id, i.item_id FROM raw_order_item i
+        WHERE NOT EXISTS (SELECT 1 FROM landing_orders o WHERE o.order_id = i.order_id AND CAST(o.order_id AS BIGINT) % 40 NOT IN (1, 2))""")
+    s["model_views"] = q("region, report_date, gross_revenue:f, n_orders:i, largest_order:f", """
+        SELECT k.region, k.report_date, k.gross_revenue, count(*) AS n_orders, max(o.total_amount) AS largest_order
+        FROM rpt_daily_kpis k JOIN fact_orders o ON o.region = k.region AND o.order_date = k.report_date
+        WHERE k.total_orders > 0 GROUP BY ALL""")
     s["nanos_to_timestamp"] = q("event_id:i, nanos:i, ts", "SELECT event_id, epoch_us(ts) * 1000 + event_id % 1000 AS nanos, ts FROM events")
     s["union_regions"] = q("region, date, hour, n_rows:i, total_amount:f",
                            f"SELECT region, date, hour, count(*) AS n_rows, sum(total_amount) AS total_amount "

@@ -13,6 +13,7 @@ from marketlens.schemas import LANDING
 from marketlens.session import local_scratch
 from marketlens.sources.landing import (flagged_load, nanos_to_timestamp, partition_dir, read_foreign_hour, read_landing,
                                         typed_load, with_audit, with_partition_columns, write_hour)
+from marketlens.sources.publish import read_table
 from marketlens.streaming.ingest import ingested_schema, run_ingest
 
 T = dt.datetime
@@ -186,7 +187,7 @@ def test_ingest_hour_is_idempotent_and_audited(spark):
     n2, _ = ingest_hour(spark, base, raw, "orders", "2024-01-01", "05", "r2", "2024-01-01 06:10:00")
     n3, _ = ingest_hour(spark, base, raw, "orders", "2024-01-01", "06", "r3", "2024-01-01 07:00:00")
     assert (n1, n2, n3) == (18, 18, 18)
-    assert spark.read.parquet(raw).count() == 36  # the rerun replaced hour 05 instead of appending
+    assert read_table(spark, raw).count() == 36  # the rerun replaced hour 05 instead of appending
     rows = audit.collect()
     assert len(rows) == 6 and all(r.s3_expected_rows == r.sf_actual_rows == 3 for r in rows)
     assert len({r.load_id for r in rows}) == 6
