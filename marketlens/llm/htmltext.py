@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -16,12 +17,14 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 RAW = frozenset("script style template noscript iframe textarea xmp noembed noframes svg math".split())
 BLOCK = frozenset("""address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form
     h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul""".split())
-DROPPED = frozenset("head title nav footer aside form button select option datalist dialog menu object canvas audio video map".split())
-ROLES = frozenset("navigation banner complementary contentinfo search alert alertdialog dialog menu menubar toolbar form".split())
+DROPPED = frozenset("head title nav footer aside button select option datalist dialog menu object canvas audio video map".split())
+ROLES = frozenset("navigation banner complementary contentinfo search alert alertdialog dialog menu menubar toolbar".split())
 UNWANTED = frozenset("""ad ads adv advert adverts advertisement advertising adbox adsense banner sponsor sponsored promo promotion
     nav navbar navigation menu breadcrumb breadcrumbs sidebar aside footer header masthead comment comments commentlist disqus respond reply replies
     cookie cookies consent gdpr notice notices alert popup modal overlay newsletter subscribe subscription signup login share sharing social
     related recommended recommendations widget pagination pager toolbar skip""".split())
+#: Unwanted names that are ordinary words too: below an article they don't count for an element that holds prose.
+WEAK = frozenset("related recommended recommendations share sharing social reply skip widget header promotion".split())
 WANTED = frozenset("article body content entry hentry main page post story text blog".split())
 #: Names of an article itself, not of the layout around it: lists of links below them are its own.
 OWN = WANTED - frozenset("body content main page blog".split())
@@ -31,6 +34,9 @@ CONTAINERS = frozenset("article main div section td body html blockquote center
 #: A start tag of the one ends an open one of the others.
 CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 SCOPE = frozenset("table td th ul ol dl html body article section div main".split())
+#: Where a list, table or select begins, above which no open item is ended.
+HOLDERS = frozenset("ul ol dl table select".split())
+ITEMS = frozenset(CLOSES) | HOLDERS
 
 _TAG = re.compile(r"""<(?:!--(?:.*?-->|.*\Z)|[!?][^>]*>|(/?)([a-zA-Z][^\s/>]*)((?:[^<>"']|"[^"]*"|'[^']*')*/?)>|(/?)([a-zA-Z][^\s/<>]*)([^<>]*)>?)""", re.S)
 _ATTRIBUTE = re.compile(r"""([^\s=/"'<>]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""")
@@ -42,6 +48,8 @@ _HOLDS_HTML = re.compile(r"<(?:foreignobject|desc|title|annotation-xml|mi|mo|mn|
 MIN_PARAGRAPH, SIBLING_SHARE, LINK_LIST = 25, 0.2, 0.6
 #: Unlinked characters of a well named element beside which a badly named one is left out even if it holds most of the text.
 MIN_ARTICLE = 100
+#: Prose: so many unlinked characters at least, and at most this share of link text.
+MIN_PROSE, PROSE_LINKS = 140, 0.25
 
 
 class _Tree:
@@ -49,9 +57,12 @@ class _Tree:
 
     def __init__(self, page: str, by_name: bool) -> None:
         self.parent, self.tag, self.weight, self.drop, self.block = [-1], ["html"], [0], [False], [0]
-        self.named, self.good, self.own = [False], [False], [False]
+        self.named, self.good, self.own, self.form = [False], [False], [False], [False]
+        self.weak, self.inside = [False], [False]
         self.fragments: list[tuple[int, str, bool, int]] = []  # (block element, text, in a link, element); block -1: a break
-        self.stack, self.links, self.unclosed = [0], 0, set()
+        self.stack, self.unclosed, self.closes = [0], set(), {}
+        # how many of each tag are open, and the depths of open paragraphs and their scopes, and of items and their holders
+        self.open, self.scopes, self.items = Counter(["html"]), [0], []
         at, size = 0, len(page)
         while at < size:
             lt = page.find("<", at)
@@ -82,11 +93,14 @@ class _Tree:
                     at = self.foreign_end(page, name, at)
                 continue
             self.start(name, attributes)
-        if by_name:
-            self.drop_named()
+        self.drop_named(by_name)
 
     def close(self, page: str, name: str, at: int) -> re.Match | None:
-        return re.compile(rf"</{re.escape(name)}(?=[\s/>])[^>]*>?", re.I).search(page, at)
+        """The next end tag, looked for once however many start tags come before it."""
+        found = self.closes.get(name)
+        if found is None or found.start() < at:
+            found = self.closes[name] = re.compile(rf"</{re.escape(name)}(?=[\s/>])[^>]*>?", re.I).search(page, at)
+        return found
 
     def foreign_end(self, page: str, name: str, at: int) -> int:
         """Where an svg or math element ends: behind its end tag, or before an HTML tag that can't be in it; one with neither is the tag alone."""
@@ -100,24 +114,33 @@ class _Tree:
             self.unclosed.add("")
         return found.start() if found else at
 
-    def drop_named(self) -> None:
-        """Drops elements with unwanted names, but not those around a main element, an article or most of the page's unlinked text.
+    def drop_named(self, by_name: bool) -> None:
+        """Drops forms and, if asked for, elements with unwanted names, but not those around a main element, an article or most of the page's unlinked text.
 
-        Most of the text doesn't save an element if an article or well named element beside it holds some.
+        Most of the text doesn't save an element if an article or well named element beside it holds some. Below an article, names
+        that are ordinary words too don't count for prose.
         """
         n = len(self.tag)
+        linked = [0] * n
+        if by_name:
+            self.named = [a or b for a, b in zip(self.named, self.form, strict=True)]
+        else:
+            self.named = self.form
         if not any(self.named):
             return
         own, holds, bad, last = [0] * n, [False] * n, [False] * n, list(range(n))
         for b, text, link, e in self.fragments:
-            if b >= 0 and not link:
-                own[e] += len(text.strip())
+            if b >= 0:
+                (linked if link else own)[e] += len(text.strip())
         for i in range(n - 1, 0, -1):
             up = self.parent[i]
             own[up] += own[i]
+            linked[up] += linked[i]
             last[up] = max(last[up], last[i])
             holds[i] = holds[i] or self.good[i] and self.tag[i] in ("article", "main") and not self.drop[i]
             holds[up] = holds[up] or holds[i]
+            if self.weak[i] and self.inside[i] and own[i] >= MIN_PROSE and linked[i] <= PROSE_LINKS * (own[i] + linked[i]):
+                self.named[i] = self.form[i]
         for i in range(1, n):
             bad[i] = bad[self.parent[i]] or self.named[i] and not holds[i]
         good = [i for i in range(1, n) if self.good[i] and not self.drop[i] and not bad[i] and own[i] >= MIN_ARTICLE]
@@ -133,23 +156,32 @@ class _Tree:
     def text(self, raw: str) -> None:
         top = self.stack[-1]
         if not self.drop[top]:
-            self.fragments.append((self.block[top], html.unescape(raw) if "&" in raw else raw, self.links > 0, top))
+            self.fragments.append((self.block[top], html.unescape(raw) if "&" in raw else raw, self.open["a"] > 0, top))
 
     def pop(self, depth: int) -> None:
         for n in self.stack[depth:]:
-            if self.tag[n] == "a":
-                self.links -= 1
+            self.open[self.tag[n]] -= 1
             if self.tag[n] in BLOCK:
                 self.fragments.append((-1, "", False, -1))
         del self.stack[depth:]
+        for marks in (self.scopes, self.items):
+            while marks and marks[-1] >= depth:
+                marks.pop()
+
+    def top(self, marks: list[int]) -> str:
+        return self.tag[self.stack[marks[-1]]] if marks else ""
 
     def end(self, name: str) -> None:
-        for depth in range(len(self.stack) - 1, 0, -1):
-            if self.tag[self.stack[depth]] == name:
+        """Ends the nearest open element of the name, if there is one; a paragraph only within its scope."""
+        if name == "p":
+            if self.top(self.scopes) == "p":
+                self.pop(self.scopes[-1])
+        elif self.open[name] > (name == "html"):
+            depth = len(self.stack) - 1
+            while self.tag[self.stack[depth]] != name:  # all that is passed is ended
+                depth -= 1
+            if depth:
                 self.pop(depth)
-                return
-            if name == "p" and self.tag[self.stack[depth]] in SCOPE:
-                return
 
     def start(self, name: str, attributes: str) -> None:
         if name == "br":
@@ -159,26 +191,24 @@ class _Tree:
                 self.fragments.append((-1, "", False, -1))
             return
         if name in BLOCK:
-            for depth in range(len(self.stack) - 1, 0, -1):
-                tag = self.tag[self.stack[depth]]
-                if tag == "p":
-                    self.pop(depth)
-                    break
-                if tag in SCOPE:
-                    break
+            if self.top(self.scopes) == "p":
+                self.pop(self.scopes[-1])
             self.fragments.append((-1, "", False, -1))
-        for depth in range(len(self.stack) - 1, 0, -1) if name in CLOSES else ():
+        # between two holders there is one open item of a kind at most
+        for depth in reversed(self.items) if name in CLOSES else ():
             tag = self.tag[self.stack[depth]]
             if tag in CLOSES[name]:
                 self.pop(depth)
                 if name != "tr" or tag == "tr":
                     break
-            elif tag in ("ul", "ol", "dl", "table", "select"):
+            elif tag in HOLDERS:
                 break
         up, weight, named, other, good, own = self.stack[-1], 0, False, False, name in ("article", "main"), name in ("article", "main")
         drop = self.drop[up] or name in DROPPED
-        if name == "header" and not any(self.tag[n] in ("article", "main") for n in self.stack):
+        inside = self.open["article"] + self.open["main"] > 0
+        if name == "header" and not inside:
             drop = True
+        form, weak = name == "form", False
         if "=" in attributes and not drop:
             a = {k.lower(): x or y or z for k, x, y, z in _ATTRIBUTE.findall(attributes)}
             names = {w.lower() for w in _NAMES.findall(f"{a.get('class', '')} {a.get('id', '')}")}
@@ -187,14 +217,16 @@ class _Tree:
             if names & UNWANTED and name not in ("html", "body"):
                 weight -= 25
                 named = not names & WANTED and name not in ("article", "main")
+                weak = named and not names & UNWANTED - WEAK
             if names & (WANTED | UNWANTED) and name not in ("html", "body", "main"):
                 each = [{x.lower() for x in _NAMES.findall(w)} for w in f"{a.get('class', '')} {a.get('id', '')}".split()]
                 pure = [x for x in each if x & WANTED and not x & UNWANTED]
                 good = bool(pure) or good and not names & UNWANTED
                 own = own or any(x & OWN for x in pure)
                 other = not own and bool(names & UNWANTED - {"header"})
+            form = form or a.get("role", "").lower() == "form"
             drop = drop or a.get("role", "").lower() in ROLES or a.get("aria-hidden") == "true" or bool(_HIDDEN.search(a.get("style", "")))
-        if re.search(r"(?:^|\s)hidden(?:$|[\s=])", attributes):
+        if "hidden" in attributes and re.search(r"(?:^|\s)hidden(?:$|[\s=])", attributes):
             drop = True
         n = len(self.tag)
         self.parent.append(up)
@@ -205,8 +237,15 @@ class _Tree:
         self.good.append(good)
         self.own.append(own or self.own[up] and not other)
         self.block.append(n if name in BLOCK else self.block[up])
+        self.form.append(form)
+        self.weak.append(weak)
+        self.inside.append(inside)
+        self.open[name] += 1
+        if name == "p" or name in SCOPE:
+            self.scopes.append(len(self.stack))
+        if name in ITEMS:
+            self.items.append(len(self.stack))
         self.stack.append(n)
-        self.links += name == "a"
 
 
 def _best_text(page: str, by_name: bool) -> str:
@@ -269,7 +308,7 @@ def main_text(page: str | None) -> str:
 
     Menus, headers, footers, asides, forms and the like are left out by element, role and class or id names. An unwanted name only lowers the
     score of an element that also has a wanted one, or holds an article or a main element, and doesn't count for one with most of the page's
-    unlinked text. Each paragraph
+    unlinked text, nor, if it is an ordinary word too, for prose below an article. A form around an article or most of the text is kept. Each paragraph
     gives a point, one for each comma, and up to three for its length, without its link text, to the container above it, half to the next
     and ever less further up; a container's points are discounted by its share of link text. The best container is kept with
     siblings that score a fifth of it or are plain paragraphs, without lists of links other than an article's own. If names ruled out all text, they count only as points.
