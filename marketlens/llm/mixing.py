@@ -213,12 +213,12 @@ def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sourc
     out = [free_name(docs, n) for n in ("mix_shard", "mix_pass", "mix_order")]
     # one column for a whole row, so that no other name can clash
     packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), *_keyed(docs, id_col, text_col, source_col, seed))
-    kept = written(draws.join(rows.select(*DOCUMENT, "copies"), DOCUMENT), "mix-kept")
-    met = packed.join(kept, DOCUMENT)
-    alone = met.filter("copies = 1").withColumn("first", F.lit(0).cast("long")).withColumn("m", F.lit(1).cast("long"))
+    kept = draws.join(rows.select(*DOCUMENT, "copies"), DOCUMENT)
+    once, often = written(kept.filter("copies = 1"), "mix-once"), written(kept.filter("copies > 1"), "mix-often")
+    alone = packed.join(once, DOCUMENT).withColumn("first", F.lit(0).cast("long")).withColumn("m", F.lit(1).cast("long"))
     # of the rows of one document: equal ones are folded, and the different ones follow one another by their hash
     print_ = F.sha1(F.to_json("row").cast("binary"))
-    variants = written(met.filter("copies > 1").withColumn("print", print_).groupBy(*DOCUMENT, "print").agg(
+    variants = written(packed.join(often, DOCUMENT).withColumn("print", print_).groupBy(*DOCUMENT, "print").agg(
         F.first("row").alias("row"), F.first("draws").alias("draws"), F.count("*").alias("m")).withColumn("range", F.substring("print", 1, 3)), "mix-variants")
     ranges = variants.groupBy(*DOCUMENT, "range").agg(F.sum("m").alias("in_range"))
     before = Window.partitionBy(*DOCUMENT).orderBy("range").rowsBetween(Window.unboundedPreceding, -1)

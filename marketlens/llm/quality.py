@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -9,12 +10,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import expand_copies, free_name, segments, slices, written
+from .common import free_name, segments, slices, written
 from .text import mixed_bits, span_hashes, word_spans
 
 #: 2^BITS vectors of DIM numbers; most labelled rows that the model is fitted on; passes over them and first step.
 BITS, DIM = 18, 16
 MAX_FIT_ROWS = 4000
+#: Bytes of packed features that the fit takes at most: rows in the order of their hash, so a few huge texts don't fill the driver.
+MAX_FIT_BYTES = 64 << 20
 EPOCHS, RATE, SEED = 8, 3.0, 7
 THRESHOLD = 0.3
 _SPACE = np.zeros(256, bool)
@@ -66,7 +69,7 @@ def _pieces(texts: list[str | None]) -> Iterator[tuple[list[bytes], list[int]]]:
 
 def fit_rows(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality",
              max_rows: int = MAX_FIT_ROWS) -> DataFrame:
-    """label, buckets, counts: the features of at most ``max_rows`` labelled rows outside the held-out fifth.
+    """y, features (packed), n: the different ones of at most ``max_rows`` labelled rows outside the held-out fifth, n of each.
 
     Ids are taken in the order of a hash, so the sample doesn't depend on how the tables are laid out. Labels other than 0 and 1
     and null ids are left out; of several labels of an id the largest counts. Each id gives one row, and as long as rows are
@@ -103,12 +106,21 @@ def fit_rows(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
                 for i in np.unique(owner):
                     found[i].append(bucket[owner == i])
             pairs = [np.unique(np.concatenate(x) if x else np.zeros(0, np.int64), return_counts=True) for x in found]
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array([p[0].astype(np.int32) for p in pairs], pa.list_(pa.int32())),
-                 pa.array([p[1].astype(np.int32) for p in pairs], pa.list_(pa.int32())), b.column(2)], ["y", "buckets", "counts", "n"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([packed(*p) for p in pairs], pa.binary()), b.column(2)], ["y", "features", "n"])
 
-    found = texts.mapInArrow(run, "y int, buckets array<int>, counts array<int>, n bigint")
-    return expand_copies(found, "n", "i", max_rows).select("y", "buckets", "counts")
+    return texts.mapInArrow(run, "y int, features binary, n bigint")
+
+
+def packed(buckets: np.ndarray, counts: np.ndarray) -> bytes:
+    """Ascending buckets and their counts in a byte or two each."""
+    return zlib.compress(np.concatenate([np.diff(buckets, prepend=0), counts]).astype("<u4").tobytes(), 1)
+
+
+def unpacked(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """The buckets, and the share of each in the text."""
+    flat = np.frombuffer(zlib.decompress(data), "<u4")
+    count = flat[len(flat) // 2:]
+    return np.cumsum(flat[:len(flat) // 2], dtype=np.int64), (count / max(1, int(count.sum()))).astype(np.float32)
 
 
 def held_out(doc_id: Column) -> Column:
@@ -125,16 +137,16 @@ class Model:
         self.output = np.zeros((2, DIM), np.float32)
         self.bias = np.zeros(2, np.float32)
 
-    def fit(self, rows: list[tuple[int, np.ndarray, np.ndarray]], epochs: int = EPOCHS, rate: float = RATE) -> Model:
-        """rows: (label, buckets, shares). One row at a time, in a new order each epoch, with a step that falls to zero."""
+    def fit(self, rows: list[tuple[int, bytes]], epochs: int = EPOCHS, rate: float = RATE) -> Model:
+        """rows: (label, packed features). One row at a time, in a new order each epoch, with a step that falls to zero."""
         if not rows:
             return self
-        share = np.clip(np.mean([y for y, _, _ in rows]), 0.01, 0.99)
+        share = np.clip(np.mean([y for y, _ in rows]), 0.01, 0.99)
         self.bias[:] = np.log([1 - share, share])
         done, total = 0, epochs * len(rows)
         for _ in range(epochs):
             for i in self.rng.permutation(len(rows)):
-                y, bucket, part = rows[i]
+                y, (bucket, part) = rows[i][0], unpacked(rows[i][1])
                 step = np.float32(rate * (1 - done / total))
                 done += 1
                 some = self.vectors[bucket]
@@ -159,13 +171,19 @@ class Model:
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality",
         max_rows: int = MAX_FIT_ROWS) -> tuple[np.ndarray, float]:
-    """The weights fitted on at most ``max_rows`` labelled rows (see ``fit_rows``); all zero without any."""
+    """The weights fitted on at most ``max_rows`` labelled rows (see ``fit_rows``) with ``MAX_FIT_BYTES`` of features; all zero without any."""
+    found = written(fit_rows(docs, labels, id_col, text_col, label_col, max_rows).select("*", F.sha1("features").alias("hash")), "fit-features")
+    sizes = sorted(found.groupBy("hash").agg(F.max(F.length("features"))).collect())  # a row per text, max_rows at most
+    total = np.cumsum([n for _, n in sizes])
+    kept = sizes[:max(1, int(np.searchsorted(total, MAX_FIT_BYTES, "right")))]
+    if len(kept) < len(sizes):
+        found = found.filter(F.col("hash") <= kept[-1][0])
     rows = []
-    for b in fit_rows(docs, labels, id_col, text_col, label_col, max_rows).toArrow().to_batches():
-        for y, bucket, count in zip(b.column(0).to_pylist(), b.column(1), b.column(2), strict=True):
-            bucket, count = bucket.values.to_numpy(zero_copy_only=False), count.values.to_numpy(zero_copy_only=False)
-            rows.append((y, bucket, (count / max(1, count.sum())).astype(np.float32)))
-    rows.sort(key=lambda r: (r[0], r[1].tobytes(), r[2].tobytes()))  # the fit goes by their order, which isn't the tables'
+    for b in found.select("y", "features", "n").toArrow().to_batches():
+        for y, data, n in zip(*(b.column(i).to_pylist() for i in range(3)), strict=True):
+            rows += [(y, data)] * n
+    pa.default_memory_pool().release_unused()
+    rows.sort()  # the fit goes by their order, which isn't the tables'
     return Model().fit(rows).weights()
 
 

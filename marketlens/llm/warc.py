@@ -24,7 +24,10 @@ PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 DATE = "2000-01-01T00:00:00Z"
 _VERSION = re.compile(rb"WARC/1\.[01]\r\n")
 _MEMBER = b"\x1f\x8b\x08"
-_READ = 1 << 20
+_STARTS = (re.compile(re.escape(_MEMBER)), _VERSION)
+_READ, _CHUNK = 1 << 20, 1 << 14
+#: A longer head is taken for damage; so is a member that inflates to more.
+HEAD_BYTES, MEMBER_BYTES = 1 << 16, 1 << 29
 
 
 @dataclass
@@ -105,6 +108,8 @@ class _Window:
 
     def __init__(self, read: Callable[[int, int], bytes], size: int) -> None:
         self.read, self.size, self.start, self.data = read, size, 0, b""
+        self.blank, self.seen = -1, 0
+        self.hits: dict[int, int] = {}
 
     def at(self, offset: int, length: int) -> bytes:
         if offset < self.start or offset + length > self.start + len(self.data):
@@ -114,28 +119,49 @@ class _Window:
             self.start = offset
         return self.data[offset - self.start:offset - self.start + length]
 
-    def find(self, test: Callable[[bytes, int], int], offset: int) -> int:
-        """Place of the next match from ``offset`` on, or the file's size. ``test`` looks in bytes from a place on and gives -1 for none."""
-        while offset < self.size:
-            data = self.at(offset, _READ)
-            hit = test(data, 0)
-            if hit >= 0:
-                return offset + hit
-            if offset + len(data) >= self.size:
-                break
-            offset += len(data) - 16
-        return self.size
+    def head_end(self, offset: int) -> int:
+        """Place of the next blank line from ``offset`` on, or -1 if it is further than a head is long. No byte is searched twice."""
+        if self.blank < offset:
+            at, end = max(offset, self.seen), min(self.size, offset + HEAD_BYTES)
+            while at < end and self.blank < offset:
+                data = self.at(at, min(4096, self.size - at))
+                hit = data.find(b"\r\n\r\n")
+                self.blank = at + hit if hit >= 0 else -1
+                at = at + hit if hit >= 0 else at + max(1, len(data) - 3)
+                self.seen = at
+        return self.blank if offset <= self.blank < offset + HEAD_BYTES else -1
+
+    def next(self, kind: int, offset: int) -> int:
+        """Place of the next match of ``_STARTS[kind]`` from ``offset`` on, or the file's size. No byte is searched twice."""
+        hit = self.hits.get(kind, -1)
+        while hit < offset:
+            at = max(hit + 1, offset)
+            while True:
+                data = self.at(at, min(_CHUNK, self.size - at))
+                m = _STARTS[kind].search(data)
+                if m:
+                    hit = at + m.start()
+                    break
+                if at + len(data) >= self.size:
+                    hit = self.size
+                    break
+                at += max(1, len(data) - 16)
+            self.hits[kind] = hit
+        return hit
 
 
 def _inflated(window: _Window, offset: int) -> tuple[bytes, int]:
     """The gzip member at a place and the place after it; ValueError if it is damaged."""
-    z, out, at = zlib.decompressobj(31), [], offset
+    z, out, at, total = zlib.decompressobj(31), [], offset, 0
     try:
         while not z.eof:
             part = window.at(at, 1 << 16)
             if not part:
                 raise ValueError("truncated member")
-            out.append(z.decompress(part))
+            out.append(z.decompress(part, MEMBER_BYTES - total + 1))
+            total += len(out[-1])
+            if total > MEMBER_BYTES:
+                raise ValueError("member inflates to too much")
             at += len(part)
     except zlib.error as e:
         raise ValueError(f"damaged member: {e}") from None
@@ -152,33 +178,24 @@ def _is_member(window: _Window, offset: int) -> bool:
 
 def _plain(window: _Window, offset: int) -> tuple[bytes, int]:
     """The uncompressed record at a place and the place after it."""
-    need = 1 << 12
-    while True:
-        data = window.at(offset, need)
-        end = data.find(b"\r\n\r\n")
-        if end >= 0:
-            break
-        if len(data) < need or need > 1 << 22:
-            raise ValueError("head without end")
-        need *= 4
-    m = re.search(rb"(?i)\r\ncontent-length:\s*(\d+)\s*(?=\r\n)", data[:end + 2])
+    end = window.head_end(offset)
+    if end < 0:
+        raise ValueError("head without end")
+    m = re.search(rb"(?i)\r\ncontent-length:[ \t]*(\d{1,18})[ \t]*(?=\r\n)", window.at(offset, end + 2 - offset))
     if not m:
         raise ValueError("no content length")
-    total = end + 8 + int(m[1])
+    total = end - offset + 8 + int(m[1])
     if offset + total > window.size:
         raise ValueError("truncated block")
+    if window.read(offset + total - 4, 4) != b"\r\n\r\n":  # before the block itself is read and hashed
+        raise ValueError("block isn't followed by the record's end")
     return window.at(offset, total), offset + total
 
 
 def _next_start(window: _Window, offset: int) -> int:
     """Where the next member or version line from ``offset`` on begins that can be a record."""
-    def either(data: bytes, at: int) -> int:
-        a, m = data.find(_MEMBER, at), _VERSION.search(data, at)
-        hits = [x for x in (a, m.start() if m else -1) if x >= 0]
-        return min(hits, default=-1)
-
     while True:
-        at = window.find(either, offset)
+        at = min(window.next(0, offset), window.next(1, offset))
         if at >= window.size or window.at(at, 3) != _MEMBER or _is_member(window, at):
             return at
         offset = at + 1
@@ -189,7 +206,8 @@ def salvage(read: Callable[[int, int], bytes], size: int) -> Iterator[Record | G
 
     A record counts if its version line, head, length, end and block digest are right. After a failed check the reader looks
     for the next member that begins with a version line, or the next version line, and goes on there; what it passed over is a
-    gap with the check's reason. Memory is bounded by the largest record.
+    gap with the check's reason. A member may hold several records: they are read as plain ones, each with the member's
+    offset, the first with its length. Memory is bounded by the largest record or member (``MEMBER_BYTES`` inflated at most).
     """
     window, at = _Window(read, size), 0
     while at < size:
@@ -197,11 +215,20 @@ def salvage(read: Callable[[int, int], bytes], size: int) -> Iterator[Record | G
             lead = window.at(at, 3)
             if lead == _MEMBER:
                 data, end = _inflated(window, at)
+                try:
+                    found: list[Record | Gap] = [_parse(data, at, end - at)]
+                except ValueError as e:
+                    found = list(salvage(lambda a, n: data[a:a + n], len(data))) if _VERSION.match(data) else []  # noqa: B023
+                    if not any(isinstance(x, Record) for x in found):
+                        found = [Gap(at, end - at, str(e))]
+                for i, x in enumerate(found):
+                    x.offset, x.length = at, 0 if i else end - at
+                yield from found
             elif _VERSION.match(window.at(at, 16)):
                 data, end = _plain(window, at)
+                yield _parse(data, at, end - at)
             else:
                 raise ValueError("neither a member nor a version line")
-            yield _parse(data, at, end - at)
             at = end
         except ValueError as e:
             to = _next_start(window, at + 1)
@@ -305,11 +332,26 @@ def round_trip(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
 
     A null html is an empty payload; a null url leaves the field out; rows with a null id are responses; rows with equal
     ids are records of their own, all of them responses if their id is the largest of the copies'. An empty table gives an empty
-    result; other columns aren't read. Ids must be whole numbers.
+    result; other columns aren't read. Ids must be whole numbers. What the reader quarantines is logged in a table beside the archives
+    (``{folder}-gaps``); fewer records than were written raise.
+    """
+    folder = work_folder(pages.sparkSession, "warc")
+    manifest = write_archives(pages, folder, id_col, url_col, html_col)
+    return checked_read(manifest, f"{folder}-gaps").select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def checked_read(manifest: DataFrame, log: str) -> DataFrame:
+    """Records of the archives without their payloads; gaps (path, offset, length, gap) go to a table at ``log``.
+
+    Raises ValueError if fewer records are read than the manifest counts, so that damage never passes for absent pages.
     """
-    manifest = write_archives(pages, work_folder(pages.sparkSession, "warc"), id_col, url_col, html_col)
-    return read_archives(manifest, with_payload=False).filter("gap IS NULL").select(
-        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    read = written(read_archives(manifest, with_payload=False), "warc-read")
+    read.filter("gap IS NOT NULL").select("path", "offset", "length", "gap", "page_id").write.parquet(log)
+    good = read.filter("gap IS NULL")
+    n, want = good.count(), manifest.agg(F.sum("records")).first()[0] or 0
+    if n != want:
+        raise ValueError(f"{n} records read of {want} written; what was quarantined is in {log}")
+    return good
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

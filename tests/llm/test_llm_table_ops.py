@@ -3,6 +3,7 @@
 import hashlib
 import math
 import os
+import time
 import zlib
 
 import numpy as np
@@ -247,6 +248,40 @@ def test_damaged_archive_in_spark(spark):
     got = warc.read_archives(manifest).collect()
     assert 37 <= len([r for r in got if r.gap is None]) < 40 and [r for r in got if r.gap is not None]
     assert all(r.payload.decode() == f"page {r.page_id} " * 50 for r in got if r.gap is None)
+    log = work_folder(spark, "log")
+    with pytest.raises(ValueError, match="of 40 written"):
+        warc.checked_read(manifest, log)
+    logged = spark.read.parquet(log).collect()
+    assert logged and all(r.gap and r.length > 0 and r.path.endswith(".warc.gz") for r in logged)
+
+
+def test_salvage_reads_members_of_several_records():
+    payloads = [os.urandom(100 + i) for i in range(6)]
+    parts = [warc.record("response", f"urn:x-page:{i}", "u", p, len(p), hashlib.sha1(p).hexdigest()) for i, p in enumerate(payloads)]
+    bad = bytearray(parts[1])
+    bad[-20] ^= 1
+    data = warc.member(parts[0] + bytes(bad) + parts[2]) + warc.member(parts[3]) + warc.member(b"WARC/1.1\r\nno head") + warc.member(parts[4] + parts[5])
+    out = list(warc.salvage(lambda a, n: data[a:a + n], len(data)))
+    assert [x.http[1] for x in out if isinstance(x, warc.Record)] == [payloads[i] for i in (0, 2, 3, 4, 5)]
+    assert sum(x.length for x in out) == len(data) and sum(isinstance(x, warc.Gap) for x in out) == 2
+
+
+def test_salvage_of_damage_takes_time_in_proportion():
+    head = b"WARC/1.1\r\nContent-Length: 3000000\r\n\r\n"
+    good = warc.record("response", "urn:x-page:1", "u", b"payload", 7, hashlib.sha1(b"payload").hexdigest())
+    for junk in (b"WARC/1.1\r\n" * 400_000, head * 100_000, b"\x1f\x8b\x08" * 300_000, b"WARC/1.1\r\nx" * 300_000, b"\r\n" * 1_000_000):
+        data, began = junk + good, time.process_time()
+        out = list(warc.salvage(lambda a, n: data[a:a + n], len(data)))  # noqa: B023
+        assert [x.http[1] for x in out if isinstance(x, warc.Record)] == [b"payload"]
+        assert time.process_time() - began < 30
+
+
+def test_a_member_that_inflates_to_too_much_is_a_gap(monkeypatch):
+    monkeypatch.setattr(warc, "MEMBER_BYTES", 1 << 20)
+    good = warc.member(warc.record("response", "urn:x-page:1", "u", b"x", 1, hashlib.sha1(b"x").hexdigest()))
+    data = warc.member(b"WARC/1.1\r\n" + b"0" * (40 << 20)) + good
+    out = list(warc.salvage(lambda a, n: data[a:a + n], len(data)))
+    assert "inflates" in out[0].reason and isinstance(out[-1], warc.Record)
 
 
 VECTORS = "vec_id long, embedding array<float>, label int, rep int, v string, n int"

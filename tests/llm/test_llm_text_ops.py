@@ -295,7 +295,7 @@ def test_quality_on_held_out_rows(spark):
     out = quality.query(spark, sf).join(labels, "doc_id").filter("held_out").collect()
     assert len(out) > 50 and np.mean([r.predicted == r.quality for r in out]) >= 0.95
     assert all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.3) for r in out)
-    assert quality.fit_rows(docs, labels, max_rows=50).count() == 50
+    assert quality.fit_rows(docs, labels, max_rows=50).agg(F.sum("n")).first()[0] == 50
 
 
 def test_quality_is_fitted_on_bounded_rows(spark):
@@ -306,7 +306,7 @@ def test_quality_is_fitted_on_bounded_rows(spark):
     labels = spark.createDataFrame([(i, i % 2, 0) for i in ids], "doc_id long, quality int, toxic int")
     bucket = {t: sorted(set(quality.features([t.encode()])[0].tolist())) for _, t in rows}
     for most in (10, len(ids), len(ids) + 50, len(ids) + 400, 1000):
-        got = [r.buckets for r in quality.fit_rows(frame(spark, rows), labels, max_rows=most).collect()]
+        got = [quality.unpacked(r.features)[0].tolist() for r in quality.fit_rows(frame(spark, rows), labels, max_rows=most).collect() for _ in range(r.n)]
         assert len(got) == min(most, len(rows))
         of = {i: [bucket[t] for j, t in rows if j == i] for i in ids}
         assert sum(any(b in got for b in of[i]) for i in ids) == min(most, len(ids))
@@ -317,7 +317,19 @@ def test_quality_is_fitted_on_all_labels_of_sf01(spark):
     docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
     known = labels.filter(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull() & ~quality.held_out(F.col("doc_id")))
     usable = docs.join(known.select("doc_id").distinct(), "doc_id", "left_semi").count()
-    assert 2500 < quality.fit_rows(docs, labels).count() == usable
+    assert 2500 < quality.fit_rows(docs, labels).agg(F.sum("n")).first()[0] == usable
+
+
+def test_quality_is_fitted_on_bounded_bytes(spark, monkeypatch):
+    rows = [(i, " ".join(f"w{i}x{j}" for j in range(300))) for i in range(60)]
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(60)], "doc_id long, quality int, toxic int")
+    sizes = [len(r.features) for r in quality.fit_rows(frame(spark, rows), labels).collect()]
+    seen = []
+    monkeypatch.setattr(quality.Model, "fit", lambda self, rows: seen.append(rows) or self)
+    for most in (10 ** 9, 5 * max(sizes), 1):
+        monkeypatch.setattr(quality, "MAX_FIT_BYTES", most)
+        quality.fit(frame(spark, rows), labels)
+    assert [len(r) for r in seen][::2] == [len(sizes), 1] and 5 <= len(seen[1]) < len(sizes) and set(seen[2]) <= set(seen[1]) <= set(seen[0])
 
 
 def test_quality_edges(spark, texts):
