@@ -264,6 +264,29 @@ def test_deterministic_sample_split_groups_equal_single_piece(spark, smoke_dir):
     assert single.count() == max(1, round(o.count() * 0.02))
 
 
+def test_deterministic_sample_refines_only_large_boundary_bins(spark):
+    """One group of all rows, hot keys and copies: bins of at most a set size, and the sample that a plain sort gives."""
+    from marketlens.operators import dedupe
+    rows = ([("g", f"k{i}", i) for i in range(700)] + [("g", "hot", i) for i in range(900)] + [("g", "same", 1)] * 400 + [("h", None, i) for i in range(90)]
+            + [("h", "k", 1)])
+    df = spark.createDataFrame(rows, "grp string, order_id string, v int")
+    sizes, real = [], dedupe._finer
+    try:
+        dedupe._finer = lambda x, edge, g, bins: [sizes.append(edge.count()), real(x, edge, g, bins)][1]
+        for group, rate in ((["grp"], 0.3), (["grp"], 0.62), ([], 0.5), ([], 0.9)):
+            got = sorted(map(str, deterministic_sample(df, "order_id", rate, 42, group, bins=8, bin_rows=16).collect()))
+            ordered = df.select("*", F.coalesce(F.md5(F.concat("order_id", F.lit("42"))), F.lit("0")).alias("h"), F.xxhash64("grp", "order_id", "v").alias("t")
+                                ).orderBy("h", "t").collect()
+            want = []
+            for name in {r.grp for r in ordered} if group else {None}:
+                mine = [r for r in ordered if name is None or r.grp == name]
+                want += mine[:max(1, round(len(mine) * rate))]
+            assert got == sorted(str(r)[:str(r).index(", h=")] + ")" for r in want), (group, rate)
+    finally:
+        dedupe._finer = real
+    assert len(sizes) > 8 and max(sizes) <= 2
+
+
 def test_expected_volume_local_calendar_option(spark):
     # us-east, Sunday 2025-06-01 03:00 UTC is Saturday 22:00 local: weekday 1.10 (UTC) vs 1.20 (local)
     hours = spark.createDataFrame([("us-east", T(2025, 6, 1, 3))], "region string, hour_ts timestamp_ntz")
