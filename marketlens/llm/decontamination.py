@@ -15,6 +15,8 @@ from .text import gram_hashes, in_blocks, span_hashes, word_spans
 WINDOW_WORDS, SHINGLE_WORDS = 10, 5
 #: Bits of the filter that tells document shingles that no benchmark item has: 2 MB whatever the tables' size.
 FILTER_BITS = 24
+PIECE_HITS = 2048
+NAMES = ["doc_id", "row", "part", "n_words", "hits"]
 _WORD_BYTE = np.array([48 <= b <= 57 or 97 <= b <= 122 or b >= 128 for b in range(256)])
 
 
@@ -102,9 +104,10 @@ def _frequencies(docs: DataFrame, text_col: str, lengths: list[int], flags: byte
 
 
 def _found(docs: DataFrame, id_col: str, text_col: str, lengths: list[int], flags: bytes, window: int) -> DataFrame:
-    """Each document's doc_id, row, n_words and hits: the shingles that pass the filter, with the words around them.
+    """doc_id, row, part, n_words and hits: the shingles that pass the filter, with the words around them.
 
-    A hit has its hash, its position, and ``window - 1`` words before it and after it, so that a window can be
+    Part 0 of a row has its n_words; hits come in further parts of ``PIECE_HITS`` at most, so that a text made of items is no single
+    row. A hit has its hash, its position, and ``window - 1`` words before it and after it, so that a window can be
     verified without the text.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -113,7 +116,17 @@ def _found(docs: DataFrame, id_col: str, text_col: str, lengths: list[int], flag
         for b in slices(batches):
             texts = [_lower(t) for t in b.column(2).to_pylist()]
             n_words = np.zeros(len(texts), np.int64)
-            hits: list[list] = [[] for _ in texts]
+            hits: dict[int, list] = {}
+            held = 0
+
+            def pieces() -> pa.RecordBatch:
+                of = list(hits)
+                out = pa.RecordBatch.from_arrays(
+                    [b.column(0).take(pa.array(of, pa.int64())), b.column(1).take(pa.array(of, pa.int64())), pa.array([1] * len(of), pa.int32()),  # noqa: B023
+                     pa.array([None] * len(of), pa.int64()), pa.array([hits[i] for i in of], hit_type)], NAMES)  # noqa: B023
+                hits.clear()  # noqa: B023
+                return out
+
             for i, j in in_blocks(texts):
                 data, start, end, h, first = _words(texts[i:j])
                 n_words[i:j] = np.diff(first)
@@ -124,19 +137,27 @@ def _found(docs: DataFrame, id_col: str, text_col: str, lengths: list[int], flag
                     for p, d in zip(hit, np.searchsorted(first, hit, "right") - 1, strict=True):
                         if p + k <= first[d + 1]:
                             lo, hi = max(first[d], p - window + 1), min(first[d + 1], p + k + window - 1)
-                            hits[i + d].append({"h": int(g[p:p + 1].view(np.int64)[0]), "k": k, "at": int(p - first[d]), "before": int(p - lo),
-                                                "words": [raw[s:e].decode("utf-8", "surrogatepass") for s, e in zip(start[lo:hi], end[lo:hi], strict=True)]})
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(n_words), pa.array(hits, hit_type)], ["doc_id", "row", "n_words", "hits"])
+                            hits.setdefault(int(i + d), []).append({
+                                "h": int(g[p:p + 1].view(np.int64)[0]), "k": k, "at": int(p - first[d]), "before": int(p - lo),
+                                "words": [raw[s:e].decode("utf-8", "surrogatepass") for s, e in zip(start[lo:hi], end[lo:hi], strict=True)]})
+                            held += 1
+                            if held == PIECE_HITS:
+                                yield pieces()
+                                held = 0
+            if hits:
+                yield pieces()
+            none = pa.array([[]] * len(texts), hit_type)
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([0] * len(texts), pa.int32()), pa.array(n_words), none], NAMES)
 
     kind = docs.schema[id_col].dataType.simpleString()
     return docs.select(F.col(id_col), F.monotonically_increasing_id().alias(free_name(docs, "row")), text_col).mapInArrow(
-        run, f"doc_id {kind}, row bigint, n_words bigint, hits array<struct<h bigint, k int, at bigint, before int, words array<string>>>")
+        run, f"doc_id {kind}, row bigint, part int, n_words bigint, hits array<struct<h bigint, k int, at bigint, before int, words array<string>>>")
 
 
 def occurrences(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_id_col: str = "item_id",
-                item_text_col: str = "text", window: int = WINDOW_WORDS, shingle: int = SHINGLE_WORDS) -> tuple[DataFrame, DataFrame]:
-    """(documents, occurrences): doc_id, row, n_words of each row of ``docs``; row, item_id, start, n of each occurrence
-    of an item's window in it.
+                item_text_col: str = "text", window: int = WINDOW_WORDS, shingle: int = SHINGLE_WORDS) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(documents, occurrences, windows): doc_id, row, n_words of each row of ``docs``; row, window, start, n of each occurrence
+    of a window in it; window, item_id of the items that each window comes from.
 
     A window counts as a set of its shingles that a document must contain whole, so one shingle is a necessary prefix.
     Shingles are ordered by how often they occur in all documents, and each window's rarest is its prefix; documents'
@@ -157,13 +178,13 @@ def occurrences(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_
     rarest = written(rarest.filter(F.col("seen") == F.col("len") - F.col("k") + 1).select(
         "window", "len", "k", "p.h", "p.offset"), "prefixes")
     found = written(_found(docs, id_col, text_col, lengths, _filter(rarest), window), "shingle-hits")
-    hits = found.select("row", "n_words", F.explode("hits").alias("x")).select(
-        "row", "n_words", "x.h", "x.k", "x.at", "x.before", "x.words")
+    hits = found.select("row", F.explode("hits").alias("x")).select("row", "x.h", "x.k", "x.at", "x.before", "x.words")
     start = F.col("at") - F.col("offset")
-    inside = (start >= 0) & (start + F.col("len") <= F.col("n_words")) & (F.col("before") >= F.col("offset"))
+    # the words around a hit reach as far as the window, or to the text's end
+    inside = (start >= 0) & (F.col("before") >= F.col("offset")) & (F.col("before") - F.col("offset") + F.col("len") <= F.size("words"))
     same = F.concat_ws(" ", F.slice("words", F.col("before") - F.col("offset") + 1, F.col("len"))) == F.col("window")
     met = hits.join(rarest, ["h", "k"]).filter(inside).filter(same).select("row", "window", start.alias("start"), F.col("len").alias("n"))
-    return found.select("doc_id", "row", "n_words"), met.join(windows.select("item_id", "window"), "window").select("row", "item_id", "start", "n")
+    return found.filter("part = 0").select("doc_id", "row", "n_words"), met, windows.select("window", "item_id")
 
 
 def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_id_col: str = "item_id",
@@ -175,13 +196,15 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
     kept apart; a null id is returned as null. Items with a null id count as the id ``null``. Without items nothing
     is hit; an empty table gives an empty result; other columns aren't read.
     """
-    found, at = occurrences(docs, items, id_col, text_col, item_id_col, item_text_col, window, shingle)
+    found, at, windows = occurrences(docs, items, id_col, text_col, item_id_col, item_text_col, window, shingle)
     at = written(at, "occurrences")
     spans = at.select("row", "start", (F.col("start") + F.col("n")).alias("end")).groupBy("row", "start").agg(F.max("end").alias("end"))
     upto = F.max("end").over(Window.partitionBy("row").orderBy("start").rowsBetween(Window.unboundedPreceding, -1))
     new = F.greatest(F.lit(0), F.col("end") - F.greatest("start", F.coalesce(upto, F.lit(0))))
     covered = spans.withColumn("new", new).groupBy("row").agg(F.sum("new").alias("n_hit"))
-    listed = at.select("row", F.coalesce(F.col("item_id").cast("string"), F.lit("null")).alias("item")).distinct().groupBy("row").agg(
+    # a window that occurs again in a document, or comes from many items, meets them once
+    items_of = at.select("row", "window").distinct().join(windows, "window")
+    listed = items_of.select("row", F.coalesce(F.col("item_id").cast("string"), F.lit("null")).alias("item")).distinct().groupBy("row").agg(
         F.sort_array(F.collect_list("item")).alias("items"))
     out = found.join(covered, "row", "left").join(listed, "row", "left")
     items_ = F.coalesce("items", F.array().cast("array<string>"))

@@ -38,6 +38,11 @@ def _unit(x: np.ndarray) -> np.ndarray:
     return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
 
 
+def _scaled(x: np.ndarray) -> np.ndarray:
+    """Rows by a power of two, so that no square over- or underflows and no digit changes."""
+    return np.ldexp(x, -np.frexp(np.abs(x).max(axis=1, initial=0))[1][:, None])
+
+
 def rotations(classes: DataFrame) -> dict[int, np.ndarray]:
     """For each length of vector, its principal axes as columns, in order of falling variance.
 
@@ -68,6 +73,7 @@ def matches(a: np.ndarray, b: np.ndarray, axes: np.ndarray, threshold: float, sa
     Products are summed over the leading principal axes first. What the other axes can add is at most the product of the
     norms there (Cauchy-Schwarz), so a pair is given up as soon as sum and bound stay below the threshold.
     """
+    a, b = _scaled(a), _scaled(b)
     ra, rb = _unit(a) @ axes, _unit(b) @ axes
     na, nb = np.sqrt((a * a).sum(axis=1)), np.sqrt((b * b).sum(axis=1))
     suffix = lambda r, p: np.sqrt(np.maximum(0, (r[:, p:] * r[:, p:]).sum(axis=1)))

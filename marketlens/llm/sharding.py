@@ -7,7 +7,7 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import expand_copies, id_key, uniform52, written
+from .common import expand_copies, free_name, id_key, uniform52, written
 
 #: shard -> weight below rack below region
 Tree = dict[str, dict[str, dict[int, float]]]
@@ -77,20 +77,27 @@ def numbered(df: DataFrame, group: str, order: list[str], rows_per_bucket: int =
     up. Equal rows are folded to a count first, so no group of copies meets in one task.
     """
     cols = df.columns
-    folded = written(df.groupBy(*cols).agg(F.count("*").alias("copies__")), "numbered")
-    rows, most, groups = folded.agg(F.sum("copies__"), F.max("copies__"), F.approx_count_distinct(group)).first()
+    copies, bucket, rows_, start, ahead, i = (free_name(df, x) for x in ("copies", "bucket", "rows", "start", "ahead", "i"))
+    folded = written(df.groupBy(*cols).agg(F.count("*").alias(copies)), "numbered")
+    rows, most, groups = folded.agg(F.sum(copies), F.max(copies), F.approx_count_distinct(group)).first()
     rows, most, groups = rows or 0, most or 0, max(1, groups)
     bits = max(4, min(40, math.ceil(math.log2(max(1.0, rows / groups / rows_per_bucket)))))
-    cut = folded.withColumn("bucket__", F.shiftright(order[0], 52 - bits))
-    sizes = cut.groupBy(group, "bucket__").agg(F.sum("copies__").alias("rows__"))
-    before = Window.partitionBy(group).orderBy("bucket__").rowsBetween(Window.unboundedPreceding, -1)
-    starts = written(sizes.select(group, "bucket__", F.coalesce(F.sum("rows__").over(before), F.lit(0)).alias("start__")), "starts")
-    inside = Window.partitionBy(group, "bucket__").orderBy(*order, *[c for c in cols if c not in order]).rowsBetween(
+    cut = folded.withColumn(bucket, F.shiftright(order[0], 52 - bits))
+    sizes = cut.groupBy(group, bucket).agg(F.sum(copies).alias(rows_))
+    before = Window.partitionBy(group).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
+    starts = written(sizes.select(group, bucket, F.coalesce(F.sum(rows_).over(before), F.lit(0)).alias(start)), "starts")
+    inside = Window.partitionBy(group, bucket).orderBy(*order, *[c for c in cols if c not in order]).rowsBetween(
         Window.unboundedPreceding, -1)
-    ranked = cut.withColumn("ahead__", F.coalesce(F.sum("copies__").over(inside), F.lit(0)))
-    ranked = ranked.join(starts, [group, "bucket__"])
-    out = expand_copies(ranked, "copies__", "i__", most)
-    return out.select(*cols, (F.col("start__") + F.col("ahead__") + F.col("i__")).cast("long").alias("slot"))
+    ranked = cut.withColumn(ahead, F.coalesce(F.sum(copies).over(inside), F.lit(0)))
+    ranked = ranked.join(starts, [group, bucket])
+    out = expand_copies(ranked, copies, i, most)
+    return out.select(*cols, (F.col(start) + F.col(ahead) + F.col(i)).cast("long").alias("slot"))
+
+
+def slot_place(seed: str, doc_id: Column, text: Column) -> Column:
+    """Where a row stands in its shard: a hash of id and text, so that the rows of a repeated or null id spread over all ranges."""
+    t = F.coalesce(text, F.lit(""))
+    return uniform52(seed, id_key(doc_id), "order", F.octet_length(t), F.crc32(F.encode(t, "UTF-8")))
 
 
 def shard_documents(docs: DataFrame, tree: Tree, grown: Tree | None = None, id_col: str = "doc_id",
@@ -98,7 +105,7 @@ def shard_documents(docs: DataFrame, tree: Tree, grown: Tree | None = None, id_c
     """Places every row of ``docs`` by the ``key`` law: doc_id, size, text_crc32, law, shard, slot, grown_shard.
 
     The id and the tree alone decide. size: UTF-8 bytes of the text plus 16 (a null text: 16, and the CRC-32 of
-    no bytes, 0). slot: gapless from 0 in each shard, in the order of a hash of the id. grown_shard: the place
+    no bytes, 0). slot: gapless from 0 in each shard, in the order of a hash of id and text. grown_shard: the place
     under the tree ``grown``, or null. A null id is a key of its own; rows with equal ids share a shard and get
     slots of their own; an empty table gives an empty result; other columns of ``docs`` aren't read.
     """
@@ -109,7 +116,7 @@ def shard_documents(docs: DataFrame, tree: Tree, grown: Tree | None = None, id_c
         F.crc32(F.encode(text, "UTF-8")).alias("text_crc32"),
         tree_shard(key, tree, seed).alias("shard"),
         (tree_shard(key, grown, seed) if grown else F.lit(None).cast("int")).alias("grown_shard"),
-        uniform52(seed, key, "order").alias("h"))
+        slot_place(seed, F.col(id_col), F.col(text_col)).alias("h"))
     out = numbered(placed, "shard", ["h", "doc_id", "size", "text_crc32"])
     return out.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
 
@@ -154,11 +161,11 @@ c AS (SELECT {_crc_table()} AS crc),
 p AS (
   SELECT doc_id, octet_length(b) + 16 AS size, k, CAST({_shard_sql(shard_tree(SHARDS))} AS INTEGER) AS shard,
          CAST({_shard_sql(shard_tree(SHARDS + 1))} AS INTEGER) AS grown_shard,
-         CAST('0x' || substr(md5('shard|' || k || '|order'), 1, 13) AS BIGINT) AS h,
          xor(list_reduce(list_transform(regexp_extract_all(hex(b), '..'), lambda x: CAST('0x' || x AS BIGINT)),
                          lambda a, x: xor(a >> 8, crc[CAST((xor(a, x) & 255) + 1 AS INTEGER)]), 4294967295), 4294967295) AS text_crc32
-  FROM t, c)
+  FROM t, c),
+q AS (SELECT *, CAST('0x' || substr(md5('shard|' || k || '|order|' || (size - 16) || '|' || text_crc32), 1, 13) AS BIGINT) AS h FROM p)
 SELECT doc_id, CAST(size AS BIGINT) AS size, CAST(text_crc32 AS BIGINT) AS text_crc32, 'key' AS law, shard,
        row_number() OVER (PARTITION BY shard ORDER BY h, doc_id NULLS FIRST, size, text_crc32) - 1 AS slot, grown_shard
-FROM p
+FROM q
 """

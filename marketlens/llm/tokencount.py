@@ -37,13 +37,22 @@ def whole_tokens(path: str) -> frozenset[str]:
     return frozenset(w for w, e in zip(names, tokenizer.encode_batch(names, add_special_tokens=False), strict=True) if e.ids == [words[w]])
 
 
+# The normalizer and pre-tokenizer, as the vocabulary's file states them, for which the word-by-word count holds.
+NORMALIZER = {"type": "Sequence", "normalizers": [
+    {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]}
+PRE_TOKENIZER = {"type": "Sequence", "pretokenizers": [
+    {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed", "invert": True},
+    {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]}
+
+
 class Counter:
     """Counts the tokens of a text as the library does, word by word.
 
     The tokenizer drops white space and no token crosses it, so a text's count is the sum over its words (runs without
     white space). A word that is one of the proven strings counts one; ASCII words are cut into pre-tokens, of which
     proven ones count one each; what is left is merged by the library, once for each distinct word while it is remembered.
-    Texts with separators on which Python and the tokenizer differ go to the library whole.
+    Texts with separators on which Python and the tokenizer differ go to the library whole, and so do all texts of a tokenizer that
+    normalizes or cuts in another way.
     """
 
     #: The tokenizer's own pre-token pattern, for ASCII words in lower case.
@@ -53,7 +62,9 @@ class Counter:
         from tokenizers import Tokenizer
         self.tokenizer, self.proven = Tokenizer.from_file(path), proven
         with open(path, encoding="utf-8") as f:
-            added = json.load(f).get("added_tokens", [])
+            spec = json.load(f)
+        added = spec.get("added_tokens", [])
+        self.by_word = spec.get("normalizer") == NORMALIZER and spec.get("pre_tokenizer") == PRE_TOKENIZER and bool(spec["model"].get("end_of_word_suffix"))
         self.special = [t["content"] for t in added]
         # a special token cuts a text before anything else, so it can stand between words that are merged in one call
         self.mark = next(((t["content"], t["id"]) for t in added if t["special"] and not t["lstrip"] and not t["rstrip"]), None)
@@ -100,6 +111,8 @@ class Counter:
         return [len(e.ids) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def count(self, text: str) -> int:
+        if not self.by_word:
+            return self.library([text])[0]
         total, at = 0, 0
         while at < len(text):  # a long text piece by piece, cut at a space or newline
             to = len(text) if len(text) - at <= PIECE else min((x for x in (text.find(" ", at + PIECE), text.find("\n", at + PIECE)) if x >= 0), default=len(text))

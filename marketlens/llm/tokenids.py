@@ -26,6 +26,8 @@ from .huffman import BLOCK, Decoder, Encoder, code_lengths
 END_ID = 2
 #: Ids of a file, and of what a task holds at a time.
 FILE_IDS, CHUNK_IDS = 8_000_000, 1 << 17
+#: Most files: beyond so many, files grow with the table, and the list of their borders that tasks get doesn't.
+MAX_FILES = 1 << 15
 MAGIC = b"HUF1"
 MEMORY = 500_000
 #: Where a text may be cut: before a single space between two characters that aren't white space.
@@ -272,12 +274,14 @@ def write_ids(tokens: DataFrame, folder: str, file_ids: int = FILE_IDS) -> DataF
     Returns the manifest, a written table: part (the files' order), path, docs, ids, first (ids of all files before it). Codes come from
     the counts of all ids. Ranges of (doc_id, row) become files, so a doc_id that repeats often spreads over several.
     """
+    kind = tokens.schema["doc_id"].dataType.simpleString()
+    if kind not in ("bigint", "int", "smallint", "tinyint"):
+        raise ValueError(f"document ids must be whole numbers, not {kind}")
     total = tokens.agg(F.sum("n")).first()[0] or 0
-    files = max(1, -(-total // file_ids))
+    files = min(MAX_FILES, max(1, -(-total // file_ids)))
     lengths = code_lengths(_counts(tokens))
     bounds = _bounds(tokens, files)
     head = _head(lengths)
-    kind = tokens.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out, now, index, size, done = None, None, [], 0, []
@@ -318,7 +322,6 @@ def write_ids(tokens: DataFrame, folder: str, file_ids: int = FILE_IDS) -> DataF
     rows = _encoded(tokens, lengths, bounds).repartitionById(files, F.col("part")).sortWithinPartitions("part", "doc_id", "row")
     manifest = written(rows.mapInArrow(run, "part int, path string, docs bigint, ids bigint"), "manifest")
     before = F.sum("ids").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
-    assert kind in ("bigint", "int", "smallint", "tinyint"), "document ids must be whole numbers"
     return manifest.withColumn("first", F.coalesce(before, F.lit(0)))
 
 

@@ -85,6 +85,16 @@ def test_a_changed_weight_moves_rows_only_to_its_subtree(spark):
         sharding.tree_shard(F.lit(1), {"r": {"k": {0: 0.0}}})
 
 
+def test_slots_of_a_repeated_id_are_cut_by_text_too(spark):
+    """Rows of one id and different texts don't share the place that their ranges are cut by."""
+    rows = [(None, f"text {i}", "s") for i in range(500)] + [(7, f"text {i % 50}", "s") for i in range(500)]
+    got = sharding.shard_documents(frame(spark, rows), sharding.shard_tree(4)).collect()
+    for s in range(4):
+        assert sorted(r.slot for r in got if r.shard == s) == list(range(sum(r.shard == s for r in got)))
+    place = frame(spark, rows).select(sharding.slot_place("shard", F.col("doc_id"), F.col("text")).alias("h")).distinct().count()
+    assert place == 550
+
+
 def test_numbering_over_many_buckets(spark):
     df = spark.range(3000).select((F.col("id") % 3).cast("int").alias("g"), (F.col("id") * 1_500_000_000_000).alias("h"))
     got = sharding.numbered(df, "g", ["h"], rows_per_bucket=10).collect()
@@ -327,6 +337,13 @@ def test_embeddings_equal_brute_force(spark, monkeypatch, tile):
     assert got == sorted(slow_links(rows), key=str)
 
 
+def test_embeddings_of_huge_and_tiny_components(spark):
+    rows = [(1, [1e170, 2e170], 0), (2, [1e-170, 2e-170], 0), (3, [1.0, 2.0], 0), (4, [2.0, -1.0], 0), (5, [5e-324, 1e-323], 0)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    assert sorted((r.vec_id, r.n_links, r.component_id) for r in embeddings.near_duplicates(df).collect()) == [
+        (1, 3, 1), (2, 3, 1), (3, 3, 1), (4, 0, 4), (5, 3, 1)]
+
+
 def test_embeddings_equal_sql_and_empty(spark, smoke_dir):
     res = compare(embeddings.query(spark, smoke_dir), duck_connect(smoke_dir), embeddings.SQL)
     assert res["ok"], res
