@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketlens.constants import CUSTOMER_TIERS, EVENT_TYPES, ORDER_STATUSES
@@ -53,16 +53,40 @@ def _counted(test_id, kind, model, column, df: DataFrame) -> DataFrame:
         F.lit(column).cast("string").alias("column_name"), "failures")
 
 
-def run_data_tests(source) -> DataFrame:
+#: Row conditions of model-level and singular tests that a single pass over the model counts: test id, kind, column, condition.
+ROW_TESTS = {"rpt_daily_kpis": [
+    ("gross_revenue_not_negative.rpt_daily_kpis", "model", "gross_revenue", "gross_revenue < 0"),
+    ("test_funnel_monotonicity", "singular", None, "clicks > impressions OR purchases > clicks")]}
+
+
+def write_metrics(model: str) -> list[Column]:
+    """What can be counted of a model while it is written: its null tests and row tests, named by test id."""
+    nulls = [F.count_if(F.col(c).isNull()).alias(f"not_null.{model}.{c}") for c in NOT_NULL_TESTS.get(model, [])]
+    return nulls + [F.count_if(F.expr(cond)).alias(test_id) for test_id, _, _, cond in ROW_TESTS.get(model, [])]
+
+
+def _known(spark: SparkSession, counted: Mapping[str, int]) -> DataFrame:
+    """Rows of the tests that were counted on the way."""
+    rows = [(f"not_null.{m}.{c}", "not_null", m, c) for m, cols in NOT_NULL_TESTS.items() for c in cols]
+    rows += [(test_id, kind, m, c) for m, tests in ROW_TESTS.items() for test_id, kind, c, _ in tests]
+    return spark.createDataFrame([(*r, int(counted[r[0]])) for r in rows if r[0] in counted],
+                                 "test_id string, kind string, model string, column_name string, failures bigint")
+
+
+def run_data_tests(source, counted: Mapping[str, int] | None = None) -> DataFrame:
     """One row per declared test: test_id, kind, model, column_name, failures, status.
 
     Failures count what each test returns: NULL rows (not_null), repeated
     values (unique), distinct values outside the list (accepted_values),
-    returned rows (model-level and singular tests).
+    returned rows (model-level and singular tests). ``counted``: failures by test id that were counted while the models were
+    written (:func:`write_metrics`); nothing is read again for these.
     """
-    ms = models_of(source)
-    parts = []
+    ms, counted = models_of(source), dict(counted or {})
+    parts = [_known(next(iter(ms.values())).sparkSession, counted)] if counted else []
     for model, cols in NOT_NULL_TESTS.items():
+        cols = [c for c in cols if f"not_null.{model}.{c}" not in counted]
+        if not cols:
+            continue
         nn = checks.not_null_counts(ms[model], cols, model)
         parts.append(nn.select(F.concat(F.lit("not_null."), F.lit(model), F.lit("."), F.col("column_name"))
                                .alias("test_id"), F.lit("not_null").alias("kind"), "model", "column_name",
@@ -72,14 +96,12 @@ def run_data_tests(source) -> DataFrame:
     for model, col, vals in ACCEPTED_TESTS:
         parts.append(_counted(f"accepted_values.{model}.{col}", "accepted_values", model, col,
                               checks.accepted_values(ms[model], col, vals, model)))
-    fo, foi, kpi = ms["fact_orders"], ms["fact_order_items"], ms["rpt_daily_kpis"]
+    fo, foi = ms["fact_orders"], ms["fact_order_items"]
     parts.append(_counted("revenue_reconciliation.fact_orders", "model", "fact_orders", "total_amount",
                           checks.total_reconcile(fo, "total_amount", ms["stg_orders"], "total_amount")
                           .filter(~F.col("passed"))))
-    parts.append(_counted("gross_revenue_not_negative.rpt_daily_kpis", "model", "rpt_daily_kpis", "gross_revenue",
-                          checks.not_negative(kpi, "gross_revenue")))
-    parts.append(_counted("test_funnel_monotonicity", "singular", "rpt_daily_kpis", None,
-                          checks.funnel_monotonicity(kpi)))
+    for model, tests in ROW_TESTS.items():
+        parts += [_counted(test_id, kind, model, col, ms[model].filter(cond)) for test_id, kind, col, cond in tests if test_id not in counted]
     parts.append(_counted("test_no_orphaned_orders", "singular", "fact_orders", None,
                           checks.orphans(fo.select("order_id"), foi, "order_id")))
     parts.append(_counted("test_revenue_reconciliation", "singular", "fact_orders", None,

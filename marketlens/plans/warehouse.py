@@ -9,10 +9,11 @@ history cannot fan out the order and item rows.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from functools import cached_property
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 from marketlens.operators.dedupe import latest_by_key
 from marketlens.plans import intermediate, marts, reporting, staging
@@ -168,12 +169,13 @@ MODEL_NAMES = ("stg_orders", "stg_order_items", "stg_customers", "stg_products",
 MART_TABLES = ("dim_customers", "dim_products", "fact_orders", "fact_order_items", "rpt_daily_kpis")
 
 
-def materialise(models: Models, base: str, tables=MART_TABLES) -> dict[str, DataFrame]:
+def materialise(models: Models, base: str, tables=MART_TABLES, observe: Mapping[str, tuple[Observation, list]] | None = None) -> dict[str, DataFrame]:
     """Rebuild mart and reporting tables as published tables under ``base``; returns DataFrames over the new versions.
 
     Each table changes in one step, and readers of the old version keep it (``sources.publish``). Only what ``tables`` asks for
     is built. Where both the order fact and the KPI table are asked for, the orders with their customer, which feed both, are
-    written once to a folder of the run's own, removed at the end; later tables read the written ones they need.
+    written once to a folder of the run's own, removed at the end; later tables read the written ones they need. ``observe`` has
+    metrics to take of a table's rows while they are written.
     """
     spark = models.raw.orders.sparkSession
     base = base.rstrip("/")
@@ -186,7 +188,7 @@ def materialise(models: Models, base: str, tables=MART_TABLES) -> dict[str, Data
     out = {}
     for name in tables:
         table = PublishedTable(spark, f"{base}/{name}")
-        table.publish(getattr(m, name))
+        table.publish(getattr(m, name), observe=(observe or {}).get(name))
         out[name] = m.__dict__[name] = table.read()
     if shared:
         p, fs = _fs_path(spark, shared)
@@ -207,14 +209,16 @@ def register_views(models: Models, names=MODEL_NAMES, prefix: str = "") -> list[
 
 
 def build_and_test(models: Models, base: str) -> tuple[dict[str, DataFrame], DataFrame]:
-    """Materialise the marts and KPI table, then run the declared tests against the written tables.
+    """Publish the marts and KPI table, then run the declared tests against the new versions.
 
-    The tests read the written tables (and the lazily evaluated staging
-    models), so each mart is computed once for both the build and the tests.
+    Null tests and row tests of the written tables are counted while they are written. The others read the written tables, the
+    columns they need, and the lazily evaluated staging models, so each mart is computed once for both the build and the tests.
     """
-    from marketlens.plans.data_tests import run_data_tests
+    from marketlens.plans.data_tests import run_data_tests, write_metrics
 
-    tables = materialise(models, base)
+    observe = {name: (Observation(f"tests_{name}"), write_metrics(name)) for name in MART_TABLES}
+    tables = materialise(models, base, observe=observe)
+    counted = {test: n for obs, _ in observe.values() for test, n in obs.get.items()}
     tested = {m: getattr(models, m) for m in ("stg_customers", "stg_orders", "stg_products", "stg_marketing_events")}
     tested.update(tables)
-    return tables, run_data_tests(tested)
+    return tables, run_data_tests(tested, counted)

@@ -26,7 +26,7 @@ from marketlens.operators.windows import rolling_avg, with_share_of_group
 from marketlens.plans.intermediate import marketing_daily_agg, orders_daily_agg
 from marketlens.plans.reporting import order_mix_daily
 from marketlens.plans.data_tests import ACCEPTED_TESTS, NOT_NULL_TESTS, UNIQUE_TESTS, models_of, run_data_tests
-from marketlens.plans.warehouse import Models, materialise, register_views
+from marketlens.plans.warehouse import Models, build_and_test, materialise, register_views
 from marketlens.schemas import LANDING
 from marketlens.session import apply_defaults, shared_path, unique_path
 from marketlens.sources import adapter
@@ -589,6 +589,12 @@ def q_data_tests(spark, sf_dir):
     return run_data_tests(_models(spark, sf_dir))
 
 
+@query("tests_while_writing")
+def q_tests_while_writing(spark, sf_dir):
+    """H1-H8 while the marts are published: the same report as ``data_tests``, null and row tests of marts counted during the write."""
+    return build_and_test(_models(spark, sf_dir), unique_path(spark, "marts"))[1]
+
+
 def _batches(spark, sf_dir):
     """Region, date and hour of the landed rows, from the files' paths."""
     return read_landing(spark, ensure_landing(spark, sf_dir), "orders").select("region", "date", "hour")

@@ -720,6 +720,7 @@ def build() -> dict[str, str]:
                CAST(actual_orders AS DOUBLE) / expected_orders - 1 AS deviation
         FROM (SELECT *, expected_orders * CAST(0.85 AS DOUBLE) AS lower_bound,
                      expected_orders * CAST(1.15 AS DOUBLE) AS upper_bound FROM hour_volume)""", _CAL_CTES)
+    s["tests_while_writing"] = s["data_tests"]
     s["streaming_ingest"] = q(
         "order_id, customer_id, region, created_at, status, currency, promo_code, total_amount:f, date, hour, "
         "_source_file",

@@ -97,6 +97,21 @@ def test_views_are_queried_by_name(spark, smoke_dir):
     assert df.count() > 1 and "o_comment" not in df._jdf.queryExecution().executedPlan().toString()
 
 
+def test_null_and_row_tests_are_counted_while_writing(spark, smoke_dir):
+    from marketlens.plans.data_tests import MODELS, NOT_NULL_TESTS, run_data_tests, write_metrics
+    from marketlens.plans.warehouse import MART_TABLES
+    one = spark.createDataFrame([(None, 5, 9, 1)], "report_date date, impressions int, clicks int, purchases int").withColumns(
+        {"region": F.lit("x"), "gross_revenue": F.lit(-1)})
+    counts = one.agg(*write_metrics("rpt_daily_kpis")).first().asDict()
+    assert counts == {"not_null.rpt_daily_kpis.report_date": 1, "not_null.rpt_daily_kpis.region": 0, "gross_revenue_not_negative.rpt_daily_kpis": 1,
+                      "test_funnel_monotonicity": 1}
+    m = Models.from_test_tables(spark, smoke_dir)
+    counted = {f"not_null.{t}.{c}": 7 for t in MART_TABLES for c in NOT_NULL_TESTS[t]} | {"test_funnel_monotonicity": 3, "gross_revenue_not_negative.rpt_daily_kpis": 0}
+    report = run_data_tests({name: getattr(m, name) for name in MODELS}, counted)
+    assert {r.test_id: r.failures for r in report.filter("failures IN (3, 7)").collect()}.items() >= {k: v for k, v in counted.items() if v}.items()
+    assert report.count() == 33
+
+
 # ---------------------------------------------------------------- re-landed files
 def land(base, region, date, hour, rows, entity="orders", **types):
     """A file as a foreign writer lands it, in the generator's layout."""
