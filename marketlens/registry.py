@@ -28,7 +28,7 @@ from marketlens.plans.reporting import order_mix_daily
 from marketlens.plans.data_tests import ACCEPTED_TESTS, NOT_NULL_TESTS, UNIQUE_TESTS, models_of, run_data_tests
 from marketlens.plans.warehouse import Models, build_and_test, materialise, register_views
 from marketlens.schemas import LANDING
-from marketlens.session import apply_defaults, shared_path, unique_path
+from marketlens.session import apply_defaults, at_once, shared_path, unique_path
 from marketlens.sources import adapter
 from marketlens.sources.footers import landing_manifest
 from marketlens.sources.ingest import append_audit, ingest_history, ingest_hour
@@ -282,10 +282,8 @@ def q_nanos(spark, sf_dir):
 @query("rpt_daily_kpis_from_landing")
 def q_kpis_from_landing(spark, sf_dir):
     """All five entities from landing files through the ingest and the models to the KPI table."""
-    for entity in adapter.RAW_ENTITIES:
-        base = ensure_landing(spark, sf_dir, entity)
     raw = unique_path(spark, "raw")
-    ingest_history(spark, base, raw)
+    at_once(spark, [lambda e=e: ingest_history(spark, ensure_landing(spark, sf_dir, e), raw, [e]) for e in adapter.RAW_ENTITIES])
     return Models(adapter.read_raw_tables(spark, raw), seed_regions(spark)).rpt_daily_kpis
 
 

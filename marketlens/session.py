@@ -5,7 +5,10 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import SparkSession
 
 # Defaults a cluster job should run with.
@@ -125,3 +128,13 @@ def unique_path(spark: SparkSession, *parts: str) -> str:
 def local_scratch() -> str:
     """Fresh private folder; for tests only, never for cluster jobs."""
     return tempfile.mkdtemp(prefix="marketlens-", dir=os.environ.get("TMPDIR", "/tmp"))
+
+
+def at_once(spark: SparkSession, jobs: Sequence[Callable[[], object]]) -> list:
+    """Run independent Spark jobs at the same time, so that one's last tasks and small stages don't leave the cluster idle.
+
+    Returns their results in order; the first one's error is raised after all have ended.
+    """
+    with ThreadPoolExecutor(max_workers=max(1, len(jobs))) as pool:
+        started = [pool.submit(inheritable_thread_target(spark)(job)) for job in jobs]
+    return [f.result() for f in started]

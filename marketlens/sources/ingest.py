@@ -8,9 +8,12 @@ second pass over the written data).
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from marketlens.session import at_once
 from marketlens.sources.adapter import RAW_ENTITIES
 from marketlens.sources.landing import read_foreign, read_foreign_hour, read_landing, with_audit
 from marketlens.sources.publish import PublishedTable
@@ -59,16 +62,19 @@ def append_audit(spark: SparkSession, path: str, audit: DataFrame, entity: str,
 
 
 def ingest_history(spark: SparkSession, landing_base: str, raw_base: str, entities=RAW_ENTITIES, foreign: bool = False) -> None:
-    """Backfill: every landed hour of each entity into the published table ``{raw_base}/{entity}``, one job per entity.
+    """Backfill: every landed hour of each entity into the published table ``{raw_base}/{entity}``, one job per entity, all at the same time.
 
     A batch's ``_loaded_at`` is the end of its landing hour, as the hourly job would have set it, so later loads of a
     customer or product stay later. Rerunning replaces the same (date, hour) partitions. ``foreign``: files whose types may
     differ from the declared ones and from file to file (:func:`read_foreign`).
     """
     loaded = F.concat_ws(" ", "date", F.concat("hour", F.lit(":00:00"))).cast("timestamp_ntz") + F.expr("INTERVAL 1 HOUR")
-    for entity in entities:
+
+    def ingest(entity: str) -> None:
         if foreign:
             landed = read_foreign(spark, landing_base, entity).withColumn("_loaded_at", loaded)
         else:
             landed = with_audit(read_landing(spark, landing_base, entity), loaded)
         PublishedTable(spark, f"{raw_base.rstrip('/')}/{entity}").publish(landed, HOUR)
+
+    at_once(spark, [partial(ingest, entity) for entity in entities])

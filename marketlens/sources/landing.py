@@ -138,10 +138,14 @@ def with_partition_columns(df: DataFrame, ts_col: str = "created_at") -> DataFra
 def cluster_for_write(df: DataFrame, partitions=PARTITION_COLUMNS) -> DataFrame:
     """Cluster rows by output partition without letting one partition become one task.
 
-    Range partitioning on (partition columns, row hash) keeps each output
-    partition's rows in few tasks (few files) while a partition holding a
-    large share of the rows is split across several tasks by the hash.
+    The rebalance hint keeps each output partition's rows in few tasks (few files); adaptive execution, which knows the
+    sizes from the shuffle itself, splits a partition holding a large share of the rows over several tasks and joins small
+    ones, so the rows are computed once, and rows that are read together stay together and compress well. Without adaptive
+    execution nothing would be split: then a range partitioning on (partition columns, row hash) does the same, at the price
+    of a pass that samples the rows.
     """
+    if df.sparkSession.conf.get("spark.sql.adaptive.enabled", "true").lower() == "true":
+        return df.hint("rebalance", *[F.col(f"`{c}`") for c in partitions])
     return df.repartitionByRange(*partitions, F.xxhash64(*[F.col(c) for c in df.columns]))
 
 

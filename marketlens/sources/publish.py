@@ -73,7 +73,7 @@ class PublishedTable:
         """
         attempt = uuid.uuid4().hex
         clustered = cluster_for_write(df, partitions) if partitions else df
-        if observe:  # above the range exchange: its boundary-sampling pass must not be counted
+        if observe:  # above the exchange: a boundary-sampling pass must not be counted
             clustered = clustered.observe(observe[0], *observe[1])
         clustered.withColumn(ATTEMPT, F.lit(attempt)).write.mode("append").partitionBy(*partitions, ATTEMPT).parquet(f"{self.path}/data")
         return attempt, self._folders(attempt, partitions)

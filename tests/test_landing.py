@@ -212,3 +212,70 @@ def test_streaming_backlog_in_several_bounded_batches(spark):
     q.awaitTermination()
     assert q.lastProgress is not None and int(q.lastProgress["batchId"]) >= 2  # 12 files, 4 per batch
     assert spark.read.schema(ingested_schema("orders")).parquet(f"{run}/t").count() == 36
+
+
+def test_rows_are_computed_once_for_a_clustered_write(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(x):
+        seen.add(1)
+        return x
+
+    df = spark.range(300, numPartitions=4).select(F.udf(count, "bigint")("id").alias("id"), (F.col("id") % 3).cast("string").alias("date"))
+    out = f"{local_scratch()}/t"
+    write_hour(df, out, ["date"])
+    assert seen.value == 300  # a range partitioning computes them a second time, to sample them
+    assert spark.read.parquet(out).groupBy("date").count().count() == 3
+
+
+def test_a_partition_with_most_rows_is_written_by_several_tasks(spark):
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    old = spark.conf.get(key, None)
+    spark.conf.set(key, "20k")
+    try:
+        out = f"{local_scratch()}/t"
+        write_hour(spark.range(0, 60000, numPartitions=8).select("id", F.lit("2024-01-01").alias("date")), out, ["date"])
+    finally:
+        spark.conf.set(key, old) if old else spark.conf.unset(key)
+    files = spark.read.parquet(out).select(F.input_file_name().alias("f"), "id")
+    assert files.select("f").distinct().count() > 1 and files.select("id").distinct().count() == 60000
+
+
+def test_without_adaptive_execution_a_write_is_range_partitioned(spark):
+    from marketlens.sources.landing import cluster_for_write
+    df = spark.range(10).select("id", F.lit("x").alias("date"))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        assert "rangepartitioning" in cluster_for_write(df, ["date"])._jdf.queryExecution().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert "rangepartitioning" not in cluster_for_write(df, ["date"])._jdf.queryExecution().toString()
+
+
+def test_large_landing_files_are_streamed_without_a_shuffle(spark):
+    from marketlens.streaming.ingest import small_files, stream_landing
+    base, run = local_scratch(), local_scratch()
+    write_hour(with_partition_columns(_orders(spark, REGIONS)), f"{base}/orders")
+    assert small_files(spark, base, "orders") and not small_files(spark, base, "orders", 1)
+    rows = []
+    for small, name in ((1 << 20, "a"), (1, "b")):
+        q = stream_landing(spark, base, "orders", f"{run}/{name}", f"{run}/ck{name}", small_file=small)
+        q.awaitTermination()
+        plan = q._jsq.explainInternal(False)
+        assert ("Exchange" in plan) == (name == "a"), plan
+        rows.append(sorted(spark.read.schema(ingested_schema("orders")).parquet(f"{run}/{name}").drop("_loaded_at").collect(), key=str))
+    assert rows[0] == rows[1] and len(rows[0]) == 18
+
+
+def test_jobs_at_once_keep_their_order_and_raise(spark):
+    import threading
+    from marketlens.session import at_once
+    gate = threading.Barrier(2, timeout=60)  # passes only if both run at the same time
+
+    def job(n):
+        gate.wait()
+        return spark.range(n).count()
+
+    assert at_once(spark, [lambda: job(3), lambda: job(5)]) == [3, 5] and at_once(spark, []) == []
+    with pytest.raises(ZeroDivisionError):
+        at_once(spark, [lambda: 1, lambda: 1 // 0])
