@@ -26,6 +26,9 @@ DEFAULT_CONF = {
 }
 
 
+#: Shuffled bytes (compressed) that adaptive execution gives a task where the session doesn't say.
+TASK_BYTES = "32m"
+
 # Settings for the large-cluster target (~100 TB input, ~1000 executors). Shuffle
 # width is set high and AQE coalesces small partitions at run time, so the same
 # job is efficient for a quiet hour and for a full-history rebuild; skew
@@ -81,7 +84,13 @@ def apply_defaults(spark: SparkSession) -> None:
     Many small landing files (one per region-hour) are listed by a Spark job
     with one task per path by default; two tasks per core list them with far
     less scheduling overhead and still scale with the cluster.
+
+    Rows take ten times the bytes in a task's sorts and hash tables that they take in a compressed shuffle, so adaptive
+    execution joins shuffle partitions up to :data:`TASK_BYTES` only, unless the session has a setting of its own.
     """
+    advisory = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    if spark.conf.get(advisory, None) is None:
+        spark.conf.set(advisory, TASK_BYTES)
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     spark.conf.set("spark.sql.sources.parallelPartitionDiscovery.parallelism",

@@ -135,3 +135,18 @@ def test_test_runs_write_nothing(spark, smoke_dir):
     for name in ("data_tests", "check_unique", "check_not_null"):
         p = plan(QUERIES[name](spark, smoke_dir), "simple")
         assert "Scan ExistingRDD" not in p.replace("Scan ExistingRDD[region", ""), name
+
+
+def test_shuffle_partitions_are_joined_to_a_task_s_size_unless_the_session_says(spark):
+    from marketlens.session import TASK_BYTES, apply_defaults
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    old = spark.conf.get(key, None)
+    try:
+        spark.conf.unset(key)
+        apply_defaults(spark)
+        assert spark.conf.get(key) == TASK_BYTES
+        spark.conf.set(key, "7m")
+        apply_defaults(spark)
+        assert spark.conf.get(key) == "7m"
+    finally:
+        spark.conf.set(key, old) if old else spark.conf.unset(key)
