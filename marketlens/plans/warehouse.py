@@ -10,16 +10,16 @@ history cannot fan out the order and item rows.
 from __future__ import annotations
 
 from collections.abc import Mapping
-from functools import cached_property
+from functools import cached_property, partial
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, SparkSession
 
 from marketlens.operators.dedupe import latest_by_key
 from marketlens.plans import intermediate, marts, reporting, staging
-from marketlens.session import unique_path
+from marketlens.session import at_once
 from marketlens.sources.adapter import RawTables, raw_tables
-from marketlens.sources.landing import _fs_path, seed_regions
+from marketlens.sources.landing import seed_regions
 from marketlens.sources.publish import PublishedTable
 
 
@@ -167,32 +167,47 @@ class Models:
 MODEL_NAMES = ("stg_orders", "stg_order_items", "stg_customers", "stg_products", "stg_marketing_events", "int_orders_enriched",
                "int_order_items_enriched", "int_regional_daily", "dim_customers", "dim_products", "fact_orders", "fact_order_items", "rpt_daily_kpis")
 MART_TABLES = ("dim_customers", "dim_products", "fact_orders", "fact_order_items", "rpt_daily_kpis")
+#: Marts that read no other mart, where dimensions are deduplicated.
+INDEPENDENT = frozenset({"dim_customers", "dim_products", "fact_orders", "fact_order_items"})
 
 
 def materialise(models: Models, base: str, tables=MART_TABLES, observe: Mapping[str, tuple[Observation, list]] | None = None) -> dict[str, DataFrame]:
     """Rebuild mart and reporting tables as published tables under ``base``; returns DataFrames over the new versions.
 
     Each table changes in one step, and readers of the old version keep it (``sources.publish``). Only what ``tables`` asks for
-    is built. Where both the order fact and the KPI table are asked for, the orders with their customer, which feed both, are
-    written once to a folder of the run's own, removed at the end; later tables read the written ones they need. ``observe`` has
-    metrics to take of a table's rows while they are written.
+    is built. Later tables read the written ones they need: the KPI table reads the order fact, which has a row for each enriched
+    order and all that the KPIs need of it. Marts that don't need one another are written at the same time. ``observe`` has metrics
+    to take of a table's rows while they are written.
     """
     spark = models.raw.orders.sparkSession
     base = base.rstrip("/")
     m = Models(models.raw, models.regions, models.dedupe_dimensions, models.reuse, models.reuse_models)
-    shared = None
-    if "fact_orders" in tables and "rpt_daily_kpis" in tables:
-        shared = unique_path(spark, "orders_with_customer")
-        models.orders_with_customer.write.parquet(shared)
-        m.__dict__["orders_with_customer"] = spark.read.parquet(shared)
-    out = {}
-    for name in tables:
+    out: dict[str, DataFrame] = {}
+
+    def rows(name: str) -> DataFrame:
+        if name == "rpt_daily_kpis" and "fact_orders" in out:
+            return reporting.rpt_daily_kpis_single_pass(out["fact_orders"].withColumnRenamed("tier", "customer_tier"),
+                                                        m.stg_marketing_events, m.regions)
+        return getattr(m, name)
+
+    def publish(name: str, df: DataFrame) -> DataFrame:
         table = PublishedTable(spark, f"{base}/{name}")
-        table.publish(getattr(m, name), observe=(observe or {}).get(name))
-        out[name] = m.__dict__[name] = table.read()
-    if shared:
-        p, fs = _fs_path(spark, shared)
-        fs.delete(p, True)
+        table.publish(df, observe=(observe or {}).get(name))
+        return table.read()
+
+    def together(name: str, before: list[str]) -> bool:
+        return models.dedupe_dimensions and bool(before) and {name, *before} <= INDEPENDENT
+
+    waves: list[list[str]] = []
+    for name in dict.fromkeys(tables):
+        if waves and together(name, waves[-1]):
+            waves[-1].append(name)
+        else:
+            waves.append([name])
+    for wave in waves:
+        written = at_once(spark, [partial(publish, name, rows(name)) for name in wave])
+        for name, df in zip(wave, written, strict=True):
+            out[name] = m.__dict__[name] = df
     return out
 
 

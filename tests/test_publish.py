@@ -112,6 +112,22 @@ def test_null_and_row_tests_are_counted_while_writing(spark, smoke_dir):
     assert report.count() == 33
 
 
+def test_the_kpi_table_is_built_from_the_written_order_fact(spark, smoke_dir, monkeypatch):
+    read, publish = {}, PublishedTable.publish
+
+    def spy(self, df, *args, **kw):
+        read[self.path.rsplit("/", 1)[1]] = df.inputFiles()
+        return publish(self, df, *args, **kw)
+
+    monkeypatch.setattr(PublishedTable, "publish", spy)
+    m = Models.from_test_tables(spark, smoke_dir)
+    out = materialise(m, local_scratch())
+    assert any("/fact_orders/" in f for f in read["rpt_daily_kpis"]) and not any("orders_with_customer" in f for x in read.values() for f in x)
+    assert table(out["rpt_daily_kpis"]) == table(m.rpt_daily_kpis)
+    loaded = Models.from_test_tables(spark, smoke_dir, dedupe_dimensions=False)
+    assert table(materialise(loaded, local_scratch(), ["fact_orders", "rpt_daily_kpis"])["rpt_daily_kpis"]) == table(loaded.rpt_daily_kpis)
+
+
 # ---------------------------------------------------------------- re-landed files
 def land(base, region, date, hour, rows, entity="orders", **types):
     """A file as a foreign writer lands it, in the generator's layout."""
