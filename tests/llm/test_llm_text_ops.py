@@ -164,6 +164,56 @@ def test_token_ids_of_texts_with_white_space_inside_pieces():
         assert got == [lib.encode(x, add_special_tokens=False).ids for x in each]
 
 
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_token_ids_of_odd_characters(name, monkeypatch):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+    path = public_tokenizers.path(name)
+    monkeypatch.setattr(tokenids, "MEMORY", 3000)
+    monkeypatch.setattr(tokenids, "SLICE_BYTES", 4000)
+    rng = np.random.default_rng(5)
+    bits = [*"  \n\n\t\r\x0b\x1c\x1f\x7f\x85\xa0\u1680\u2003\u2028\u3000.,'!-_19aebstZéÉ×÷ÿ́ЖΩ中😀", " the", "ing", "'s", "'ll", " \n", "end.\n", "<|endoftext|>"]
+    cases = ["".join(rng.choice(bits, n)) for n in rng.integers(0, 40, 4000)]
+    t, lib = tokenids.Tokenizer(path), Tokenizer.from_file(path)
+    got = [np.frombuffer(x, np.uint32).tolist() for x in t.ids(cases)]
+    assert got == [lib.encode(x, add_special_tokens=False).ids for x in cases]
+
+
+def test_token_ids_send_each_piece_to_the_library_once(monkeypatch):
+    import public_tokenizers
+    t = tokenids.Tokenizer(public_tokenizers.path("byte_bpe_50k.json"))
+    sent, words = [], t._words
+    monkeypatch.setattr(t, "_words", lambda pieces: sent.extend(pieces) or words(pieces))
+    texts = ["Reoush hewh, hewh. hewh!\nReoush\nhewh", "the hewh; (hewh)"]
+    first = t.ids(texts)
+    assert sorted(sent) == [" hewh", "Reoush", "hewh", "the"]
+    # beyond the memory's bound those at hand are kept
+    monkeypatch.setattr(tokenids, "MEMORY", 10)
+    sent.clear()
+    assert t.ids([texts[0] + " onan", texts[1] + " blein"])[0][:len(first[0])] == first[0] and sorted(sent) == [" blein", " onan"]
+    assert t.ids(texts) == first and sorted(sent) == [" blein", " onan"]
+    # few but long pieces are bounded by their bytes
+    monkeypatch.setattr(tokenids, "MEMORY", 1000)
+    monkeypatch.setattr(tokenids, "MEMORY_BYTES", 4000)
+    for i in range(5):
+        t.ids([f"{'xy' * 600}{chr(97 + i)}"])
+        assert t.pieces.nbytes < 4000
+
+
+def test_token_ids_of_texts_beyond_a_slice(spark):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    rows = [(1, "the"), (2, "Reoush hewh, and\n" * 520_000), (3, None), (4, "hewh " * 300_000), (5, "")]
+    assert len(rows[1][1]) > tokenids.SLICE_BYTES
+    lib = Tokenizer.from_file(path)
+    for end in (2, 70_000, None):  # the second doesn't fit into 16 bits
+        got = {r.doc_id: r for r in tokenids.token_ids(frame(spark, rows).coalesce(1), path, end_id=end).collect()}
+        for i, text in rows:
+            want = np.array(lib.encode(text or "", add_special_tokens=False).ids + ([] if end is None else [end]), np.uint32 if end == 70_000 else np.uint16)
+            assert (got[i].n, zlib.crc32(got[i].ids)) == (len(want), zlib.crc32(want.tobytes())), i
+
+
 @pytest.mark.parametrize("symbols", [0, 1, 2, 3, 700])
 def test_huffman_codes(symbols):
     from marketlens.llm.huffman import BLOCK, Decoder, Encoder, canonical_codes, code_lengths
