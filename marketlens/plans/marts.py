@@ -49,10 +49,12 @@ def fact_order_items(items: DataFrame, orders: DataFrame) -> DataFrame:
     """The item fact from ``intermediate.items_with_product``, which has the product's key already.
 
     ``orders`` are the order headers (order_id). As in the source model a header that landed n times gives each of its lines n
-    times: ``check_unique`` on the item key reports them.
+    times: ``check_unique`` on the item key reports them. Only the headers' ids are shuffled; their key is made after the join.
     """
-    o = orders.filter(F.col("order_id").isNotNull()).select("order_id", surrogate_key("order_id").alias("order_key"))
-    return items.join(o, "order_id", "left").select(surrogate_key("item_id").alias("item_key"), *FACT_ITEMS)
+    o = orders.filter(F.col("order_id").isNotNull()).select(F.col("order_id").alias("_header"))
+    key = F.when(F.col("_header").isNotNull(), surrogate_key("order_id"))
+    return items.join(o, F.col("order_id") == F.col("_header"), "left").withColumn("order_key", key).select(
+        surrogate_key("item_id").alias("item_key"), *FACT_ITEMS)
 
 
 def fact_order_items_as_loaded(items_enriched: DataFrame, orders: DataFrame, dim_prod: DataFrame) -> DataFrame:

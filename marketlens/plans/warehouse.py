@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 
 from marketlens.operators.dedupe import latest_by_key
 from marketlens.plans import intermediate, marts, reporting, staging
-from marketlens.session import at_once
+from marketlens.session import at_once, shuffles_removed
 from marketlens.sources.adapter import RawTables, raw_tables
 from marketlens.sources.landing import seed_regions
 from marketlens.sources.publish import PublishedTable
@@ -167,8 +167,9 @@ class Models:
 MODEL_NAMES = ("stg_orders", "stg_order_items", "stg_customers", "stg_products", "stg_marketing_events", "int_orders_enriched",
                "int_order_items_enriched", "int_regional_daily", "dim_customers", "dim_products", "fact_orders", "fact_order_items", "rpt_daily_kpis")
 MART_TABLES = ("dim_customers", "dim_products", "fact_orders", "fact_order_items", "rpt_daily_kpis")
-#: Marts that read no other mart, where dimensions are deduplicated.
-INDEPENDENT = frozenset({"dim_customers", "dim_products", "fact_orders", "fact_order_items"})
+#: Marts written at the same time, where dimensions are deduplicated: the KPI table reads the order fact, and the item fact, whose shuffles
+#: are the largest, is written when those of the first marts are gone.
+WAVES = (("dim_customers", "dim_products", "fact_orders"), ("fact_order_items", "rpt_daily_kpis"))
 
 
 def materialise(models: Models, base: str, tables=MART_TABLES, observe: Mapping[str, tuple[Observation, list]] | None = None) -> dict[str, DataFrame]:
@@ -176,8 +177,8 @@ def materialise(models: Models, base: str, tables=MART_TABLES, observe: Mapping[
 
     Each table changes in one step, and readers of the old version keep it (``sources.publish``). Only what ``tables`` asks for
     is built. Later tables read the written ones they need: the KPI table reads the order fact, which has a row for each enriched
-    order and all that the KPIs need of it. Marts that don't need one another are written at the same time. ``observe`` has metrics
-    to take of a table's rows while they are written.
+    order and all that the KPIs need of it. Marts that don't need one another are written at the same time, and a mart's shuffle
+    files are removed when it is written. ``observe`` has metrics to take of a table's rows while they are written.
     """
     spark = models.raw.orders.sparkSession
     base = base.rstrip("/")
@@ -195,20 +196,15 @@ def materialise(models: Models, base: str, tables=MART_TABLES, observe: Mapping[
         table.publish(df, observe=(observe or {}).get(name))
         return table.read()
 
-    def together(name: str, before: list[str]) -> bool:
-        return models.dedupe_dimensions and bool(before) and {name, *before} <= INDEPENDENT
-
-    waves: list[list[str]] = []
-    for name in dict.fromkeys(tables):
-        if waves and together(name, waves[-1]):
-            waves[-1].append(name)
-        else:
-            waves.append([name])
-    for wave in waves:
-        written = at_once(spark, [partial(publish, name, rows(name)) for name in wave])
-        for name, df in zip(wave, written, strict=True):
-            out[name] = m.__dict__[name] = df
-    return out
+    names = list(dict.fromkeys(tables))
+    waves = [[name for name in wave if name in names] for wave in WAVES] if models.dedupe_dimensions else []
+    waves += [[name] for name in names if not any(name in wave for wave in waves)]
+    with shuffles_removed(spark):
+        for wave in filter(None, waves):
+            written = at_once(spark, [partial(publish, name, rows(name)) for name in wave])
+            for name, df in zip(wave, written, strict=True):
+                out[name] = m.__dict__[name] = df
+    return {name: out[name] for name in names}
 
 
 def register_views(models: Models, names=MODEL_NAMES, prefix: str = "") -> list[str]:

@@ -5,8 +5,9 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import SparkSession
@@ -139,6 +140,24 @@ def local_scratch() -> str:
     return tempfile.mkdtemp(prefix="marketlens-", dir=os.environ.get("TMPDIR", "/tmp"))
 
 
+@contextmanager
+def shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of a query that runs inside are removed when it ends, not when the driver happens to collect its garbage.
+
+    For queries that run once, as writes do: a DataFrame that is run again would have to make them anew.
+    """
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
 def at_once(spark: SparkSession, jobs: Sequence[Callable[[], object]]) -> list:
     """Run independent Spark jobs at the same time, so that one's last tasks and small stages don't leave the cluster idle.
 

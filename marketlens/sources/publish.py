@@ -20,6 +20,8 @@ from pyspark.sql.types import StructType
 from marketlens.sources.landing import _fs_path, cluster_for_write
 
 ATTEMPT = "publish_attempt"
+#: Where the session names no codec. Level 1 takes the least time, and higher ones hardly gain on keys that are hashes.
+CODEC = {"compression": "zstd", "parquet.compression.codec.zstd.level": "1"}
 RETRIES = 20
 
 
@@ -75,7 +77,8 @@ class PublishedTable:
         clustered = cluster_for_write(df, partitions) if partitions else df
         if observe:  # above the exchange: a boundary-sampling pass must not be counted
             clustered = clustered.observe(observe[0], *observe[1])
-        clustered.withColumn(ATTEMPT, F.lit(attempt)).write.mode("append").partitionBy(*partitions, ATTEMPT).parquet(f"{self.path}/data")
+        codec = CODEC if self.spark.conf.get("spark.sql.parquet.compression.codec", None) is None else {}
+        clustered.withColumn(ATTEMPT, F.lit(attempt)).write.mode("append").options(**codec).partitionBy(*partitions, ATTEMPT).parquet(f"{self.path}/data")
         return attempt, self._folders(attempt, partitions)
 
     def _folders(self, attempt: str, partitions: Sequence[str]) -> list[str]:

@@ -2,15 +2,18 @@
 
 import dataclasses
 import datetime as dt
+import glob
+import hashlib
 import os
+import time
 
 import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
-from marketlens.operators import gates
-from marketlens.plans.warehouse import Models, materialise, register_views
+from marketlens.operators import checks, gates
+from marketlens.plans.warehouse import MART_TABLES, Models, materialise, register_views
 from marketlens.schemas import LANDING
 from marketlens.session import local_scratch
 from marketlens.sources.footers import footers, landing_manifest, list_files
@@ -128,6 +131,84 @@ def test_the_kpi_table_is_built_from_the_written_order_fact(spark, smoke_dir, mo
     assert table(materialise(loaded, local_scratch(), ["fact_orders", "rpt_daily_kpis"])["rpt_daily_kpis"]) == table(loaded.rpt_daily_kpis)
 
 
+def shuffle_files(spark):
+    names = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString("\n").split("\n")
+    return {os.path.basename(f) for f in names if os.path.basename(f).startswith("shuffle_")}
+
+
+def test_marts_leave_no_shuffle_files(spark, smoke_dir, monkeypatch):
+    before, at_start, publish = shuffle_files(spark), {}, PublishedTable.publish
+
+    def gone(kept):
+        for _ in range(100):  # they are removed in the background
+            if shuffle_files(spark) <= kept:
+                return True
+            time.sleep(0.1)
+        return False
+
+    def spy(self, df, *args, **kw):
+        at_start[self.path.rsplit("/", 1)[1]] = time.time()
+        return publish(self, df, *args, **kw)
+
+    monkeypatch.setattr(PublishedTable, "publish", spy)
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    was, out = spark.conf.get(key, None), materialise(Models.from_test_tables(spark, smoke_dir), local_scratch())
+    assert gone(before) and spark.conf.get(key, None) == was
+    assert list(out) == list(MART_TABLES) and all(out[name].count() for name in MART_TABLES)
+    assert max(at_start[t] for t in ("dim_customers", "dim_products", "fact_orders")) < min(at_start["fact_order_items"], at_start["rpt_daily_kpis"])
+
+
+def test_published_tables_are_compressed_with_zstd_unless_the_session_says_otherwise(spark):
+    df, key = spark.range(1000).select(F.md5(F.col("id").cast("string")).alias("key")), "spark.sql.parquet.compression.codec"
+
+    def codecs(path):
+        PublishedTable(spark, path).publish(df)
+        assert PublishedTable(spark, path).read().distinct().count() == 1000
+        files = glob.glob(f"{path}/data/**/*.parquet", recursive=True)
+        return {pq.ParquetFile(f).metadata.row_group(0).column(0).compression for f in files if pq.ParquetFile(f).metadata.num_rows}
+
+    assert spark.conf.get(key, None) is None and codecs(local_scratch() + "/a") == {"ZSTD"}
+    spark.conf.set(key, "gzip")
+    try:
+        assert codecs(local_scratch() + "/b") == {"GZIP"}
+    finally:
+        spark.conf.unset(key)
+
+
+def test_keys_of_the_item_fact_are_not_shuffled(spark):
+    from marketlens.plans import intermediate, marts
+    T0 = T(2024, 1, 1)
+    items = spark.createDataFrame([("i1", "o1", "p1", 1, 2, 2, T0), ("i2", "o1", "p2", 1, 2, 6, T0), ("i3", "o2", "p3", 1, 2, 5, T0),
+                                   ("i4", "o3", None, 1, 2, 5, T0), ("i4", "o3", "p9", 1, 2, None, T0)],
+                                  "item_id string, order_id string, product_id string, quantity int, unit_price int, amount int, _loaded_at timestamp_ntz")
+    products = spark.createDataFrame([("p1", "a", "x", True), ("p2", "b", "y", False), ("p3", "c", "z", None)],
+                                     "product_id string, name string, category string, is_active boolean")
+    orders = spark.createDataFrame([("o1",), ("o1",), ("o3",), (None,)], "order_id string")
+    fact = marts.fact_order_items(intermediate.items_with_product(items, products), orders)
+    md5 = {x: hashlib.md5(x.encode()).hexdigest() for x in ("i1", "i2", "i3", "i4", "o1", "o3", "p1")}
+    line1, line2 = ((md5[i], i, "o1", md5["o1"], p, md5.get(p), 1, 2, a, a / 8, n, c) for i, p, a, n, c in (("i1", "p1", 2, "a", "x"), ("i2", "p2", 6, "b", "y")))
+    rest = [(md5["i3"], "i3", "o2", None, "p3", None, 1, 2, 5, 1.0, "c", "z"), (md5["i4"], "i4", "o3", md5["o3"], None, None, 1, 2, 5, 1.0, None, None),
+            (md5["i4"], "i4", "o3", md5["o3"], "p9", None, 1, 2, None, None, None, None)]
+    assert sorted(map(repr, map(tuple, fact.collect()))) == sorted(map(repr, [line1, line1, line2, line2, *rest]))
+    plan = fact._jdf.queryExecution().sparkPlan().toString().split("\n")
+    below = [x for x in plan[1 + next(i for i, x in enumerate(plan) if "Join" in x):] if "md5(" in x and "product_id" not in x]
+    assert not below, below
+    looked_up = intermediate.items_with_product(items, products)._jdf.queryExecution().sparkPlan().toString().split("Join", 1)[1]
+    assert "md5(" not in looked_up
+
+
+def test_repeated_values_are_found_whatever_their_form(spark):
+    values = ["0a", "0A", "0a0", "a", "", "zz", "12", "1234", "12.5", "ä1", "00", "0", "000", hashlib.md5(b"1").hexdigest(), hashlib.md5(b"2").hexdigest().upper()]
+    rows = [(v,) for i, v in enumerate(values) for _ in range(2 + i)] + [(None,)] * 3 + [("b0",), ("B0",), ("1",), ("01",), ("once",)]
+    got = checks.unique(spark.createDataFrame(rows, "v string"), "v", "m")
+    assert table(got) == sorted((("m", "v", v, 2 + i) for i, v in enumerate(values)), key=str)
+    numbers = checks.unique(spark.createDataFrame([(12,), (12,), (-5,), (-5,), (7,), (None,)], "v int"), "v", "m")
+    assert table(numbers) == [("m", "v", "-5", 2), ("m", "v", "12", 2)] and numbers.schema["value"].dataType.simpleString() == "string"
+    keys = spark.range(4000).select(F.md5(F.col("id").cast("string")).alias("v"))
+    shuffled = checks.unique(keys, "v")._jdf.queryExecution().sparkPlan().toString()
+    assert "unhex" in shuffled and checks.unique(keys, "v").count() == 0
+
+
 # ---------------------------------------------------------------- re-landed files
 def land(base, region, date, hour, rows, entity="orders", **types):
     """A file as a foreign writer lands it, in the generator's layout."""
