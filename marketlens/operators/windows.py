@@ -8,8 +8,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def rows_of_a_group_at_most(df: DataFrame, keys: Sequence[str], buckets: int = 1 << 16) -> int:
+    """No group by ``keys`` has more rows than this: the rows of the fullest of ``buckets`` hash buckets (counted map-side)."""
+    bucket = F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(buckets))
+    return df.groupBy(bucket.alias("_bucket")).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
+
+
 def with_share_of_group(df: DataFrame, value: str, keys: Sequence[str], out: str,
-                        keys_nullable: bool | None = None) -> DataFrame:
+                        keys_nullable: bool | None = None, small_groups: bool = False) -> DataFrame:
     """``value / nullif(sum(value) over (partition by keys), 0)`` as a new double column.
 
     Computed as a pre-aggregated group total joined back on the keys rather
@@ -17,10 +23,16 @@ def with_share_of_group(df: DataFrame, value: str, keys: Sequence[str], out: str
     a key with very many rows over several tasks (:func:`attach_by_key`); a
     window would hold the whole group in one task. With nullable keys, NULL keys form one
     group via null-safe equality, as in the window form.
+
+    ``small_groups``: the caller knows that a group fits a task (:func:`rows_of_a_group_at_most`); then it is a
+    window, which shuffles the rows alone and not the totals three times.
     """
     from marketlens.operators.joins import attach_by_key
 
     keys = list(keys)
+    if small_groups:
+        total = F.sum(value).over(Window.partitionBy(*keys))
+        return df.withColumn(out, F.col(value).cast("double") / F.nullif(total.cast("double"), F.lit(0.0)))
     if keys_nullable is None:
         keys_nullable = any(df.schema[k].nullable for k in keys)
     totals = df.groupBy(*keys).agg(F.sum(value).alias("_group_total"))

@@ -37,18 +37,19 @@ def int_orders_enriched(orders: DataFrame, customers: DataFrame, regions: DataFr
     return orders_with_customer(orders, customers, regions).select(*ORDERS_ENRICHED)
 
 
-def items_with_product(items: DataFrame, products: DataFrame) -> DataFrame:
+def items_with_product(items: DataFrame, products: DataFrame, small_orders: bool = False) -> DataFrame:
     """Items + product name/category/key of active products, and each line's share of its order's amount.
 
     One product lookup for the enriched items and the item fact. The share is evaluated after it (as in the source
     model), so duplicate product rows would dilute it; pass deduplicated products. The key, 32 characters that no shuffle
     compresses, is made of the line's own product id after the shuffles; a flag goes through them in its place.
+    ``small_orders``: see ``with_share_of_group``.
     """
     active = F.col("is_active") if "is_active" in products.columns else F.lit(None)
     p = products.select("product_id", F.col("name").alias("product_name"), "category", active.cast("boolean").alias("_active"))
     j = left_lookup(items, p, "product_id", ["product_name", "category", "_active"])
     # staging guarantees non-null order ids, so the share join is a plain equi-join
-    return with_share_of_group(j, "amount", ["order_id"], "revenue_contribution", keys_nullable=False).select(
+    return with_share_of_group(j, "amount", ["order_id"], "revenue_contribution", keys_nullable=False, small_groups=small_orders).select(
         *ITEMS_ENRICHED, F.when(F.col("_active"), surrogate_key("product_id")).alias("product_key"))
 
 

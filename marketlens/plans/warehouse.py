@@ -16,11 +16,12 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, SparkSession
 
 from marketlens.operators.dedupe import latest_by_key
+from marketlens.operators.windows import rows_of_a_group_at_most
 from marketlens.plans import intermediate, marts, reporting, staging
-from marketlens.session import at_once, shuffles_removed
+from marketlens.session import at_once, shuffles_removed, unique_path
 from marketlens.sources.adapter import RawTables, raw_tables
-from marketlens.sources.landing import seed_regions
-from marketlens.sources.publish import PublishedTable
+from marketlens.sources.landing import _fs_path, seed_regions
+from marketlens.sources.publish import PublishedTable, codec
 
 
 class Models:
@@ -35,6 +36,8 @@ class Models:
     # models read by several downstream models and checks (the hubs of the graph)
     SHARED = frozenset({"stg_orders", "stg_customers", "orders_with_customer", "fact_orders", "fact_order_items",
                         "rpt_daily_kpis"})
+    #: Whether the lines of every order are known to fit a task.
+    small_orders = False
 
     def __init__(self, raw: RawTables, regions: DataFrame, dedupe_dimensions: bool = True,
                  reuse: str | None = None, reuse_models=SHARED):
@@ -111,7 +114,7 @@ class Models:
 
     @cached_property
     def items_with_product(self) -> DataFrame:
-        return self._done(intermediate.items_with_product(self.stg_order_items, self.products_current),
+        return self._done(intermediate.items_with_product(self.stg_order_items, self.products_current, self.small_orders),
                           "items_with_product")
 
     @cached_property
@@ -170,15 +173,19 @@ MART_TABLES = ("dim_customers", "dim_products", "fact_orders", "fact_order_items
 #: Marts written at the same time, where dimensions are deduplicated: the KPI table reads the order fact, and the item fact, whose shuffles
 #: are the largest, is written when those of the first marts are gone.
 WAVES = (("dim_customers", "dim_products", "fact_orders"), ("fact_order_items", "rpt_daily_kpis"))
+#: Lines of an order that a task takes in its stride, as it spills them.
+SMALL_ORDER = 1 << 20
 
 
-def materialise(models: Models, base: str, tables=MART_TABLES, observe: Mapping[str, tuple[Observation, list]] | None = None) -> dict[str, DataFrame]:
+def materialise(models: Models, base: str, tables=MART_TABLES, observe: Mapping[str, tuple[Observation, list]] | None = None,
+                staged: str | None = None) -> dict[str, DataFrame]:
     """Rebuild mart and reporting tables as published tables under ``base``; returns DataFrames over the new versions.
 
     Each table changes in one step, and readers of the old version keep it (``sources.publish``). Only what ``tables`` asks for
     is built. Later tables read the written ones they need: the KPI table reads the order fact, which has a row for each enriched
     order and all that the KPIs need of it. Marts that don't need one another are written at the same time, and a mart's shuffle
-    files are removed when it is written. ``observe`` has metrics to take of a table's rows while they are written.
+    files are removed when it is written. ``observe`` has metrics to take of a table's rows while they are written. ``staged``: a new
+    folder for the staged orders, which are then computed once, for the marts and for what the caller does with them.
     """
     spark = models.raw.orders.sparkSession
     base = base.rstrip("/")
@@ -199,7 +206,18 @@ def materialise(models: Models, base: str, tables=MART_TABLES, observe: Mapping[
     names = list(dict.fromkeys(tables))
     waves = [[name for name in wave if name in names] for wave in WAVES] if models.dedupe_dimensions else []
     waves += [[name] for name in names if not any(name in wave for wave in waves)]
+    known = models.dedupe_dimensions and "fact_order_items" in names  # as loaded, an order has its lines once for each load of a product
+
+    def count_lines() -> None:
+        m.small_orders = known and rows_of_a_group_at_most(m.stg_order_items, ["order_id"]) <= SMALL_ORDER
+
+    def stage() -> None:
+        if staged:
+            m.stg_orders.write.options(**codec(spark)).parquet(staged)
+            m.__dict__["stg_orders"] = spark.read.schema(m.stg_orders.schema).parquet(staged)
+
     with shuffles_removed(spark):
+        at_once(spark, [count_lines, stage])
         for wave in filter(None, waves):
             written = at_once(spark, [partial(publish, name, rows(name)) for name in wave])
             for name, df in zip(wave, written, strict=True):
@@ -223,13 +241,24 @@ def build_and_test(models: Models, base: str) -> tuple[dict[str, DataFrame], Dat
     """Publish the marts and KPI table, then run the declared tests against the new versions.
 
     Null tests and row tests of the written tables are counted while they are written. The others read the written tables, the
-    columns they need, and the lazily evaluated staging models, so each mart is computed once for both the build and the tests.
+    columns they need, the staged orders, written for the run, and the other staging models, evaluated lazily; so each mart and the
+    staged orders are computed once for both the build and the tests. The report holds the tests' counts, not their plans.
     """
     from marketlens.plans.data_tests import run_data_tests, write_metrics
 
+    spark = models.raw.orders.sparkSession
     observe = {name: (Observation(f"tests_{name}"), write_metrics(name)) for name in MART_TABLES}
-    tables = materialise(models, base, observe=observe)
-    counted = {test: n for obs, _ in observe.values() for test, n in obs.get.items()}
-    tested = {m: getattr(models, m) for m in ("stg_customers", "stg_orders", "stg_products", "stg_marketing_events")}
-    tested.update(tables)
-    return tables, run_data_tests(tested, counted)
+    staged = unique_path(spark, "staged_orders")
+    try:
+        tables = materialise(models, base, observe=observe, staged=staged)
+        counted = {test: n for obs, _ in observe.values() for test, n in obs.get.items()}
+        tested = {m: getattr(models, m) for m in ("stg_customers", "stg_products", "stg_marketing_events")}
+        tested["stg_orders"] = spark.read.schema(models.stg_orders.schema).parquet(staged)
+        tested.update(tables)
+        report = run_data_tests(tested, counted)
+        with shuffles_removed(spark):
+            counts = report.collect()
+    finally:
+        p, fs = _fs_path(spark, staged)
+        fs.delete(p, True)
+    return tables, spark.createDataFrame(counts, report.schema)

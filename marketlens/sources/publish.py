@@ -25,6 +25,10 @@ CODEC = {"compression": "zstd", "parquet.compression.codec.zstd.level": "1"}
 RETRIES = 20
 
 
+def codec(spark: SparkSession) -> dict[str, str]:
+    return CODEC if spark.conf.get("spark.sql.parquet.compression.codec", None) is None else {}
+
+
 class PublishedTable:
     """A Parquet table at ``path`` whose contents are replaced by whole partitions (or as a whole) and in one step."""
 
@@ -77,8 +81,7 @@ class PublishedTable:
         clustered = cluster_for_write(df, partitions) if partitions else df
         if observe:  # above the exchange: a boundary-sampling pass must not be counted
             clustered = clustered.observe(observe[0], *observe[1])
-        codec = CODEC if self.spark.conf.get("spark.sql.parquet.compression.codec", None) is None else {}
-        clustered.withColumn(ATTEMPT, F.lit(attempt)).write.mode("append").options(**codec).partitionBy(*partitions, ATTEMPT).parquet(f"{self.path}/data")
+        clustered.withColumn(ATTEMPT, F.lit(attempt)).write.mode("append").options(**codec(self.spark)).partitionBy(*partitions, ATTEMPT).parquet(f"{self.path}/data")
         return attempt, self._folders(attempt, partitions)
 
     def _folders(self, attempt: str, partitions: Sequence[str]) -> list[str]:

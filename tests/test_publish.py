@@ -13,7 +13,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from marketlens.operators import checks, gates
-from marketlens.plans.warehouse import MART_TABLES, Models, materialise, register_views
+from marketlens.operators.windows import rows_of_a_group_at_most, with_share_of_group
+from marketlens.plans import warehouse
+from marketlens.plans.data_tests import run_data_tests
+from marketlens.plans.warehouse import MART_TABLES, Models, build_and_test, materialise, register_views
 from marketlens.schemas import LANDING
 from marketlens.session import local_scratch
 from marketlens.sources.footers import footers, landing_manifest, list_files
@@ -197,6 +200,51 @@ def test_keys_of_the_item_fact_are_not_shuffled(spark):
     assert "md5(" not in looked_up
 
 
+def test_staged_orders_are_computed_once_for_marts_and_tests(spark, smoke_dir, monkeypatch):
+    seen, publish = {}, PublishedTable.publish
+
+    def spy(self, df, *args, **kw):
+        seen[self.path.rsplit("/", 1)[1]] = df.inputFiles()
+        return publish(self, df, *args, **kw)
+
+    monkeypatch.setattr(PublishedTable, "publish", spy)
+    m = Models.from_test_tables(spark, smoke_dir)
+    _, report = build_and_test(m, local_scratch())
+    for name in ("fact_orders", "fact_order_items"):
+        assert any("/staged_orders/" in f for f in seen[name]) and not any("orders.parquet" in f for f in seen[name])
+    folder = next(f for f in seen["fact_orders"] if "/staged_orders/" in f).rsplit("/", 1)[0].removeprefix("file://")
+    assert not os.path.exists(folder) and report.count() == 33  # counted: nothing of the run is read again
+    assert table(report) == table(run_data_tests(m))
+    monkeypatch.setattr(PublishedTable, "publish", lambda *a, **k: 1 / 0)
+    before = set(os.listdir(os.path.dirname(folder)))
+    with pytest.raises(ZeroDivisionError):
+        build_and_test(m, local_scratch())
+    assert set(os.listdir(os.path.dirname(folder))) <= before
+
+
+def test_share_of_small_groups_is_a_window(spark, smoke_dir, monkeypatch):
+    rows = [("a", 1, "1.10"), ("a", 1, "2.20"), ("a", None, "3.00"), (None, 1, "4.00"), (None, 1, None), ("z", 1, "1.00"), ("z", 1, "-1.00"), ("n", 2, None)]
+    df = spark.createDataFrame(rows, "k string, j int, v string").withColumn("v", F.col("v").cast("decimal(18,2)"))
+    for keys in (["k"], ["k", "j"]):
+        assert table(with_share_of_group(df, "v", keys, "s", small_groups=True)) == table(with_share_of_group(df, "v", keys, "s"))
+    assert with_share_of_group(df, "v", ["k"], "s", small_groups=True).columns == ["k", "j", "v", "s"]
+    assert rows_of_a_group_at_most(df, ["k"], 1) == 8 and 3 <= rows_of_a_group_at_most(df, ["k"]) <= 8
+    assert rows_of_a_group_at_most(df.filter("false"), ["k"]) == 0
+    plans, publish, loaded = [], PublishedTable.publish, Models.from_test_tables(spark, smoke_dir, dedupe_dimensions=False)
+
+    def spy(self, df, *args, **kw):
+        plans.append(df._jdf.queryExecution().sparkPlan().toString())
+        return publish(self, df, *args, **kw)
+
+    monkeypatch.setattr(PublishedTable, "publish", spy)
+    m, facts = Models.from_test_tables(spark, smoke_dir), []
+    for limit, models in ((warehouse.SMALL_ORDER, m), (1, m), (warehouse.SMALL_ORDER, loaded)):  # orders of over ``limit`` lines: as before
+        monkeypatch.setattr(warehouse, "SMALL_ORDER", limit)
+        facts.append(materialise(models, local_scratch(), ["fact_order_items"])["fact_order_items"])
+    assert ["Window" in p for p in plans] == [True, False, False]
+    assert table(facts[0]) == table(facts[1]) == table(m.fact_order_items)
+
+
 def test_repeated_values_are_found_whatever_their_form(spark):
     values = ["0a", "0A", "0a0", "a", "", "zz", "12", "1234", "12.5", "ä1", "00", "0", "000", hashlib.md5(b"1").hexdigest(), hashlib.md5(b"2").hexdigest().upper()]
     rows = [(v,) for i, v in enumerate(values) for _ in range(2 + i)] + [(None,)] * 3 + [("b0",), ("B0",), ("1",), ("01",), ("once",)]
